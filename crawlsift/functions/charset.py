@@ -40,15 +40,19 @@ def page_charset(payload: Column, http_charset: Column) -> Column:
     )
 
 
-def decode_html(payload: Column, http_charset: Column) -> Column:
-    """Decode page bytes; NULL when the charset is unknown.
+def decode_as(payload: Column, charset: Column) -> Column:
+    """Decode page bytes by a known charset; NULL when nobody knows the charset.
 
     UTF-8 stays in the JVM (malformed bytes become U+FFFD); only pages in another charset are
     sent to Python, where the codecs live.
     """
-    charset = page_charset(payload, http_charset)
     utf8 = charset.isin(_UTF8)
     other = payload.isNotNull() & ~utf8
     return F.when(utf8, F.make_valid_utf8(payload.cast("string"))).otherwise(
         _decode_other(F.when(other, payload), F.when(other, charset))
     )
+
+
+def decode_html(payload: Column, http_charset: Column) -> Column:
+    """Decode page bytes by their HTTP charset, else the detected one."""
+    return decode_as(payload, page_charset(payload, http_charset))

@@ -179,8 +179,7 @@ def _character(code: Column) -> Column:
     )
 
 
-def _resolve(reference: Column) -> Column:
-    names = F.from_json(F.lit(_json.dumps(_NAMED)), "map<string,string>")
+def _resolve(reference: Column, names: Column) -> Column:
     digits = F.regexp_extract(reference, r"&#[xX]?([0-9a-fA-F]+)", 1)
     code = F.when(F.length(F.ltrim(digits, F.lit("0"))) > 8, F.lit(0x110000)).otherwise(
         F.when(reference.rlike("^&#[xX]"), F.conv(digits, 16, 10))
@@ -202,7 +201,9 @@ def _resolve(reference: Column) -> Column:
 
 
 def _unescape_any(text: Column) -> Column:
-    references = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), 0), _resolve)
+    table = F.from_json(F.lit(_json.dumps(_NAMED)), "map<string,string>")
+    found = F.regexp_extract_all(text, F.lit(_REFERENCE), 0)
+    references = let(table, lambda names: F.transform(found, lambda r: _resolve(r, names)))
     return F.array_join(
         F.zip_with(
             F.split(text, _REFERENCE),

@@ -70,7 +70,8 @@ def decode_with(decoder: Callable[[bytes], np.ndarray | None]) -> Callable[[Colu
         ]
         return pa.array(rows, _ARROW_IMAGE)
 
-    return decode
+    # a later filter on the image must not decode it a second time
+    return decode.asNondeterministic()
 
 
 @F.arrow_udf(IMAGE)

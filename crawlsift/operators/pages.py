@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawlsift.functions.charset import decode_html
+from crawlsift.functions.charset import decode_as, page_charset
 from crawlsift.functions.html import body_html, has_body, main_content, render
 from crawlsift.functions.urls import extract_images
 
@@ -22,8 +22,10 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
 
 def decode_pages(records: DataFrame, output: str = "html") -> DataFrame:
     """Replace ``payload`` by decoded markup (NULL when the charset is unknown)."""
-    html = decode_html(F.col("payload"), F.col("http_charset"))
-    return records.withColumn(output, html).drop("payload")
+    charset = page_charset(F.col("payload"), F.col("http_charset"))
+    known = evaluate_once(records, _charset=charset)
+    html = decode_as(F.col("payload"), F.col("_charset"))
+    return known.withColumn(output, html).drop("payload", "_charset")
 
 
 def with_texts(

@@ -43,6 +43,8 @@ def score(
             batch_size=batch_size,
             input_tensor_shapes=input_tensor_shapes,
         )
+    # A threshold on the score must not be pushed below the model: it would run twice.
+    predict = predict.asNondeterministic()
     return df.withColumn(output, predict(*[F.col(name) for name in inputs]))
 
 
@@ -205,9 +207,10 @@ def score_pairs(
         for ids, masks, pixels in batches:
             yield pd.Series([safe(*row) for row in zip(ids, masks, pixels)], dtype="float64")
 
+    predict = one_by_one.asNondeterministic()
     return df.withColumn(
         output,
-        one_by_one(
+        predict(
             F.col(f"{inputs}.input_ids"),
             F.col(f"{inputs}.attention_mask"),
             F.col(f"{inputs}.pixels"),

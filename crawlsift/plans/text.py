@@ -18,7 +18,7 @@ from crawlsift.operators.filters import (
     min_text_length,
 )
 from crawlsift.operators.outcome import NODE_RESULTS, outcome_text, regex_match_total
-from crawlsift.operators.pages import decode_pages, with_texts
+from crawlsift.operators.pages import decode_pages, evaluate_once, with_texts
 from crawlsift.operators.score import BATCH_SIZE, score_text
 from crawlsift.sources.warc import SLIM_COLUMNS, read_warc
 
@@ -98,8 +98,8 @@ def regex_texts(
 
     The checks run in that order: the detector sees only long texts that match.
     """
-    counted = df.filter(min_text_length(F.col(text))).withColumn(
-        "n_matches", count_matches(F.col(text), pattern)
+    counted = evaluate_once(
+        df.filter(min_text_length(F.col(text))), n_matches=count_matches(F.col(text), pattern)
     )
     return counted.filter(F.col("n_matches") > 0).filter(is_language(detect(F.col(text)), code))
 
