@@ -29,7 +29,7 @@ from crawlsift.operators.decode import decode_images
 from crawlsift.plans import image as image_plans
 from crawlsift.plans import pairs as pair_plans
 from crawlsift.plans import text as text_plans
-from crawlsift.session import attach, materialize, work_dir
+from crawlsift.session import attach, materialize, spread, work_dir
 from crawlsift.sinks.record_files import write_alt_pairs, write_pairs, write_record_files
 from crawlsift.sinks.stats import report_rows, write_stats
 from crawlsift.sources.cdx import latest_captures, read_cdx
@@ -63,6 +63,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a text table for CPU-bound work, spread when few tasks would scan it."""
+    return spread(_table(spark, sf_dir, name).select(*columns))
+
+
 @_once
 def crawl(spark: SparkSession, sf_dir: str) -> str:
     """Root of the crawl derived from ``pages``."""
@@ -76,20 +81,20 @@ def crawl(spark: SparkSession, sf_dir: str) -> str:
 @_once
 def detector(spark: SparkSession, sf_dir: str) -> Callable[[Column], Column]:
     return language_detector(
-        language_profile(_table(spark, sf_dir, "documents"), "text", "lang")
+        language_profile(_texts(spark, sf_dir, "documents", "text", "lang"), "text", "lang")
     )
 
 
 @_once
 def vocabulary_tokenizer(spark: SparkSession, sf_dir: str) -> Callable[[Column], Column]:
     return tokenizer(
-        build_vocabulary(_table(spark, sf_dir, "documents"), "text", VOCABULARY_SIZE)
+        build_vocabulary(_texts(spark, sf_dir, "documents", "text"), "text", VOCABULARY_SIZE)
     )
 
 
 @_once
 def decoded_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(image_plans.image_rows(_images(spark, sf_dir), size=(2, 3)), "decoded")
+    return materialize(image_plans.image_rows(_images(spark, sf_dir)), "decoded")
 
 
 @_once
@@ -120,18 +125,27 @@ def _token_weights() -> np.ndarray:
 
 
 def _red_similarity() -> Callable:
-    """Closed-form stand-in for a similarity model: mean red value, 0..100."""
+    """Closed-form stand-in for a similarity model: mean red value, 0..100.
+
+    Models are local functions, so they travel to the workers by value.
+    """
 
-    def predict(ids, mask, pixels) -> float:
-        size = len(pixels) // 3
-        red = float(np.mean(pixels[:size])) * CHANNEL_STD[0] + CHANNEL_MEAN[0]
-        return round(red * 100, 2)
+    def make() -> Callable:
+        def predict(ids, mask, pixels) -> float:
+            size = len(pixels) // 3
+            red = float(np.mean(pixels[:size])) * CHANNEL_STD[0] + CHANNEL_MEAN[0]
+            return round(red * 100, 2)
 
-    return predict
+        return predict
+
+    return make
 
 
 def _sum_model() -> Callable:
-    return lambda vectors: vectors.astype(np.float64).sum(axis=1)
+    def make() -> Callable:
+        return lambda vectors: vectors.astype(np.float64).sum(axis=1)
+
+    return make
 
 
 # --- sources --------------------------------------------------------------------------------
@@ -202,7 +216,7 @@ def fetch_records_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["archive", "record_offset", "warc_type"]
     stream = stream_warc(
-        spark, crawl(spark, sf_dir), max_files_per_trigger=4, payload=[], columns=columns
+        spark, crawl(spark, sf_dir), max_files_per_trigger=16, payload=[], columns=columns
     )
     target = work_dir(spark, "streamed")
     stream_dataset(stream, target, work_dir(spark, "stream-checkpoint")).awaitTermination()
@@ -295,12 +309,12 @@ def above_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
+    pages = _texts(spark, sf_dir, "pages", "page_id", "html")
     return pages.select("page_id", extract_text(F.col("html")).alias("text"))
 
 
 def page_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _table(spark, sf_dir, "pages")
+    pages = _texts(spark, sf_dir, "pages", "page_id", "html")
     return pages.select("page_id", extract_text(F.col("html"), "export").alias("text"))
 
 
@@ -325,13 +339,13 @@ def resolve_url_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_vocabulary(
-        _table(spark, sf_dir, "documents"), "text", VOCABULARY_SIZE
+        _texts(spark, sf_dir, "documents", "text"), "text", VOCABULARY_SIZE
     ).withColumn("id", F.col("id").cast("long"))
 
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = vocabulary_tokenizer(spark, sf_dir)(F.col("text"))
-    rows = _table(spark, sf_dir, "documents").select("doc_id", tokens.alias("t"))
+    rows = _texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tokens.alias("t"))
     weighted = F.transform("t.input_ids", lambda x, i: x.cast("long") * (i + 1))
     total = F.aggregate(weighted, F.lit(0).cast("long"), lambda s, x: s + x)
     mask = F.aggregate("t.attention_mask", F.lit(0).cast("long"), lambda s, x: s + x)
@@ -344,19 +358,19 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_profile(_table(spark, sf_dir, "documents"), "text", "lang")
+    return language_profile(_texts(spark, sf_dir, "documents", "text", "lang"), "text", "lang")
 
 
 def detect_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     detect = detector(spark, sf_dir)
-    return _table(spark, sf_dir, "documents").select(
+    return _texts(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", detect(F.col("text")).alias("language")
     )
 
 
 def language_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     passed = text_plans.long_texts_in(detector(spark, sf_dir))
-    return _table(spark, sf_dir, "documents").filter(passed(F.col("text"))).select("doc_id")
+    return _texts(spark, sf_dir, "documents", "doc_id", "text").filter(passed(F.col("text"))).select("doc_id")
 
 
 def class_probability_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,7 +473,7 @@ def pairs_combined_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _alt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_plans.alt_text_job(
-        alt_tables(spark, sf_dir), vocabulary_tokenizer(spark, sf_dir), _red_similarity, pixels=16
+        alt_tables(spark, sf_dir), vocabulary_tokenizer(spark, sf_dir), _red_similarity(), pixels=16
     )
 
 
@@ -483,7 +497,7 @@ def stream_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_warc(
         spark,
         crawl(spark, sf_dir),
-        max_files_per_trigger=4,
+        max_files_per_trigger=16,
         payload=[K.HTML_TYPE],
         columns=SLIM_COLUMNS,
     )
@@ -531,15 +545,16 @@ def write_stats_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = vocabulary_tokenizer(spark, sf_dir)(F.col("text"))
-    rows = _table(spark, sf_dir, "documents").select("doc_id", tokens.alias("tokens"))
+    rows = _texts(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", tokens.alias("tokens"))
     scored = S.score_text(rows, S.linear_token_model(_token_weights()))
     return scored.select("doc_id", F.round("prediction", 6).alias("prediction"))
 
 
 def score_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = S.score_image(
-        decoded_images(spark, sf_dir), S.mean_brightness_model(2, 3), 2, 3
+    images = decoded_images(spark, sf_dir).withColumn(
+        "resized", resize_images(F.col("image"), 2, 3)
     )
+    scored = S.score_image(images, S.mean_brightness_model(2, 3), 2, 3)
     return scored.select("url", F.round("prediction", 6).alias("prediction"))
 
 
@@ -571,7 +586,7 @@ def score_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = S.score(
         _table(spark, sf_dir, "embeddings"),
-        _sum_model,
+        _sum_model(),
         ["embedding"],
         return_type=T.DoubleType(),
         input_tensor_shapes=[[64]],
@@ -652,7 +667,7 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regex_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     detect = detector(spark, sf_dir)
-    documents = _table(spark, sf_dir, "documents")
+    documents = _texts(spark, sf_dir, "documents", "text")
     return O.regex_match_total(text_plans.regex_texts(documents, "text", PATTERN, detect))
 
 

@@ -71,8 +71,8 @@ _SPACES = r"[\t\n\x0B\f\r\u00a0][\s\u00a0]*+| [\s\u00a0]++"
 _LINE_SPACES = r"[\t\x0B\f\r\u00a0][ \t\x0B\f\r\u00a0]*+| [ \t\x0B\f\r\u00a0]++"
 
 
-def _attribute(tag: str, name: str) -> str:
-    """Pattern that reads one attribute of a start tag in groups 1..3 (by quoting style).
+def _up_to(tag: str, name: str) -> str:
+    """Pattern of a start tag up to the value of one attribute.
 
     Attributes before it are skipped one by one, so a value that merely contains
     ``src=`` is never mistaken for the attribute.
@@ -81,8 +81,12 @@ def _attribute(tag: str, name: str) -> str:
         rf"[\s/]*+(?!{name}[\s=])[^\s=>/\"']++"
         r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
     )
-    value = r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
-    return rf"(?is)<{tag}{_NAME_END}(?:{other})*+[\s/]*+{name}\s*+=\s*+{value}"
+    return rf"(?is)<{tag}{_NAME_END}(?:{other})*+[\s/]*+{name}\s*+=\s*+"
+
+
+def _attribute(tag: str, name: str) -> str:
+    """Pattern that reads one attribute of a start tag in groups 1..3 (by quoting style)."""
+    return _up_to(tag, name) + r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
 
 
 def attribute(tag_source: Column, tag: str, name: str) -> Column:
@@ -243,7 +247,6 @@ def prediction_markup(main: Column) -> Column:
 
 def export_markup(main: Column) -> Column:
     """Tag-free main content for people: line breaks, bullets, image texts, links, fields."""
-    value = r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
     text = F.regexp_replace(main, F.lit(_SPACES), F.lit(" "))
     text = F.regexp_replace(text, F.lit(_attribute("img", "alt") + rf"{_ATTRS}>"), F.lit("$1$2$3"))
     text = F.regexp_replace(
@@ -251,11 +254,8 @@ def export_markup(main: Column) -> Column:
         F.lit(_attribute("a", "href") + rf"{_ATTRS}>(.*?)</a\s*+>"),
         F.lit("$4 ($1$2$3)"),
     )
-    text = F.regexp_replace(
-        text,
-        F.lit(rf"(?is)<input{_NAME_END}{_ATTRS}\btype\s*+=\s*+[\"']?+hidden\b{_ATTRS}>"),
-        F.lit(""),
-    )
+    hidden = _up_to("input", "type") + rf"[\"']?+hidden[\"']?+{_NAME_END}{_ATTRS}>"
+    text = F.regexp_replace(text, F.lit(hidden), F.lit(""))
     text = F.regexp_replace(
         text, F.lit(_attribute("input", "value") + rf"{_ATTRS}>"), F.lit("[ $1$2$3 ]")
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def pack_image(pixels: np.ndarray | None) -> dict | None:
 def unpack_image(image) -> np.ndarray:
     """Pixel array of a packed image."""
     flat = np.frombuffer(image["data"], dtype=np.uint8)
-    return flat.reshape(image["height"], image["width"], image["channels"])
+    return flat.reshape(int(image["height"]), int(image["width"]), int(image["channels"]))
 
 
 def pillow_decoder(payload: bytes) -> np.ndarray | None:
@@ -120,23 +121,19 @@ def resize_pixels(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
     return np.einsum("ij,jkc,lk->ilc", rows, scaled, columns, optimize=True).astype(np.float32)
 
 
-def _float_lists(flat: list[np.ndarray | None]) -> pa.Array:
-    return pa.array(flat, pa.list_(pa.float32()))
+def _map_pixels(frame: pd.DataFrame, make: Callable[[np.ndarray], np.ndarray]) -> pd.Series:
+    """Apply ``make`` to the pixels of every packed image of a batch."""
+    rows = frame.to_dict("records")
+    out = [None if row["data"] is None else make(unpack_image(row)).ravel() for row in rows]
+    return pd.Series(out, dtype=object)
 
 
 def resize_images(image: Column, height: int, width: int) -> Column:
     """Resized pixels as ``array<float>`` of height x width x 3 in 0..1."""
 
-    @F.arrow_udf(T.ArrayType(T.FloatType()))
-    def resize(images: pa.Array) -> pa.Array:
-        return _float_lists(
-            [
-                resize_pixels(unpack_image(i.as_py()), height, width).ravel()
-                if i.is_valid
-                else None
-                for i in images
-            ]
-        )
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def resize(images: pd.DataFrame) -> pd.Series:
+        return _map_pixels(images, lambda pixels: resize_pixels(pixels, height, width))
 
     return resize(image)
 
@@ -148,16 +145,12 @@ def similarity_pixels(
     mean_row = np.asarray(mean, dtype=np.float32)
     std_row = np.asarray(std, dtype=np.float32)
 
-    @F.arrow_udf(T.ArrayType(T.FloatType()))
-    def prepare(images: pa.Array) -> pa.Array:
-        out = []
-        for item in images:
-            if not item.is_valid:
-                out.append(None)
-                continue
-            pixels = resize_pixels(unpack_image(item.as_py()), size, size)
-            out.append(((pixels - mean_row) / std_row).transpose(2, 0, 1).ravel())
-        return _float_lists(out)
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def prepare(images: pd.DataFrame) -> pd.Series:
+        return _map_pixels(
+            images,
+            lambda p: ((resize_pixels(p, size, size) - mean_row) / std_row).transpose(2, 0, 1),
+        )
 
     return prepare(image)
 

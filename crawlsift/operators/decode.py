@@ -53,7 +53,8 @@ def decode_images(
             rgb_from_bgr(F.col("image")).alias("image"),
         )
     )
-    return table.join(pixels, "_name", "left").drop("_name")
+    # Pixels are many times larger than the files the planner sizes them by: never broadcast.
+    return table.join(pixels.hint("merge"), "_name", "left").drop("_name")
 
 
 def _no_image():

@@ -146,7 +146,8 @@ def observe_funnel(
 
 
 def finished_archives(listing: DataFrame, records: DataFrame) -> DataFrame:
-    """``(n_finished_warc_files)``: listed archives read to their end, empty ones included."""
+    """``(n_finished_warc_files)``: listed archives read to their end, also those without
+    a record."""
     broken = records.filter(F.col("error").isNotNull()).select("archive").distinct()
     return (
         listing.join(broken, listing["path"] == broken["archive"], "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsift.functions.image import resize_pixels, unpack_image
 from crawlsift.functions.numeric import class_probability, cosine
 
 #: Rows a model sees at once.
@@ -169,6 +170,35 @@ def score_image(
     )
 
 
+def score_decoded(
+    df: DataFrame,
+    make_predict_fn: Callable[[], Callable],
+    height: int,
+    width: int,
+    image: str = "image",
+    output: str = "prediction",
+    batch_size: int = BATCH_SIZE,
+) -> DataFrame:
+    """``score_image`` straight from decoded images: resizing happens next to the model, so
+    the resized pixels never travel back to the JVM. NULL images score NULL."""
+
+    @F.pandas_udf(T.DoubleType())
+    def resize_and_predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        predict = make_predict_fn()
+        for frame in batches:
+            out = np.full(len(frame), np.nan)
+            present = np.flatnonzero(frame["data"].notna().to_numpy())
+            for at in range(0, len(present), batch_size):
+                rows = present[at : at + batch_size]
+                pixels = [
+                    resize_pixels(unpack_image(frame.iloc[i]), height, width) for i in rows
+                ]
+                out[rows] = np.asarray(predict(np.stack(pixels)), dtype=np.float64).reshape(-1)
+            yield pd.Series(out).where(frame["data"].notna(), None)
+
+    return df.withColumn(output, resize_and_predict.asNondeterministic()(F.col(image)))
+
+
 def score_similarity(
     df: DataFrame,
     text_vector: str,

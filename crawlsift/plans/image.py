@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.functions.image import resize_images
 from crawlsift.functions.naming import image_extension
 from crawlsift.operators.decode import decode_images
 from crawlsift.operators.filters import (
@@ -18,7 +17,7 @@ from crawlsift.operators.filters import (
     is_supported_image,
 )
 from crawlsift.operators.outcome import NODE_RESULTS, outcome_image
-from crawlsift.operators.score import BATCH_SIZE, score_image, score_passthrough
+from crawlsift.operators.score import BATCH_SIZE, score_decoded, score_passthrough
 from crawlsift.sources.dataset import write_dataset
 from crawlsift.sources.warc import SLIM_COLUMNS, read_warc
 
@@ -54,12 +53,9 @@ def image_outcomes(
 
 
 def image_rows(
-    records: DataFrame,
-    image_filter: ImageFilter = pass_all,
-    size: tuple[int, int] = MODEL_SIZE,
-    decoder=None,
+    records: DataFrame, image_filter: ImageFilter = pass_all, decoder=None
 ) -> DataFrame:
-    """``(archive, record_offset, url, extension, payload, image, resized)`` of kept images."""
+    """``(archive, record_offset, url, extension, payload, image)`` of kept images."""
     kept = image_outcomes(records, image_filter, decoder).filter(
         F.col("outcome") == NODE_RESULTS
     )
@@ -70,7 +66,6 @@ def image_rows(
         image_extension(F.col("content_type")).alias("extension"),
         "payload",
         "image",
-        resize_images(F.col("image"), *size).alias("resized"),
     )
 
 
@@ -84,20 +79,19 @@ def image_job(
     batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """Images of the wanted size that the model flags, with ``prediction``."""
-    rows = image_rows(records, image_filter, size, decoder)
-    scored = score_image(rows, make_predict_fn, *size, batch_size=batch_size)
-    return above_threshold(scored, threshold).drop("resized")
+    rows = image_rows(records, image_filter, decoder)
+    scored = score_decoded(rows, make_predict_fn, *size, batch_size=batch_size)
+    return above_threshold(scored, threshold)
 
 
 def dataset_job(
     records: DataFrame,
     directory: str,
-    size: tuple[int, int] = MODEL_SIZE,
     decoder=None,
     mode: str = "errorifexists",
 ) -> None:
     """Store all images, unscored (prediction 1.0), as a dataset of
     ``(prediction, image, url)``."""
-    rows = image_rows(records, size=size, decoder=decoder)
+    rows = image_rows(records, decoder=decoder)
     scored = score_passthrough(rows).select("prediction", "image", "url")
     write_dataset(scored, directory, mode)

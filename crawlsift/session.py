@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 #: A side may be broadcast only while its proven upper bound stays below this many bytes.
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+#: Settings the jobs are designed for. Byte-bounded Arrow batches keep a batch of pages or
+#: images small whatever their size; adaptive execution splits skewed join partitions.
+RECOMMENDED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    "spark.sql.legacy.codingErrorAction": "false",
+}
+
 _attached: set[str] = set()
 _local_work_dirs: dict[str, str] = {}
 
@@ -72,3 +82,13 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int = 256) ->
     if max_rows * row_bytes <= BROADCAST_LIMIT_BYTES:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for CPU-bound work on a table that few tasks would scan.
+
+    Only a scan with fewer partitions than the cluster has cores is redistributed; a large
+    table, which has many times more, is left alone and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
