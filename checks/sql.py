@@ -42,10 +42,10 @@ def _article(html: str) -> str:
 
 
 def _entities(text: str) -> str:
-    return (
-        f"replace(replace(replace(replace({text}, '&quot;', '\"'), '&copy;', '©'), "
-        f"'&middot;', '·'), '&amp;', '&')"
-    )
+    """The references pages use; HTML also reads them without their semicolon."""
+    for name, char in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
+    return text
 
 
 def page_text_sql(html: str) -> str:

@@ -64,6 +64,9 @@ def join_unique(
 
 
 def pair_pages_images(pages: DataFrame, images: DataFrame, keys: list[str]) -> DataFrame:
-    """Page columns joined to the page's valid images, one row per image. Texts cross the
-    shuffle once per page, not once per image."""
+    """Page columns joined to the page's valid images, one row per image.
+
+    ``images`` should still be slim here (URLs, no pixels): then a page's text crosses the
+    shuffle once, and pixels are attached afterwards, once per distinct image.
+    """
     return images.join(pages, keys, "inner")

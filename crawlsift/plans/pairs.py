@@ -47,6 +47,8 @@ PAIR_CAP = 4_000_000
 SIMILARITY_THRESHOLD = 20.0
 
 PAGE_KEYS = ["archive", "record_offset"]
+#: Records one task fetches by offset.
+REFERENCES_PER_TASK = 2_000
 
 CombinedFilter = Callable[[Column, Column], Column]
 
@@ -140,11 +142,20 @@ def image_table(
     image_filter: Callable[[Column], Column] = pass_all,
 ) -> DataFrame:
     """Each referenced image once: where it lies, its bytes and pixels, and its outcome."""
+    spark = references.sparkSession
     located = materialize(references.join(captures, KEYS, "left"), "located")
+    indexed = F.col("warc_path").isNotNull()
+    n_fetched = located.filter(indexed).count()
     fetched = fetch_records(
-        located.filter(F.col("warc_path").isNotNull()), max_content_length, fetch_mode, roots
+        located.filter(indexed),
+        max_content_length,
+        fetch_mode,
+        roots,
+        keep=[*KEYS, "n_refs"],
+        tasks=max(n_fetched // REFERENCES_PER_TASK, spark.sparkContext.defaultParallelism),
     )
-    found = located.join(fetched, ["warc_path", "offset"], "left")
+    # The bytes stay where they were fetched; only references without a capture are added.
+    found = fetched.unionByName(located.filter(~indexed), allowMissingColumns=True)
     valid = (
         F.col("error").isNull() & is_response() & is_supported_image() & image_url_matches()
     )
@@ -172,16 +183,14 @@ def pair_rows(tables: PairTables, combined_filter: CombinedFilter | None = None)
     With ``combined_filter`` rows failing it are dropped.
     """
     valid = tables.table.filter(F.col("outcome") == NODE_RESULTS)
+    counts = tables.table.select(*KEYS, "n_refs")
     total = tables.table.agg(F.sum("n_refs")).first()[0] or 0
-    joined = join_unique(
-        tables.images,
-        valid.drop("outcome", "n_refs"),
-        KEYS,
-        tables.table.select(*KEYS, "n_refs"),
-        total,
-    )
+    # Slim rows first: which references lead to a valid image, then the texts of their pages.
+    # Bytes and pixels come last, so they are shuffled once per image and not once per page.
+    slim = join_unique(tables.images, valid.select(*KEYS), KEYS, counts, total)
     pages = tables.pages().select(*PAGE_KEYS, "text_url", "prediction_text", "export_text")
-    pairs = pair_pages_images(pages, joined, PAGE_KEYS)
+    texts = pair_pages_images(pages, slim, PAGE_KEYS)
+    pairs = join_unique(texts, valid.drop("outcome", "n_refs"), KEYS, counts, total)
     if combined_filter is not None:
         pairs = pairs.filter(combined_filter(F.col("prediction_text"), F.col("image")))
     return pairs.withColumnsRenamed({"url": "image_url", "alt": "alt_text"})

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crawlsift.sources.paths import open_fs
-from crawlsift.sources.warc import DEFAULT_CAP, iter_records, read_warc, to_batches
+from crawlsift.sources.warc import (
+    DEFAULT_CAP,
+    RECORD_SCHEMA,
+    iter_records,
+    read_warc,
+    to_batches,
+)
 
 #: References this close together in one archive are read by one task, in order.
 RANGE_BYTES = 64 * 1024 * 1024
@@ -28,34 +34,29 @@ FETCHED_COLUMNS = [
 ]
 
 
-def _fetched_schema() -> T.StructType:
-    from crawlsift.sources.warc import RECORD_SCHEMA
+def _ranged_reader(cap: int, schema: T.StructType, keep: list[str]):
+    carried = ["warc_path", "offset", *keep]
 
-    fields = [T.StructField("warc_path", T.StringType()), T.StructField("offset", T.LongType())]
-    return T.StructType(fields + [f for f in RECORD_SCHEMA if f.name in FETCHED_COLUMNS])
-
-
-def _ranged_reader(cap: int, schema: T.StructType):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         path, handle = None, None
+        at, row = None, {}
         for batch in batches:
-            for name, offset in zip(
-                batch.column("warc_path").to_pylist(), batch.column("offset").to_pylist()
-            ):
-                if name != path:
+            for ref in batch.select(carried).to_pylist():
+                if ref["warc_path"] != path:
                     if handle is not None:
                         handle.close()
-                    path, handle = name, None
+                    path, handle, at = ref["warc_path"], None, None
                     try:
-                        fs, inner = open_fs(name)
+                        fs, inner = open_fs(path)
                         handle = fs.open_input_file(inner)
                     except OSError:
                         handle = None
-                row = {"error": "archive cannot be opened"}
-                if handle is not None:
-                    found = iter_records(handle, offset, offset + 1, cap, read_bytes=_SMALL_READ)
-                    row = next(found, {"error": "no record at this offset"})
-                yield {**row, "warc_path": name, "offset": offset}
+                if ref["offset"] != at:
+                    at, row = ref["offset"], {"error": "archive cannot be opened"}
+                    if handle is not None:
+                        found = iter_records(handle, at, at + 1, cap, read_bytes=_SMALL_READ)
+                        row = next(found, {"error": "no record at this offset"})
+                yield {**row, **ref}
         if handle is not None:
             handle.close()
 
@@ -70,44 +71,55 @@ def fetch_records(
     max_content_length: int = DEFAULT_CAP,
     mode: str = "range",
     roots: str | list[str] | None = None,
+    keep: list[str] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """The record behind every distinct ``(warc_path, offset)`` of ``refs``.
 
     References are made distinct first: an image that a third of all pages show is read once.
+    Callers whose references are distinct already name columns to ``keep``: these ride along,
+    one row per reference, so the bytes need not be joined back.
+
     ``mode="range"`` reads single records at their offsets. Work is spread by archive *and*
     offset range, so references that crowd in one archive still use many tasks, and each task
-    moves forward through its range. ``mode="scan"`` reads the archives below ``roots`` once
-    and joins, which pays when most records are wanted. A reference without a readable record
-    keeps a row with ``error``.
+    moves forward through its range. The number of ``tasks`` is fixed: references are tiny
+    and would otherwise be packed by their size into too few tasks for the reads they cause.
+    ``mode="scan"`` reads the archives below ``roots`` once and joins, which pays when most
+    records are wanted. A reference without a readable record keeps a row with ``error``.
     """
-    wanted = refs.select("warc_path", "offset").distinct()
-    schema = _fetched_schema()
+    spark = refs.sparkSession
+    keep = list(keep or [])
+    keys = refs.select("warc_path", "offset", *keep)
+    wanted = keys if keep else keys.distinct()
+    record = T.StructType([f for f in RECORD_SCHEMA if f.name in FETCHED_COLUMNS])
+    schema = T.StructType([*wanted.schema.fields, *record.fields])
     if mode == "range":
+        n = tasks or max(
+            spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+        )
         ordered = (
-            wanted.withColumn("part", F.floor(F.col("offset") / RANGE_BYTES))
-            .repartition("warc_path", "part")
+            wanted.withColumn("_range", F.floor(F.col("offset") / RANGE_BYTES))
+            .repartition(n, "warc_path", "_range")
             .sortWithinPartitions("warc_path", "offset")
-            .select("warc_path", "offset")
+            .drop("_range")
         )
-        return ordered.mapInArrow(_ranged_reader(max_content_length, schema), schema)
+        return ordered.mapInArrow(_ranged_reader(max_content_length, schema, keep), schema)
     if mode == "scan":
         if roots is None:
             raise ValueError("mode='scan' needs the roots to read")
         records = read_warc(
-            refs.sparkSession,
+            spark,
             roots,
             max_content_length,
             columns=["archive", "record_offset", *FETCHED_COLUMNS],
         ).withColumnsRenamed({"archive": "warc_path", "record_offset": "offset"})
         missing = F.col("has_headers").isNull() & F.col("error").isNull()
-        return wanted.join(records, ["warc_path", "offset"], "left").select(
-            *[
-                F.when(missing, F.lit("no record at this offset"))
-                .otherwise(F.col("error"))
-                .alias("error")
-                if name == "error"
-                else F.col(name)
-                for name in schema.names
-            ]
+        return (
+            wanted.join(records, ["warc_path", "offset"], "left")
+            .withColumn(
+                "error",
+                F.when(missing, F.lit("no record at this offset")).otherwise(F.col("error")),
+            )
+            .select(*schema.names)
         )
     raise ValueError(f"unknown mode {mode!r}: use 'range' or 'scan'")

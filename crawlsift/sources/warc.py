@@ -46,6 +46,8 @@ SLIM_COLUMNS = [f.name for f in RECORD_SCHEMA if f.name not in ("warc_headers",
 _ARROW_TYPES = {
     T.StringType: pa.string(),
     T.LongType: pa.int64(),
+    T.IntegerType: pa.int32(),
+    T.DoubleType: pa.float64(),
     T.BooleanType: pa.bool_(),
     T.BinaryType: pa.binary(),
     T.MapType: pa.map_(pa.string(), pa.string()),

@@ -166,6 +166,10 @@ def test_fetch_modes_agree(spark, folder):
     good = [sorted((r["offset"], r["target_uri"], bytes(r["payload"])) for r in d.filter("error is null").collect()) for d in (ranged, scanned)]
     assert good[0] == good[1] and len(good[0]) == 3
     assert ranged.filter("error is not null").count() == scanned.filter("error is not null").count() == 3
+    named = refs.withColumn("n", F.monotonically_increasing_id())
+    kept = [fetch_records(named, mode=m, roots=folder, keep=["n"], tasks=3) for m in ("range", "scan")]
+    rows = [sorted((r["n"], r["target_uri"] or "", r["error"] is None) for r in d.collect()) for d in kept]
+    assert rows[0] == rows[1] and len(rows[0]) == 8 and sum(ok for *_, ok in rows[0]) == 5
     with pytest.raises(ValueError):
         fetch_records(refs, mode="scan")
     with pytest.raises(ValueError):
