@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 import crawl_fixture
 from checks.sql import CAP, PATTERN, VOCABULARY_SIZE
+from crawlsift.functions.charset import decode_html
 from crawlsift.functions.html import body_html, extract_text, has_body
 from crawlsift.functions.image import CHANNEL_MEAN, CHANNEL_STD, resize_images
 from crawlsift.functions.language import language_detector, language_profile
@@ -318,6 +319,23 @@ def page_export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", extract_text(F.col("html"), "export").alias("text"))
 
 
+def decode_html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _texts(spark, sf_dir, "pages", "page_id", "html")
+    html = F.col("html")
+    # the charset named by HTTP; NULL leaves it to detection
+    encoded = F.array(
+        *[
+            F.struct(F.lit(i).alias("variant"), F.encode(html, wire).alias("payload"), F.lit(name).alias("charset"))
+            for i, (wire, name) in enumerate(
+                [("utf-8", "utf-8"), ("utf-8", None), ("iso-8859-1", "latin-1"), ("utf-16", "utf-16")]
+            )
+        ]
+    )
+    rows = pages.select("page_id", F.inline(encoded))
+    decoded = decode_html(F.col("payload"), F.col("charset").cast("string"))
+    return rows.select("page_id", "variant", F.md5(decoded).alias("html_md5"))
+
+
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_images(spark, sf_dir).select(
         "text_url", F.col("position").cast("long").alias("position"),
@@ -730,6 +748,7 @@ def queries() -> dict[str, Query]:
         "above_threshold": above_threshold,
         "page_text": page_text,
         "page_export_text": page_export_text,
+        "decode_html": decode_html_query,
         "page_images": page_images,
         "resolve_url": resolve_url_query,
         "vocabulary": vocabulary,

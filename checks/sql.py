@@ -131,10 +131,10 @@ text_scores AS (
 # every image capture: n = 0 first, 1 second; p % 10 = 0 has two
 CAPTURES = """
 captures AS (
-  SELECT p, item, archive, 0 AS n, 120 + (p * 7) % 100 AS height, 130 + (p * 13) % 100 AS width,
+  SELECT p, item, archive, 0 AS n, (120 + (p * 7) % 100)::INTEGER AS height, (130 + (p * 13) % 100)::INTEGER AS width,
     (p * 37) % 256 AS r, (p * 59) % 256 AS g, (p * 83) % 256 AS b FROM pg
   UNION ALL
-  SELECT p, item, archive, 1, 121 + (p * 7) % 100, 131 + (p * 13) % 100,
+  SELECT p, item, archive, 1, (121 + (p * 7) % 100)::INTEGER, (131 + (p * 13) % 100)::INTEGER,
     255 - (p * 37) % 256, 255 - (p * 59) % 256, 255 - (p * 83) % 256 FROM pg WHERE p % 10 = 0
 ),
 good_captures AS (SELECT * FROM captures WHERE p % 10 NOT IN (7, 8)),
@@ -210,7 +210,6 @@ def oracle_sql() -> dict[str, str]:
     long_pages = f"page_texts AS (SELECT p, url, html, alts, {page_text_sql('html')} AS text FROM pg)"
     page_detect = detect_sql("page_texts", "p", "text")
     doc_detect = detect_sql("documents", "doc_id", "text")
-    # the three large HTML records hold 25,000 words "large": long, no match, language by profile
     out: dict[str, str] = {}
 
     # sources
@@ -257,7 +256,7 @@ SELECT true AS has_record_headers, kind NOT IN ('metadata', 'warcinfo') AS has_h
 FROM records GROUP BY ALL"""
     out["min_text_length"] = f"SELECT doc_id FROM documents WHERE {text_len}"
     out["matches_regex"] = f"""
-SELECT doc_id, len(regexp_extract_all(text, '{PATTERN}')) AS n_matches
+SELECT doc_id, len(regexp_extract_all(text, '{PATTERN}'))::INTEGER AS n_matches
 FROM documents WHERE regexp_matches(text, '{PATTERN}')"""
     out["image_size_between"] = _with(PG, CAPTURES) + f"""
 SELECT concat('{HOST}/', p, '.png') AS url, height, width FROM good_captures
@@ -274,6 +273,9 @@ SELECT vec_id, prediction > 0.1 AS strict, true AS inclusive FROM s WHERE predic
     # scalar functions
     out["page_text"] = f"SELECT page_id, {page_text_sql('html')} AS text FROM pages"
     out["page_export_text"] = f"SELECT page_id, {export_text_sql('html')} AS text FROM pages"
+    out["decode_html"] = """
+SELECT page_id, v.variant::INTEGER AS variant, md5(html) AS html_md5
+FROM pages CROSS JOIN (SELECT unnest(range(0, 4)) AS variant) v"""
     out["page_images"] = _with(PG, REFERENCES) + """
 SELECT text_url, position, url AS image_url, alt FROM images"""
     out["resolve_url"] = """
@@ -286,7 +288,7 @@ x AS (SELECT doc_id, unnest(ws) AS token, unnest(range(1, len(ws) + 1)) AS i FRO
 i AS (SELECT doc_id, sum(coalesce(id, 0) * i) AS checksum, count(*) AS n_tokens FROM x LEFT JOIN vocabulary USING (token) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(checksum, 0)::BIGINT AS checksum, coalesce(n_tokens, 0) AS mask_sum
 FROM documents LEFT JOIN i USING (doc_id)"""
-    out["language_profile"] = _with(PROFILE) + "\nSELECT lang, bucket, weight FROM profile"
+    out["language_profile"] = _with(PROFILE) + "\nSELECT lang, bucket::INTEGER AS bucket, weight FROM profile"
     out["detect_language"] = _with(PROFILE, doc_detect) + """
 SELECT doc_id, coalesce(language, 'unknown') AS language FROM documents LEFT JOIN detected USING (doc_id)"""
     out["language_filter"] = _with(PROFILE, doc_detect) + f"""
@@ -306,10 +308,10 @@ SELECT doc_id, concat('1.5', chr(10), source, chr(10), lang, chr(10), text, chr(
 
     # images
     out["decode_images"] = _with(PG, CAPTURES) + f"""
-SELECT concat('{HOST}/', p, '.png') AS url, height, width, 3 AS channels, height * width * 3 AS n_bytes,
+SELECT concat('{HOST}/', p, '.png') AS url, height, width, 3 AS channels, (height * width * 3)::BIGINT AS n_bytes,
   printf('%02x%02x%02x', r, g, b) AS first_pixel FROM good_captures"""
     out["resize_images"] = _with(PG, CAPTURES) + f"""
-SELECT concat('{HOST}/', p, '.png') AS url, 2 * 3 * 3 AS n_values,
+SELECT concat('{HOST}/', p, '.png') AS url, 18::BIGINT AS n_values,
   r * 6 AS red, g * 6 AS green, b * 6 AS blue FROM good_captures"""
 
     # joins

@@ -73,9 +73,14 @@ def has_images(images: Column) -> Column:
     return F.size(images) > 0
 
 
+def has_alt(image: Column) -> Column:
+    """The image carries a non-empty alt text."""
+    return F.length(image["alt"]) > 0
+
+
 def with_alt(images: Column) -> Column:
     """Only the images that carry a non-empty alt text."""
-    return F.filter(images, lambda image: F.length(image["alt"]) > 0)
+    return F.filter(images, has_alt)
 
 
 def image_url_matches(requested: str = "url", target: str = "target_uri") -> Column:

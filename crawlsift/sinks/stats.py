@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def stats_json(counts: DataFrame) -> DataFrame:
@@ -28,3 +29,9 @@ def report_rows(df: DataFrame, *urls: str) -> DataFrame:
 def report(df: DataFrame, *urls: str, n: int = 20) -> None:
     """Print the first ``n`` positives."""
     report_rows(df, *urls).show(n, truncate=False)
+
+
+def report_stream(df: DataFrame, *urls: str, checkpoint: str) -> StreamingQuery:
+    """Print positives of a stream as they come."""
+    rows = report_rows(df, *urls).writeStream.format("console").option("truncate", False)
+    return rows.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -4,7 +4,9 @@ import time
 
 from crawl_fixture import response
 from crawlsift.operators.outcome import funnel_counts
+from crawlsift.operators.score import score_passthrough
 from crawlsift.plans.text import html_only, read_pages, text_outcomes
+from crawlsift.sinks.stats import report_stream
 from crawlsift.sources.warc import SLIM_COLUMNS
 from crawlsift.streaming.feed import funnel_snapshots, stream_dataset, stream_warc
 
@@ -53,6 +55,15 @@ def test_snapshots_equal_batch(spark, folder):
         assert json.load(file) == batch
 
 
+def test_console_report(spark, folder):
+    archive(folder, "x", ["http://h/1"])
+    stream = stream_warc(spark, f"{folder}/in", columns=["target_uri"])
+    scored = score_passthrough(stream.withColumnRenamed("target_uri", "url"))
+    query = report_stream(scored, checkpoint=f"{folder}/check")
+    query.awaitTermination()
+    assert query.exception() is None
+
+
 def test_interval_trigger(spark, folder):
     archive(folder, "x", ["http://h/1"])
     stream = stream_warc(spark, f"{folder}/in", payload=["text/html"], columns=SLIM_COLUMNS)
