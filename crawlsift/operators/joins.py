@@ -35,7 +35,12 @@ def missing_images(images: DataFrame, captures: DataFrame) -> DataFrame:
 
 
 def join_unique(
-    rows: DataFrame, table: DataFrame, keys: list[str], counts: DataFrame, n_rows: int
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    counts: DataFrame,
+    n_rows: int,
+    heavy: bool = False,
 ) -> DataFrame:
     """Inner join of many ``rows`` to a ``table`` that holds each key once.
 
@@ -43,13 +48,20 @@ def join_unique(
     above ROWS_PER_SALT are salted: their rows scatter over ceil(n / ROWS_PER_SALT) salts and
     the table repeats the key once per salt. At most n_rows / ROWS_PER_SALT keys can be that
     hot, which bounds the list that is broadcast. Nothing is dropped.
+
+    A ``heavy`` table (pixels) outgrows the file sizes the planner sees, so it is joined by
+    sort-merge, which spills, and never broadcast.
     """
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.hint("merge") if heavy else df
+
     hot = counts.filter(F.col("n_refs") > ROWS_PER_SALT).select(
         *keys, F.ceil(F.col("n_refs") / ROWS_PER_SALT).cast("int").alias("_salts")
     )
     max_hot = n_rows // ROWS_PER_SALT
     if max_hot == 0:
-        return rows.join(table, keys, "inner")
+        return rows.join(side(table), keys, "inner")
     hot = broadcast_if_bounded(hot, max_hot)
     salts = F.coalesce("_salts", F.lit(1))
     scattered = rows.join(hot, keys, "left").withColumn(
@@ -59,7 +71,7 @@ def join_unique(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
     return scattered.drop("_salts").join(
-        repeated.drop("_salts"), [*keys, "_salt"], "inner"
+        side(repeated.drop("_salts")), [*keys, "_salt"], "inner"
     ).drop("_salt")
 
 

@@ -190,7 +190,8 @@ def pair_rows(tables: PairTables, combined_filter: CombinedFilter | None = None)
     slim = join_unique(tables.images, valid.select(*KEYS), KEYS, counts, total)
     pages = tables.pages().select(*PAGE_KEYS, "text_url", "prediction_text", "export_text")
     texts = pair_pages_images(pages, slim, PAGE_KEYS)
-    pairs = join_unique(texts, valid.drop("outcome", "n_refs"), KEYS, counts, total)
+    images = valid.drop("outcome", "n_refs")
+    pairs = join_unique(texts, images, KEYS, counts, total, heavy=True)
     if combined_filter is not None:
         pairs = pairs.filter(combined_filter(F.col("prediction_text"), F.col("image")))
     return pairs.withColumnsRenamed({"url": "image_url", "alt": "alt_text"})

@@ -277,19 +277,31 @@ def iter_records(
 
 
 def _starts_record(handle, offset: int, size: int) -> bool:
-    """True when members chain from ``offset`` past any stored run and the first is a record."""
+    """True when members chain from ``offset`` past any stored run and the first is a record.
+
+    A file that ends inside a later member was cut off; what comes before is still genuine.
+    """
     members = _Members(handle, offset)
-    first = True
+    whole = 0
     try:
         while members.position < size and members.position <= offset + _STORED_LIMIT:
             members.open()
-            if first and members.take(5) != b"WARC/":
+            if whole == 0 and members.take(5) != b"WARC/":
                 return False
-            first = False
             members.drop()
-    except (EOFError, zlib.error):
+            whole += 1
+    except EOFError:
+        return whole > 0
+    except zlib.error:
         return False
-    return not first
+    return whole > 0
+
+
+def split_archive(size: int, split: int) -> list[tuple[int, int]]:
+    """Byte ranges of about ``split`` bytes. A short rest joins the last range, so the end of a
+    file, where a chain may be too short to prove anything, is read on from further back."""
+    n = max(1, round(size / split))
+    return [(i * split, size if i == n - 1 else (i + 1) * split) for i in range(n)]
 
 
 def find_record_start(handle, start: int, end: int, size: int) -> int | None:
@@ -384,9 +396,9 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[ArchiveRange]:
         return [
-            ArchiveRange(path, start, min(start + self.split, size), size)
+            ArchiveRange(path, start, end, size)
             for path, size in list_files(self.roots, self.suffix)
-            for start in range(0, size, self.split)
+            for start, end in split_archive(size, self.split)
         ]
 
     def read(self, partition: ArchiveRange) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ from crawlsift.operators.outcome import finished_archives, funnel_counts
 from crawlsift.plans.text import read_pages, text_outcomes
 from crawlsift.sources.fetch import fetch_records
 from crawlsift.sources.listing import list_archives
-from crawlsift.sources.warc import find_record_start, iter_records, read_warc
+from crawlsift.sources.warc import find_record_start, iter_records, read_warc, split_archive
 
 
 def write(path, *members):
@@ -116,6 +116,23 @@ def test_nested_archive_is_not_a_record_start(folder):
     assert urls == ["http://h/0", "http://h/1", "http://h/2"]
 
 
+def test_ranges_cover_the_file():
+    for size, split in [(0, 10), (4, 10), (10, 10), (14, 10), (16, 10), (95, 10), (1, 1)]:
+        ranges = split_archive(size, split)
+        assert ranges[0][0] == 0 and ranges[-1][1] == size
+        assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+        assert len(ranges) == 1 or ranges[-1][1] - ranges[-1][0] >= split / 2
+
+
+def test_cut_archive_in_splits(spark, folder):
+    pages = [page(f"http://h/{i}", os.urandom(300)) for i in range(40)]
+    write(f"{folder}/x.warc.gz", *pages[:-1], pages[-1][:-50])
+    for split in (2_000, 5_000):
+        rows = read_warc(spark, folder, split_bytes=split)
+        assert rows.filter("error is null").count() == 39
+        assert rows.filter("error is not null").count() == 1
+
+
 def test_truncated_archive_keeps_what_is_whole(spark, folder):
     write(f"{folder}/good.warc.gz", page("http://h/1", BODY))
     write(f"{folder}/empty.warc.gz", gzip.compress(b""))
