@@ -175,13 +175,16 @@ def _writer(root: str):
             records += len(data)
         with fs.open_output_stream(f"{folder}/{item}.cdx.gz", compression=None) as stream:
             stream.write(gzip.compress(("\n".join(index) + "\n").encode("utf-8"), mtime=0))
-        return pd.DataFrame({"item": [item], "archives": [archives], "records": [records]})
+        return pd.DataFrame({"archives": [archives], "records": [records]})
 
     return write
 
 
-def build_crawl(spark: SparkSession, pages: DataFrame, root: str) -> DataFrame:
-    """Write the crawl below ``root``; returns ``(item, archives, records)``."""
+def build_crawl(spark: SparkSession, pages: DataFrame, root: str) -> tuple[int, int]:
+    """Write the crawl below ``root``; returns the numbers of archives and records.
+
+    A group is one item of at most PAGES_PER_ITEM pages, whatever the size of the table.
+    """
     keyed = pages.select(
         F.expr(f"page_id div {PAGES_PER_ITEM}").alias("item"),
         F.expr(f"page_id div {PAGES_PER_ARCHIVE}").alias("archive"),
@@ -189,8 +192,5 @@ def build_crawl(spark: SparkSession, pages: DataFrame, root: str) -> DataFrame:
         "url",
         "html",
     )
-    done = keyed.groupBy("item").applyInPandas(
-        _writer(root), "item string, archives int, records int"
-    )
-    report = done.collect()  # one short row per item: the write has happened
-    return spark.createDataFrame(report, "item string, archives int, records int")
+    done = keyed.groupBy("item").applyInPandas(_writer(root), "archives int, records int")
+    return tuple(done.agg(F.sum("archives"), F.sum("records")).first())

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsift.functions.image import decode_with, rgb_from_bgr
+from crawlsift.functions.image import IMAGE, decode_with, rgb_from_bgr
 from crawlsift.session import materialize, work_dir
 from crawlsift.sinks.record_files import write_record_files
 from crawlsift.sources.paths import base_name
@@ -42,7 +42,7 @@ def decode_images(
     )
     write_record_files(staged, folder)
     if not staged.head(1):
-        return table.withColumn("image", rgb_from_bgr(_no_image())).drop("_name")
+        return table.withColumn("image", F.lit(None).cast(IMAGE)).drop("_name")
     pixels = (
         spark.read.format("image")
         .option("dropInvalid", False)
@@ -56,8 +56,3 @@ def decode_images(
     # Pixels are many times larger than the files the planner sizes them by: never broadcast.
     return table.join(pixels.hint("merge"), "_name", "left").drop("_name")
 
-
-def _no_image():
-    return F.lit(None).cast(
-        "struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
-    )

@@ -28,17 +28,18 @@ def decode_pages(records: DataFrame, output: str = "html") -> DataFrame:
     return known.withColumn(output, html).drop("payload", "_charset")
 
 
+def _texts_of_body(df: DataFrame, modes: tuple[str, ...]) -> DataFrame:
+    """Replace ``_body`` by ``<mode>_text`` columns; the main content is found once."""
+    found = df.withColumn("_main", main_content(F.col("_body")))
+    texts = {f"{mode}_text": render(F.col("_main"), mode) for mode in modes}
+    return evaluate_once(found, **texts).drop("_main", "_body")
+
+
 def with_texts(
     df: DataFrame, html: str = "html", modes: tuple[str, ...] = ("prediction", "export")
 ) -> DataFrame:
-    """Add ``<mode>_text`` columns. The main content is found once for all of them."""
-    found = df.withColumn("_main", main_content(F.col("_body"))) if "_body" in df.columns else (
-        evaluate_once(df, _body=body_html(F.col(html)))
-        .withColumn("_main", main_content(F.col("_body")))
-        .drop("_body")
-    )
-    texts = {f"{mode}_text": render(F.col("_main"), mode) for mode in modes}
-    return evaluate_once(found, **texts).drop("_main", "_body")
+    """Add ``<mode>_text`` columns."""
+    return _texts_of_body(evaluate_once(df, _body=body_html(F.col(html))), modes)
 
 
 def parse_pages(
@@ -51,4 +52,4 @@ def parse_pages(
     from one pass over the markup."""
     body = evaluate_once(df, _body=body_html(F.col(html)), has_body=has_body(F.col(html)))
     images = body.withColumn("imgs", extract_images(F.col("_body"), F.col(url)))
-    return with_texts(images, html, modes)
+    return _texts_of_body(images, modes)

@@ -10,6 +10,7 @@ import crawl_fixture
 from checks import queries as Q
 from crawlsift.operators import joins
 from crawlsift.operators.outcome import COUNTERS, funnel_counts
+from crawlsift.operators.pages import parse_pages
 from crawlsift.plans.image import image_outcomes, read_images
 from crawlsift.plans.pairs import pair_funnel, pair_rows, pair_tables, pairs_job
 from crawlsift.plans.text import read_pages, text_outcomes
@@ -89,6 +90,15 @@ def test_filters_see_text_and_image(spark, root):
         assert funnel[f"n_distributed_{name}_filter_not_passed"] > 0
 
 
+def test_texts_and_images_from_one_parse(spark):
+    page = "<body><nav>n</nav><main><p>a<img src=x.png alt=A></main></body>"
+    df = spark.createDataFrame([("http://h/p", page)], "url string, html string")
+    row = parse_pages(df).first()
+    assert (row["has_body"], row["prediction_text"], row["export_text"]) == (True, "a", "aA")
+    assert [(i["url"], i["alt"]) for i in row["imgs"]] == [("http://h/x.png", "A")]
+    assert parse_pages(df).columns == ["url", "html", "has_body", "imgs", "prediction_text", "export_text"]
+
+
 def test_missing_index(spark, root, folder):
     pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
     crawl_fixture.build_crawl(spark, pages, f"file:{folder}/crawl")
