@@ -20,7 +20,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
-    "spark.sql.legacy.codingErrorAction": "false",
 }
 
 _attached: set[str] = set()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,29 +16,40 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from crawlsift.functions.naming import alt_metadata, export_name, pair_directory
 from crawlsift.sources.paths import open_fs
 
+# Object stores show a file only once it is complete, so nothing is renamed.
+ATOMIC_STORES = ("s3", "gcs", "abfs")
+
 
 @dataclass
 class Written(WriterCommitMessage):
     files: int
 
 
+def _replace(fs: pafs.FileSystem, source: str, target: str) -> None:
+    """Rename over ``target``; some file systems refuse that while an older file exists."""
+    try:
+        fs.move(source, target)
+    except OSError:
+        fs.delete_file(target)
+        fs.move(source, target)
+
+
 class RecordFilesWriter(DataSourceArrowWriter):
     """Writes column ``body`` under the relative path in column ``name``.
 
-    A file is written under a temporary name and renamed by the task itself. Names and bodies
-    come from the row alone, so a repeated or speculative task writes the same files again and
-    nothing has to pass the driver but the number of files.
+    A file is written under a temporary name and renamed by the task itself (object stores need
+    no rename). Names and bodies come from the row alone, so a repeated or speculative task
+    writes the same files again and nothing has to pass the driver but the number of files.
     """
 
     def __init__(self, directory: str):
         self.directory = directory
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        import uuid
-
         fs, base = open_fs(self.directory)
         base = base.rstrip("/")
         attempt = uuid.uuid4().hex
+        atomic = fs.type_name in ATOMIC_STORES
         known: set[str] = set()
         count = 0
         for batch in iterator:
@@ -47,14 +59,14 @@ class RecordFilesWriter(DataSourceArrowWriter):
                     raise ValueError(f"not a relative file name: {relative!r}")
                 path = f"{base}/{relative}"
                 folder = path.rsplit("/", 1)[0]
-                if folder not in known:
+                if not atomic and folder not in known:
                     fs.create_dir(folder, recursive=True)
                     known.add(folder)
-                data = body.as_py()
-                part = f"{folder}/.{attempt}"
-                with fs.open_output_stream(part) as stream:
-                    stream.write(data.encode("utf-8") if isinstance(data, str) else data or b"")
-                fs.move(part, path)
+                target = path if atomic else f"{folder}/.{attempt}"
+                with fs.open_output_stream(target, compression=None) as stream:
+                    stream.write(body.as_py() or b"")
+                if not atomic:
+                    _replace(fs, target, path)
                 count += 1
         return Written(count)
 
