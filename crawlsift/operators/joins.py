@@ -41,12 +41,14 @@ def join_unique(
     counts: DataFrame,
     n_rows: int,
     heavy: bool = False,
+    salt_on: list[str] | None = None,
 ) -> DataFrame:
     """Inner join of many ``rows`` to a ``table`` that holds each key once.
 
     ``counts`` is ``(keys, n_refs)``, how many rows each key has; ``n_rows`` their total. Keys
-    above ROWS_PER_SALT are salted: their rows scatter over ceil(n / ROWS_PER_SALT) salts and
-    the table repeats the key once per salt. At most n_rows / ROWS_PER_SALT keys can be that
+    above ROWS_PER_SALT are salted: their rows scatter over ceil(n / ROWS_PER_SALT) salts by a
+    hash of ``salt_on`` (slim columns that tell rows apart; all columns if not given), and the
+    table repeats the key once per salt. At most n_rows / ROWS_PER_SALT keys can be that
     hot, which bounds the list that is broadcast. Nothing is dropped.
 
     A ``heavy`` table (pixels) outgrows the file sizes the planner sees, so it is joined by
@@ -65,7 +67,7 @@ def join_unique(
     hot = broadcast_if_bounded(hot, max_hot)
     salts = F.coalesce("_salts", F.lit(1))
     scattered = rows.join(hot, keys, "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), salts).cast("int")
+        "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_on or rows.columns]), salts).cast("int")
     )
     repeated = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))

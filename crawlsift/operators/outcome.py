@@ -116,9 +116,13 @@ def outcome_page(passed_filter: Column, index_usable: Column) -> Column:
 
 
 def outcome_pairs(passed_image: Column, passed_both: Column, requested: str = "url") -> Column:
-    """Outcome of one image of a page, from the located and fetched record."""
+    """Outcome of one image of a page, from the located and fetched record.
+
+    A reference that is no URL at all (NULL) counts as unhandled.
+    """
     return first_failure(
         [
+            (F.col(requested).isNotNull(), UNHANDLED),
             (F.col("warc_path").isNotNull(), IMG_NOT_FOUND),
             (F.col("error").isNull() & F.col("warc_type").isNotNull(), UNHANDLED),
             (is_response(), IMG_WRONG_WARC_TYPE),

@@ -187,11 +187,12 @@ def pair_rows(tables: PairTables, combined_filter: CombinedFilter | None = None)
     total = tables.table.agg(F.sum("n_refs")).first()[0] or 0
     # Slim rows first: which references lead to a valid image, then the texts of their pages.
     # Bytes and pixels come last, so they are shuffled once per image and not once per page.
-    slim = join_unique(tables.images, valid.select(*KEYS), KEYS, counts, total)
+    row = [*PAGE_KEYS, "position"]
+    slim = join_unique(tables.images, valid.select(*KEYS), KEYS, counts, total, salt_on=row)
     pages = tables.pages().select(*PAGE_KEYS, "text_url", "prediction_text", "export_text")
     texts = pair_pages_images(pages, slim, PAGE_KEYS)
     images = valid.drop("outcome", "n_refs")
-    pairs = join_unique(texts, images, KEYS, counts, total, heavy=True)
+    pairs = join_unique(texts, images, KEYS, counts, total, heavy=True, salt_on=row)
     if combined_filter is not None:
         pairs = pairs.filter(combined_filter(F.col("prediction_text"), F.col("image")))
     return pairs.withColumnsRenamed({"url": "image_url", "alt": "alt_text"})

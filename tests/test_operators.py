@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from crawlsift.operators import joins
 from crawlsift.operators.filters import above_threshold, with_alt
-from crawlsift.operators.outcome import COUNTERS, first_failure, funnel_counts, observe_funnel
+from crawlsift.operators.outcome import COUNTERS, first_failure, funnel_counts, observe_funnel, outcome_pairs
 from crawlsift.operators.pages import evaluate_once
 from crawlsift.operators.score import linear_token_model, score, score_decoded, score_pairs, score_text
 from crawlsift.functions.image import pack_image
@@ -56,10 +56,37 @@ def test_join_unique_spreads_hot_keys(spark, monkeypatch):
     want = rows.join(table, joins.KEYS)
     assert sorted(got.select("i", "url", "v").collect()) == sorted(want.select("i", "url", "v").collect())
     assert got.count() == 600
+    slim = joins.join_unique(rows, table, joins.KEYS, counts, 601, heavy=True, salt_on=["i"])
+    assert sorted(slim.select("i", "url", "v").collect()) == sorted(want.select("i", "url", "v").collect())
     plain = joins.join_unique(rows, table, joins.KEYS, counts, 5)
     assert plain.count() == 600
 
 
+def test_image_outcome_order(spark):
+    good = dict(url="u", warc_path="w", error=None, warc_type="response", content_length=200,
+                content_type="image/png", target_uri="u", image=1)
+    cases = [
+        ({}, "n_node_results"),
+        ({"url": None, "warc_path": None}, "n_unhandled_record_exceptions"),
+        ({"warc_path": None, "warc_type": None}, "n_img_not_found"),
+        ({"error": "cut", "warc_type": None}, "n_unhandled_record_exceptions"),
+        ({"content_length": 127, "content_type": "text/html"}, "n_img_wrong_warc_type"),
+        ({"warc_type": "request"}, "n_img_wrong_warc_type"),
+        ({"content_type": "text/html", "target_uri": "v"}, "n_img_wrong_content_type"),
+        ({"content_type": None}, "n_img_wrong_content_type"),
+        ({"target_uri": "v", "image": None}, "n_img_misplaced"),
+        ({"image": None}, "n_decoding_exception"),
+    ]
+    schema = ("url string, warc_path string, error string, warc_type string, content_length long, "
+              "content_type string, target_uri string, image int, want string")
+    df = spark.createDataFrame([{**good, **change, "want": want} for change, want in cases], schema)
+    outcome = outcome_pairs(F.lit(True), F.lit(True))
+    for row in df.select(outcome.alias("got"), "want").collect():
+        assert row["got"] == row["want"]
+    no = df.limit(1).select(outcome_pairs(F.lit(False), F.lit(False)), outcome_pairs(F.lit(True), F.lit(None)))
+    assert list(no.first()) == ["n_distributed_image_filter_not_passed", "n_distributed_combined_filter_not_passed"]
+
+
 def test_broadcast_needs_a_bound(spark):
     df = spark.range(3)
     assert "broadcast" in broadcast_if_bounded(df, 10)._jdf.queryExecution().logical().toString().lower()
