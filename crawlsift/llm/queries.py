@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm import simhash
+from crawlsift.llm import exact_dedup, mixing, simhash
 from crawlsift.llm.common import table
 
 
@@ -19,7 +19,51 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact-duplicate group of every document."""
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
+    return found.withColumnRenamed("digest", "text_sha256")
+
+
+#: Target mixture: weights by domain, language and source.
+MIX = mixing.Mixture(
+    domains={"web": 3, "reference": 2, "dialogue": 1},
+    languages={"en": 4, "de": 2, "fr": 2, "es": 1},
+    share=0.8,
+    max_epochs=2,
+    seed=17,
+)
+
+
+def mix_columns() -> dict[str, Column]:
+    """Tree columns of ``documents``; a source's number says which domain it belongs to."""
+    number = F.try_to_number(F.regexp_extract("source", "^src([0-9]{1,9})$", 1), F.lit("999999999"))
+    return {
+        "domain": F.when(number < 8, "web").when(number < 14, "reference").otherwise("dialogue"),
+        "lang": F.col("lang"),
+        "source": F.col("source"),
+        "doc_id": F.col("doc_id"),
+        "text": F.col("text"),
+    }
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mixture takes each document; those it never takes are left out."""
+    columns = mix_columns()
+    mixed = mixing.mix_epochs(table(spark, sf_dir, "documents"), MIX, **columns)
+    return mixed.where("epochs > 0").select(
+        "doc_id",
+        columns["domain"].alias("domain"),
+        "lang",
+        "source",
+        mixing.count_tokens(F.col("text")).alias("tokens"),
+        "epochs",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op9_mixing": op9_mixing,
     }

@@ -2,6 +2,75 @@
 
 from __future__ import annotations
 
+EXACT_DEDUP = r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS code_points,
+         sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+  FROM documents
+), ranked AS (
+  SELECT *, first_value(doc_id) OVER w AS keep_id, row_number() OVER w AS place,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM rows WINDOW w AS (PARTITION BY text_sha256 ORDER BY code_points DESC, doc_id)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM ranked
+"""
+
+MIXING = r"""
+WITH docs AS (
+  SELECT doc_id, lang, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
+         TRY_CAST(regexp_extract(source, '^src([0-9]{1,9})$', 1) AS BIGINT) AS number
+  FROM documents
+), sized AS (
+  SELECT *, CASE WHEN number < 8 THEN 'web' WHEN number < 14 THEN 'reference' ELSE 'dialogue' END AS domain
+  FROM docs
+), leaves AS (
+  SELECT domain, lang, source, sum(tokens)::BIGINT AS total, sum(tokens)::DOUBLE * 2 AS capacity,
+         CASE domain WHEN 'web' THEN 3.0 WHEN 'reference' THEN 2.0 ELSE 1.0 END::DOUBLE AS w1,
+         CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 WHEN 'fr' THEN 2.0 ELSE 1.0 END::DOUBLE AS w2
+  FROM sized GROUP BY ALL
+), domains AS (
+  SELECT domain, w1, sum(capacity) AS capacity, (SELECT sum(total) FROM leaves)::DOUBLE * 0.8::DOUBLE AS b0
+  FROM leaves GROUP BY ALL
+), domain_levels AS (
+  SELECT *, (b0 - coalesce(sum(capacity) OVER (ORDER BY capacity / w1, domain ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w1) OVER (ORDER BY capacity / w1, domain ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM domains
+), domain_budgets AS (
+  SELECT domain, least(capacity, w1 * max(level) OVER ()) AS b1 FROM domain_levels
+), langs AS (
+  SELECT domain, lang, w2, b1, sum(capacity) AS capacity
+  FROM leaves JOIN domain_budgets USING (domain) GROUP BY ALL
+), lang_levels AS (
+  SELECT *, (b1 - coalesce(sum(capacity) OVER (PARTITION BY domain ORDER BY capacity / w2, lang ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w2) OVER (PARTITION BY domain ORDER BY capacity / w2, lang ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM langs
+), lang_budgets AS (
+  SELECT domain, lang, least(capacity, w2 * max(level) OVER (PARTITION BY domain)) AS b2 FROM lang_levels
+), leaf_levels AS (
+  SELECT leaves.*, b2,
+         (b2 - coalesce(sum(capacity) OVER (PARTITION BY domain, lang ORDER BY capacity, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / count(*) OVER (PARTITION BY domain, lang ORDER BY capacity, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM leaves JOIN lang_budgets USING (domain, lang)
+), budgets AS (
+  SELECT domain, lang, source, total,
+         floor(least(capacity, max(level) OVER (PARTITION BY domain, lang)))::BIGINT AS budget
+  FROM leaf_levels
+), keyed AS (
+  SELECT s.*, coalesce(budget // nullif(total, 0), 0) AS whole,
+         budget - coalesce(budget // nullif(total, 0), 0) * total AS rest,
+         left(md5('17:' || coalesce(budget // nullif(total, 0), 0) || ':' || doc_id), 16) AS key
+  FROM sized s JOIN budgets USING (domain, lang, source)
+), placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS reach FROM keyed
+)
+SELECT doc_id, domain, lang, source, tokens, (whole + (rest > 0 AND reach <= rest)::INT)::INT AS epochs
+FROM placed WHERE whole + (rest > 0 AND reach <= rest)::INT > 0
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_exact_dedup": EXACT_DEDUP,
+        "op9_mixing": MIXING,
+    }
