@@ -3,9 +3,9 @@
 A document is contaminated by an item of ``m`` words when some passage of it is within
 ``floor((1 - similarity) * m)`` word edits of the item (insertions, deletions, substitutions).
 
-Every word position starts an item-sized window. Windows that hold too few words of the
-benchmark's vocabulary cannot match any item of that size and are passed over, without loss. The
-rest are embedded by CGK random walks: at step ``j`` a walk emits the word it stands on and moves
+Every word position starts an item-sized window. An edit changes one word at most, so windows that
+hold too few words of the items of that size, or too few of those items' rare words, cannot match
+and are passed over, without loss. The rest are embedded by CGK random walks: at step ``j`` a walk emits the word it stands on and moves
 on if random bit ``j`` of that word says so, so walks over texts a few edits apart fall back in
 step and agree at most steps. A hash table samples a few steps. How many tables are needed for
 the target recall is measured beforehand, per size class, on edited copies of the items at the
@@ -34,8 +34,14 @@ from crawlsift.llm.common import map_arrow, ready, utf8, word_chunks
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _TO_SPACE = bytes.maketrans(_PUNCTUATION, b" " * len(_PUNCTUATION))
 CLASS_RATIO = 1.15
+#: A word is rare when no more than this share of the items has it.
+RARE_SHARE = 0.01
 TRIALS = 400
 MAX_TABLES = 400
+TABLES_PER_WALK = 4
+WINDOW_BLOCK = 65_536
+#: Short texts are joined up to so many words before windows are embedded.
+JOINED_WORDS = 1 << 19
 #: Items travel to the workers in slices of at most so many bytes; a larger benchmark takes
 #: several passes over the documents.
 SLICE_BYTES = 16 << 20
@@ -69,10 +75,13 @@ class SizeClass:
 
     items: list[int]
     reach: int  # words a passage may span
-    needed: int  # known words it must hold
-    steps: np.ndarray  # tables x sampled steps
-    walk: np.ndarray  # walk that a table samples
-    tables: list[tuple[np.ndarray, np.ndarray]]  # sorted keys and their items
+    #: Words of the items, and those few items share; a passage holds at least so many of each.
+    words: np.ndarray
+    needed: int
+    rare: np.ndarray
+    needed_rare: int
+    #: Per walk: for each of its tables the sampled steps, sorted keys, and the items of the keys.
+    walks: list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
 class Index:
@@ -89,12 +98,11 @@ class Index:
         self.pad = len(self.vocabulary) + 1
         self.items = [np.array([self.vocabulary[w] for w in item], dtype=np.int32) for item in words]
         self.edits = [allowed_edits(len(i), similarity) for i in self.items]
-        self.known = [np.unique(i) for i in self.items]
-        longest = max((len(i) for i in self.items), default=0)
-        self.bits = self.rng.integers(
-            0, 1 << 64, (self.pad + 1, -(-2 * max(longest, 1) // 64)), dtype=np.uint64
-        )
-        self.mix = self.rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
+        self.bits = self.rng.integers(0, 1 << 63, self.pad + 1, dtype=np.uint64)
+        spread = np.zeros(self.pad + 1, dtype=np.int64)
+        for item in self.items:
+            spread[np.unique(item)] += 1
+        self.rare = spread <= max(1, int(RARE_SHARE * len(self.items)))
         order = sorted((i for i in range(len(words)) if words[i]), key=lambda i: len(words[i]))
         self.classes: list[SizeClass] = []
         while order:
@@ -103,23 +111,26 @@ class Index:
             order = order[len(same) :]
             self.classes.append(self._class(same, least, recall))
 
-    def _walk(self, text: np.ndarray, starts: np.ndarray, steps: int, walk: int) -> np.ndarray:
-        """Words that walks from ``starts`` emit (steps x starts); words move on by their own bits."""
-        padded = np.append(text, np.int32(self.pad))
-        at = starts.copy()
-        out = np.empty((steps, len(starts)), dtype=np.int32)
-        turn = walk * 7919 % (self.bits.shape[1] * 64)
+    def _walk_bits(self, walk: int, block: int) -> np.ndarray:
+        """64 random bits of every word, for steps ``64 * block`` and on of a walk."""
+        bits = self.bits + np.uint64((walk << 32) + block)
+        bits = (bits ^ (bits >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        bits = (bits ^ (bits >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return bits ^ (bits >> np.uint64(31))
+
+    def _walk(self, text: np.ndarray, at: np.ndarray, limits: np.ndarray, steps: int, walk: int) -> np.ndarray:
+        """CGK embedding: what walks starting at ``at`` emit (steps x starts). A walk stays at
+        its limit, where ``text`` has the padding word."""
+        out = np.empty((steps, len(at)), dtype=np.int32)
         for j in range(steps):
-            word = padded[at]
-            out[j] = word
-            # Another walk mixes the word's bits by another odd factor.
-            bits = (self.bits[word, ((j + turn) // 64) % self.bits.shape[1]] * self.mix[walk % 64]) >> np.uint64(
-                63 - (j + turn) % 64
-            )
-            at = np.minimum(at + (bits & np.uint64(1)).astype(at.dtype), len(text))
+            if j % 64 == 0:
+                bits = self._walk_bits(walk, j // 64)
+            word = out[j] = text[at]
+            at = np.minimum(at + ((bits[word] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64), limits)
         return out
 
-    def _keys(self, words: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def _keys(words: np.ndarray) -> np.ndarray:
         """Hash of sampled words (samples x windows)."""
         key = np.zeros(words.shape[1], dtype=np.uint64)
         for row in words:
@@ -139,43 +150,44 @@ class Index:
                 out[min(at, len(out) - 1)] = 0
         return np.array(out, dtype=np.int32)
 
+    def _joined(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Texts one after another, each followed by the padding word; starts and ends."""
+        ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+        starts = ends - [len(t) for t in texts]
+        pad = np.array([self.pad], dtype=np.int32)
+        return np.concatenate([part for t in texts for part in (t, pad)]), starts, ends
+
     def _class(self, members: list[int], least: int, recall: float) -> SizeClass:
-        samples = 1 + int(np.ceil(np.log(len(members) + 1) / np.log(30)))
         length = 2 * least
-        samples = min(samples, length)
-        most = max(len(self.items[i]) for i in members)
+        samples = min(length, 1 + int(np.ceil(np.log(len(members) + 1) / np.log(30))))
+        own_words = np.zeros(self.pad + 1, dtype=bool)
+        own_words[np.concatenate([self.items[i] for i in members])] = True
         shape = SizeClass(
             items=members,
             reach=max(len(self.items[i]) + self.edits[i] for i in members),
+            words=own_words,
             needed=least - allowed_edits(least, self.similarity),
-            steps=np.empty((0, samples), dtype=int),
-            walk=np.empty(0, dtype=int),
-            tables=[],
+            rare=own_words & self.rare,
+            # Each edit takes one word at most.
+            needed_rare=min(int(self.rare[self.items[i]].sum()) - self.edits[i] for i in members),
+            walks=[],
         )
-        del most
         # Edited copies at the largest distance; tables are added until enough of them are hit.
-        trials = [members[k] for k in self.rng.integers(len(members), size=TRIALS)]
-        copies = [self._edited(self.items[i], self.edits[i]) for i in trials]
+        trials = self.rng.integers(len(members), size=TRIALS)
+        copies = [self._edited(self.items[members[k]], self.edits[members[k]]) for k in trials]
+        items, copies = self._joined([self.items[i] for i in members]), self._joined(copies)
         missed = np.ones(TRIALS, dtype=bool)
-        start = np.zeros(1, dtype=np.int64)
-        for table in range(MAX_TABLES):
-            steps = np.sort(self.rng.choice(length, samples, replace=False))
-            deep = int(steps[-1]) + 1
-            own = np.concatenate(
-                [self._keys(self._walk(self.items[i], start, deep, table)[steps]) for i in members]
-            )
-            order = np.argsort(own, kind="stable")
-            shape.steps = np.vstack([shape.steps, steps])
-            shape.walk = np.append(shape.walk, table)
-            shape.tables.append((own[order], np.array(members)[order]))
-            at = dict(zip(members, own))
-            for k in np.nonzero(missed)[0]:
-                # A passage also starts one word late or early in its text.
-                text = copies[k]
-                if len(text) and self._keys(self._walk(text, start, deep, table)[steps])[0] == at[trials[k]]:
-                    missed[k] = False
-            if missed.mean() <= 1 - recall:
-                break
+        while missed.mean() > 1 - recall and len(shape.walks) * TABLES_PER_WALK < MAX_TABLES:
+            walk, tables = len(shape.walks), []
+            own = self._walk(*items, length, walk)
+            seen = self._walk(*copies, length, walk)
+            for _ in range(TABLES_PER_WALK):
+                steps = np.sort(self.rng.choice(length, samples, replace=False))
+                keys = self._keys(own[steps])
+                missed &= self._keys(seen[steps]) != keys[trials]
+                order = np.argsort(keys, kind="stable")
+                tables.append((steps, keys[order], np.array(members)[order]))
+            shape.walks.append(tables)
         return shape
 
     def encode(self, data: bytes | None) -> np.ndarray:
@@ -185,54 +197,79 @@ class Index:
         ]
         return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
 
-    def _candidates(self, text: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """``(item, window starts)`` that share a hash key."""
-        total = np.concatenate(([0], np.cumsum(text > 0)))
-        n = len(text)
+    def _candidates(self, text: np.ndarray, limits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """``(item, window starts)`` that share a hash key; ``limits`` has the end of each
+        position's document."""
+        def holding(starts: np.ndarray, reach: int, members: np.ndarray, needed: int) -> np.ndarray:
+            count = np.concatenate(([0], np.cumsum(members[text], dtype=np.int32)))
+            return starts[count[np.minimum(starts + reach, limits[starts])] - count[starts] >= needed]
+
+        place = np.arange(len(text))
         for shape in self.classes:
-            ends = np.minimum(np.arange(n) + shape.reach, n)
-            starts = np.nonzero(total[ends] - total[:n] >= shape.needed)[0]
+            starts = holding(place, shape.reach, shape.rare, shape.needed_rare)
+            if len(starts):
+                starts = holding(starts, shape.reach, shape.words, shape.needed)
             found: dict[int, list[np.ndarray]] = {}
-            for block in np.array_split(starts, -(-len(starts) // 65_536)) if len(starts) else []:
-                for steps, walk, (keys, items) in zip(shape.steps, shape.walk, shape.tables):
-                    emitted = self._walk(text, block, int(steps[-1]) + 1, int(walk))
-                    key = self._keys(emitted[steps])
-                    low = np.searchsorted(keys, key)
-                    high = np.searchsorted(keys, key, side="right")
-                    for w in np.nonzero(high > low)[0]:
-                        for item in items[low[w] : high[w]]:
-                            found.setdefault(int(item), []).append(block[w : w + 1])
+            for at in range(0, len(starts), WINDOW_BLOCK):
+                block = starts[at : at + WINDOW_BLOCK]
+                for walk, tables in enumerate(shape.walks):
+                    deep = max(int(steps[-1]) for steps, _, _ in tables) + 1
+                    emitted = self._walk(text, block, limits[block], deep, walk)
+                    for steps, keys, items in tables:
+                        key = self._keys(emitted[steps])
+                        low = np.searchsorted(keys, key)
+                        high = np.searchsorted(keys, key, side="right")
+                        for k in range(int((high - low).max(initial=0))):
+                            hit = np.nonzero(low + k < high)[0]
+                            owner = items[low[hit] + k]
+                            for item in np.unique(owner):
+                                found.setdefault(int(item), []).append(block[hit[owner == item]])
             for item, where in found.items():
                 yield item, np.unique(np.concatenate(where))
 
-    def matches(self, data: bytes | None, any_match: bool = False) -> list[tuple[int, int, int]]:
-        """``(item, edit distance, end word)`` of each item that the text contains."""
-        text = self.encode(data)
-        out = []
-        if np.count_nonzero(text) == 0:
-            return out
-        for item, starts in self._candidates(text):
-            words, edits = self.items[item], self.edits[item]
-            own = np.concatenate(([0], np.cumsum(np.isin(text, self.known[item]))))
-            ends = np.minimum(starts + len(words) + edits, len(text))
-            starts = starts[own[ends] - own[starts] >= len(words) - edits]
-            best: tuple[int, int] | None = None
-            done = -1
-            for start in starts:
-                if start < done:
-                    continue
-                # One region holds this window and those close behind it.
-                begin = max(0, int(start) - edits)
-                end = min(len(text), int(start) + 2 * len(words) + 2 * edits)
-                done = int(start) + len(words)
-                distance, at = passage_distance(words, text[begin:end])
-                if distance <= edits and (best is None or distance < best[0]):
-                    best = distance, begin + at
-            if best is not None:
-                out.append((item, *best))
-                if any_match:
-                    break
-        return out
+    def _shared(
+        self, text: np.ndarray, limits: np.ndarray, starts: np.ndarray, own: np.ndarray, item: int
+    ) -> np.ndarray:
+        """Which windows hold enough words of the item to be within its allowed edits."""
+        size, edits = len(self.items[item]), self.edits[item]
+        enough = np.zeros(len(starts), dtype=bool)
+        for at in range(0, len(starts), WINDOW_BLOCK // 16):
+            part = slice(at, at + WINDOW_BLOCK // 16)
+            window = np.minimum(starts[part, None] + np.arange(size + edits), limits[part, None])
+            enough[part] = own[text[window]].sum(axis=1) >= size - edits
+        return enough
+
+    def matches(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int]]:
+        """``(text number, item, edit distance, end word)`` of each item that a text contains."""
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        encoded = [self.encode(t) for t in texts]
+        first = 0
+        while first < len(texts):
+            last, size = first, 0
+            while last < len(texts) and (last == first or size + len(encoded[last]) <= JOINED_WORDS):
+                size += len(encoded[last])
+                last += 1
+            text, begins, ends = self._joined(encoded[first:last])
+            owner = np.repeat(np.arange(last - first), ends - begins + 1)
+            for item, starts in self._candidates(text, ends[owner]):
+                words, edits = self.items[item], self.edits[item]
+                own = np.zeros(self.pad + 1, dtype=bool)
+                own[words] = True
+                done = -1
+                for start in starts[self._shared(text, ends[owner[starts]], starts, own, item)]:
+                    if start < done:
+                        continue
+                    # One region holds this window and those that start within its length.
+                    doc = owner[start]
+                    done = min(int(start) + len(words), int(ends[doc]))
+                    begin = max(int(begins[doc]), int(start) - edits)
+                    end = min(int(ends[doc]), int(start) + 2 * (len(words) + edits))
+                    distance, at = passage_distance(words, text[begin:end])
+                    key = first + int(doc), item
+                    if distance <= edits and distance < best.get(key, (edits + 1, 0))[0]:
+                        best[key] = distance, begin - int(begins[doc]) + at
+            first = last
+        return [(*key, *value) for key, value in best.items()]
 
 
 def _slices(benchmark: DataFrame, item_col: str, text_col: str, slice_bytes: int) -> Iterator[tuple[list, list]]:
@@ -271,10 +308,10 @@ def contaminations(
 
         def run(batch: pa.RecordBatch, shared=shared, ids=ids) -> dict:
             index = shared.value
+            docs = batch.column(0).to_pylist()
             rows = [
-                (doc, ids[item], distance, len(index.items[item]), end)
-                for doc, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)))
-                for item, distance, end in index.matches(text)
+                (docs[doc], ids[item], distance, len(index.items[item]), end)
+                for doc, item, distance, end in index.matches(utf8(batch.column(1)))
             ]
             names = ("doc_id", "item_id", "distance", "item_words", "end_word")
             return dict(zip(names, map(list, zip(*rows)))) if rows else {name: [] for name in names}
@@ -309,7 +346,8 @@ def _filter(shared, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            clean = [not index.matches(t, any_match=True) for t in utf8(batch.column(at))]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            clean = np.ones(batch.num_rows, dtype=bool)
+            clean[[doc for doc, *_ in index.matches(utf8(batch.column(at)))]] = False
+            yield batch.filter(pa.array(clean))
 
     return run

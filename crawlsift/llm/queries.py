@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm import exact_dedup, mixing, simhash
+from crawlsift.llm import decontaminate, exact_dedup, mixing, simhash
 from crawlsift.llm.common import table
 
 
@@ -19,6 +19,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, one row per document and item."""
+    return decontaminate.contaminations(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact-duplicate group of every document."""
     found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), digest_all=True)
@@ -64,6 +71,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op7_decontamination": op7_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
     }
