@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm import decontaminate, exact_dedup, mixing, simhash
+from crawlsift.llm import decontaminate, exact_dedup, importance, mixing, packing, simhash
 from crawlsift.llm.common import table
 
 
+#: Rank file of the tokenizer that the packing query and the pipeline use.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of token ids, written as matrices and read back."""
+    tokenizer = packing.Tokenizer.load(TOKENIZER)
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer)
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -19,6 +29,12 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents drawn by importance, with log weight and Gumbel key."""
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return drawn.select("doc_id", "log_weight", "sample_key")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, one row per document and item."""
     return decontaminate.contaminations(
@@ -70,7 +86,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_packing": op1_token_packing,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_importance_resampling": op4_importance_resampling,
         "op7_decontamination": op7_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
