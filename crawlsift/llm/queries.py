@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm import decontaminate, exact_dedup, importance, mixing, packing, simhash
+from crawlsift.llm import (
+    decontaminate,
+    exact_dedup,
+    importance,
+    line_windows,
+    mixing,
+    packing,
+    rank_order,
+    simhash,
+    toxicity,
+)
 from crawlsift.llm.common import table
 
 
@@ -21,6 +31,15 @@ def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer)
 
 
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the chain flags as toxic, with the probability of each category.
+
+    ``labels`` knows one category of toxicity; low quality comes before it in the chain.
+    """
+    labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    return toxicity.flag_toxic(table(spark, sf_dir, "documents"), labels, ["low_quality", "toxic"])
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -35,6 +54,21 @@ def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "log_weight", "sample_key")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    profiles = rank_order.learn(docs.where(rest != 1), "text", "lang", F.col("doc_id"))
+    found = rank_order.predict_languages(docs, profiles)
+    return found.select("doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def op6_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the later occurrences of repeated three-line windows."""
+    cleaned = line_windows.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, one row per document and item."""
     return decontaminate.contaminations(
@@ -87,8 +121,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_packing": op1_token_packing,
+        "op2_toxicity_chain": op2_toxicity_chain,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_importance_resampling": op4_importance_resampling,
+        "op5_language_id": op5_language_id,
+        "op6_line_windows": op6_line_windows,
         "op7_decontamination": op7_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,

@@ -2,6 +2,40 @@
 
 from __future__ import annotations
 
+LINE_WINDOWS = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+         generate_subscripts(string_split(text, chr(10)), 1) AS n
+  FROM documents WHERE text <> ''
+), filled AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS place
+  FROM (SELECT *, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line FROM lines)
+  WHERE line <> ''
+), windows AS (
+  SELECT doc_id, place,
+         line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w AS three
+  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY place)
+), later AS (
+  SELECT doc_id, place FROM (
+    SELECT *, row_number() OVER (PARTITION BY three ORDER BY doc_id, place) AS turn
+    FROM windows WHERE three IS NOT NULL)
+  WHERE turn > 1
+), gone AS (
+  SELECT DISTINCT doc_id, place + k AS place FROM later, (VALUES (0), (1), (2)) AS steps(k)
+), marked AS (
+  SELECT l.doc_id, l.n, l.raw, gone.place IS NOT NULL AS dropped
+  FROM lines l LEFT JOIN filled f ON l.doc_id = f.doc_id AND l.n = f.n
+  LEFT JOIN gone ON f.doc_id = gone.doc_id AND f.place = gone.place
+), cleaned AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_removed,
+         coalesce(string_agg(raw, chr(10) ORDER BY n) FILTER (WHERE NOT dropped), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(c.text, d.text) AS text
+FROM documents d LEFT JOIN cleaned c ON d.doc_id = c.doc_id
+"""
+
 EXACT_DEDUP = r"""
 WITH rows AS (
   SELECT doc_id, length(coalesce(text, '')) AS code_points,
@@ -71,6 +105,7 @@ FROM placed WHERE whole + (rest > 0 AND reach <= rest)::INT > 0
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_line_windows": LINE_WINDOWS,
         "op8_exact_dedup": EXACT_DEDUP,
         "op9_mixing": MIXING,
     }
