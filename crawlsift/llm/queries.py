@@ -37,7 +37,9 @@ def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``labels`` knows one category of toxicity; low quality comes before it in the chain.
     """
     labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
-    return toxicity.flag_toxic(table(spark, sf_dir, "documents"), labels, ["low_quality", "toxic"])
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.learn(docs, labels, ["low_quality", "toxic"])
+    return toxicity.flag_toxic(toxicity.score_toxicity(docs, chain))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
