@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlsift.llm import (
+    arc,
     decontaminate,
     exact_dedup,
     importance,
@@ -120,6 +121,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record after conversion from ARC to WARC and reading back."""
+    return arc.archived_pages(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_packing": op1_token_packing,
@@ -131,4 +137,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_decontamination": op7_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
+        "op10_arc_to_warc": op10_arc_to_warc,
     }

@@ -103,9 +103,25 @@ FROM placed WHERE whole + (rest > 0 AND reach <= rest)::INT > 0
 """
 
 
+ARC_TO_WARC = """
+WITH rows AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), ranked AS (
+  SELECT *, first_value(page_id) OVER w AS first_id, row_number() OVER w AS place
+  FROM rows WINDOW w AS (PARTITION BY payload_digest ORDER BY page_id)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_id END AS refers_to
+FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_windows": LINE_WINDOWS,
         "op8_exact_dedup": EXACT_DEDUP,
         "op9_mixing": MIXING,
+        "op10_arc_to_warc": ARC_TO_WARC,
     }
