@@ -401,7 +401,9 @@ class WarcReader(DataSourceReader):
             for start, end in split_archive(size, self.split)
         ]
 
-    def read(self, partition: ArchiveRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchiveRange | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes where there are no partitions at all
+            return iter(())
         rows = read_range(
             partition.path, partition.start, partition.end, partition.size, self.cap, self.wanted
         )
