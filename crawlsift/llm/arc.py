@@ -249,6 +249,11 @@ def _new_file(directory: str, name: str):
         _replace(fs, target, path)
 
 
+def _make_folder(directory: str) -> None:
+    fs, base = open_fs(directory)
+    fs.create_dir(base, recursive=True)
+
+
 def write_arcs(pages: DataFrame, directory: str, arc_bytes: int = ARC_BYTES, key_header: str = KEY_HEADER) -> int:
     """Write ``pages`` (page_id, url, html) as ARC files, versions 1 and 2 in turn; count records.
 
@@ -256,6 +261,7 @@ def write_arcs(pages: DataFrame, directory: str, arc_bytes: int = ARC_BYTES, key
     payload; a null id gets no such header.
     """
     ready(pages.sparkSession)
+    _make_folder(directory)
     slim = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit(""))
     )
@@ -342,6 +348,7 @@ def convert_arcs(
     Of equal payloads the record with the smallest key, then archive and number, is written in full.
     """
     ready(spark)
+    _make_folder(target)
     records = materialize(arc_index(spark, directory, key_header), "arc-index")
     first = F.min(F.struct(F.col("key").isNull().alias("nameless"), "key", "arc", "number", "uri", "date")).alias("first")
     groups = (

@@ -37,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _as(values, kind: pa.DataType) -> pa.Array:
+    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, list]], schema: str
 ) -> DataFrame:
@@ -51,7 +55,7 @@ def map_arrow(
             if batch.num_rows:
                 columns = function(batch)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], f.type) for f in target], schema=target
+                    [_as(columns[f.name], f.type) for f in target], schema=target
                 )
 
     return df.mapInArrow(run, fields)
@@ -94,22 +98,19 @@ def join_hot(
     by ``spread``; their keys are the only broadcast.
     """
     limit = int(total * HOT_SHARE) + 1
-    hot = groups.where(F.col(size) > limit).select(F.col(key).alias("_hot_key"))
+    mark, salt = free_name(rows, "_hot_key"), free_name(rows, "_salt")
+    hot = groups.where(F.col(size) > limit).select(F.col(key).alias(mark))
     dealt = (
-        rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+        rows.join(F.broadcast(hot), F.col(key) == F.col(mark), "left")
         .withColumn(
-            "_salt",
-            F.when(F.col("_hot_key").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(HOT_SALTS)).cast("int"))
+            salt,
+            F.when(F.col(mark).isNotNull(), F.pmod(F.xxhash64(spread), F.lit(HOT_SALTS)).cast("int"))
             .otherwise(F.lit(0)),
         )
-        .drop("_hot_key")
+        .drop(mark)
     )
+    all_salts = F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))
     copies = groups.withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col(size) > limit, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+        salt, F.explode(F.when(F.col(size) > limit, all_salts).otherwise(F.array(F.lit(0))))
     )
-    return dealt.join(copies, [key, "_salt"], "left").drop("_salt")
+    return dealt.join(copies, [key, salt], "left").drop(salt)

@@ -193,9 +193,10 @@ def resample(
     """The drawn rows of ``docs``, with log weight and Gumbel key.
 
     The weighed rows are written once to the shared work folder; the level and the last place
-    are found on the two narrow columns.
+    are found on the two narrow columns. Columns of the new names are replaced.
     """
     ready(docs.sparkSession)
+    docs = docs.drop(weight_col, key_col)
     sample = materialize(label_sample(labels, "doc_id", label_col, sample_rows, seed), "labels")
     ratio = fit(docs, sample, id_col, text_col, buckets)
     weighed = weigh(docs, ratio, text_col, weight_col)

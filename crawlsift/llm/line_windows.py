@@ -95,8 +95,12 @@ def remove_repeated_lines(
     removed_col: str = "n_removed",
     size: int = WINDOW_LINES,
 ) -> DataFrame:
-    """``docs`` with later occurrences cut out of the text, and counts of lines and removed lines."""
+    """``docs`` with later occurrences cut out of the text, and counts of lines and removed lines.
+
+    Columns of the new names are replaced.
+    """
     ready(docs.sparkSession)
+    docs = docs.drop(total_col, removed_col)
     doc, body, places = (free_name(docs, c) for c in ("_doc", "_body", "_places"))
     found = repeated_places(docs, id_col, text_col, size).toDF(doc, body, places)
     joined = docs.join(
