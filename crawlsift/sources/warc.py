@@ -8,6 +8,7 @@ as Arrow batches of bounded size.
 from __future__ import annotations
 
 import codecs
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,10 +59,12 @@ DEFAULT_CAP = 4_000_000
 DEFAULT_SPLIT = 256 * 1024 * 1024
 _READ_BYTES = 1 << 20
 _FEED_BYTES = 1 << 14
-_HEADER_LIMIT = 1 << 20
+_INFLATE_BYTES = 1 << 16
+_LOOK_BACK = 1 << 20
 _BATCH_BYTES = 8 << 20
 _BATCH_ROWS = 512
 _MAGIC = b"\x1f\x8b\x08"
+_RECORD = b"WARC/"
 #: Longest run of bytes deflate stores verbatim. An archive nested inside a record can imitate
 #: member starts only within such a run, so a chain of valid members beyond it is genuine.
 _STORED_LIMIT = 65_536
@@ -98,11 +101,13 @@ class _Members:
     def fill(self, size: int) -> bool:
         """Make ``size`` unread bytes available; False when the member ends before."""
         while len(self.out) - self.start < size and not self.ended:
-            if not self._feed():
-                raise EOFError("archive ends inside a member")
+            more = self._feed()
             piece = self.raw[:_FEED_BYTES]
-            self.out += self.inflater.decompress(piece)
-            used = len(piece) - len(self.inflater.unused_data)
+            out = self.inflater.decompress(piece, _INFLATE_BYTES)
+            if not more and not out and not self.inflater.eof:
+                raise EOFError("archive ends inside a member")
+            self.out += out
+            used = len(piece) - len(self.inflater.unused_data) - len(self.inflater.unconsumed_tail)
             self.raw = self.raw[used:]
             self.position += used
             self.ended = self.inflater.eof
@@ -111,7 +116,8 @@ class _Members:
     def take(self, size: int) -> bytes:
         self.fill(size)
         data = bytes(self.out[self.start : self.start + size])
-        self.start += len(data)
+        del self.out[: self.start + len(data)]
+        self.start = 0
         return data
 
     def drop(self, size: int | None = None) -> None:
@@ -130,18 +136,22 @@ class _Members:
                 self.out = bytearray()
                 self.start = 0
 
+    def at_record(self) -> bool:
+        """True when the next bytes begin a record."""
+        return self.fill(len(_RECORD)) and self.out.startswith(_RECORD, self.start)
+
     def find_header_end(self) -> int:
         """Length of the header block at the read position, its blank line included; -1 if none."""
-        size = 4096
+        size, looked = 4096, 0
         while True:
             full = self.fill(size)
-            for blank in (b"\r\n\r\n", b"\n\n"):
-                at = self.out.find(blank, self.start, self.start + size)
-                if at >= 0:
-                    return at - self.start + len(blank)
-            if not full or size >= _HEADER_LIMIT:
+            end = header_end(self.out, self.start + looked)
+            if end >= 0:
+                return end - self.start
+            if not full:
                 return -1
-            size *= 2
+            have = len(self.out) - self.start
+            size, looked = 2 * have, max(0, have - 3)
 
     def skip_blank(self) -> bool:
         """Skip line ends between records; False when the member holds nothing more."""
@@ -152,6 +162,17 @@ class _Members:
         return False
 
 
+def header_end(data: bytes | bytearray, start: int = 0) -> int:
+    """Where the header block ends that goes up to the first blank line; -1 if there is none."""
+    ends = [at + len(blank) for blank in (b"\r\n\r\n", b"\n\n") if (at := data.find(blank, start)) >= 0]
+    return min(ends, default=-1)
+
+
+def _lines(raw: bytes) -> list[str]:
+    """Header lines; only line feeds end one, other separators may stand in a URL."""
+    return re.split("\r?\n", _text(raw))
+
+
 def _text(raw: bytes) -> str:
     try:
         return raw.decode("utf-8")
@@ -210,14 +231,10 @@ def _record(headers: dict[str, str], block: bytes, wanted: tuple[str, ...] | Non
     }
     body = block
     if (_lookup(headers, "Content-Type") or "").lower().startswith("application/http"):
-        end = block.find(b"\r\n\r\n")
-        gap = 4
-        if end < 0:
-            end, gap = block.find(b"\n\n"), 2
-        if end < 0:
-            end, gap = len(block), 0
-        head = _text(block[:end]).splitlines()
-        body = block[end + gap :]
+        end = header_end(block)
+        end = len(block) if end < 0 else end
+        head = _lines(block[:end])
+        body = block[end:]
         http = _parse_headers(head[1:])
         kind = (_lookup(http, "Content-Type") or "none").lower()
         row["has_http_headers"] = True
@@ -230,50 +247,76 @@ def _record(headers: dict[str, str], block: bytes, wanted: tuple[str, ...] | Non
     return row
 
 
+def _member_rows(
+    members: _Members, offset: int, cap: int, wanted: tuple[str, ...] | None
+) -> Iterator[dict]:
+    """Rows of the records of the open member."""
+    pending: dict | None = None
+    count = 0
+    while members.skip_blank():
+        count += 1
+        if pending is not None:
+            yield {**pending, "record_offset": offset}
+            pending = None
+        size = members.find_header_end() if members.at_record() else -1
+        if size < 0:
+            members.drop()
+            pending = {"has_headers": False, "has_http_headers": False}
+            break
+        headers = _parse_headers(_lines(members.take(size))[1:])
+        length = int(_lookup(headers, "Content-Length") or 0)
+        if length > cap:
+            members.drop(length)
+            continue
+        block = members.take(length)
+        if len(block) < length:
+            raise EOFError("record is shorter than its Content-Length")
+        pending = _record(headers, block, wanted)
+    members.drop()
+    if pending is not None:
+        length = members.position - offset if count <= 1 else None
+        yield {**pending, "record_offset": offset, "record_length": length}
+
+
 def iter_records(
-    handle, start: int, end: int, cap: int, wanted: tuple[str, ...] | None = None, read_bytes=_READ_BYTES
+    handle,
+    start: int,
+    end: int,
+    cap: int,
+    wanted: tuple[str, ...] | None = None,
+    read_bytes=_READ_BYTES,
+    begin: int = 0,
 ) -> Iterator[dict]:
-    """Rows of all records whose gzip member starts in [start, end).
+    """Rows of all records whose gzip member starts in [begin, end); reading begins at ``start``.
 
     ``cap`` skips records with a longer block; ``wanted`` keeps payloads only for content
-    types with these prefixes. A damaged member yields one row with ``error`` and ends the
-    range.
+    types with these prefixes. A damaged member yields one row with ``error``, and reading goes
+    on: with the next member where the damaged one could be inflated, else with the next place
+    where a member holding a record starts.
     """
     members = _Members(handle, start, read_bytes)
     while members.position < end:
         offset = members.position
-        pending: dict | None = None
-        count = 0
         try:
             if not members.open():
                 return
-            while members.skip_blank():
-                count += 1
-                if pending is not None:
-                    yield {**pending, "record_offset": offset}
-                    pending = None
-                size = members.find_header_end()
-                head = _text(members.take(size)).splitlines() if size > 0 else []
-                if not head or not head[0].startswith("WARC/"):
-                    members.drop()
-                    pending = {"has_headers": False, "has_http_headers": False}
-                    break
-                headers = _parse_headers(head[1:])
-                length = int(_lookup(headers, "Content-Length") or 0)
-                if length > cap:
-                    members.drop(length)
-                    continue
-                block = members.take(length)
-                if len(block) < length:
-                    raise EOFError("record is shorter than its Content-Length")
-                pending = _record(headers, block, wanted)
-            members.drop()
+            if offset < begin:
+                members.drop()
+            else:
+                yield from _member_rows(members, offset, cap, wanted)
         except (EOFError, zlib.error, ValueError) as broken:
-            yield {"record_offset": offset, "error": f"{type(broken).__name__}: {broken}"}
-            return
-        if pending is not None:
-            length = members.position - offset if count <= 1 else None
-            yield {**pending, "record_offset": offset, "record_length": length}
+            if offset >= begin:
+                yield {"record_offset": offset, "error": f"{type(broken).__name__}: {broken}"}
+            try:
+                members.drop()
+                inflated = members.ended
+            except (EOFError, zlib.error):
+                inflated = False
+            if not inflated:
+                at = _next_member(handle, offset + 1, end)
+                if at is None:
+                    return
+                members = _Members(handle, at, read_bytes)
 
 
 def _starts_record(handle, offset: int, size: int) -> bool:
@@ -286,7 +329,7 @@ def _starts_record(handle, offset: int, size: int) -> bool:
     try:
         while members.position < size and members.position <= offset + _STORED_LIMIT:
             members.open()
-            if whole == 0 and members.take(5) != b"WARC/":
+            if whole == 0 and not members.at_record():
                 return False
             members.drop()
             whole += 1
@@ -304,25 +347,57 @@ def split_archive(size: int, split: int) -> list[tuple[int, int]]:
     return [(i * split, size if i == n - 1 else (i + 1) * split) for i in range(n)]
 
 
-def find_record_start(handle, start: int, end: int, size: int) -> int | None:
-    """Offset of the first member that starts in [start, end); None when there is none."""
-    if start == 0:
-        return 0
+def _magic_places(handle, start: int, end: int) -> Iterator[int]:
+    """Offsets in [start, end) of bytes that begin a gzip member, or look so."""
     at = start
     while at < end:
         handle.seek(at)
         window = handle.read(min(_READ_BYTES, end - at) + len(_MAGIC) - 1)
         hit = window.find(_MAGIC)
         while hit >= 0 and at + hit < end:
-            if _starts_record(handle, at + hit, size):
-                return at + hit
+            yield at + hit
             hit = window.find(_MAGIC, hit + 1)
-        at += max(len(window) - len(_MAGIC) + 1, 1)
         if len(window) < len(_MAGIC):
-            return None
+            return
+        at += len(window) - len(_MAGIC) + 1
+
+
+def find_record_start(handle, start: int, end: int, size: int) -> int | None:
+    """First offset in [start, end) where certainly a record's member starts; None if there is
+    none. The start of the file is taken as it is."""
+    if start == 0:
+        return 0
+    return next((at for at in _magic_places(handle, start, end) if _starts_record(handle, at, size)), None)
+
+
+def _next_member(handle, start: int, end: int) -> int | None:
+    """Where reading goes on after damage: the next whole member that begins with a record."""
+    for at in _magic_places(handle, start, end):
+        members = _Members(handle, at, _FEED_BYTES)
+        try:
+            if members.open() and members.at_record():
+                members.drop()
+                return at
+        except (EOFError, zlib.error):
+            continue
     return None
 
 
+def find_anchor(handle, start: int, size: int) -> int:
+    """A certain member start at or before ``start``, near it as a rule.
+
+    Reading on from there meets the same members, damaged ones included, as reading from the
+    start of the file does, so every range agrees on what lies in it.
+    """
+    back = _LOOK_BACK
+    while back < start:
+        found = find_record_start(handle, start - back, start + 1, size)
+        if found is not None:
+            return found
+        back *= 4
+    return 0
+
+
 def to_batches(
     rows: Iterator[dict], schema: T.StructType, max_rows: int = _BATCH_ROWS
 ) -> Iterator[pa.RecordBatch]:
@@ -353,10 +428,8 @@ def read_range(
     """Rows of the records of one archive that start in a byte range."""
     fs, inner = open_fs(path)
     with fs.open_input_file(inner) as handle:
-        first = find_record_start(handle, start, min(end, size), size)
-        if first is None:
-            return
-        for row in iter_records(handle, first, end, cap, wanted):
+        first = find_anchor(handle, start, size)
+        for row in iter_records(handle, first, end, cap, wanted, begin=start):
             row["archive"] = path
             yield row
 

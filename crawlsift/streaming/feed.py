@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from crawlsift.session import attach
 from crawlsift.sinks.stats import stats_json
 from crawlsift.sources.paths import open_fs, plain_path
-from crawlsift.sources.warc import DEFAULT_CAP, read_range, record_schema, to_batches
+from crawlsift.sources.warc import DEFAULT_CAP, DEFAULT_SPLIT, read_range, record_schema, to_batches
 
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -24,6 +24,7 @@ def stream_warc(
     max_content_length: int = DEFAULT_CAP,
     payload: list[str] | None = None,
     columns: list[str] | None = None,
+    split_bytes: int = DEFAULT_SPLIT,
 ) -> DataFrame:
     """Stream of archive records from archives that appear below ``root``.
 
@@ -37,10 +38,9 @@ def stream_warc(
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, size in zip(
-                batch.column("path").to_pylist(), batch.column("length").to_pylist()
-            ):
-                rows = read_range(path, 0, size, size, max_content_length, wanted)
+            names = ("path", "start", "end", "length")
+            for path, start, end, size in zip(*(batch.column(n).to_pylist() for n in names)):
+                rows = read_range(path, start, end, size, max_content_length, wanted)
                 yield from to_batches(rows, schema)
 
     archives = (
@@ -52,7 +52,21 @@ def stream_warc(
         .load(root)
         .select(plain_path(F.col("path")).alias("path"), "length")
     )
-    return archives.mapInArrow(read, schema)
+    # The ranges of a large archive go to different tasks; only their bounds are shuffled.
+    count = F.greatest(F.lit(1), F.round(F.col("length") / split_bytes)).cast("long")
+    ranges = (
+        archives.withColumn("count", count)
+        .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
+        .select(
+            "path",
+            "length",
+            (F.col("i") * split_bytes).alias("start"),
+            F.when(F.col("i") == F.col("count") - 1, F.col("length"))
+            .otherwise((F.col("i") + 1) * split_bytes)
+            .alias("end"),
+        )
+    )
+    return ranges.repartition("path", "start").mapInArrow(read, schema)
 
 
 def funnel_snapshots(

@@ -10,6 +10,8 @@ from crawlsift.operators.outcome import finished_archives, funnel_counts
 from crawlsift.plans.text import read_pages, text_outcomes
 from crawlsift.sources.fetch import fetch_records
 from crawlsift.sources.listing import list_archives
+from crawlsift.sources import warc
+from crawlsift.streaming.feed import stream_warc
 from crawlsift.sources.warc import find_record_start, iter_records, read_warc, split_archive
 
 
@@ -144,6 +146,76 @@ def test_truncated_archive_keeps_what_is_whole(spark, folder):
     assert n == 2
 
 
+def damaged(data, how):
+    """A member with a wrong length in its header, a flipped bit, or bytes cut out."""
+    if how == "length":
+        return gzip.compress(gzip.decompress(data).replace(b"Content-Length: ", b"Content-Length: 9", 1))
+    at = len(data) // 2
+    return data[:at] + (bytes([data[at] ^ 4]) if how == "bit" else b"") + data[at + 1 + (how == "cut") * 20 :]
+
+
+@pytest.mark.parametrize("how", ["length", "bit", "cut"])
+def test_damage_costs_one_record_whatever_the_split(spark, folder, how):
+    pages = [page(f"http://h/{i}", os.urandom(200 + 997 * (i % 5))) for i in range(60)]
+    bad = {7, 8, 31, 59}
+    write(f"{folder}/x.warc.gz", *[damaged(p, how) if i in bad else p for i, p in enumerate(pages)])
+    good = sorted(f"http://h/{i}" for i in range(60) if i not in bad)
+    errors = set()
+    for split in (900, 5_000, 20_000, 1 << 28):
+        rows = read_warc(spark, folder, split_bytes=split).collect()
+        assert sorted(r["target_uri"] for r in rows if r["error"] is None) == good
+        errors.add(tuple(sorted(r["record_offset"] for r in rows if r["error"] is not None)))
+    assert len(errors) == 1 and 3 <= len(*errors) <= 4  # damage may run on into a damaged member
+    stream = stream_warc(spark, folder, split_bytes=5_000)
+    query = stream.writeStream.format("memory").queryName(f"damage_{how}").trigger(availableNow=True).start()
+    query.awaitTermination()
+    streamed = spark.table(f"damage_{how}").filter("error is null").collect()
+    assert sorted(r["target_uri"] for r in streamed) == good
+
+
+def test_line_ends(spark, folder):
+    odd = "http://h/x\u2028y\u0085z\x0bq"
+    plain = gzip.decompress(page(odd, BODY))
+    unix = gzip.decompress(page("http://h/unix", b"a\r\n\r\nb" + BODY))
+    head, _, block = unix.partition(b"\r\n\r\n")
+    write(f"{folder}/x.warc.gz", gzip.compress(plain), gzip.compress(head.replace(b"\r\n", b"\n") + b"\n\n" + block))
+    rows = {r["target_uri"]: r for r in read_warc(spark, folder).collect()}
+    assert set(rows) == {odd, "http://h/unix"}
+    assert bytes(rows["http://h/unix"]["payload"]) == b"a\r\n\r\nb" + BODY
+
+
+def test_one_member_archive_needs_little_memory(folder):
+    body = os.urandom(20_000)
+    plain = b"".join(gzip.decompress(page(f"http://h/{i}", body)) for i in range(300))
+    path = f"{folder}/x.warc.gz"
+    write(path, gzip.compress(plain))
+    peak = 0
+    real = warc._Members.take
+
+    def take(self, size):
+        nonlocal peak
+        data = real(self, size)
+        peak = max(peak, len(self.out))
+        return data
+
+    warc._Members.take = take
+    try:
+        with open(path, "rb") as handle:
+            assert sum(1 for _ in iter_records(handle, 0, os.path.getsize(path), 1 << 30)) == 300
+    finally:
+        warc._Members.take = real
+    assert peak < 1 << 17
+
+
+def test_long_header_block(spark, folder):
+    long = b"X-Long: " + b"y" * (3 << 20) + b"\r\n"
+    plain = gzip.decompress(page("http://h/long", BODY))
+    first, _, rest = plain.partition(b"\r\n")
+    write(f"{folder}/x.warc.gz", gzip.compress(first + b"\r\n" + long + rest), page("http://h/2", BODY))
+    rows = read_warc(spark, folder).collect()
+    assert {r["target_uri"] for r in rows} == {"http://h/long", "http://h/2"} and all(r["has_headers"] for r in rows)
+
+
 def test_payload_and_column_choice(spark, folder):
     write(f"{folder}/x.warc.gz", page("http://h/1", BODY), response("http://h/2", "image/png", png(2, 2, (1, 2, 3))))
     rows = read_warc(spark, folder, payload=["image/"], columns=["target_uri", "payload"]).collect()
