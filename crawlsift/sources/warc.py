@@ -107,7 +107,8 @@ class _Members:
             if not more and not out and not self.inflater.eof:
                 raise EOFError("archive ends inside a member")
             self.out += out
-            used = len(piece) - len(self.inflater.unused_data) - len(self.inflater.unconsumed_tail)
+            rest = self.inflater.unused_data if self.inflater.eof else self.inflater.unconsumed_tail
+            used = len(piece) - len(rest)
             self.raw = self.raw[used:]
             self.position += used
             self.ended = self.inflater.eof
