@@ -7,9 +7,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_META = (
-    r"(?i)<meta[^>]{1,400}?charset\s*+=\s*+[\"']?+\s*+([a-z0-9_:.\-]++)"
-)
+_META = r"(?i)<meta[\s/](?:[^<>c]++|c(?!harset\s*+=))*+charset\s*+=\s*+[\"']?+\s*+([a-z0-9_:.\-]++)"
+# Byte-order marks (hex) and the codecs that read them; longer ones come first.
+BYTE_ORDER_MARKS = [
+    ("0000FEFF", "utf-32"),
+    ("FFFE0000", "utf-32"),
+    ("EFBBBF", "utf-8-sig"),
+    ("FEFF", "utf-16"),
+    ("FFFE", "utf-16"),
+]
 # Charset labels the JVM path reads itself.
 _UTF8 = ["utf-8", "utf8", "utf_8", "us-ascii", "ascii"]
 
@@ -28,12 +34,17 @@ def _decode_other(payload: pd.Series, charset: pd.Series) -> pd.Series:
 
 
 def page_charset(payload: Column, http_charset: Column) -> Column:
-    """Charset of a page: the HTTP one, else the one its head declares, else UTF-8 when the
-    bytes are valid UTF-8, else windows-1252."""
+    """Charset of a page: the HTTP one, else the one of its byte-order mark, else the first one
+    that a ``<meta>`` declares, else UTF-8 when the bytes are valid UTF-8, else windows-1252."""
     text = payload.cast("string")
-    declared = F.lower(F.regexp_extract(F.substring(text, 1, 4096), _META, 1))
+    declared = F.lower(F.regexp_extract(text, _META, 1))
+    head = F.hex(F.substring(payload, 1, 4))
+    marked = F.lit(None).cast("string")
+    for mark, name in reversed(BYTE_ORDER_MARKS):
+        marked = F.when(head.startswith(mark), name).otherwise(marked)
     return F.coalesce(
         F.lower(http_charset),
+        marked,
         F.when(declared != "", declared),
         F.when(F.is_valid_utf8(text), F.lit("utf-8")),
         F.lit("windows-1252"),

@@ -4,7 +4,9 @@ Everything that touches page-sized strings is built from Spark's own string func
 runs inside the JVM and pages never travel to Python.
 
 All quantified groups are possessive: they match in a loop, not by recursion, so long pages
-cannot exhaust the JVM stack.
+cannot exhaust the JVM stack. A pattern that has read past its tag name always matches (a tag also
+ends at the end of the page) or stops at the next ``<``, so no part of a page is read again and
+again: time grows with the page, whatever is left unclosed in it.
 """
 
 from __future__ import annotations
@@ -35,24 +37,28 @@ REFERENCES = [
     ("&amp;", "&"),
 ]
 
+_BLOCK_PIECES = 512
+
 _NAME_END = r"(?=[\s/>])"
 _ATTRS = r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
-_TAG_REST = rf"{_NAME_END}{_ATTRS}>"
+# A tag ends at ">", after a stray quote at the next one, and anyway at the end of the page.
+_TAG_END = rf"(?:{_ATTRS}(?:>|\z)|[^>]*+(?:>|\z))"
+_TAG_REST = _NAME_END + _TAG_END
 
 
 def _element(names: str) -> str:
     """Pattern of a whole element whose content is skipped up to its own end tag."""
-    return rf"<({names}){_TAG_REST}.*?(?:</\1{_NAME_END}[^>]*+>|\z)"
+    return rf"<({names}){_TAG_REST}.*?(?:</\1{_NAME_END}[^>]*+(?:>|\z)|\z)"
 
 
 _HIDDEN = (
     r"(?is)<(?:!--(?:-?>|.*?(?:--!?>|\z))"
     rf"|{_element(INVISIBLE)[1:]}"
-    r"|[!?][^>]*+>)"
+    r"|[!?][^>]*+(?:>|\z))"
 )
 _TO_BODY = rf"(?is)\A(?:.*?<body{_TAG_REST}|.*?</head\s*+>)"
 _BLOCK_TAG = rf"(?i)</?(?:{BLOCKS}){_TAG_REST}"
-_ANY_TAG = rf"</?[a-zA-Z](?:{_ATTRS}>|[^>]*+>)"
+_ANY_TAG = rf"</?[a-zA-Z]{_TAG_END}"
 _OTHER_REFERENCE = (
     "&(?!(?:" + "|".join(name[1:-1] for name, _ in REFERENCES) + ");)(?:#|[A-Za-z])"
 )
@@ -75,11 +81,11 @@ def _up_to(tag: str, name: str) -> str:
     """Pattern of a start tag up to the value of one attribute.
 
     Attributes before it are skipped one by one, so a value that merely contains
-    ``src=`` is never mistaken for the attribute.
+    ``src=`` is never mistaken for the attribute. A ``<`` outside quotes ends the search.
     """
     other = (
-        rf"[\s/]*+(?!{name}[\s=])[^\s=>/\"']++"
-        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+"""
+        rf"[\s/]*+(?!{name}[\s=])[^\s=<>/\"']++"
+        r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'<>]++))?+"""
     )
     return rf"(?is)<{tag}{_NAME_END}(?:{other})*+[\s/]*+{name}\s*+=\s*+"
 
@@ -143,11 +149,32 @@ def _scan_elements(markup: Column, names: str, keep) -> Column:
             .alias("kept"),
         )
 
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit(False).alias("closed"), F.lit("").alias("kept")
-    )
-    pieces = F.split(markup, rf"(?i)(?=</?(?:{names})[\s/>])")
-    return F.aggregate(pieces, start, step, lambda s: s.kept)
+    def start(depth: Column, closed: Column) -> Column:
+        return F.struct(depth.alias("depth"), closed.alias("closed"), F.lit("").alias("kept"))
+
+    # Kept text grows within a block only, and blocks are joined: a page of very many pieces
+    # would otherwise be copied once per piece.
+    def block(state: Column, pieces: Column, at: Column) -> Column:
+        part = F.aggregate(F.slice(pieces, at, _BLOCK_PIECES), start(state.depth, state.closed), step)
+        return let(
+            part,
+            lambda p: F.struct(
+                p.depth.alias("depth"),
+                p.closed.alias("closed"),
+                F.concat(state.kept, p.kept).alias("kept"),
+            ),
+        )
+
+    def scan(pieces: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pieces), F.lit(_BLOCK_PIECES))
+        return F.aggregate(
+            firsts,
+            start(F.lit(0), F.lit(False)),
+            lambda state, at: block(state, pieces, at),
+            lambda state: state.kept,
+        )
+
+    return let(F.split(markup, rf"(?i)(?=</?(?:{names})[\s/>])"), scan)
 
 
 def first_element(markup: Column, name: str) -> Column:
@@ -248,19 +275,27 @@ def prediction_markup(main: Column) -> Column:
 def export_markup(main: Column) -> Column:
     """Tag-free main content for people: line breaks, bullets, image texts, links, fields."""
     text = F.regexp_replace(main, F.lit(_SPACES), F.lit(" "))
-    text = F.regexp_replace(text, F.lit(_attribute("img", "alt") + rf"{_ATTRS}>"), F.lit("$1$2$3"))
+    text = F.regexp_replace(text, F.lit(_attribute("img", "alt") + _TAG_END), F.lit("$1$2$3"))
+    # A link that is not closed ends where the next one begins.
+    inside = r"[^<]*+(?:<(?!/?a[\s/>])[^<]*+)*+"
     text = F.regexp_replace(
         text,
-        F.lit(_attribute("a", "href") + rf"{_ATTRS}>(.*?)</a\s*+>"),
+        F.lit(_attribute("a", "href") + rf"{_TAG_END}({inside})(?:</a\s*+>|(?=<a[\s/>])|\z)"),
         F.lit("$4 ($1$2$3)"),
     )
-    hidden = _up_to("input", "type") + rf"[\"']?+hidden[\"']?+{_NAME_END}{_ATTRS}>"
+    hidden = _up_to("input", "type") + rf"[\"']?+hidden[\"']?+{_NAME_END}{_TAG_END}"
     text = F.regexp_replace(text, F.lit(hidden), F.lit(""))
     text = F.regexp_replace(
-        text, F.lit(_attribute("input", "value") + rf"{_ATTRS}>"), F.lit("[ $1$2$3 ]")
+        text, F.lit(_attribute("input", "value") + _TAG_END), F.lit("[ $1$2$3 ]")
+    )
+    text = F.regexp_replace(
+        text, F.lit(rf"(?is)<textarea{_TAG_REST}(.*?)(?:</textarea\s*+>|\z)"), F.lit("[ $1 ]")
     )
+    inside = r"[^<]*+(?:<(?!/?button[\s/>])[^<]*+)*+"
     text = F.regexp_replace(
-        text, F.lit(rf"(?is)<(textarea|button){_TAG_REST}(.*?)</\1\s*+>"), F.lit("[ $2 ]")
+        text,
+        F.lit(rf"(?is)<button{_TAG_REST}({inside})(?:</button\s*+>|(?=<button[\s/>])|\z)"),
+        F.lit("[ $1 ]"),
     )
     text = F.regexp_replace(text, F.lit(rf"(?i)<li{_TAG_REST}"), F.lit("\n• "))
     text = F.regexp_replace(text, F.lit(_BLOCK_TAG), F.lit("\n"))

@@ -81,10 +81,13 @@ def _image_references(base: pa.Array, sources: pa.Array, alts: pa.Array) -> pa.A
 
 
 def image_tags(body: Column) -> Column:
-    """Source text of every ``<img>`` start tag in body markup, in order."""
-    return F.regexp_extract_all(
-        body, F.lit(r"""(?is)<img(?=[\s/>])(?:[^'">]++|"[^"]*+"|'[^']*+')*+>"""), 0
-    )
+    """Source text of every ``<img>`` start tag in body markup, in order.
+
+    A tag that is cut off by the end of the page, or whose quotes do not pair, is none.
+    """
+    whole = r"""<img(?=[\s/>])(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+    found = F.regexp_extract_all(body, F.lit(rf"(?is){whole}(?:>|\z)|<img(?=[\s/>])[^>]*+(?:>|\z)"), 0)
+    return F.filter(found, lambda tag: tag.rlike(rf"(?is)\A{whole}>\z"))
 
 
 def extract_images(body: Column, page_url: Column) -> Column:

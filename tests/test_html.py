@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crawlsift.functions.html import attribute, body_html, extract_text, has_body, unescape
-from crawlsift.functions.urls import extract_images, resolve_url, unescape_attribute
+from crawlsift.functions.urls import extract_images, image_tags, resolve_url, unescape_attribute
 
 
 def column(spark, values, make):
@@ -150,3 +150,30 @@ def test_resolve_url(spark):
 
 def test_unescape_attribute():
     assert unescape_attribute("?a=1&copy=2&lt;&eacute") == "?a=1&copy=2<é"
+
+
+@pytest.mark.parametrize(
+    "unit", ["<p ", "</p ", '<a href="x">', "<a ", "<a href=x ", "<img ", "<input ", "<textarea>", "<button>", "<header>", "<nav></nav>", "<script></script ", "<!--", "<"]
+)
+def test_hostile_pages_take_linear_time(spark, unit):
+    """Megabytes of an unclosed construct end in seconds (they took hours in quadratic time)."""
+    html = unit * (2_000_000 // len(unit))
+    df = spark.createDataFrame([(html,)], "html string")
+    start = time.time()
+    df.select(*[F.length(extract_text(F.col("html"), mode)).alias(mode) for mode in ("prediction", "export")]).collect()
+    df.select(F.size(image_tags(F.col("html")))).collect()
+    assert time.time() - start < 30
+
+
+def test_unclosed_markup(spark):
+    cases = [
+        ("<body>a<p class='x' b", "prediction", "a"),
+        ("<body>a <a href=u>b<a href=v>c</a> d", "export", "a b (u)c (v) d"),
+        ("<body><a href=u>b", "export", "b (u)"),
+        ("<body>x<textarea>y", "export", "x[ y ]"),
+        ("<body>x<button>y<button>z</button>", "export", "x[ y ][ z ]"),
+        ("<body>x<img alt=", "export", "x"),
+    ]
+    df = spark.createDataFrame(cases, "html string, mode string, want string")
+    for row in df.select("*", extract_text(F.col("html"), "prediction").alias("p"), extract_text(F.col("html"), "export").alias("e")).collect():
+        assert (row.p if row["mode"] == "prediction" else row.e) == row.want

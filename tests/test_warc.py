@@ -272,3 +272,18 @@ def test_listing(spark, folder):
     names = [r["path"] for r in list_archives(spark, [f"{folder}/a", f"{folder}/b"]).collect()]
     assert names == [f"{folder}/a/x y+z%20.warc.gz"]
     assert [r["archive"] for r in read_warc(spark, folder).collect()] == names
+
+
+def test_declared_and_marked_charsets(spark):
+    late = b"<!-- " + b"x" * 9000 + b" --><META name=a content=b><meta data-x='" + b"y" * 900 + b"' charset = 'iso-8859-2'>" + "ž".encode("iso-8859-2")
+    rows = [
+        (late, "ž"),
+        ("é".encode("utf-16"), "é"),
+        (b"\xfe\xff" + "é".encode("utf-16-be"), "é"),
+        ("é".encode("utf-32"), "é"),
+        ("é".encode("utf-8-sig"), "é"),
+        (b"<meta " * 300_000 + b"\xe9", "é"),
+    ]
+    df = spark.createDataFrame(rows, "p binary, want string")
+    for row in df.select(decode_html(F.col("p"), F.lit(None).cast("string")).alias("got"), "want").collect():
+        assert row["got"].endswith(row["want"])
