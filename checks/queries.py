@@ -112,8 +112,12 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_warc(spark, crawl(spark, sf_dir), columns=SLIM_COLUMNS, payload=[])
 
 
-def _pages(spark: SparkSession, sf_dir: str, cap: int = CAP) -> DataFrame:
-    return text_plans.read_pages(spark, crawl(spark, sf_dir), cap)
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_plans.read_pages(spark, crawl(spark, sf_dir))
+
+
+def _regex_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_plans.read_regex_pages(spark, crawl(spark, sf_dir))
 
 
 def _images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +284,7 @@ def image_size_between(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = text_plans.html_only(_pages(spark, sf_dir, text_plans.TEXT_CAP)).filter(
+    html = text_plans.html_only(_pages(spark, sf_dir)).filter(
         F.col("html").isNotNull()
     )
     images = extract_images(body_html(F.col("html")), F.col("target_uri"))
@@ -507,7 +511,7 @@ def _long(text: Column) -> Column:
 
 
 def funnel_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _pages(spark, sf_dir, text_plans.TEXT_CAP)
+    records = _pages(spark, sf_dir)
     return O.funnel_counts(text_plans.text_outcomes(records, _long))
 
 
@@ -690,12 +694,12 @@ def regex_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def regex_job_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_plans.regex_job(_pages(spark, sf_dir), PATTERN, detector(spark, sf_dir))
+    return text_plans.regex_job(_regex_pages(spark, sf_dir), PATTERN, detector(spark, sf_dir))
 
 
 def regex_job_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = text_plans.regex_job(
-        _pages(spark, sf_dir), PATTERN, detector(spark, sf_dir), keep_texts=True
+        _regex_pages(spark, sf_dir), PATTERN, detector(spark, sf_dir), keep_texts=True
     )
     return rows.select("url", F.col("n_matches").cast("long").alias("n_matches"), "export_text")
 

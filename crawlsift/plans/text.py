@@ -53,6 +53,11 @@ def read_pages(
     )
 
 
+def read_regex_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``read_pages`` for ``regex_job``, which counts in far longer pages than models read."""
+    return read_pages(spark, paths, REGEX_CAP)
+
+
 def html_only(records: DataFrame) -> DataFrame:
     """Records with decoded ``html`` where they are HTML responses, NULL elsewhere."""
     page = F.col("error").isNull() & is_response() & is_html()
@@ -123,7 +128,7 @@ def regex_job(
     code: str = "en",
     keep_texts: bool = False,
 ) -> DataFrame:
-    """Count a pattern in long texts of one language, over archive records.
+    """Count a pattern in long texts of one language, over the records of ``read_regex_pages``.
 
     Gives ``(n_regex_matches)``, or the passing rows with ``keep_texts``.
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -48,12 +49,15 @@ def attach(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder the cluster gives in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, local runs) a local temporary folder is used.
+    Only a local run may do without that setting: it uses a temporary folder. On a cluster every
+    machine would write to its own disk, so a missing setting is an error there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         app = spark.sparkContext.applicationId
         if app not in _local_work_dirs:
             _local_work_dirs[app] = tempfile.mkdtemp(prefix="crawlsift-work-")

@@ -26,12 +26,21 @@ def report_rows(df: DataFrame, *urls: str) -> DataFrame:
     return df.select(*(urls or ("url",)), "prediction")
 
 
-def report(df: DataFrame, *urls: str, n: int = 20) -> None:
-    """Print the first ``n`` positives."""
-    report_rows(df, *urls).show(n, truncate=False)
-
-
-def report_stream(df: DataFrame, *urls: str, checkpoint: str) -> StreamingQuery:
-    """Print positives of a stream as they come."""
-    rows = report_rows(df, *urls).writeStream.format("console").option("truncate", False)
-    return rows.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def report(df: DataFrame, *urls: str, n: int | None = None) -> None:
+    """Print every positive, or the first ``n``; rows come to the driver one partition at a time."""
+    rows = report_rows(df, *urls)
+    for row in (rows if n is None else rows.limit(n)).toLocalIterator():
+        print(*row, sep="\t")
+
+
+def report_stream(
+    df: DataFrame, *urls: str, checkpoint: str, n: int | None = None
+) -> StreamingQuery:
+    """Print positives of a stream as they come; with ``n``, no more than the first of a batch."""
+    return (
+        report_rows(df, *urls)
+        .writeStream.foreachBatch(lambda batch, _: report(batch, *urls, n=n))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,7 +15,6 @@ from crawlsift.sources.warc import (
     DEFAULT_CAP,
     RECORD_SCHEMA,
     iter_records,
-    read_warc,
     to_batches,
 )
 
@@ -49,7 +49,7 @@ def _ranged_reader(cap: int, schema: T.StructType, keep: list[str]):
                     try:
                         fs, inner = open_fs(path)
                         handle = fs.open_input_file(inner)
-                    except OSError:
+                    except FileNotFoundError:  # any other failure may pass: the task is retried
                         handle = None
                 if ref["offset"] != at:
                     at, row = ref["offset"], {"error": "archive cannot be opened"}
@@ -66,6 +66,50 @@ def _ranged_reader(cap: int, schema: T.StructType, keep: list[str]):
     return read
 
 
+def _scanning_reader(cap: int, schema: T.StructType, keep: list[str], folders: tuple[str, ...]):
+    """Reader that merges sorted references with one pass over the stretch that holds them."""
+    carried = ["warc_path", "offset", *keep]
+
+    def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[dict]]]:
+        held: list[dict] = []
+        for batch in batches:
+            for ref in batch.select(carried).to_pylist():
+                first = held[0] if held else ref
+                far = ref["offset"] is None or first["offset"] is None
+                if ref["warc_path"] != first["warc_path"] or far or ref["offset"] - first["offset"] > RANGE_BYTES:
+                    yield held[0]["warc_path"], held
+                    held = []
+                held.append(ref)
+        if held:
+            yield held[0]["warc_path"], held
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for path, refs in stretches(batches):
+            found, at, row = iter(()), None, None
+            if path is not None and path.startswith(folders) and refs[0]["offset"] is not None:
+                fs, inner = open_fs(path)
+                with suppress(FileNotFoundError), fs.open_input_file(inner) as handle:
+                    found = iter_records(handle, refs[0]["offset"], refs[-1]["offset"] + 1, cap)
+                    for ref in refs:
+                        while at is None or at < ref["offset"]:
+                            row = next(found, None)
+                            if row is None:
+                                break
+                            at = row["record_offset"]
+                        hit = row is not None and at == ref["offset"]
+                        yield {**(row if hit else {"error": "no record at this offset"}), **ref}
+                        if row is None:
+                            at = ref["offset"]
+                    continue
+            for ref in refs:
+                yield {"error": "archive cannot be opened", **ref}
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return to_batches(rows(batches), schema)
+
+    return read
+
+
 def fetch_records(
     refs: DataFrame,
     max_content_length: int = DEFAULT_CAP,
@@ -84,8 +128,10 @@ def fetch_records(
     offset range, so references that crowd in one archive still use many tasks, and each task
     moves forward through its range. The number of ``tasks`` is fixed: references are tiny
     and would otherwise be packed by their size into too few tasks for the reads they cause.
-    ``mode="scan"`` reads the archives below ``roots`` once and joins, which pays when most
-    records are wanted. A reference without a readable record keeps a row with ``error``.
+    ``mode="scan"`` reads archives below ``roots`` from the first to the last wanted record of
+    each range in one go, which pays when most records are wanted. Only references are shuffled
+    in either mode, never payloads. A reference without a readable record keeps a row with
+    ``error``; a storage failure other than a missing file fails the task, so that it is retried.
     """
     spark = refs.sparkSession
     keep = list(keep or [])
@@ -93,33 +139,20 @@ def fetch_records(
     wanted = keys if keep else keys.distinct()
     record = T.StructType([f for f in RECORD_SCHEMA if f.name in FETCHED_COLUMNS])
     schema = T.StructType([*wanted.schema.fields, *record.fields])
+    n = tasks or max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    ordered = (
+        wanted.withColumn("_range", F.floor(F.col("offset") / RANGE_BYTES))
+        .repartition(n, "warc_path", "_range")
+        .sortWithinPartitions("warc_path", "offset")
+        .drop("_range")
+    )
     if mode == "range":
-        n = tasks or max(
-            spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-        )
-        ordered = (
-            wanted.withColumn("_range", F.floor(F.col("offset") / RANGE_BYTES))
-            .repartition(n, "warc_path", "_range")
-            .sortWithinPartitions("warc_path", "offset")
-            .drop("_range")
-        )
         return ordered.mapInArrow(_ranged_reader(max_content_length, schema, keep), schema)
     if mode == "scan":
         if roots is None:
             raise ValueError("mode='scan' needs the roots to read")
-        records = read_warc(
-            spark,
-            roots,
-            max_content_length,
-            columns=["archive", "record_offset", *FETCHED_COLUMNS],
-        ).withColumnsRenamed({"archive": "warc_path", "record_offset": "offset"})
-        missing = F.col("has_headers").isNull() & F.col("error").isNull()
-        return (
-            wanted.join(records, ["warc_path", "offset"], "left")
-            .withColumn(
-                "error",
-                F.when(missing, F.lit("no record at this offset")).otherwise(F.col("error")),
-            )
-            .select(*schema.names)
-        )
+        folders = tuple(f"{r.rstrip('/')}/" for r in ([roots] if isinstance(roots, str) else roots))
+        return ordered.mapInArrow(_scanning_reader(max_content_length, schema, keep, folders), schema)
     raise ValueError(f"unknown mode {mode!r}: use 'range' or 'scan'")

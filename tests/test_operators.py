@@ -13,9 +13,9 @@ from crawlsift.operators.outcome import COUNTERS, first_failure, funnel_counts,
 from crawlsift.operators.pages import evaluate_once
 from crawlsift.operators.score import linear_token_model, score, score_decoded, score_pairs, score_text
 from crawlsift.functions.image import pack_image
-from crawlsift.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded
+from crawlsift.session import BROADCAST_LIMIT_BYTES, broadcast_if_bounded, work_dir
 from crawlsift.sinks.record_files import image_files, text_files, write_alt_pairs, write_pairs, write_record_files
-from crawlsift.sinks.stats import write_stats
+from crawlsift.sinks.stats import report, write_stats
 from crawlsift.sources.dataset import read_dataset, write_dataset
 
 
@@ -218,3 +218,34 @@ def test_damaged_shard_is_skipped(spark, folder):
         os.remove(checksum)
     kept = read_dataset(spark, f"{folder}/d", df.schema).count()
     assert 0 < kept < 100
+
+
+def test_intermediates_need_a_shared_folder_off_local_masters():
+    class Context:
+        applicationId = "a"
+
+        def __init__(self, master):
+            self.master = master
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf = {}
+
+        def __init__(self, master):
+            self.sparkContext = Context(master)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[3,2,1024]", "k8s://h"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            work_dir(Session(master), "x")
+    for master in ("local", "local[4]", "local[*]", "local[2,3]"):
+        assert os.path.isabs(work_dir(Session(master), "x"))
+
+
+def test_report_shows_every_positive(spark, capsys):
+    rows = spark.range(57).select(F.concat(F.lit("http://h/"), "id").alias("url"), F.lit(1.0).alias("prediction"))
+    report(rows)
+    assert len(capsys.readouterr().out.splitlines()) == 57
+    report(rows, n=3)
+    assert len(capsys.readouterr().out.splitlines()) == 3

@@ -265,6 +265,22 @@ def test_fetch_modes_agree(spark, folder):
         fetch_records(refs, mode="other")
 
 
+def test_a_storage_failure_fails_the_task(spark, folder):
+    os.makedirs(f"{folder}/x.warc.gz")  # opening a directory is an OSError, but not a missing file
+    refs = spark.createDataFrame([(f"{folder}/x.warc.gz", 0)], "warc_path string, offset long")
+    for mode in ("range", "scan"):
+        with pytest.raises(Exception, match="OSError|IsADirectory|directory"):
+            fetch_records(refs, mode=mode, roots=folder).collect()
+
+
+def test_scan_shuffles_references_only(spark, folder):
+    write(f"{folder}/x.warc.gz", page("http://h/1", BODY))
+    refs = spark.createDataFrame([(f"{folder}/x.warc.gz", 0)], "warc_path string, offset long")
+    plan = fetch_records(refs, mode="scan", roots=folder)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("MapInArrow") + 1 :]
+    assert "payload" not in below[below.index("\n") :] and "Join" not in plan
+
+
 def test_listing(spark, folder):
     write(f"{folder}/a/x y+z%20.warc.gz", page("http://h/1", BODY))
     write(f"{folder}/b/n.txt", b"x")
