@@ -48,19 +48,6 @@ def unpack_image(image) -> np.ndarray:
     return flat.reshape(int(image["height"]), int(image["width"]), int(image["channels"]))
 
 
-def pillow_decoder(payload: bytes) -> np.ndarray | None:
-    """Decoder for clusters whose workers have Pillow: first frame, RGB; None when broken."""
-    import io
-
-    from PIL import Image
-
-    try:
-        with Image.open(io.BytesIO(payload)) as picture:
-            return np.asarray(picture.convert("RGB"))
-    except Exception:  # any decoder failure marks the image as undecodable
-        return None
-
-
 def decode_with(decoder: Callable[[bytes], np.ndarray | None]) -> Callable[[Column], Column]:
     """Column function that decodes image bytes in place with a Python decoder."""
 

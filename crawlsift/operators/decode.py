@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlsift.functions.image import IMAGE, decode_with, rgb_from_bgr
+from crawlsift.functions.jvm_image import jvm_decoder
+from crawlsift.operators.pages import evaluate_once
 from crawlsift.session import materialize, work_dir
 from crawlsift.sinks.record_files import write_record_files
 from crawlsift.sources.paths import base_name
@@ -22,15 +24,22 @@ def decode_images(
 ) -> DataFrame:
     """Add ``image`` (height, width, channels, RGB data); NULL where the bytes do not decode.
 
-    With a ``decoder`` (such as ``functions.image.pillow_decoder``) images are decoded where
-    they lie: no shuffle, no extra files. This is the way for large crawls.
+    Images are decoded where they lie, by Spark's own decoder in the JVM or by a Python
+    ``decoder``: no shuffle, no files, batch or stream.
 
-    Without one, Spark's own image source decodes: the frame is written to the shared work
-    folder, payloads are staged as files named by a hash of ``keys`` (which must identify the
-    row), and pixels are joined back. It needs no library, but one file per image.
+    Only where the driver runs on a JRE, which cannot compile the few lines that call Spark's
+    decoder, Spark's image source does the work: payloads are staged as files named by a hash of
+    ``keys`` (which must identify the row), and pixels are joined back.
     """
     if decoder is not None:
         return df.withColumn("image", decode_with(decoder)(F.col(payload)))
+    decode = jvm_decoder(df.sparkSession)
+    if decode is not None:
+        return evaluate_once(df, image=decode(F.col(payload)))
+    return _decode_staged(df, keys, payload)
+
+
+def _decode_staged(df: DataFrame, keys: list[str], payload: str) -> DataFrame:
     spark = df.sparkSession
     name = F.sha2(F.concat_ws("\n", *[F.col(k).cast("string") for k in keys]), 256)
     table = materialize(df.withColumn("_name", name), "images")

@@ -10,7 +10,7 @@ from crawlsift.functions.image import (
     similarity_inputs,
     unpack_image,
 )
-from crawlsift.operators.decode import decode_images
+from crawlsift.operators.decode import _decode_staged, decode_images
 from crawlsift.operators.filters import image_size_between
 
 
@@ -42,7 +42,14 @@ def test_formats(spark):
         ("none", None),
     ]
     df = spark.createDataFrame(rows, "k string, payload binary")
-    got = {r["k"]: r["image"] for r in decode_images(df, ["k"]).collect()}
+    check_formats(decode_images(df, ["k"]), rows, colour)
+    check_formats(_decode_staged(df, ["k"], "payload"), rows, colour)
+    plan = decode_images(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def check_formats(decoded, rows, colour):
+    got = {r["k"]: r["image"] for r in decoded.collect()}
     assert len(got) == len(rows)
     assert {k for k, v in got.items() if v is None} == {"cut", "text", "empty", "none"}
     for kind in ("png", "bmp", "gif", "jpg", "alpha"):
