@@ -7,8 +7,8 @@ before, shortages reach an ancestor's siblings only when the whole subtree is ex
 
 A leaf whose budget covers it ``n`` times is taken in ``n`` whole epochs and a token-prefix of
 the next one, in an order seeded by epoch. The order key decides alone, so a leaf's choice comes
-down to one cut key: hash buckets find where it lies, and only the bucket it falls in is ordered
-row by row. No leaf, however large, is sorted in one task and no text is shuffled.
+down to one cut key: ever narrower hash buckets find where it lies, and only the last one it falls
+in is ordered row by row. No leaf, however large, is sorted in one task and no text is shuffled.
 
 Only built-in functions run. Rows: a null or empty text has no tokens and goes with any whole
 epoch, or with a prefix that reaches its key. Null domain, language or source is a node of its
@@ -29,7 +29,9 @@ from crawlsift.session import broadcast_if_bounded, materialize
 
 # Fixed values.
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_HEX = 4
+#: Hash buckets are narrowed down so many times, by so many hex digits each.
+LEVELS = 3
+LEVEL_HEX = 2
 KEY_HEX = 16
 _NULL = "\u0002"
 _SEPARATOR = "\u0001"
@@ -129,6 +131,28 @@ def leaf_budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
     )
 
 
+def _inside(rows: DataFrame, border: DataFrame | None, depth: int) -> DataFrame:
+    """Rows of each leaf's border bucket, whose names have ``depth`` hex digits."""
+    if border is None:
+        return rows.withColumn("before", F.lit(0).cast("long"))
+    return rows.withColumn("bucket", F.substring("key", 1, depth)).join(border, ["leaf", "bucket"])
+
+
+def _border(inside: DataFrame, depth: int) -> DataFrame:
+    """``(leaf, bucket, before)``: the bucket in which each leaf's budget runs out, and the tokens
+    before it. A leaf has no more than ``16 ** LEVEL_HEX`` buckets here."""
+    bucket = F.substring("key", 1, depth).alias("bucket")
+    sums = inside.groupBy("leaf", bucket, "rest", "before").agg(F.sum("tokens").alias("tokens"))
+    ordered = W.partitionBy("leaf").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
+    return (
+        sums.withColumn("reach", F.col("before") + F.sum("tokens").over(ordered))
+        .where("reach > rest")
+        .groupBy("leaf")
+        .agg(F.min(F.struct("bucket", (F.col("reach") - F.col("tokens")).alias("before"))).alias("at"))
+        .select("leaf", F.col("at.bucket").alias("bucket"), F.col("at.before").alias("before"))
+    )
+
+
 def leaf_plan(sized: DataFrame, mix: Mixture) -> DataFrame:
     """One row per leaf: budget, whole epochs, and the cut key of the epoch after them.
 
@@ -146,21 +170,12 @@ def leaf_plan(sized: DataFrame, mix: Mixture) -> DataFrame:
     budgets = materialize(budgets, "budgets")
     open_leaves = budgets.where("rest > 0").select("leaf", "docs", "whole", "rest")
     rows = join_hot(sized, open_leaves, "leaf", "docs", sized.count(), F.col("doc_id")).where("rest > 0")
-    rows = rows.withColumn("key", order_key(F.col("whole"), F.col("doc_id"), mix.seed)).select(
-        "leaf", "tokens", "rest", "key", F.substring("key", 1, BUCKET_HEX).alias("bucket")
-    )
-    rows = materialize(rows, "keys")
-    buckets = rows.groupBy("leaf", "bucket", "rest").agg(F.sum("tokens").alias("tokens"))
-    ordered = W.partitionBy("leaf").orderBy("bucket")
-    reach = F.sum("tokens").over(ordered.rowsBetween(W.unboundedPreceding, 0))
-    border = (
-        buckets.withColumn("reach", reach)
-        .where("reach > rest")
-        .groupBy("leaf")
-        .agg(F.min(F.struct("bucket", (F.col("reach") - F.col("tokens")).alias("before"))).alias("at"))
-        .select("leaf", F.col("at.bucket").alias("bucket"), F.col("at.before").alias("before"))
-    )
-    inside = rows.join(border, ["leaf", "bucket"])
+    rows = rows.withColumn("key", order_key(F.col("whole"), F.col("doc_id"), mix.seed))
+    rows = materialize(rows.select("leaf", "tokens", "rest", "key"), "keys")
+    border = None
+    for depth in range(LEVEL_HEX, LEVELS * LEVEL_HEX + 1, LEVEL_HEX):
+        border = materialize(_border(_inside(rows, border, depth - LEVEL_HEX), depth), "border")
+    inside = _inside(rows, border, LEVELS * LEVEL_HEX)
     by_key = W.partitionBy("leaf").orderBy("key").rangeBetween(W.unboundedPreceding, W.currentRow)
     last = (
         inside.withColumn("reach", F.col("before") + F.sum("tokens").over(by_key))
