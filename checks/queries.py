@@ -136,10 +136,9 @@ def _red_similarity() -> Callable:
     """
 
     def make() -> Callable:
-        def predict(ids, mask, pixels) -> float:
-            size = len(pixels) // 3
-            red = float(np.mean(pixels[:size])) * CHANNEL_STD[0] + CHANNEL_MEAN[0]
-            return round(red * 100, 2)
+        def predict(ids, mask, pixels) -> list[float]:
+            red = pixels[:, 0].mean(axis=(1, 2)) * CHANNEL_STD[0] + CHANNEL_MEAN[0]
+            return [round(float(r) * 100, 2) for r in red]
 
         return predict
 
@@ -495,7 +494,7 @@ def pairs_combined_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _alt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_plans.alt_text_job(
-        alt_tables(spark, sf_dir), vocabulary_tokenizer(spark, sf_dir), _red_similarity(), pixels=16
+        alt_tables(spark, sf_dir), vocabulary_tokenizer(spark, sf_dir), _red_similarity()
     )
 
 

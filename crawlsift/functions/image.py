@@ -125,19 +125,21 @@ def resize_images(image: Column, height: int, width: int) -> Column:
     return resize(image)
 
 
+def model_pixels(pixels: np.ndarray, size: int, mean=CHANNEL_MEAN, std=CHANNEL_STD) -> np.ndarray:
+    """Resized, per-channel normalised, channel first (3 x size x size)."""
+    mean_row = np.asarray(mean, dtype=np.float32)
+    std_row = np.asarray(std, dtype=np.float32)
+    return ((resize_pixels(pixels, size, size) - mean_row) / std_row).transpose(2, 0, 1)
+
+
 def similarity_pixels(
     image: Column, size: int = 224, mean=CHANNEL_MEAN, std=CHANNEL_STD
 ) -> Column:
-    """Model pixels: resized, per-channel normalised, channel first (3 x size x size)."""
-    mean_row = np.asarray(mean, dtype=np.float32)
-    std_row = np.asarray(std, dtype=np.float32)
+    """``model_pixels`` as a column."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def prepare(images: pd.DataFrame) -> pd.Series:
-        return _map_pixels(
-            images,
-            lambda p: ((resize_pixels(p, size, size) - mean_row) / std_row).transpose(2, 0, 1),
-        )
+        return _map_pixels(images, lambda p: model_pixels(p, size, mean, std))
 
     return prepare(image)
 

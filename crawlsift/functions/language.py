@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,22 +29,28 @@ def trigram_buckets(text: str) -> np.ndarray:
 def language_profile(df: DataFrame, text: str, lang: str) -> DataFrame:
     """``(lang, bucket, weight)`` learned from labelled texts.
 
-    Each Arrow batch is reduced to trigram counts before the shuffle, so at most
-    languages x BUCKETS rows leave a batch however long the texts are. The weight is the
-    smoothed log frequency, scaled to an integer: sums are exact in any order.
+    Each task reduces its texts to trigram counts before the shuffle, so at most languages x
+    BUCKETS rows leave it however long the texts are. Every bucket is counted, also with 0, so
+    totals and unseen buckets come from the counts themselves and texts are read once. The weight
+    is the smoothed log frequency, scaled to an integer: sums are exact in any order.
     """
 
+    def rows(totals: dict[str, np.ndarray]) -> Iterator[pd.DataFrame]:
+        for code, seen in totals.items():
+            yield pd.DataFrame({"lang": code, "bucket": np.arange(BUCKETS), "n": seen})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            totals: dict[str, np.ndarray] = {}
             for body, code in zip(batch["text"], batch["lang"]):
                 if body is None or code is None:
                     continue
                 seen = np.bincount(trigram_buckets(body), minlength=BUCKETS)
                 totals[code] = totals[code] + seen if code in totals else seen
-            for code, seen in totals.items():
-                hit = np.flatnonzero(seen)
-                yield pd.DataFrame({"lang": code, "bucket": hit, "n": seen[hit]})
+            if len(totals) > MAX_LANGUAGES:  # stray labels do not pile up
+                yield from rows(totals)
+                totals = {}
+        yield from rows(totals)
 
     counts = (
         df.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -51,17 +58,9 @@ def language_profile(df: DataFrame, text: str, lang: str) -> DataFrame:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    grid = totals.select(
-        "lang", "total", F.explode(F.sequence(F.lit(0), F.lit(BUCKETS - 1))).alias("bucket")
-    )
-    weight = F.round(
-        WEIGHT_SCALE
-        * F.log((F.coalesce("n", F.lit(0)) + 1.0) / (F.col("total") + float(BUCKETS)))
-    )
-    return grid.join(counts, ["lang", "bucket"], "left").select(
-        "lang", "bucket", weight.cast("long").alias("weight")
-    )
+    total = F.sum("n").over(W.partitionBy("lang"))  # BUCKETS rows a language
+    weight = F.round(WEIGHT_SCALE * F.log((F.col("n") + 1.0) / (total + float(BUCKETS))))
+    return counts.select("lang", "bucket", weight.cast("long").alias("weight"))
 
 
 def language_detector(profile: DataFrame):

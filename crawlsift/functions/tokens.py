@@ -5,9 +5,12 @@ from __future__ import annotations
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsift.session import materialize
+
 #: Largest vocabulary shipped to the workers (a subword vocabulary holds about 30,000 entries).
 MAX_VOCABULARY = 200_000
 #: Id of a token outside the vocabulary; ids of the vocabulary start at 1.
@@ -29,8 +32,9 @@ def words(text: Column) -> Column:
 def build_vocabulary(df: DataFrame, text: str, max_size: int = 30_000) -> DataFrame:
     """``(token, n, id)`` of the most frequent words; ties in token order, ids from 1.
 
-    Counting combines on the map side; the cut is a distributed top-k, so only ``max_size``
-    rows reach the task that numbers them.
+    Counting combines on the map side. The ``max_size``-th count is read off a histogram of
+    counts; words below it never leave their partitions, so the task that numbers the rest gets
+    little more than ``max_size`` rows (only words that tie at the cut come on top).
     """
     if max_size > MAX_VOCABULARY:
         raise ValueError(f"vocabulary of {max_size} exceeds the limit of {MAX_VOCABULARY}")
@@ -39,7 +43,12 @@ def build_vocabulary(df: DataFrame, text: str, max_size: int = 30_000) -> DataFr
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = counts.orderBy(F.desc("n"), "token").limit(max_size)
+    counts = materialize(counts, "word-counts")
+    more = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, -1)
+    histogram = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words"))
+    reached = histogram.withColumn("before", F.coalesce(F.sum("words").over(more), F.lit(0)))
+    least = reached.where(F.col("before") < max_size).agg(F.min("n")).first()[0]
+    top = counts.where(F.col("n") >= (least or 0)).orderBy(F.desc("n"), "token").limit(max_size)
     ranked = top.agg(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "token"))).alias("rows")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsift.functions.image import resize_pixels, unpack_image
+from crawlsift.functions.image import model_pixels, resize_pixels, unpack_image
 from crawlsift.functions.numeric import class_probability, cosine
 
 #: Rows a model sees at once.
@@ -214,37 +214,51 @@ def score_similarity(
 def score_pairs(
     df: DataFrame,
     make_predict_fn: Callable[[], Callable],
-    inputs: str = "inputs",
+    tokens: str = "tokens",
+    image: str = "image",
     output: str = "prediction",
+    size: int = 224,
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
-    """Similarity logit of one text-image pair at a time; a pair that fails scores 0.
+    """Similarity logits of text-image pairs, in batches; a pair that fails scores 0.
 
-    The model takes (ids, mask, pixels) of a single pair.
+    The model takes ids and masks, zero-padded to the longest row of the batch, and pixels
+    (batch x 3 x ``size`` x ``size``), and gives a score per pair. Pixels are prepared next to
+    the model and exist for one batch at a time. A batch that raises is repeated pair by pair,
+    so one bad pair costs only its own score.
     """
 
+    def score_rows(predict: Callable, ids: list, masks: list, pixels: list) -> list[float]:
+        try:
+            found = predict(pad_rows(ids), pad_rows(masks), np.stack(pixels))
+            found = [float(x) for x in np.asarray(found).reshape(-1)]
+            if len(found) != len(ids):
+                raise ValueError(f"{len(found)} scores for {len(ids)} pairs")
+            return found
+        except Exception:  # whatever the model raises
+            if len(ids) == 1:
+                return [0.0]
+            return [score_rows(predict, [i], [m], [p])[0] for i, m, p in zip(ids, masks, pixels)]
+
     @F.pandas_udf(T.DoubleType())
-    def one_by_one(
-        batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]],
-    ) -> Iterator[pd.Series]:
+    def scored(batches: Iterator[tuple[pd.Series, pd.Series, pd.DataFrame]]) -> Iterator[pd.Series]:
         predict = make_predict_fn()
+        for ids, masks, images in batches:
+            rows = images.to_dict("records")
+            out = np.zeros(len(rows))
+            whole = [
+                i for i, row in enumerate(rows) if row["data"] is not None and ids.iloc[i] is not None
+            ]
+            for at in range(0, len(whole), batch_size):
+                part = whole[at : at + batch_size]
+                pixels = [model_pixels(unpack_image(rows[i]), size) for i in part]
+                out[part] = score_rows(predict, list(ids.iloc[part]), list(masks.iloc[part]), pixels)
+            yield pd.Series(out)
 
-        def safe(ids, mask, pixels) -> float:
-            try:
-                return float(predict(ids, mask, pixels))
-            except Exception:  # whatever the model raises, the pair drops out with score 0
-                return 0.0
-
-        for ids, masks, pixels in batches:
-            yield pd.Series([safe(*row) for row in zip(ids, masks, pixels)], dtype="float64")
-
-    predict = one_by_one.asNondeterministic()
+    predict = scored.asNondeterministic()
     return df.withColumn(
         output,
-        predict(
-            F.col(f"{inputs}.input_ids"),
-            F.col(f"{inputs}.attention_mask"),
-            F.col(f"{inputs}.pixels"),
-        ),
+        predict(F.col(f"{tokens}.input_ids"), F.col(f"{tokens}.attention_mask"), F.col(image)),
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlsift.functions.html import body_html, has_body, main_content, render
-from crawlsift.functions.image import similarity_inputs
 from crawlsift.functions.naming import image_extension
 from crawlsift.functions.urls import extract_images
 from crawlsift.operators.decode import decode_images
@@ -240,8 +239,6 @@ def alt_text_job(
 
     ``tables`` come from ``pair_tables(..., alt_only=True, texts=False)``.
     """
-    rows = pair_rows(tables).withColumn(
-        "inputs", similarity_inputs(F.col("alt_text"), F.col("image"), tokenize, pixels)
-    )
-    scored = score_pairs(rows, make_predict_fn)
-    return above_threshold(scored, threshold, inclusive=True).drop("inputs")
+    rows = pair_rows(tables).withColumn("_tokens", tokenize(F.col("alt_text")))
+    scored = score_pairs(rows, make_predict_fn, tokens="_tokens", size=pixels)
+    return above_threshold(scored, threshold, inclusive=True).drop("_tokens")

@@ -1,5 +1,6 @@
 import json
 import os
+import uuid
 
 import numpy as np
 import pytest
@@ -148,18 +149,27 @@ def test_score_decoded(spark):
     assert got[:3] == pytest.approx([0, 0.2, 1]) and got[3] is None
 
 
-def test_failed_pair_scores_zero(spark):
+def test_pairs_are_scored_in_batches_and_a_failed_pair_scores_zero(spark, folder):
     def failing_model():
         def predict(ids, mask, pixels):
-            if len(ids) == 2:
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as file:
+                file.write(str(pixels.shape))
+            if (mask.sum(axis=1) == 2).any():
                 raise RuntimeError("broken pair")
-            return 10.0 * len(ids)
+            return 10.0 * mask.sum(axis=1) + pixels.mean(axis=(1, 2, 3)) * 0
 
         return predict
 
-    rows = [(([1] * n, [1] * n, [0.5]),) for n in (1, 2, 3)]
-    df = spark.createDataFrame(rows, "inputs struct<input_ids:array<int>,attention_mask:array<int>,pixels:array<float>>")
-    assert [r["prediction"] for r in score_pairs(df, failing_model).collect()] == [10.0, 0.0, 30.0]
+    image = pack_image(np.full((3, 3, 3), 7, np.uint8))
+    rows = [(([1] * n, [1] * n), image if n != 5 else None) for n in (1, 2, 3, 4, 5, 6)] + [(None, image)]
+    df = spark.createDataFrame(
+        rows, "tokens struct<input_ids:array<int>,attention_mask:array<int>>, image struct<height:int,width:int,channels:int,data:binary>"
+    )
+    scored = score_pairs(df.coalesce(1), failing_model, size=4, batch_size=2)
+    assert [r["prediction"] for r in scored.collect()] == [10.0, 0.0, 30.0, 40.0, 0.0, 60.0, 0.0]
+    calls = sorted(text.decode() for text in files_below(folder).values())
+    # Rows 1 and 2 fail together and are repeated alone; 3 and 4 pass together; 6 is left.
+    assert calls == ["(1, 3, 4, 4)"] * 3 + ["(2, 3, 4, 4)"] * 2
 
 
 def test_record_files(spark, folder):
