@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsift.session import broadcast_if_bounded
+from crawlsift.session import materialize
 
 KEYS = ["item_dir", "url"]
 #: A key with more rows than this is spread over several salts.
 ROWS_PER_SALT = 50_000
+#: So many keys may be broadcast.
+MAX_HOT_KEYS = 200_000
 
 
 def page_images(pages: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,14 +26,22 @@ def image_references(images: DataFrame) -> DataFrame:
     return images.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_refs"))
 
 
+def _join_distinct(images: DataFrame, captures: DataFrame, how: str) -> DataFrame:
+    """Join every distinct reference once, then give the result to all rows that hold it."""
+    counts = materialize(image_references(images), "references")
+    total = counts.agg(F.sum("n_refs")).first()[0] or 0
+    found = counts.select(*KEYS).join(captures, KEYS, how)
+    return join_unique(images, found, KEYS, counts, total)
+
+
 def locate_images(images: DataFrame, captures: DataFrame) -> DataFrame:
     """Image URLs found in their item's index, with archive and offset."""
-    return images.join(captures, KEYS, "inner")
+    return _join_distinct(images, captures, "inner")
 
 
 def missing_images(images: DataFrame, captures: DataFrame) -> DataFrame:
     """Image URLs their item's index does not hold."""
-    return images.join(captures, KEYS, "left_anti")
+    return _join_distinct(images, captures, "left_anti")
 
 
 def join_unique(
@@ -48,8 +58,10 @@ def join_unique(
     ``counts`` is ``(keys, n_refs)``, how many rows each key has; ``n_rows`` their total. Keys
     above ROWS_PER_SALT are salted: their rows scatter over ceil(n / ROWS_PER_SALT) salts by a
     hash of ``salt_on`` (slim columns that tell rows apart; all columns if not given), and the
-    table repeats the key once per salt. At most n_rows / ROWS_PER_SALT keys can be that
-    hot, which bounds the list that is broadcast. Nothing is dropped.
+    table repeats the key once per salt. Where n_rows / ROWS_PER_SALT keys would be too many to
+    broadcast, only keys above n_rows / MAX_HOT_KEYS rows are salted; there are at most
+    MAX_HOT_KEYS of those, and any other key is less than that share of all rows. Nothing is
+    dropped.
 
     A ``heavy`` table (pixels) outgrows the file sizes the planner sees, so it is joined by
     sort-merge, which spills, and never broadcast.
@@ -58,13 +70,13 @@ def join_unique(
     def side(df: DataFrame) -> DataFrame:
         return df.hint("merge") if heavy else df
 
-    hot = counts.filter(F.col("n_refs") > ROWS_PER_SALT).select(
+    least = max(ROWS_PER_SALT, -(-n_rows // MAX_HOT_KEYS))
+    hot = counts.filter(F.col("n_refs") > least).select(
         *keys, F.ceil(F.col("n_refs") / ROWS_PER_SALT).cast("int").alias("_salts")
     )
-    max_hot = n_rows // ROWS_PER_SALT
-    if max_hot == 0:
+    if n_rows <= least:
         return rows.join(side(table), keys, "inner")
-    hot = broadcast_if_bounded(hot, max_hot)
+    hot = F.broadcast(hot)  # at most n_rows / least rows, so never above MAX_HOT_KEYS
     salts = F.coalesce("_salts", F.lit(1))
     scattered = rows.join(hot, keys, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_on or rows.columns]), salts).cast("int")
