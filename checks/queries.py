@@ -531,6 +531,29 @@ def stream_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("counter string, n long").parquet(target)
 
 
+def stream_regex_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = stream_warc(
+        spark,
+        crawl(spark, sf_dir),
+        max_files_per_trigger=16,
+        max_content_length=text_plans.REGEX_CAP,
+        payload=[K.HTML_TYPE],
+        columns=SLIM_COLUMNS,
+    )
+    passed = text_plans.regex_filter(PATTERN, detector(spark, sf_dir))
+    judged = text_plans.text_outcomes(stream, passed)
+    matches = K.count_matches(F.col("prediction_text"), PATTERN)
+    target = work_dir(spark, "regex-stats")
+    funnel_snapshots(
+        judged,
+        checkpoint=work_dir(spark, "regex-stats-checkpoint"),
+        totals={O.REGEX_MATCHES: F.when(F.col("outcome") == O.NODE_RESULTS, matches)},
+        table_dir=target,
+    ).awaitTermination()
+    counts = spark.read.schema("counter string, n long").parquet(target)
+    return counts.filter(F.col("counter").isin(O.REGEX_MATCHES, O.NODE_RESULTS))
+
+
 def funnel_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     return O.funnel_counts(
         image_plans.image_outcomes(_images(spark, sf_dir), K.image_size_between)
@@ -772,6 +795,7 @@ def queries() -> dict[str, Query]:
         "alt_text_job": alt_text_job,
         "funnel_text": funnel_text,
         "stream_funnel": stream_funnel,
+        "stream_regex_stats": stream_regex_stats,
         "funnel_image": funnel_image,
         "funnel_pairs": funnel_pairs,
         "finished_archives": finished_archives,

@@ -424,6 +424,9 @@ WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
 SELECT url, len(regexp_extract_all(text, '{PATTERN}')) AS n_matches, {export_text_sql('html', 'alts')} AS export_text
 FROM page_texts JOIN detected USING (p)
 WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
+    out["stream_regex_stats"] = f"""
+SELECT 'n_regex_matches' AS counter, n_regex_matches AS n FROM ({out["regex_job_archives"]})
+UNION ALL SELECT 'n_node_results', count(*) FROM ({out["regex_job_texts"]})"""
     out["text_job"] = (
         _with(PG, PROFILE, long_pages, page_detect, VOCABULARY, text_score_sql("page_texts", "p", "text"))
         + f"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -73,6 +73,7 @@ def funnel_snapshots(
     rows: DataFrame,
     checkpoint: str,
     outcome: str = "outcome",
+    totals: dict[str, Column] | None = None,
     json_file: str | None = None,
     table_dir: str | None = None,
     console: bool = False,
@@ -80,10 +81,16 @@ def funnel_snapshots(
 ) -> StreamingQuery:
     """Running totals of outcomes, refreshed every ``interval`` (or once over what is there).
 
+    ``totals`` names further counters and what a row adds to each, such as its regex matches.
     State is one row per counter. Each snapshot replaces the JSON file and the Parquet table
     of the one before, and may be printed.
     """
-    totals = rows.groupBy(F.col(outcome).alias("counter")).agg(F.count(F.lit(1)).alias("n"))
+    added = {**(totals or {})}
+    entries = [F.struct(F.col(outcome).alias("counter"), F.lit(1).cast("long").alias("n"))]
+    for name, weight in added.items():
+        n = F.coalesce(weight.cast("long"), F.lit(0).cast("long"))
+        entries.append(F.struct(F.lit(name).alias("counter"), n.alias("n")))
+    counts = rows.select(F.inline(F.array(*entries))).groupBy("counter").agg(F.sum("n").alias("n"))
 
     def publish(snapshot: DataFrame, _: int) -> None:
         snapshot = snapshot.coalesce(1).persist()
@@ -102,7 +109,7 @@ def funnel_snapshots(
             snapshot.unpersist()
 
     writer = (
-        totals.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(publish)
     )
