@@ -171,6 +171,24 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of all sound records, and the errors of each archive, read in small splits."""
+    attach(spark)
+    spark.sparkContext.addPyFile(os.path.abspath(crawl_fixture.__file__))
+    root = work_dir(spark, "damaged")
+    crawl_fixture.build_damaged_crawl(spark, _table(spark, sf_dir, "pages"), root)
+    records = read_warc(
+        spark, root, columns=["archive", "target_uri", "error"], payload=[], split_bytes=4_000
+    )
+    broken = F.col("error").isNotNull()
+    return (
+        records.groupBy(
+            base_name(F.col("archive")).alias("archive"), F.col("target_uri").alias("url"), broken.alias("broken")
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def warc_page_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = text_plans.html_only(_pages(spark, sf_dir)).filter(F.col("html").isNotNull())
     pages = _table(spark, sf_dir, "pages").select(F.col("url").alias("target_uri"))
@@ -757,6 +775,7 @@ def queries() -> dict[str, Query]:
     return {
         "list_archives": list_archives_query,
         "warc_records": warc_records,
+        "warc_damaged": warc_damaged,
         "warc_page_roundtrip": warc_page_roundtrip,
         "within_content_length": within_content_length,
         "cdx_rows": cdx_rows,

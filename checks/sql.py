@@ -424,6 +424,14 @@ WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
 SELECT url, len(regexp_extract_all(text, '{PATTERN}')) AS n_matches, {export_text_sql('html', 'alts')} AS export_text
 FROM page_texts JOIN detected USING (p)
 WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
+    out["warc_damaged"] = """
+WITH damaged AS (
+  SELECT printf('damaged-%06d.warc.gz', page_id // 10) AS archive,
+         page_id % 7 = 3 AND (page_id // 10) % 3 <> 2 AS broken,
+         CASE WHEN page_id % 11 = 0 THEN concat(url, chr(8232), 'x') ELSE url END AS url
+  FROM pages
+)
+SELECT archive, CASE WHEN NOT broken THEN url END AS url, broken, count(*) AS n FROM damaged GROUP BY ALL"""
     out["stream_regex_stats"] = f"""
 SELECT 'n_regex_matches' AS counter, n_regex_matches AS n FROM ({out["regex_job_archives"]})
 UNION ALL SELECT 'n_node_results', count(*) FROM ({out["regex_job_texts"]})"""

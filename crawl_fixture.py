@@ -194,3 +194,49 @@ def build_crawl(spark: SparkSession, pages: DataFrame, root: str) -> tuple[int,
     )
     done = keyed.groupBy("item").applyInPandas(_writer(root), "archives int, records int")
     return tuple(done.agg(F.sum("archives"), F.sum("records")).first())
+
+
+DAMAGED_PAGES = 10
+LINE_SEPARATOR = "\u2028"
+
+
+def damaged_archive(archive: int, pages: list[tuple[int, str, str]]) -> bytes:
+    """One archive of page responses, of which every seventh is damaged.
+
+    By turns a length that is too large, a flipped bit, or bytes cut out. URLs of every eleventh
+    page hold a line separator. Every third archive is sound, and all of it is one gzip member.
+    """
+    members = []
+    for p, url, html in pages:
+        url = url + LINE_SEPARATOR + "x" if p % 11 == 0 else url
+        data = response(url, "text/html", html.encode("utf-8"))
+        if p % 7 == 3 and archive % 3 != 2:
+            half = len(data) // 2
+            if p % 3 == 0:
+                plain = gzip.decompress(data)
+                data = gzip.compress(plain.replace(b"Content-Length: ", b"Content-Length: 9", 1), mtime=0)
+            elif p % 3 == 1:
+                data = data[:half] + bytes([data[half] ^ 4]) + data[half + 1 :]
+            else:
+                data = data[:half] + data[half + 20 :]
+        members.append(data)
+    if archive % 3 == 2:
+        return gzip.compress(b"".join(map(gzip.decompress, members)), mtime=0)
+    return b"".join(members)
+
+
+def build_damaged_crawl(spark: SparkSession, pages: DataFrame, root: str) -> None:
+    """Archives ``damaged-<n>.warc.gz`` of DAMAGED_PAGES pages each below ``root``."""
+    from crawlsift.sinks.record_files import write_record_files
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("page_id")
+        archive = int(group["archive"].iloc[0])
+        rows = list(zip(group["page_id"].tolist(), group["url"], group["html"]))
+        return pd.DataFrame(
+            {"name": [f"damaged-{archive:06d}.warc.gz"], "body": [damaged_archive(archive, rows)]}
+        )
+
+    numbered = pages.select("page_id", "url", "html", F.expr(f"page_id div {DAMAGED_PAGES}").alias("archive"))
+    files = numbered.groupBy("archive").applyInPandas(build, "name string, body binary")
+    write_record_files(files, root)
