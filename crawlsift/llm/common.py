@@ -17,6 +17,8 @@ _BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _CHUNK_BYTES = 1 << 22
 _BATCH_ROWS = 1000
 _BATCH_BYTES = 32 << 20
+#: 64-bit words of a bit filter; its broadcast has no more rows than this, whatever the data.
+FILTER_WORDS = 65_536
 #: A key is hot when it holds more than this share of all rows; so at most 1 / share keys are.
 HOT_SHARE = 1 / 500
 #: A hot key's rows are dealt to this many shuffle keys.
@@ -88,6 +90,29 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def may_hold(rows: DataFrame, key: Column, members: DataFrame, member: Column, out: str) -> DataFrame:
+    """``rows`` with a boolean ``out``: false only where ``key`` is certainly none of ``members``.
+
+    The members go into a bit filter of fixed size, so rows that are none of them need no shuffle
+    to be told apart. With very many members most rows may pass for one; callers look those up.
+    """
+    word, bit, mask = (free_name(rows, name) for name in ("_word", "_bit", "_mask"))
+
+    def place(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+
+    ones = members.select(place(member).alias("at")).select(
+        (F.col("at") / 64).cast("int").alias(word), F.pmod("at", F.lit(64)).cast("int").alias("bit")
+    )
+    masks = ones.groupBy(word).agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias(mask))
+    placed = rows.withColumn(word, (place(key) / 64).cast("int")).withColumn(
+        bit, F.pmod(place(key), F.lit(64)).cast("int")
+    )
+    joined = placed.join(F.broadcast(masks), word, "left")
+    hit = F.coalesce(F.getbit(mask, F.col(bit)) == 1, F.lit(False))
+    return joined.withColumn(out, hit & key.isNotNull()).drop(word, bit, mask)
+
+
 def join_hot(
     rows: DataFrame, groups: DataFrame, key: str, size: str, total: int, spread: Column
 ) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsift.llm.common import free_name, join_hot, map_arrow, ready, utf8, word_chunks
+from crawlsift.llm.common import free_name, join_hot, map_arrow, may_hold, ready, utf8, word_chunks
 from crawlsift.llm.components import connected_components
 from crawlsift.session import materialize
 
@@ -294,16 +294,21 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one document of each component: the one with the smallest id.
 
     An id names one document, so of rows that repeat it one stays. Rows without an id cannot be
-    named and all stay.
+    named and all stay. Only rows that may have to go are shuffled; the rest is filtered in place.
     """
-    key = free_name(docs, "_keep_id")
-    keep = (
+    key, drop, hit = (free_name(docs, name) for name in ("_keep_id", "_drop", "_hit"))
+    # Ids that need a second look: those to drop, and those that several rows have.
+    special = (
         near_duplicates(docs, id_col, text_col)
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias(key))
-        .distinct()
+        .where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias(key))
+        .agg(F.min(F.col("doc_id") != F.col("component_id")).alias(drop), F.count(F.lit(1)).alias("rows"))
+        .where(F.col(drop) | (F.col("rows") > 1))
+        .select(key, drop)
     )
-    with_id = docs.where(F.col(id_col).isNotNull()).join(
-        keep, F.col(id_col).cast("long") == F.col(key), "left_semi"
-    )
-    return with_id.dropDuplicates([id_col]).union(docs.where(F.col(id_col).isNull()))
+    special = materialize(special, "special")
+    doc_id = F.col(id_col).cast("long")
+    marked = may_hold(docs, doc_id, special, F.col(key), hit)
+    looked_up = marked.where(hit).drop(hit).join(special, doc_id == F.col(key), "left")
+    kept = looked_up.where(~F.coalesce(drop, F.lit(False))).drop(key, drop)
+    return marked.where(~F.col(hit)).drop(hit).union(kept.dropDuplicates([id_col]))
