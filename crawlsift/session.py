@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import re
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,17 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(target)
 
 
+def release_memory() -> None:
+    """Give memory that a Python worker no longer uses back to the system.
+
+    Workers are kept for later tasks; what their allocators hold on to meanwhile adds up beside
+    the executor's own heap.
+    """
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has this call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int, row_bytes: int = 256) -> DataFrame:
     """Hint a broadcast only when ``max_rows`` (a proven bound) keeps the side small.
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from crawlsift.functions.naming import alt_metadata, export_name, pair_directory
+from crawlsift.session import release_memory
 from crawlsift.sources.paths import open_fs
 
 # Object stores show a file only once it is complete, so nothing is renamed.
@@ -68,6 +69,7 @@ class RecordFilesWriter(DataSourceArrowWriter):
                 if not atomic:
                     _replace(fs, target, path)
                 count += 1
+        release_memory()
         return Written(count)
 
     def commit(self, messages) -> None:
