@@ -2,9 +2,11 @@ import json
 import os
 import time
 
-from crawl_fixture import response
+from crawl_fixture import png, response
+from crawlsift.operators.filters import IMAGE_TYPES
 from crawlsift.operators.outcome import funnel_counts
 from crawlsift.operators.score import score_passthrough
+from crawlsift.plans.image import image_rows, read_images
 from crawlsift.plans.text import html_only, read_pages, text_outcomes
 from crawlsift.sinks.stats import report_stream
 from crawlsift.sources.warc import SLIM_COLUMNS
@@ -76,3 +78,20 @@ def test_interval_trigger(spark, folder):
         assert spark.read.parquet(f"{folder}/out").count() == 1
     finally:
         query.stop()
+
+
+def test_images_of_a_stream_are_those_of_a_batch(spark, folder):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/a.warc.gz", "wb") as file:
+        for i in range(6):
+            file.write(response(f"http://h/{i}.png", "image/png", png(3 + i, 5, (i, 2, 3))))
+        file.write(response("http://h/bad.png", "image/png", b"no image " * 30))
+    columns = ["url", "image"]
+    stream = image_rows(stream_warc(spark, f"{folder}/in", payload=list(IMAGE_TYPES), columns=SLIM_COLUMNS))
+    query = (
+        stream.select(*columns).writeStream.format("memory").queryName("streamed_images").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    streamed = spark.table("streamed_images").orderBy("url").collect()
+    batch = image_rows(read_images(spark, f"{folder}/in")).select(*columns).orderBy("url").collect()
+    assert streamed == batch and len(batch) == 6
