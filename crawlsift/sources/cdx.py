@@ -9,9 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.session import broadcast_if_bounded
 from crawlsift.sources.listing import list_archives
-from crawlsift.sources.paths import base_name, decoded_path, open_fs, parent
+from crawlsift.sources.paths import base_name, open_fs, parent
 
 # File suffix, first token of the header, and column letters of an index.
 INDEX_SUFFIX = ".cdx.gz"
@@ -84,6 +83,48 @@ def index_files(spark: SparkSession, roots: str | list[str]) -> DataFrame:
     )
 
 
+def _inflated(stream) -> Iterator[bytes]:
+    inflater = zlib.decompressobj(31)
+    while chunk := stream.read(1 << 20):
+        while chunk:
+            yield inflater.decompress(chunk)
+            chunk = inflater.unused_data
+            if inflater.eof:
+                inflater = zlib.decompressobj(31)
+
+
+def _index_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbered lines of every index but its header. The files are known to inflate to their end,
+    so any failure here is a passing one: it fails the task, which is retried."""
+
+    def batch_of(row: dict, first: int, lines: list[bytes]) -> pa.RecordBatch:
+        texts = [line.rstrip(b"\r").decode("utf-8", "replace").strip(" ") for line in lines]
+        numbered = [(first + i, t) for i, t in enumerate(texts) if t != row["header"]]
+        n = len(numbered)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([row["item_dir"]] * n, pa.string()),
+                pa.array([row["letters"]] * n, pa.list_(pa.string())),
+                pa.array([i for i, _ in numbered], pa.int64()),
+                pa.array([t for _, t in numbered], pa.string()),
+            ],
+            names=["item_dir", "letters", "line_no", "line"],
+        )
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            fs, inner = open_fs(row["path"])
+            with fs.open_input_stream(inner, compression=None) as stream:
+                number, rest = 0, b""
+                for piece in _inflated(stream):
+                    *lines, rest = (rest + piece).split(b"\n")
+                    if lines:
+                        yield batch_of(row, number, lines)
+                        number += len(lines)
+                if rest:
+                    yield batch_of(row, number, [rest])
+
+
 def _field(letter: str) -> Column:
     return F.try_element_at(
         F.col("fields"), F.array_position("letters", letter).cast("int")
@@ -95,30 +136,19 @@ def read_cdx(
 ) -> DataFrame:
     """``(item_dir, line_no, url, mime, warc_path, offset, malformed)`` of all usable indexes.
 
-    ``line_no`` grows along each file: a gzip file is one split, and the id counts rows inside
-    a split. Columns are found by the letters of the file's own header. Lines that cannot be
-    read are flagged, because one such line spoils its whole index. ``files`` may pass the
-    result of ``index_files`` when the caller has it.
+    ``line_no`` counts the lines of a file. Columns are found by the letters of the file's own
+    header. Lines that cannot be read are flagged, because one such line spoils its whole index.
+    ``files`` may pass the result of ``index_files`` when the caller has it. Each index is read
+    by one task; the number of tasks is fixed, as the listing alone would be packed into few.
     """
-    paths = [roots] if isinstance(roots, str) else list(roots)
-    text = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{INDEX_SUFFIX}")
-        .option("ignoreCorruptFiles", True)
-        .text(paths)
-    )
-    lines = text.select(
-        decoded_path(F.col("_metadata.file_path")).alias("path"),
-        F.monotonically_increasing_id().alias("line_no"),
-        F.trim("value").alias("line"),
-    )
     files = index_files(spark, roots) if files is None else files
-    files = files.filter("usable").drop("intact", "usable")
-    # One row per index file; the number of files is known from the listing.
-    files = broadcast_if_bounded(files, len(text.inputFiles()), row_bytes=512)
+    usable = files.filter("usable").select("path", "item_dir", "header", "letters")
+    n = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
     rows = (
-        lines.join(files, "path")
-        .filter(F.col("line") != F.col("header"))
+        usable.repartition(n, "path")
+        .mapInArrow(_index_lines, "item_dir string, letters array<string>, line_no long, line string")
         .withColumn("fields", F.split("line", " "))
     )
     url, mime, archive = _field(URL), _field(MIME), _field(ARCHIVE)
