@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm.common import join_hot, ready
+from crawlsift.llm.common import frugal, join_hot, ready
 from crawlsift.session import materialize, work_dir
 from crawlsift.sinks.record_files import ATOMIC_STORES, _replace
 from crawlsift.sources.paths import decoded_path, open_fs
@@ -286,7 +286,7 @@ def write_arcs(pages: DataFrame, directory: str, arc_bytes: int = ARC_BYTES, key
                     row = next(rows, None)
             yield pa.RecordBatch.from_pydict({"records": [count]})
 
-    return slim.mapInArrow(run, "records long").agg(F.sum("records")).first()[0] or 0
+    return slim.mapInArrow(frugal(run), "records long").agg(F.sum("records")).first()[0] or 0
 
 
 def _version_block(name: str, version: int) -> bytes:
@@ -337,7 +337,7 @@ def arc_index(spark: SparkSession, directory: str, key_header: str = KEY_HEADER)
                     kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return files.repartition(F.col("arc")).select("arc").mapInArrow(run, schema)
+    return files.repartition(F.col("arc")).select("arc").mapInArrow(frugal(run), schema)
 
 
 def convert_arcs(

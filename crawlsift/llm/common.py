@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsift.session import attach
+from crawlsift.session import attach, release_memory
 
 # Fixed values.
 _BLANK = re.compile(rb"[\x20\x09-\x0d]")
@@ -43,6 +43,18 @@ def _as(values, kind: pa.DataType) -> pa.Array:
     return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
 
 
+def frugal(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """The same function of batches, which leaves no unused memory with its worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def map_arrow(
     df: DataFrame, function: Callable[[pa.RecordBatch], dict[str, list]], schema: str
 ) -> DataFrame:
@@ -60,7 +72,7 @@ def map_arrow(
                     [_as(columns[f.name], f.type) for f in target], schema=target
                 )
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(frugal(run), fields)
 
 
 def utf8(column: pa.Array) -> list[bytes | None]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsift.llm.common import map_arrow, ready, utf8, word_chunks
+from crawlsift.llm.common import frugal, map_arrow, ready, utf8, word_chunks
 
 # Fixed values.
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -338,7 +338,7 @@ def drop_contaminated(
     at = docs.columns.index(text_col)
     for _, texts in _slices(benchmark, item_col, item_text_col, slice_bytes):
         shared = spark.sparkContext.broadcast(Index(texts, similarity, recall))
-        docs = docs.mapInArrow(_filter(shared, at), docs.schema)
+        docs = docs.mapInArrow(frugal(_filter(shared, at)), docs.schema)
     return docs
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsift.llm.common import free_name, ready
+from crawlsift.llm.common import free_name, frugal, ready
 from crawlsift.session import materialize
 
 # Fixed values.
@@ -100,7 +100,7 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str, text_col: str, buckets:
         used = np.nonzero(raw)[0]
         yield pa.RecordBatch.from_pydict({"bucket": used.astype(np.int32), "raw": raw[used], "target": target[used]})
 
-    counts = marked.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
+    counts = marked.mapInArrow(frugal(count), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
     both = np.zeros((2, buckets))
     for bucket, *n in counts.collect():  # at most ``buckets`` rows
         both[:, bucket] = n
@@ -124,7 +124,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, text_col: str, weight_col: str) ->
                 [*batch.columns, pa.array(weights, pa.float64())], names=[f.name for f in schema]
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run), schema)
 
 
 def gumbel(seed: int, doc_id: Column) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsift.llm.common import free_name, join_hot, ready
+from crawlsift.llm.common import free_name, frugal, join_hot, ready
 from crawlsift.session import materialize
 
 # Fixed values.
@@ -62,7 +62,7 @@ def line_windows(docs: DataFrame, id_col: str, text_col: str, size: int = WINDOW
             if docs:
                 yield _windows(docs, bodies, places, hashes)
 
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(frugal(run), schema)
 
 
 def _windows(docs, bodies, places, hashes) -> pa.RecordBatch:
@@ -132,4 +132,4 @@ def remove_repeated_lines(
                 [*columns[:-1], pa.array(totals, pa.int64()), pa.array(removed, pa.int64())], names=[f.name for f in schema]
             )
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(frugal(cut), schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsift.llm.common import ready
+from crawlsift.llm.common import frugal, ready
 from crawlsift.session import work_dir
 from crawlsift.sinks.record_files import write_record_files
 
@@ -202,7 +202,7 @@ def pack_shards(
         if held:
             yield shard()
 
-    return slim.mapInArrow(run, "name string, body binary")
+    return slim.mapInArrow(frugal(run), "name string, body binary")
 
 
 def read_packed(spark: SparkSession, directory: str) -> DataFrame:
@@ -215,7 +215,7 @@ def read_packed(spark: SparkSession, directory: str) -> DataFrame:
                 yield _shard_batch(name, shard)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(directory)
-    return files.select(F.element_at(F.split("path", "/"), -1), "content").mapInArrow(rows, PACKED_SCHEMA)
+    return files.select(F.element_at(F.split("path", "/"), -1), "content").mapInArrow(frugal(rows), PACKED_SCHEMA)
 
 
 def _shard_batch(name: str, shard: dict[str, np.ndarray]) -> pa.RecordBatch:

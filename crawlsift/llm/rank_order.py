@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from crawlsift.llm.common import map_arrow, ready
+from crawlsift.llm.common import frugal, map_arrow, ready
 from crawlsift.session import materialize
 
 # Fixed values.
@@ -128,7 +128,7 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_row
                 counts = np.bincount(place, weights=np.concatenate([c for _, c in found])).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({"lang": [lang] * len(grams), "gram": grams, "n": counts})
 
-    counts = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = picked.mapInArrow(frugal(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = W.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
     ranked = counts.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= size)
     grams: dict[str, list[tuple[int, int]]] = {}
