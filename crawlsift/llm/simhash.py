@@ -20,7 +20,7 @@ columns are ignored.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -290,8 +290,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    find: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
+    """``docs`` with one document of each component that ``find`` tells: the one with the smallest id.
 
     An id names one document, so of rows that repeat it one stays. Rows without an id cannot be
     named and all stay. Only rows that may have to go are shuffled; the rest is filtered in place.
@@ -299,7 +304,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key, drop, hit = (free_name(docs, name) for name in ("_keep_id", "_drop", "_hit"))
     # Ids that need a second look: those to drop, and those that several rows have.
     special = (
-        near_duplicates(docs, id_col, text_col)
+        find(docs, id_col, text_col)
         .where("doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").alias(key))
         .agg(F.min(F.col("doc_id") != F.col("component_id")).alias(drop), F.count(F.lit(1)).alias("rows"))

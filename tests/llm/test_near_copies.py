@@ -1,0 +1,78 @@
+"""Near copies against the similarity of all pairs."""
+
+import re
+
+import numpy as np
+
+from crawlsift.llm import near_copies, simhash
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or ({" ".join(words)} if words else set())
+
+
+def plain_components(texts):
+    sets = {d: shingles(t) for d, t in texts.items()}
+    root = {d: d for d in texts}
+
+    def top(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            both = len(sets[a] & sets[b])
+            if a < b and 5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((top(a), top(b)))
+                root[high] = low
+    return {d: top(d) for d in texts}
+
+
+def edited_texts():
+    """Texts, chains of edited copies, and one text edited in many places."""
+    rng = np.random.default_rng(2)
+    texts = {}
+    for size in (12, 50, 200):
+        for _ in range(8):
+            words = [f"w{w}" for w in rng.integers(0, 900, size)]
+            for _ in range(6):
+                texts[len(texts)] = " ".join(words)
+                for at in rng.integers(0, size, max(1, size // 60)):
+                    words[at] = "zulu"
+    base = [f"b{w}" for w in rng.integers(0, 900, 200)]
+    for _ in range(60):
+        words = list(base)
+        for at in rng.integers(0, 200, 3):
+            words[at] = f"e{rng.integers(1000)}"
+        texts[len(texts)] = " ".join(words)
+    return texts | {900: None, 901: "", 902: "One", 903: "one "}
+
+
+def test_edited_copies_are_one_group(spark, texts):
+    for table in (edited_texts(), texts):
+        docs = spark.createDataFrame(list(table.items()), "doc_id long, text string")
+        expected = plain_components(table)
+        assert {r.doc_id: r.component_id for r in near_copies.near_copies(docs).collect()} == expected
+        kept = simhash.drop_near_duplicates(docs, find=near_copies.near_copies)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(expected.values()))
+
+
+def test_stage_drops_edited_copies(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(50)]
+    near, far = words[:20] + ["zulu"] + words[21:], words[:10] + ["zulu"] + words[11:30] + ["zulu"] + words[31:]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    assert (simhash.fingerprint(rows[0][1].encode()) ^ simhash.fingerprint(rows[1][1].encode())).bit_count() > 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, docs, "").collect()) == [1, 3]
+
+
+def test_odd_rows(odd_docs, no_docs):
+    kept = simhash.drop_near_duplicates(odd_docs, find=near_copies.near_copies)
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == [1, 3, 6, 7, 9, 10] and ids.count(None) == 2
+    assert near_copies.near_copies(no_docs).collect() == []
