@@ -7,9 +7,13 @@ Every word position starts an item-sized window. An edit changes one word at mos
 hold too few words of the items of that size, or too few of those items' rare words, cannot match
 and are passed over, without loss. The rest are embedded by CGK random walks: at step ``j`` a walk emits the word it stands on and moves
 on if random bit ``j`` of that word says so, so walks over texts a few edits apart fall back in
-step and agree at most steps. A hash table samples a few steps. How many tables are needed for
-the target recall is measured beforehand, per size class, on edited copies of the items at the
-largest allowed distance. Candidates are verified by their exact edit distance.
+step and agree at most steps. A hash table samples a few steps, and has the items whose own walks
+do not end before. How many tables are needed for the target recall is measured beforehand, per
+size class, on edited copies of the items at the largest allowed distance, followed by other
+words as in a document. Candidates are verified by their exact edit distance.
+
+Items that allow no edit are found without loss: by a hash of their first words wherever they
+occur, and by comparing all their words.
 
 Rows: null and empty texts match nothing; null, empty or punctuation-only items are left out, and
 equal items under different ids are matched separately. Texts are compared in lower case, split
@@ -40,6 +44,8 @@ TRIALS = 400
 MAX_TABLES = 400
 TABLES_PER_WALK = 4
 WINDOW_BLOCK = 65_536
+#: Pieces of items are looked up by so many of their words at most.
+PIECE_WORDS = 8
 #: Short texts are joined up to so many words before windows are embedded.
 JOINED_WORDS = 1 << 19
 #: Items travel to the workers in slices of at most so many bytes; a larger benchmark takes
@@ -103,13 +109,15 @@ class Index:
         for item in self.items:
             spread[np.unique(item)] += 1
         self.rare = spread <= max(1, int(RARE_SHARE * len(self.items)))
-        order = sorted((i for i in range(len(words)) if words[i]), key=lambda i: len(words[i]))
+        pieces = [i for i in range(len(words)) if words[i] and not self.edits[i]]
+        order = sorted((i for i in range(len(words)) if self.edits[i]), key=lambda i: len(words[i]))
         self.classes: list[SizeClass] = []
         while order:
             least = len(words[order[0]])
             same = [i for i in order if len(words[i]) <= least * CLASS_RATIO]
             order = order[len(same) :]
             self.classes.append(self._class(same, least, recall))
+        self.pieces = self._pieces(pieces)
 
     def _walk_bits(self, walk: int, block: int) -> np.ndarray:
         """64 random bits of every word, for steps ``64 * block`` and on of a walk."""
@@ -157,6 +165,24 @@ class Index:
         pad = np.array([self.pad], dtype=np.int32)
         return np.concatenate([part for t in texts for part in (t, pad)]), starts, ends
 
+    def _pieces(self, members: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By number of words: sorted keys of the items' pieces, their items and places in them.
+
+        An item that allows ``e`` edits is cut into ``e + 1`` pieces, one of which no edit touches.
+        """
+        found: dict[int, list[tuple[int, int]]] = {}
+        for i in members:
+            cuts = [k * len(self.items[i]) // (self.edits[i] + 1) for k in range(self.edits[i] + 2)]
+            for at, end in zip(cuts, cuts[1:]):
+                found.setdefault(min(end - at, PIECE_WORDS), []).append((i, at))
+        out = {}
+        for size, places in found.items():
+            keys = self._keys(np.array([self.items[i][at : at + size] for i, at in places]).T)
+            order = np.argsort(keys, kind="stable")
+            items, at = np.array(places, dtype=np.int64).T
+            out[size] = keys[order], items[order], at[order]
+        return out
+
     def _class(self, members: list[int], least: int, recall: float) -> SizeClass:
         length = 2 * least
         samples = min(length, 1 + int(np.ceil(np.log(len(members) + 1) / np.log(30))))
@@ -172,9 +198,11 @@ class Index:
             needed_rare=min(int(self.rare[self.items[i]].sum()) - self.edits[i] for i in members),
             walks=[],
         )
-        # Edited copies at the largest distance; tables are added until enough of them are hit.
+        # Edited copies at the largest distance, with foreign words behind them for a walk to run
+        # into; tables are added until enough of them are hit.
         trials = self.rng.integers(len(members), size=TRIALS)
-        copies = [self._edited(self.items[members[k]], self.edits[members[k]]) for k in trials]
+        foreign = np.zeros(length, dtype=np.int32)
+        copies = [np.concatenate((self._edited(self.items[members[k]], self.edits[members[k]]), foreign)) for k in trials]
         items, copies = self._joined([self.items[i] for i in members]), self._joined(copies)
         missed = np.ones(TRIALS, dtype=bool)
         while missed.mean() > 1 - recall and len(shape.walks) * TABLES_PER_WALK < MAX_TABLES:
@@ -184,8 +212,11 @@ class Index:
             for _ in range(TABLES_PER_WALK):
                 steps = np.sort(self.rng.choice(length, samples, replace=False))
                 keys = self._keys(own[steps])
-                missed &= self._keys(seen[steps]) != keys[trials]
+                # A walk past its item's end stands on whatever follows: nothing to compare.
+                inside = (own[steps] != self.pad).all(axis=0)
+                missed &= (self._keys(seen[steps]) != keys[trials]) | ~inside[trials]
                 order = np.argsort(keys, kind="stable")
+                order = order[inside[order]]
                 tables.append((steps, keys[order], np.array(members)[order]))
             shape.walks.append(tables)
         return shape
@@ -197,6 +228,36 @@ class Index:
         ]
         return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32)
 
+    def _piece_starts(self, text: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """``(item, starts)``: where a passage that holds a piece of the item begins, or up to
+        twice the item's allowed edits before that."""
+        for size, (keys, items, places) in self.pieces.items():
+            at = np.arange(max(0, len(text) - size + 1))
+            for k in range(size):
+                at = at[(text[at + k] != 0) & (text[at + k] != self.pad)]
+            for first in range(0, len(at), WINDOW_BLOCK):
+                block = at[first : first + WINDOW_BLOCK]
+                key = self._keys(np.stack([text[block + k] for k in range(size)]))
+                low = np.searchsorted(keys, key)
+                count = np.searchsorted(keys, key, side="right") - low
+                hit = np.repeat(np.arange(len(block)), count)
+                piece = np.repeat(low - np.cumsum(count) + count, count) + np.arange(len(hit))
+                owner = items[piece]
+                edits = np.array(self.edits, dtype=np.int64)[owner]
+                starts = np.maximum(begins[block[hit]], block[hit] - places[piece] - edits)
+                order = np.lexsort((starts, owner))
+                owner, starts = owner[order], starts[order]
+                cuts = np.nonzero(np.diff(owner, prepend=-1))[0]
+                for item, where in zip(owner[cuts], np.split(starts, cuts[1:])):
+                    yield int(item), np.unique(where)
+
+    def _exact(self, text: np.ndarray, limits: np.ndarray, starts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Those ``starts`` at which all ``words`` stand."""
+        starts = starts[starts + len(words) <= limits[starts]]
+        for k, word in enumerate(words):
+            starts = starts[text[starts + k] == word]
+        return starts
+
     def _candidates(self, text: np.ndarray, limits: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """``(item, window starts)`` that share a hash key; ``limits`` has the end of each
         position's document."""
@@ -228,17 +289,26 @@ class Index:
                 yield item, np.unique(np.concatenate(where))
 
     def _shared(
-        self, text: np.ndarray, limits: np.ndarray, starts: np.ndarray, own: np.ndarray, item: int
+        self, text: np.ndarray, limits: np.ndarray, starts: np.ndarray, own: np.ndarray, item: int, reach: int
     ) -> np.ndarray:
         """Which windows hold enough words of the item to be within its allowed edits."""
         size, edits = len(self.items[item]), self.edits[item]
         enough = np.zeros(len(starts), dtype=bool)
         for at in range(0, len(starts), WINDOW_BLOCK // 16):
             part = slice(at, at + WINDOW_BLOCK // 16)
-            window = np.minimum(starts[part, None] + np.arange(size + edits), limits[part, None])
+            window = np.minimum(starts[part, None] + np.arange(reach), limits[part, None])
             enough[part] = own[text[window]].sum(axis=1) >= size - edits
         return enough
 
+    def _all_candidates(
+        self, text: np.ndarray, begins: np.ndarray, limits: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, int]]:
+        """``(item, starts, words that a passage may reach beyond the item's number)``."""
+        for item, starts in self._candidates(text, limits):
+            yield item, starts, self.edits[item]
+        for item, starts in self._piece_starts(text, begins):
+            yield item, starts, 2 * self.edits[item]
+
     def matches(self, texts: list[bytes | None]) -> list[tuple[int, int, int, int]]:
         """``(text number, item, edit distance, end word)`` of each item that a text contains."""
         best: dict[tuple[int, int], tuple[int, int]] = {}
@@ -251,12 +321,19 @@ class Index:
                 last += 1
             text, begins, ends = self._joined(encoded[first:last])
             owner = np.repeat(np.arange(last - first), ends - begins + 1)
-            for item, starts in self._candidates(text, ends[owner]):
+            limits = ends[owner]
+            for item, starts, slack in self._all_candidates(text, begins[owner], limits):
                 words, edits = self.items[item], self.edits[item]
+                if not edits:
+                    starts = self._exact(text, limits, starts, words)
+                    for doc, at in zip(*np.unique(owner[starts], return_index=True)):
+                        end = int(starts[at]) + len(words) - int(begins[doc])
+                        best.setdefault((first + int(doc), item), (0, end))
+                    continue
                 own = np.zeros(self.pad + 1, dtype=bool)
                 own[words] = True
                 done = -1
-                for start in starts[self._shared(text, ends[owner[starts]], starts, own, item)]:
+                for start in starts[self._shared(text, limits[starts], starts, own, item, len(words) + slack)]:
                     if start < done:
                         continue
                     # One region holds this window and those that start within its length.

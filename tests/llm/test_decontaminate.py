@@ -136,3 +136,26 @@ def test_recall_at_the_largest_distance(size):
         text = " ".join([FILL, *words, FILL]).encode()
         found += any(m[1] == i for m in index.matches([text]))
     assert found >= 29
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4])
+def test_exact_copies_of_short_items_inside_a_text(size):
+    rng = np.random.default_rng(size)
+    items = sorted({" ".join(f"w{w}" for w in rng.integers(0, 2000, size)) for _ in range(300)})
+    index = D.Index([i.encode() for i in items])
+    texts = [f"x {item} y w1 {item} z".encode() for item in items]
+    got = {(doc, item): (distance, end) for doc, item, distance, end in index.matches(texts)}
+    assert all(got.get((i, i)) == (0, size + 1) for i in range(len(items)))
+    assert {k: v[0] for k, v in got.items()} == plain_contaminations(
+        {d: t.decode() for d, t in enumerate(texts)}, dict(enumerate(items))
+    )
+
+
+@pytest.mark.parametrize("size", [5, 8, 13, 20])
+def test_recall_inside_a_text_of_short_items(size):
+    rng = np.random.default_rng(size)
+    items = [" ".join(f"w{w}" for w in rng.integers(0, 2000, size)) for _ in range(1000)]
+    index = D.Index([i.encode() for i in items])
+    texts = [" ".join(["x1 x2", *edited(rng, i.split(), index.edits[k]), "y1 y2 y3 y4", *["y5"] * size]) for k, i in enumerate(items)]
+    found = {(doc, item) for doc, item, *_ in index.matches([t.encode() for t in texts])}
+    assert sum((i, i) in found for i in range(1000)) >= 960
