@@ -12,8 +12,10 @@ do not end before. How many tables are needed for the target recall is measured
 size class, on edited copies of the items at the largest allowed distance, followed by other
 words as in a document. Candidates are verified by their exact edit distance.
 
-Items that allow no edit are found without loss: by a hash of their first words wherever they
-occur, and by comparing all their words.
+Other items are found without loss: those that allow no edit, and those of classes whose tables
+miss the target recall at ``MAX_TABLES``. An item that allows ``e`` edits is cut into ``e + 1``
+pieces; no edit touches one of them, so wherever the first words of a piece occur by their hash,
+the passage around is a candidate.
 
 Rows: null and empty texts match nothing; null, empty or punctuation-only items are left out, and
 equal items under different ids are matched separately. Texts are compared in lower case, split
@@ -41,6 +43,7 @@ CLASS_RATIO = 1.15
 #: A word is rare when no more than this share of the items has it.
 RARE_SHARE = 0.01
 TRIALS = 400
+#: A class that needs more tables than this is looked up by pieces of its items instead.
 MAX_TABLES = 400
 TABLES_PER_WALK = 4
 WINDOW_BLOCK = 65_536
@@ -116,7 +119,11 @@ class Index:
             least = len(words[order[0]])
             same = [i for i in order if len(words[i]) <= least * CLASS_RATIO]
             order = order[len(same) :]
-            self.classes.append(self._class(same, least, recall))
+            shape = self._class(same, least, recall)
+            if shape is None:
+                pieces += same
+            else:
+                self.classes.append(shape)
         self.pieces = self._pieces(pieces)
 
     def _walk_bits(self, walk: int, block: int) -> np.ndarray:
@@ -183,7 +190,10 @@ class Index:
             out[size] = keys[order], items[order], at[order]
         return out
 
-    def _class(self, members: list[int], least: int, recall: float) -> SizeClass:
+    def _class(self, members: list[int], least: int, recall: float) -> SizeClass | None:
+        """Tables of a class; None when they do not reach the recall."""
+        if recall >= 1:
+            return None
         length = 2 * least
         samples = min(length, 1 + int(np.ceil(np.log(len(members) + 1) / np.log(30))))
         own_words = np.zeros(self.pad + 1, dtype=bool)
@@ -205,7 +215,9 @@ class Index:
         copies = [np.concatenate((self._edited(self.items[members[k]], self.edits[members[k]]), foreign)) for k in trials]
         items, copies = self._joined([self.items[i] for i in members]), self._joined(copies)
         missed = np.ones(TRIALS, dtype=bool)
-        while missed.mean() > 1 - recall and len(shape.walks) * TABLES_PER_WALK < MAX_TABLES:
+        while missed.mean() > 1 - recall:
+            if len(shape.walks) * TABLES_PER_WALK >= MAX_TABLES:
+                return None
             walk, tables = len(shape.walks), []
             own = self._walk(*items, length, walk)
             seen = self._walk(*copies, length, walk)

@@ -159,3 +159,16 @@ def test_recall_inside_a_text_of_short_items(size):
     texts = [" ".join(["x1 x2", *edited(rng, i.split(), index.edits[k]), "y1 y2 y3 y4", *["y5"] * size]) for k, i in enumerate(items)]
     found = {(doc, item) for doc, item, *_ in index.matches([t.encode() for t in texts])}
     assert sum((i, i) in found for i in range(1000)) >= 960
+
+
+@pytest.mark.parametrize("limit", ["tables", "recall"])
+def test_items_that_tables_do_not_reach_are_found_without_loss(monkeypatch, limit):
+    rng = np.random.default_rng(3)
+    items = [" ".join(f"w{w}" for w in rng.integers(0, 500, int(size))) for size in rng.integers(5, 120, 150)]
+    if limit == "tables":
+        monkeypatch.setattr(D, "MAX_TABLES", 0)
+    index = D.Index([i.encode() for i in items], recall=1.0 if limit == "recall" else 0.97)
+    copies = [edited(rng, i.split(), index.edits[k]) for k, i in enumerate(items)]
+    texts = [" ".join([*copies[k], "x1 x2", *copies[-k], *copies[k][: len(copies[k]) // 2]]) for k in range(150)]
+    got = {(doc, item): distance for doc, item, distance, _ in index.matches([t.encode() for t in texts])}
+    assert got == plain_contaminations(dict(enumerate(texts)), dict(enumerate(items)))
