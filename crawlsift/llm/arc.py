@@ -314,6 +314,13 @@ def _archives(spark: SparkSession, directory: str) -> DataFrame:
     return files.select(decoded_path(F.col("path")).alias("arc"), "length")
 
 
+def long_key(text: str | None) -> int | None:
+    """A key header's value where it is a 64-bit integer."""
+    if not text or not re.fullmatch(r"[+-]?[0-9]{1,40}", text):
+        return None
+    return key if -(1 << 63) <= (key := int(text)) < 1 << 63 else None
+
+
 def arc_index(spark: SparkSession, directory: str, key_header: str = KEY_HEADER) -> DataFrame:
     """``(arc, number, key, uri, date, size, digest, skipped)`` of every record but version blocks."""
     files = _archives(spark, directory)
@@ -330,7 +337,7 @@ def arc_index(spark: SparkSession, directory: str, key_header: str = KEY_HEADER)
                         if r.number == 0 and r.url.startswith("filedesc:"):
                             continue
                         key = _http_header(r, key_header)
-                        key = int(key) if key and re.fullmatch(r"-?[0-9]{1,18}", key) else None
+                        key = long_key(key)
                         rows.append((arc, r.number, key, r.url, r.date, len(r.payload), _digest(r.payload), r.skipped))
                 if rows:
                     columns = [list(c) for c in zip(*rows)]

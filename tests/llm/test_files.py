@@ -152,3 +152,18 @@ def test_warc_records():
 def test_dates():
     assert arc._date(b"1999", "x") == "1999-01-01T00:00:00Z"
     assert arc._date(b"19991332000000", "x") == "x" and arc._date(b"", "x") == "x"
+
+
+def test_ids_near_both_ends_of_long(spark):
+    top, low = (1 << 63) - 1, -(1 << 63)
+    ids = [top, low, 10**18, top - 1, low + 1, -(10**18), None, 3]
+    # Written in an order in which neither the first nor the last has the smallest id.
+    rows = [(i, f"http://x/{n}", ("ab"[n % 2] if i != 3 else "c") * 150) for n, i in enumerate(ids)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in arc.archived_pages(pages).collect()}
+    even, odd = min(i for i in ids[::2] if i is not None), low
+    expected = {i: ("revisit", odd if n % 2 else even) for n, i in enumerate(ids)}
+    expected |= {even: ("response", None), odd: ("response", None), 3: ("response", None)}
+    assert got == expected
+    assert arc.long_key(str(top)) == top and arc.long_key(str(low)) == low
+    assert arc.long_key(str(top + 1)) is None and arc.long_key(str(low - 1)) is None and arc.long_key("1x") is None
