@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlsift.llm import (
+    alignment,
     arc,
+    bpe,
     decontaminate,
     exact_dedup,
     importance,
@@ -18,12 +20,16 @@ from crawlsift.llm import (
     rank_order,
     simhash,
     toxicity,
+    trie,
 )
 from crawlsift.llm.common import table
 
 
 #: Rank file of the tokenizer that the packing query and the pipeline use.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Vocabularies of the encoding and alignment queries.
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +132,24 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' ids line up in every document, with corpus counts of linked ids."""
+    tokenizers = alignment.Tokenizers(BYTE_LEVEL, PIECES)
+    found = alignment.align(table(spark, sf_dir, "documents"), tokenizers)
+    shown = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    return found.withColumn("groups_sha256", shown).drop("groups")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations, with its subtree's totals."""
+    return trie.prefix_trie(trie.rebuild(table(spark, sf_dir, "conversations")))
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by byte-level BPE and decoded again."""
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.Vocabulary(BYTE_LEVEL))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_packing": op1_token_packing,
@@ -138,4 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mixing": op9_mixing,
         "op10_arc_to_warc": op10_arc_to_warc,
+        "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+        "op12_conversation_trie": op12_conversation_trie,
+        "op13_bpe_round_trip": op13_bpe_round_trip,
     }

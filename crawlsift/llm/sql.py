@@ -118,10 +118,60 @@ FROM ranked
 """
 
 
+#: Unsigned CRC-32 of a decimal number, bit by bit: a byte comes in, then eight shifts (-1).
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x)
+        WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END))"""
+
+CONVERSATION_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+    SELECT conv_id, count(*) AS n, conv_id - conv_id % 100 AS base, {_CRC32.format("conv_id")} % 6 AS h
+    FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT s.conv_id, t.place AS depth, t.role, t.text
+    FROM sizes s JOIN turns t ON t.conv_id = s.base AND t.place <= s.h
+    UNION ALL
+    SELECT s.conv_id, t.place - s.h + least(s.h, coalesce(b.n, 0)), t.role, t.text
+    FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base JOIN turns t ON t.conv_id = s.conv_id AND t.place > s.h
+), sequences AS (
+    SELECT conv_id, coalesce(list({{'role': role, 'text': text}} ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS seq
+    FROM sizes LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id
+), members AS (
+    SELECT conv_id, len(seq) AS size, depth, to_json(list_slice(seq, 1, depth)) AS node,
+        CASE WHEN depth > 0 THEN to_json(list_slice(seq, 1, depth - 1)) END AS parent,
+        CASE WHEN depth > 0 THEN length(seq[depth].text) ELSE 0 END AS chars
+    FROM (SELECT *, unnest(range(0, len(seq) + 1)) AS depth FROM sequences)
+), nodes AS (
+    SELECT node, min(parent) AS parent, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        (count(*) - 1) * min(chars) AS saved,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = size), '')) AS ends_sha256
+    FROM members GROUP BY node
+), children AS (
+    SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), totals AS (
+    SELECT up.node, sum((c.n IS NULL)::BIGINT) AS n_leaves, sum(n.saved) AS saved_tokens
+    FROM nodes n LEFT JOIN children c USING (node)
+    JOIN members m ON m.conv_id = n.conv_id AND m.depth <= n.depth JOIN nodes up ON up.node = m.node
+    GROUP BY up.node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+    t.n_leaves::BIGINT AS n_leaves, t.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node
+JOIN totals t ON t.node = n.node
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_windows": LINE_WINDOWS,
         "op8_exact_dedup": EXACT_DEDUP,
         "op9_mixing": MIXING,
         "op10_arc_to_warc": ARC_TO_WARC,
+        "op12_conversation_trie": CONVERSATION_TRIE,
     }
