@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawlsift.llm import decontaminate, importance, mixing, near_copies, packing, simhash
+from crawlsift.llm import decontaminate, importance, mixing, packing, simhash
 from crawlsift.llm.common import table
 from crawlsift.llm.queries import MIX, TOKENIZER, mix_columns
 from crawlsift.session import materialize
@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    return simhash.drop_near_duplicates(docs, find=near_copies.near_copies)
+    """One document, that with the smallest id, of each group whose SimHash fingerprints link."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
