@@ -324,6 +324,7 @@ def long_key(text: str | None) -> int | None:
 def arc_index(spark: SparkSession, directory: str, key_header: str = KEY_HEADER) -> DataFrame:
     """``(arc, number, key, uri, date, size, digest, skipped)`` of every record but version blocks."""
     files = _archives(spark, directory)
+    n_files = max(1, files.count())
     schema = "arc string, number int, key long, uri string, date string, size long, digest string, skipped long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,7 +345,8 @@ def arc_index(spark: SparkSession, directory: str, key_header: str = KEY_HEADER)
                     kinds = [pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return files.repartition(F.col("arc")).select("arc").mapInArrow(frugal(run), schema)
+    # With its number given, adaptive execution leaves the list as it is: one archive a task.
+    return files.select("arc").repartition(n_files).mapInArrow(frugal(run), schema)
 
 
 def convert_arcs(
@@ -384,7 +386,7 @@ def convert_arcs(
             if a is not None
         }
         count = 0
-        out_name = re.sub(r"\.arc(\.gz)?$", "", name) + ".warc.gz"
+        out_name = f"{name}.warc.gz"  # the whole name: x.arc and x.arc.gz are two archives
         fs, path = open_fs(arc)
         with fs.open_input_stream(path, compression=None) as handle, _new_file(target, out_name) as out:
             for record in iter_arc(handle):

@@ -22,12 +22,15 @@ doc_offsets     place of each segment's first id in its document
 
 Rows of the table: null and empty texts have no ids and no segment. Rows with equal or null ids
 are packed like any other. Very long texts become many whole rows. Other columns are ignored.
+White space of more than ``BLANK_RUN`` characters in a row, on which the library's pattern runs out
+of stack, is cut out and encoded as the one or two pieces that the pattern makes of it.
 """
 
 from __future__ import annotations
 
 import base64
 import io
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +47,7 @@ from crawlsift.sinks.record_files import write_record_files
 #: How the byte-level vocabularies split text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SEQ_LEN = 2048
+BLANK_RUN = 10_000
 PAD_ID = 50256
 SHARD_IDS = 1 << 22
 PACKED_SCHEMA = (
@@ -70,9 +74,20 @@ class Tokenizer:
 
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, self.ranks.splitlines())}
         encoding = tiktoken.Encoding("packed", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
-        return encoding.encode_to_numpy_ordinary if hasattr(encoding, "encode_to_numpy_ordinary") else (
-            lambda text: np.array(encoding.encode_ordinary(text), dtype=np.uint32)
-        )
+        # White space as the vocabulary's pattern knows it (Unicode's, without \x1c to \x1f).
+        run = re.compile(r"[^\S\x1c-\x1f]{%d,}" % BLANK_RUN)
+
+        def encode(text: str) -> np.ndarray:
+            parts, at = [], 0
+            for found in run.finditer(text):
+                # The pattern leaves a run's last character to the word that follows.
+                end = found.end() - (found.end() < len(text))
+                parts += [encoding.encode_ordinary(text[at : found.start()]), encoding._encode_single_piece(text[found.start() : end])]
+                at = end
+            parts.append(encoding.encode_ordinary(text[at:]))
+            return np.concatenate([np.array(ids, dtype=np.uint32) for ids in parts])
+
+        return encode
 
 
 class RoomTree:

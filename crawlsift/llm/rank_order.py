@@ -8,18 +8,18 @@ the two ranks, or the profile length where the profile lacks it. The nearest pro
 Profiles are learnt from a sample of the labelled rows, expected to hold ``sample_rows`` per
 language; prediction uses nothing but the text.
 
-Rows: a null text and one without letters are ``und`` with score 0. Rows with a null language are
+Rows: a null text and one without letters (numerals of any kind are none) are ``und`` with score 0. Rows with a null language are
 not learnt from. Ties between n-grams go by their letters, between languages by name. Repeated
-rows are predicted each. Without any labelled row every text is ``und``. Other columns are ignored.
+rows are predicted each. More than ``MAX_LANGUAGES`` languages are an error. Without any labelled row every text is ``und``. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,7 +32,9 @@ PROFILE_GRAMS = 400
 SAMPLE_ROWS = 2_000
 SEED = 23
 UNKNOWN = "und"
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"\P{L}+")
+#: Profiles are broadcast; more languages than this are refused.
+MAX_LANGUAGES = 2_000
 _PIECE_CHARS = 1 << 20
 _BITS = 21  # a code point fits; three of them fit in a signed 64-bit number
 
@@ -113,8 +115,11 @@ def learn(docs: DataFrame, text_col: str, lang_col: str, key: Column, sample_row
         F.pmod(F.xxhash64(F.lit(SEED), key), F.lit(1 << 30)).alias("place"),
     )
     sizes = materialize(known.groupBy("lang").count(), "languages")
-    if sizes.isEmpty():
+    n_languages = sizes.count()
+    if n_languages == 0:
         return Profiles({}, size)
+    if n_languages > MAX_LANGUAGES:
+        raise ValueError(f"{n_languages} languages are more than {MAX_LANGUAGES}")
     reach = F.least(F.lit(1.0), F.lit(sample_rows) / F.col("count")) * (1 << 30)
     picked = known.join(sizes, "lang").where(F.col("place") < reach).select("lang", "text")
 

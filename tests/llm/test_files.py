@@ -5,6 +5,7 @@ import io
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from crawlsift.llm import arc, packing
 from crawlsift.llm.queries import TOKENIZER
@@ -167,3 +168,50 @@ def test_ids_near_both_ends_of_long(spark):
     assert got == expected
     assert arc.long_key(str(top)) == top and arc.long_key(str(low)) == low
     assert arc.long_key(str(top + 1)) is None and arc.long_key(str(low - 1)) is None and arc.long_key("1x") is None
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n", " \n", "\u3000"])
+def test_long_blank_runs(blank, monkeypatch):
+    from tokenizers import Tokenizer
+
+    from crawlsift.llm.queries import BYTE_LEVEL
+
+    library = Tokenizer.from_file(BYTE_LEVEL)
+    tokenizer = packing.Tokenizer.load(TOKENIZER)
+    for n in (20, 30, 50):
+        for text in (blank * n, blank * n + "x", "a" + blank * n + " b", "a " + blank * n + "\x1c 1" + blank * n):
+            monkeypatch.setattr(packing, "BLANK_RUN", 30)
+            assert tokenizer.open()(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    monkeypatch.undo()
+    encode = tokenizer.open()
+    for n in (900_000, 1_000_000, 5_000_000):
+        ids = encode("a" + blank * (n // len(blank)) + "x")
+        assert len(ids) and ids[-1] in encode("x b x" + blank + "x")
+
+
+def test_one_blank_document_does_not_stop_the_rest(spark):
+    docs = spark.createDataFrame([(1, " " * 1_200_000 + "x"), (2, "y")], "doc_id long, text string")
+    found = segments(packing.packed(docs, packing.Tokenizer.load(TOKENIZER)).collect())
+    assert set(found) == {1, 2}
+
+
+def test_archives_of_one_stem_and_one_task_each(spark, folder):
+    import os
+
+    os.makedirs(f"{folder}/arc")
+    for n in range(12):
+        with open(f"{folder}/arc/x{n}.arc.gz", "wb") as file:
+            file.write(archive(1, RECORDS, name=f"x{n}.arc"))
+    with open(f"{folder}/arc/x0.arc", "wb") as file:
+        file.write(archive(1, RECORDS[:1], False, name="x0.arc"))
+    index = arc.arc_index(spark, f"{folder}/arc")
+    assert index.count() == 12 * 3 + 1
+    assert index.groupBy(F.spark_partition_id()).count().count() > 6
+    done = arc.convert_arcs(spark, f"{folder}/arc", f"{folder}/warc").collect()
+    assert len({r.warc for r in done}) == 13 == len(os.listdir(f"{folder}/warc")) and sum(r.records for r in done) == 12 * 4 + 2
+
+
+def test_long_pages_and_other_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "é" * 3_000_000, "x"), (2, "http://b/", None, "y")], "page_id long, url string, html string, record_type string")
+    got = {r.page_id: r.payload_bytes for r in arc.archived_pages(pages).collect()}
+    assert got == {1: 6_000_000, 2: 0}

@@ -5,6 +5,7 @@ import math
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from crawlsift.llm import importance, rank_order, toxicity
@@ -135,6 +136,21 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert rank_order.predict_languages(no_docs, profiles).collect() == []
 
 
+def test_numerals_are_no_letters(spark):
+    texts = ["½ ² ①", "ⅷ", "12 ٣", "_ - !", "ª", "ʰ", "あ", "x ⅷ"]
+    profiles = rank_order.Profiles({"en": rank_order.top_grams(*rank_order.gram_counts("the cat"), 50)})
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in rank_order.predict_languages(docs, profiles).collect()}
+    assert [got[i] for i in range(len(texts))] == ["und"] * 4 + ["en"] * 4
+
+
+def test_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(rank_order, "MAX_LANGUAGES", 2)
+    docs = spark.createDataFrame([(i, "text", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        rank_order.learn(docs, "text", "lang", F.col("doc_id"))
+
+
 def test_toxic_documents(spark):
     documents = spark.read.parquet(f"{BIG}/documents.parquet")
     labels = spark.read.parquet(f"{BIG}/labels.parquet")
