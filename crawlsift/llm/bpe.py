@@ -13,7 +13,7 @@ it and the one that uses it up) no pair that exists at one time has a merge. Tok
 bytes do not lead to are never used.
 
 Nothing is shuffled: a task reads its rows, and its memory is bounded by ``GROUP_CHARS`` of text,
-``KNOWN_WORDS`` remembered words and the ids of one Arrow batch.
+twice ``KNOWN_WORDS`` remembered words and the ids of one Arrow batch.
 
 Rows: null and empty texts have no ids. Very long texts and words (a million blanks) are encoded
 whole. Rows with null or repeated ids are encoded each. An empty table gives an empty table. Other
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Blocks whose characters have had the same classes in all versions of Unicode in use (Latin,
 #: Greek, Cyrillic, general punctuation, kana, common Han, Hangul). Others are split by the library.
 SETTLED = "\\x00-\\u052f\\u1e00-\\u1eff\\u2000-\\u2064\\u3041-\\u3096\\u30a1-\\u30fa\\u4e00-\\u9fa5\\uac00-\\ud7a3"
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 21
 KNOWN_WORDS = 200_000
 KNOWN_PAIRS = 1 << 20
 _PIECE_WORDS = 1 << 16
@@ -82,7 +83,10 @@ class Vocabulary:
         self.pieces |= {t["id"]: t["content"].encode() for t in added}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self._learn_merges([(names[a], names[b], names[a + b]) for a, b in merges])
-        self._grow({i for name, i in names.items() if len(name) == 1})
+        single = {i for name, i in names.items() if len(name) == 1}
+        if len(single) < 256:
+            raise ValueError("not a plain byte-level vocabulary: some bytes have no token")
+        self._grow(single)
 
     def _learn_merges(self, merges: list[tuple[int, int, int]]) -> None:
         """Rank of each merge, and of each token the merge that makes it."""
@@ -172,9 +176,13 @@ class Encoder:
         self.library = Tokenizer.from_str(vocabulary.file.decode()).pre_tokenizer
         names = sorted(vocabulary.special, key=lambda s: (-len(s), s))
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.sizes = {t: len(p) for t, p in vocabulary.pieces.items()}
-        self.known: dict[str, list[int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.sizes = [0] * (max(vocabulary.pieces) + 1)
+        for token, piece in vocabulary.pieces.items():
+            self.sizes[token] = len(piece)
+        #: Ids of known words, as 32-bit integers; ``older`` holds those met before the last change.
+        self.known: dict[str | int, bytes] = {}
+        self.older: dict[str | int, bytes] = {}
+        self.fits: dict[int, bool] = {}
         self.nodes = 0
 
     def words(self, text: str) -> Iterator[list[str | int]]:
@@ -194,7 +202,7 @@ class Encoder:
     def walk(self, words: list[bytes]) -> Iterator[list[int]]:
         """Ids of sorted distinct words: their trie, depth first."""
         v, sizes, fits = self.vocabulary, self.sizes, self.fits
-        step, back, longest, shorter = v.step, v.back, v.longest, v.shorter
+        step, back, longest, shorter = v.step.get, v.back, v.longest, v.shorter
         nodes, last = [0], [-1]
         before = b""
         for word in words:
@@ -205,29 +213,27 @@ class Encoder:
                 while word[at] == before[at]:
                     at += 1
             del nodes[at + 1 :], last[at + 1 :]
+            self.nodes += len(word) - at
             node = nodes[at]
-            for place in range(at, len(word)):
-                byte = word[place]
-                while (key := node << 8 | byte) not in step and node:
+            for byte in word[at:]:
+                at += 1
+                while (longer := step(node << 8 | byte)) is None:
                     node = back[node]
-                node = step.get(key, 0)
+                node = longer
                 token = longest[node]
-                while True:
-                    start = place + 1 - sizes[token]
-                    if start == 0:
-                        break
-                    pair = (last[start], token)
+                # Of the tokens that end here: the longest that may follow what comes before it.
+                while start := at - sizes[token]:
+                    pair = last[start] << 32 | token
                     fit = fits.get(pair)
                     if fit is None:
-                        fit = fits[pair] = v.border(*pair) is None
+                        fit = fits[pair] = v.border(last[start], token) is None
                     if fit:
                         break
                     token = shorter[token]
                 nodes.append(node)
                 last.append(token)
-            self.nodes += len(word) - at
             before = word
-            ids, at = [], len(word)
+            ids = []
             while at:
                 ids.append(last[at])
                 at -= sizes[last[at]]
@@ -237,21 +243,23 @@ class Encoder:
                 fits.clear()
 
     def learn(self, words: set[str | int]) -> None:
-        """Make the ids of ``words`` known."""
+        """Make the ids of ``words`` known. When many are, those not met again lately are forgotten."""
         if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         usable = self.vocabulary.usable
         todo = []
         for word in words.difference(self.known):
-            if isinstance(word, int):
-                self.known[word] = [word]
+            if (ids := self.older.get(word)) is not None:
+                self.known[word] = ids
+            elif isinstance(word, int):
+                self.known[word] = array("i", [word]).tobytes()
             elif (token := usable.get(data := word.encode("utf-8"))) is not None:
-                self.known[word] = [token]
+                self.known[word] = array("i", [token]).tobytes()
             else:
                 todo.append((data, word))
         todo.sort()
         for (_, word), ids in zip(todo, self.walk([data for data, _ in todo])):
-            self.known[word] = ids
+            self.known[word] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of every text; null has none. Words are learnt for ``GROUP_CHARS`` of text at a time."""
@@ -263,8 +271,7 @@ class Encoder:
             nonlocal size
             self.learn(set(itertools.chain.from_iterable(words for _, words in held)))
             for row, words in held:
-                ids = itertools.chain.from_iterable(map(self.known.__getitem__, words))
-                found[row].append(np.fromiter(ids, dtype=np.int32))
+                found[row].append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.int32))
             held.clear()
             size = 0
 
@@ -308,13 +315,14 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: s
     def run(batch: pa.RecordBatch) -> dict:
         pieces = shared.value
 
-        def text(ids: list[int] | None) -> str | None:
-            if ids is None:
+        def text(ids: pa.ListScalar) -> str | None:
+            if not ids.is_valid:
                 return None
-            return b"".join([pieces.get(i, b"") for i in ids]).decode("utf-8", "replace")
+            numbers = ids.values.to_numpy(zero_copy_only=False).tolist()
+            return b"".join([pieces[i] for i in numbers if i in pieces]).decode("utf-8", "replace")
 
         column = batch.column(batch.schema.get_field_index(ids_col))
-        return dict(zip(batch.schema.names, batch.columns)) | {out: [text(ids.as_py()) for ids in column]}
+        return dict(zip(batch.schema.names, batch.columns)) | {out: [text(ids) for ids in column]}
 
     fields = ", ".join(f"`{name}` {kind.simpleString()}" for name, kind in kept.items())
     return map_arrow(rows, run, f"{fields}, `{out}` string")
