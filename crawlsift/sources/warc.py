@@ -1,8 +1,9 @@
 """Archive records as a DataFrame: ``spark.read.format("warc")``.
 
-One input partition is a byte range of one archive. Members of the gzip file are inflated as
-a stream, records over the size cap are skipped without being held in memory, and rows leave
-as Arrow batches of bounded size.
+One input partition is a byte range of one archive, or several small archives. Members of the
+gzip file are inflated as a stream, records over the size cap are skipped without being held in
+memory, and rows leave as Arrow batches of bounded size. Filters on type, content type, length and
+headers are pushed down: a record that cannot pass is dropped before its block is read.
 """
 
 from __future__ import annotations
@@ -10,13 +11,26 @@ from __future__ import annotations
 import codecs
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    LessThan,
+    LessThanOrEqual,
+    StringStartsWith,
+)
 
 from crawlsift.sources.paths import list_files, open_fs
 
@@ -41,6 +55,16 @@ RECORD_SCHEMA = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+#: Columns of the row that ends a byte range, for those who ask for them; null on records.
+RANGE_SCHEMA = T.StructType(
+    [
+        T.StructField("range_start", T.LongType()),
+        T.StructField("range_end", T.LongType()),
+        T.StructField("archive_length", T.LongType()),
+        T.StructField("range_records", T.LongType()),
+        T.StructField("range_errors", T.LongType()),
+    ]
+)
 #: What a job that looks at page or image content needs; header maps cost time to ship.
 SLIM_COLUMNS = [f.name for f in RECORD_SCHEMA if f.name not in ("warc_headers", "http_headers")]
 
@@ -55,8 +79,11 @@ _ARROW_TYPES = {
 }
 
 # Fixed values.
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 DEFAULT_CAP = 4_000_000
 DEFAULT_SPLIT = 256 * 1024 * 1024
+#: What opening an archive costs, in bytes that could be read meanwhile.
+OPEN_BYTES = 1 << 20
 _READ_BYTES = 1 << 20
 _FEED_BYTES = 1 << 14
 _INFLATE_BYTES = 1 << 16
@@ -121,35 +148,39 @@ class _Members:
         self.start = 0
         return data
 
-    def drop(self, size: int | None = None) -> None:
-        """Discard ``size`` bytes, or the rest of the member, without keeping them."""
-        while size is None or size > 0:
+    def drop(self, size: int | None = None) -> int:
+        """Discard ``size`` bytes, or the rest of the member, without keeping them; how many there
+        were."""
+        dropped = 0
+        while size is None or dropped < size:
             have = len(self.out) - self.start
             if have == 0:
                 if self.ended or not self.fill(1):
-                    return
+                    break
                 continue
-            step = have if size is None else min(have, size)
+            step = have if size is None else min(have, size - dropped)
             self.start += step
-            if size is not None:
-                size -= step
+            dropped += step
             if self.start == len(self.out):
                 self.out = bytearray()
                 self.start = 0
+        return dropped
 
     def at_record(self) -> bool:
         """True when the next bytes begin a record."""
         return self.fill(len(_RECORD)) and self.out.startswith(_RECORD, self.start)
 
-    def find_header_end(self) -> int:
-        """Length of the header block at the read position, its blank line included; -1 if none."""
+    def find_header_end(self, limit: int | None = None) -> int:
+        """Length of the header block at the read position, its blank line included; -1 if there
+        is none in the member or its next ``limit`` bytes."""
         size, looked = 4096, 0
         while True:
-            full = self.fill(size)
-            end = header_end(self.out, self.start + looked)
+            full = self.fill(size if limit is None else min(size, limit))
+            stop = len(self.out) if limit is None else min(len(self.out), self.start + limit)
+            end = header_end(self.out, self.start + looked, stop)
             if end >= 0:
                 return end - self.start
-            if not full:
+            if not full or (limit is not None and stop - self.start >= limit):
                 return -1
             have = len(self.out) - self.start
             size, looked = 2 * have, max(0, have - 3)
@@ -163,9 +194,9 @@ class _Members:
         return False
 
 
-def header_end(data: bytes | bytearray, start: int = 0) -> int:
+def header_end(data: bytes | bytearray, start: int = 0, stop: int | None = None) -> int:
     """Where the header block ends that goes up to the first blank line; -1 if there is none."""
-    ends = [at + len(blank) for blank in (b"\r\n\r\n", b"\n\n") if (at := data.find(blank, start)) >= 0]
+    ends = [at + len(blank) for blank in (b"\r\n\r\n", b"\n\n") if (at := data.find(blank, start, stop)) >= 0]
     return min(ends, default=-1)
 
 
@@ -220,38 +251,90 @@ def _charset(content_type: str) -> str | None:
     return None
 
 
-def _record(headers: dict[str, str], block: bytes, wanted: tuple[str, ...] | None) -> dict:
-    row = {
+def _block_length(headers: dict[str, str]) -> int:
+    """The declared length; a missing one is 0, one that is no plain number is damage."""
+    declared = _lookup(headers, "Content-Length")
+    if declared is None:
+        return 0
+    if not re.fullmatch("[0-9]+", declared):
+        raise ValueError(f"Content-Length is no number: {declared[:40]!r}")
+    return int(declared)
+
+
+#: Tests by column: True when a value of the column may pass.
+Tests = dict[str, list[Callable[[object], bool]]]
+#: Columns whose filters are decided from a record's headers.
+TESTED = ("has_headers", "has_http_headers", "warc_type", "target_uri", "content_type", "block_length", "content_length")
+
+
+def _passes(row: dict, tests: Tests) -> bool:
+    """Whether a row passes the tests on those of its columns that are known by now."""
+    return all(test(row[name]) for name, checks in tests.items() if name in row for test in checks)
+
+
+#: What a row is that has none of the columns that tests look at: a damaged or headerless one.
+_UNKNOWN = dict.fromkeys(TESTED)
+
+
+def _head(headers: dict[str, str], length: int) -> dict:
+    """What the headers of a record tell."""
+    return {
         "has_headers": True,
         "has_http_headers": False,
         "warc_type": _lookup(headers, "WARC-Type"),
         "target_uri": _lookup(headers, "WARC-Target-URI"),
+        "content_type": None,
         "warc_headers": list(headers.items()),
-        "block_length": len(block),
-        "content_length": len(block),
+        "block_length": length,
+        "content_length": length,
     }
-    body = block
-    if (_lookup(headers, "Content-Type") or "").lower().startswith("application/http"):
-        end = header_end(block)
-        end = len(block) if end < 0 else end
-        head = _lines(block[:end])
-        body = block[end:]
-        http = _parse_headers(head[1:])
-        kind = (_lookup(http, "Content-Type") or "none").lower()
-        row["has_http_headers"] = True
-        row["http_headers"] = list(http.items())
-        row["content_type"] = kind
-        row["http_charset"] = _charset(kind)
-        row["content_length"] = len(body)
-    if wanted is None or row.get("content_type", "").startswith(wanted):
-        row["payload"] = body
+
+
+def _http_head(raw: bytes) -> dict:
+    """What the HTTP header block of a record tells."""
+    http = _parse_headers(_lines(raw)[1:])
+    kind = (_lookup(http, "Content-Type") or "none").lower()
+    return {"has_http_headers": True, "http_headers": list(http.items()), "content_type": kind, "http_charset": _charset(kind)}
+
+
+def _read_record(
+    members: _Members, headers: dict[str, str], length: int, wanted: tuple[str, ...] | None, tests: Tests
+) -> dict | None:
+    """The record at the read position; None when it fails a test. Headers decide before the rest
+    of the block is read, and a block that is not wanted is dropped without being held."""
+    row = _head(headers, length)
+    is_http = (_lookup(headers, "Content-Type") or "").lower().startswith("application/http")
+    known = row if not is_http else {k: v for k, v in row.items() if k not in ("content_type", "content_length")}
+    known["has_http_headers"] = is_http
+    if not _passes(known, tests):
+        members.drop(length)
+        return None
+    left = length
+    if is_http:
+        end = members.find_header_end(length)
+        end = length if end < 0 else end
+        raw = members.take(end)
+        if len(raw) < end:
+            raise EOFError("record is shorter than its Content-Length")
+        left -= end
+        row |= _http_head(raw) | {"content_length": left}
+        if not _passes(row, tests):
+            members.drop(left)
+            return None
+    if wanted is not None and not (row["content_type"] or "").startswith(wanted):
+        if members.drop(left) < left:
+            raise EOFError("record is shorter than its Content-Length")
+        return row
+    row["payload"] = members.take(left)
+    if len(row["payload"]) < left:
+        raise EOFError("record is shorter than its Content-Length")
     return row
 
 
 def _member_rows(
-    members: _Members, offset: int, cap: int, wanted: tuple[str, ...] | None
+    members: _Members, offset: int, cap: int, wanted: tuple[str, ...] | None, tests: Tests
 ) -> Iterator[dict]:
-    """Rows of the records of the open member."""
+    """Rows of the records of the open member that pass the tests."""
     pending: dict | None = None
     count = 0
     while members.skip_blank():
@@ -262,17 +345,15 @@ def _member_rows(
         size = members.find_header_end() if members.at_record() else -1
         if size < 0:
             members.drop()
-            pending = {"has_headers": False, "has_http_headers": False}
+            headless = {"has_headers": False, "has_http_headers": False}
+            pending = headless if _passes(_UNKNOWN | headless, tests) else None
             break
         headers = _parse_headers(_lines(members.take(size))[1:])
-        length = int(_lookup(headers, "Content-Length") or 0)
+        length = _block_length(headers)
         if length > cap:
             members.drop(length)
             continue
-        block = members.take(length)
-        if len(block) < length:
-            raise EOFError("record is shorter than its Content-Length")
-        pending = _record(headers, block, wanted)
+        pending = _read_record(members, headers, length, wanted, tests)
     members.drop()
     if pending is not None:
         length = members.position - offset if count <= 1 else None
@@ -287,14 +368,16 @@ def iter_records(
     wanted: tuple[str, ...] | None = None,
     read_bytes=_READ_BYTES,
     begin: int = 0,
+    tests: Tests | None = None,
 ) -> Iterator[dict]:
     """Rows of all records whose gzip member starts in [begin, end); reading begins at ``start``.
 
     ``cap`` skips records with a longer block; ``wanted`` keeps payloads only for content
-    types with these prefixes. A damaged member yields one row with ``error``, and reading goes
-    on: with the next member where the damaged one could be inflated, else with the next place
-    where a member holding a record starts.
+    types with these prefixes; ``tests`` drops records by their headers. A damaged member yields
+    one row with ``error``, and reading goes on: with the next member where the damaged one could
+    be inflated, else with the next place where certainly a member of the archive starts.
     """
+    tests = tests or {}
     members = _Members(handle, start, read_bytes)
     while members.position < end:
         offset = members.position
@@ -304,9 +387,9 @@ def iter_records(
             if offset < begin:
                 members.drop()
             else:
-                yield from _member_rows(members, offset, cap, wanted)
+                yield from _member_rows(members, offset, cap, wanted, tests)
         except (EOFError, zlib.error, ValueError) as broken:
-            if offset >= begin:
+            if offset >= begin and _passes(_UNKNOWN, tests):
                 yield {"record_offset": offset, "error": f"{type(broken).__name__}: {broken}"}
             try:
                 members.drop()
@@ -320,15 +403,19 @@ def iter_records(
                 members = _Members(handle, at, read_bytes)
 
 
-def _starts_record(handle, offset: int, size: int) -> bool:
+def _starts_record(handle, offset: int, size: int, damage: bool = False) -> bool:
     """True when members chain from ``offset`` past any stored run and the first is a record.
 
-    A file that ends inside a later member was cut off; what comes before is still genuine.
+    A file that ends inside a later member was cut off; what comes before is still genuine. With
+    ``damage`` so is what comes before a member that begins with a record but is damaged further
+    on: what follows a nested archive is the rest of the member around it, which begins no record.
     """
     members = _Members(handle, offset)
     whole = 0
+    begin = offset
     try:
         while members.position < size and members.position <= offset + _STORED_LIMIT:
+            begin = members.position
             members.open()
             if whole == 0 and not members.at_record():
                 return False
@@ -337,10 +424,19 @@ def _starts_record(handle, offset: int, size: int) -> bool:
     except EOFError:
         return whole > 0
     except zlib.error:
-        return False
+        return damage and whole > 0 and _begins_record(handle, begin)
     return whole > 0
 
 
+def _begins_record(handle, offset: int) -> bool:
+    """True when a member begins here whose first bytes are a record's; it may be damaged later."""
+    handle.seek(offset)
+    try:
+        return zlib.decompressobj(31).decompress(handle.read(4096), len(_RECORD)) == _RECORD
+    except zlib.error:
+        return False
+
+
 def split_archive(size: int, split: int) -> list[tuple[int, int]]:
     """Byte ranges of about ``split`` bytes. A short rest joins the last range, so the end of a
     file, where a chain may be too short to prove anything, is read on from further back."""
@@ -372,16 +468,13 @@ def find_record_start(handle, start: int, end: int, size: int) -> int | None:
 
 
 def _next_member(handle, start: int, end: int) -> int | None:
-    """Where reading goes on after damage: the next whole member that begins with a record."""
-    for at in _magic_places(handle, start, end):
-        members = _Members(handle, at, _FEED_BYTES)
-        try:
-            if members.open() and members.at_record():
-                members.drop()
-                return at
-        except (EOFError, zlib.error):
-            continue
-    return None
+    """Where reading goes on after damage: the next place where certainly a record's member starts.
+
+    An archive nested in the damaged member must not pass for records of this one.
+    """
+    here = handle.seek(0, 2)
+    size = handle.tell() if here is None else here
+    return next((at for at in _magic_places(handle, start, end) if _starts_record(handle, at, size, damage=True)), None)
 
 
 def find_anchor(handle, start: int, size: int) -> int:
@@ -424,25 +517,76 @@ def to_batches(
 
 
 def read_range(
-    path: str, start: int, end: int, size: int, cap: int, wanted: tuple[str, ...] | None
+    path: str,
+    start: int,
+    end: int,
+    size: int,
+    cap: int,
+    wanted: tuple[str, ...] | None,
+    tests: Tests | None = None,
+    mark: bool = False,
 ) -> Iterator[dict]:
-    """Rows of the records of one archive that start in a byte range."""
+    """Rows of the records of one archive that start in a byte range; with ``mark`` one more row
+    that says that the range has been read, and what was in it."""
     fs, inner = open_fs(path)
+    n = errors = 0
     with fs.open_input_file(inner) as handle:
         first = find_anchor(handle, start, size)
-        for row in iter_records(handle, first, end, cap, wanted, begin=start):
+        for row in iter_records(handle, first, end, cap, wanted, begin=start, tests=tests):
             row["archive"] = path
+            n += 1
+            errors += "error" in row
             yield row
+    if mark:
+        yield {
+            "archive": path,
+            "range_start": start,
+            "range_end": end,
+            "archive_length": size,
+            "range_records": n - errors,
+            "range_errors": errors,
+        }
 
 
 @dataclass
-class ArchiveRange(InputPartition):
+class ArchiveRange:
     path: str
     start: int
     end: int
     size: int
 
 
+@dataclass
+class RangeList(InputPartition):
+    """What one task reads: a range of a large archive, or some small archives."""
+
+    ranges: list[ArchiveRange]
+
+
+def pack_ranges(archives: list[tuple[str, int]], split: int, least_parts: int = 1) -> list[RangeList]:
+    """Partitions of about ``split`` bytes, fewer where that would leave less than ``least_parts``.
+
+    Large archives are cut into ranges. Small ones, in order, share a partition until their bytes,
+    and ``OPEN_BYTES`` for opening each, fill it.
+    """
+    total = sum(size + OPEN_BYTES for _, size in archives)
+    room = min(split, max(OPEN_BYTES, total // max(1, least_parts)))
+    parts: list[RangeList] = []
+    held: list[ArchiveRange] = []
+    used = 0
+    for path, size in archives:
+        ranges = [ArchiveRange(path, start, end, size) for start, end in split_archive(size, split)]
+        if len(ranges) > 1:
+            parts += [RangeList([r]) for r in ranges]
+            continue
+        if held and used + size + OPEN_BYTES > room:
+            parts.append(RangeList(held))
+            held, used = [], 0
+        held.append(ranges[0])
+        used += size + OPEN_BYTES
+    return parts + ([RangeList(held)] if held else [])
+
+
 def _payload_types(option: str | None) -> tuple[str, ...] | None:
     """None = all payloads; empty tuple = none; else content-type prefixes."""
     if option is None or option == "all":
@@ -450,43 +594,114 @@ def _payload_types(option: str | None) -> tuple[str, ...] | None:
     return tuple(part for part in option.split(",") if part)
 
 
-def record_schema(columns: list[str] | None) -> T.StructType:
-    if columns is None:
-        return RECORD_SCHEMA
-    unknown = set(columns) - set(RECORD_SCHEMA.names)
+def record_schema(columns: list[str] | None, marks: bool = False) -> T.StructType:
+    """The columns named, or all; with ``marks`` also those of the rows that end byte ranges."""
+    unknown = set(columns or ()) - set(RECORD_SCHEMA.names)
     if unknown:
         raise ValueError(f"no such record columns: {sorted(unknown)}")
-    return T.StructType([f for f in RECORD_SCHEMA if f.name in columns])
+    kept = [f for f in RECORD_SCHEMA if columns is None or f.name in columns]
+    if marks and "archive" not in {f.name for f in kept}:
+        kept.insert(0, RECORD_SCHEMA["archive"])
+    return T.StructType([*kept, *(RANGE_SCHEMA if marks else ())])
+
+
+def _comparison(test: Callable[[object, object], bool], value) -> Callable[[object], bool]:
+    return lambda found: found is not None and test(found, value)
+
+
+_COMPARISONS = {
+    EqualTo: lambda a, b: a == b,
+    In: lambda a, b: a in b,
+    GreaterThan: lambda a, b: a > b,
+    GreaterThanOrEqual: lambda a, b: a >= b,
+    LessThan: lambda a, b: a < b,
+    LessThanOrEqual: lambda a, b: a <= b,
+    StringStartsWith: lambda a, b: a.startswith(b),
+}
+
+
+def _test_of(wanted: Filter) -> tuple[str, Callable[[object], bool]] | None:
+    """Column and test of a filter that headers decide, else None."""
+    if type(wanted) is not IsNotNull and type(wanted) not in _COMPARISONS:
+        return None
+    if len(wanted.attribute) != 1 or wanted.attribute[0] not in TESTED:
+        return None
+    if isinstance(wanted, IsNotNull):
+        return wanted.attribute[0], lambda found: found is not None
+    if wanted.value is None:
+        return None
+    value = tuple(wanted.value) if isinstance(wanted, In) else wanted.value
+    return wanted.attribute[0], _comparison(_COMPARISONS[type(wanted)], value)
+
+
+@dataclass
+class ReadOptions:
+    """What archives are read, and how; shared by batch and stream."""
+
+    roots: list[str]
+    suffix: str
+    cap: int
+    split: int
+    wanted: tuple[str, ...] | None
+    columns: T.StructType
+    filters: list[Filter] = field(default_factory=list)
+
+    @classmethod
+    def of(cls, options, schema: T.StructType) -> "ReadOptions":
+        return cls(
+            options["paths"].split("\n") if "paths" in options else [options["path"]],
+            options.get("suffix", ".warc.gz"),
+            int(options.get("maxContentLength", DEFAULT_CAP)),
+            int(options.get("splitBytes", DEFAULT_SPLIT)),
+            _payload_types(options.get("payload")),
+            schema,
+        )
+
+    def read(self, partition: RangeList) -> Iterator[pa.RecordBatch]:
+        tests: Tests = {}
+        for name, test in filter(None, map(_test_of, self.filters)):
+            tests.setdefault(name, []).append(test)
+        mark = "range_end" in self.columns.names
+        rows = (
+            row
+            for r in partition.ranges
+            for row in read_range(r.path, r.start, r.end, r.size, self.cap, self.wanted, tests, mark)
+        )
+        return to_batches(rows, self.columns)
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options, schema: T.StructType):
-        self.roots = options["paths"].split("\n") if "paths" in options else [options["path"]]
-        self.suffix = options.get("suffix", ".warc.gz")
-        self.cap = int(options.get("maxContentLength", DEFAULT_CAP))
-        self.split = int(options.get("splitBytes", DEFAULT_SPLIT))
-        self.wanted = _payload_types(options.get("payload"))
-        self.columns = schema
-
-    def partitions(self) -> list[ArchiveRange]:
-        return [
-            ArchiveRange(path, start, end, size)
-            for path, size in list_files(self.roots, self.suffix)
-            for start, end in split_archive(size, self.split)
-        ]
-
-    def read(self, partition: ArchiveRange | None) -> Iterator[pa.RecordBatch]:
+        self.options = ReadOptions.of(options, schema)
+        self.least_parts = int(options.get("leastPartitions", 1))
+
+    def partitions(self) -> list[RangeList]:
+        archives = list_files(self.options.roots, self.options.suffix)
+        return pack_ranges(archives, self.options.split, self.least_parts)
+
+    def read(self, partition: RangeList | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # what Spark passes where there are no partitions at all
             return iter(())
-        rows = read_range(
-            partition.path, partition.start, partition.end, partition.size, self.cap, self.wanted
-        )
-        return to_batches(rows, self.columns)
+        return self.options.read(partition)
+
+
+class FilteringWarcReader(WarcReader):
+    """Takes the filters that headers decide; the others stay with Spark."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for wanted in filters:
+            if _test_of(wanted) is None:
+                yield wanted
+            else:
+                self.options.filters.append(wanted)
 
 
 class WarcDataSource(DataSource):
     """Options: ``path`` or ``paths`` (newline-separated), ``maxContentLength``, ``payload``
-    (``all``, empty, or content-type prefixes), ``columns``, ``splitBytes``, ``suffix``."""
+    (``all``, empty, or content-type prefixes), ``columns``, ``marks`` (true: also a row at the
+    end of each byte range), ``splitBytes``, ``leastPartitions``, ``suffix``; ``pushFilters``
+    (true: take filters; needs ``PUSHDOWN`` to be on, and no ``marks``); for streams also ``log``
+    and ``maxBytesPerTrigger``."""
 
     @classmethod
     def name(cls) -> str:
@@ -494,10 +709,17 @@ class WarcDataSource(DataSource):
 
     def schema(self) -> T.StructType:
         columns = self.options.get("columns")
-        return record_schema(columns.split(",") if columns else None)
+        marks = self.options.get("marks", "false").lower() == "true"
+        return record_schema(columns.split(",") if columns else None, marks)
 
     def reader(self, schema: T.StructType) -> WarcReader:
-        return WarcReader(self.options, schema)
+        push = self.options.get("pushFilters", "false").lower() == "true" and "range_end" not in schema.names
+        return (FilteringWarcReader if push else WarcReader)(self.options, schema)
+
+    def streamReader(self, schema: T.StructType):
+        from crawlsift.streaming.source import WarcStreamReader
+
+        return WarcStreamReader(self.options, schema)
 
 
 def read_warc(
@@ -507,13 +729,15 @@ def read_warc(
     payload: bool | list[str] = True,
     columns: list[str] | None = None,
     split_bytes: int = DEFAULT_SPLIT,
+    push_filters: bool = True,
 ) -> DataFrame:
     """One row per archive record below ``paths``.
 
     ``payload`` may be False or a list of content-type prefixes: other records come without
     their bytes. ``columns`` names the columns to produce; a Python source cannot be pruned by
     the optimizer, so jobs say what they read. Archives longer than ``split_bytes`` are read
-    by several tasks.
+    by several tasks, short ones share a task. Filters on the columns ``TESTED`` are pushed down,
+    for which Spark's setting is turned on, unless ``push_filters`` is False.
     """
     from crawlsift.session import attach
 
@@ -526,7 +750,11 @@ def read_warc(
         .option("maxContentLength", max_content_length)
         .option("payload", kinds)
         .option("splitBytes", split_bytes)
+        .option("leastPartitions", spark.sparkContext.defaultParallelism)
+        .option("pushFilters", push_filters)
     )
+    if push_filters:
+        spark.conf.set(PUSHDOWN, "true")
     if payload is False and columns is None:
         columns = [name for name in RECORD_SCHEMA.names if name != "payload"]
     if columns is not None:

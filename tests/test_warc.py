@@ -303,3 +303,109 @@ def test_declared_and_marked_charsets(spark):
     df = spark.createDataFrame(rows, "p binary, want string")
     for row in df.select(decode_html(F.col("p"), F.lit(None).cast("string")).alias("got"), "want").collect():
         assert row["got"].endswith(row["want"])
+
+
+@pytest.mark.parametrize("early", [False, True])
+def test_archive_nested_in_a_damaged_member(spark, folder, early):
+    inner = b"".join(page(f"http://inner/{i}", os.urandom(3_000)) for i in range(3))
+    outer = bytearray(gzip.compress(gzip.decompress(page("http://h/outer", inner)), compresslevel=0))
+    outer[30 if early else -12] ^= 4  # before the inner archive, or behind it
+    pages = [page(f"http://h/{i}", BODY) for i in range(4)]
+    write(f"{folder}/x.warc.gz", pages[0], bytes(outer), pages[1], damaged(page("http://h/bad", os.urandom(900)), "bit"), *pages[2:])
+    for split in (1 << 28, 2_000):
+        rows = read_warc(spark, folder, split_bytes=split).collect()
+        assert sorted(r["target_uri"] for r in rows if r["error"] is None) == [f"http://h/{i}" for i in range(4)]
+        assert sum(r["error"] is not None for r in rows) == 2
+
+
+@pytest.mark.parametrize("length", [b"-5", b"+5", b"1_0", b"x", b"", b"5 5"])
+def test_a_length_that_is_no_number_is_damage(spark, folder, length):
+    plain = gzip.decompress(page("http://h/odd", BODY))
+    head, _, rest = plain.partition(b"\r\n\r\n")
+    lines = [b"Content-Length: " + length if x.startswith(b"Content-Length") else x for x in head.split(b"\r\n")]
+    write(f"{folder}/x.warc.gz", page("http://h/1", BODY), gzip.compress(b"\r\n".join(lines) + b"\r\n\r\n" + rest), page("http://h/2", BODY))
+    rows = read_warc(spark, folder).collect()
+    assert sorted((r["target_uri"] or "", r["error"] is None) for r in rows) == [("", False), ("http://h/1", True), ("http://h/2", True)]
+
+
+FILTERS = [
+    "warc_type = 'response'",
+    "warc_type in ('metadata', 'request')",
+    "content_length >= 200 and content_length < 400",
+    "block_length <= 300",
+    "content_type like 'text/html%'",
+    "target_uri is not null and warc_type = 'response' and content_type = 'image/png'",
+    "target_uri like 'http://h/%' and content_length > 100",
+    "has_http_headers = false",
+    "error is not null or content_length > 0",
+    "content_type is null",
+    "length(payload) > 300 and warc_type = 'response'",
+]
+
+
+def test_pushed_filters_change_no_row(spark, folder):
+    plain = b"".join(gzip.decompress(page(f"http://m/{i}", BODY * i)) for i in range(4))
+    write(
+        f"{folder}/x.warc.gz",
+        *[page(f"http://h/{i}", b"y" * 97 * i) for i in range(8)],
+        member("metadata", "http://h/m", "application/warc-fields", b"a: b" * 70),
+        member("request", "http://h/q", "application/http; msgtype=request", b"GET / HTTP/1.1\r\nHost: h\r\n\r\n"),
+        member("response", "http://h/headless", "application/http", b"no blank line at all" * 20),
+        response("http://h/p", "image/png", png(9, 9, (1, 2, 3))),
+        gzip.compress(b"not a record\r\n\r\n"),
+        gzip.compress(plain),
+        gzip.compress(b"WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"),
+        damaged(page("http://h/bad", os.urandom(700)), "bit"),
+        damaged(page("http://h/long", os.urandom(700)), "length"),
+        page("http://h/last", BODY),
+    )
+    for wanted in FILTERS:
+        seen = []
+        for push in (True, False):
+            rows = read_warc(spark, folder, push_filters=push).filter(wanted)
+            seen.append(sorted(repr(r) for r in rows.collect()))
+            plan = rows._jdf.queryExecution().executedPlan().toString().replace("RuntimeFilters", "")
+            if wanted == FILTERS[0]:
+                assert ("Filter" in plan) != push, plan  # pushed down: Spark filters no more
+        assert seen[0] == seen[1] and seen[0], wanted
+
+
+def test_rejected_blocks_are_not_held(folder):
+    path = f"{folder}/x.warc.gz"
+    write(path, *[page(f"http://h/{i}", os.urandom(200_000)) for i in range(5)], member("metadata", "http://h/m", "application/warc-fields", b"a: b"))
+    taken = []
+    real = warc._Members.take
+    warc._Members.take = lambda self, size: taken.append(size) or real(self, size)
+    try:
+        with open(path, "rb") as handle:
+            tests = {"warc_type": [lambda x: x == "metadata"]}
+            rows = list(iter_records(handle, 0, os.path.getsize(path), 1 << 30, tests=tests))
+    finally:
+        warc._Members.take = real
+    assert [r["target_uri"] for r in rows] == ["http://h/m"] and max(taken) < 1000
+
+
+def test_small_archives_share_partitions(spark, folder):
+    names = [(f"{folder}/{i:05d}.warc.gz", 10_000) for i in range(10_000)]
+    parts = warc.pack_ranges(names, 256 << 20, 8)
+    assert 10 <= len(parts) < 100
+    assert [r.path for p in parts for r in p.ranges] == [path for path, _ in names]
+    mixed = warc.pack_ranges([("a", 5), ("b", 900 << 20), ("c", 7)], 256 << 20, 1)
+    assert [[(r.path, r.start) for r in p.ranges] for p in mixed] == [[("b", i * (256 << 20))] for i in range(4)] + [[("a", 0), ("c", 0)]]
+    assert warc.pack_ranges([], 1, 1) == []
+    for i in range(300):
+        write(f"{folder}/{i % 7}/{i}.warc.gz", page(f"http://h/{i}", BODY))
+    rows = read_warc(spark, folder)
+    assert rows.rdd.getNumPartitions() <= 8
+    assert sorted(int(r["target_uri"][9:]) for r in rows.collect()) == list(range(300))
+
+
+def test_marks_tell_what_was_read(spark, folder):
+    write(f"{folder}/x.warc.gz", *[page(f"http://h/{i}", os.urandom(300)) for i in range(20)], damaged(page("http://h/b", os.urandom(300)), "bit"), page("http://h/c", BODY))
+    size = os.path.getsize(f"{folder}/x.warc.gz")
+    rows = spark.read.format("warc").options(path=folder, marks="true", splitBytes="1000", columns="target_uri").load()
+    marks = rows.filter("range_end is not null").orderBy("range_start").collect()
+    assert [m["range_start"] for m in marks] + [size] == [0] + [m["range_end"] for m in marks] and len(marks) > 3
+    assert {m["archive_length"] for m in marks} == {size}
+    assert sum(m["range_records"] for m in marks) == 21 and sum(m["range_errors"] for m in marks) == 1
+    assert rows.filter("range_end is null and target_uri is not null").count() == 21
