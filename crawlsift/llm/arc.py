@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 
 from crawlsift.llm.common import frugal, join_hot, ready
 from crawlsift.session import materialize, work_dir
-from crawlsift.sinks.record_files import ATOMIC_STORES, _replace
-from crawlsift.sources.paths import decoded_path, open_fs
+from crawlsift.sinks.record_files import ATOMIC_STORES
+from crawlsift.sources.paths import decoded_path, open_fs, replace_file
 from crawlsift.sources.warc import read_warc
 
 # Fixed values.
@@ -246,7 +246,7 @@ def _new_file(directory: str, name: str):
     with fs.open_output_stream(target, compression=None) as out:
         yield out
     if not atomic:
-        _replace(fs, target, path)
+        replace_file(fs, target, path)
 
 
 def _make_folder(directory: str) -> None:
