@@ -34,12 +34,18 @@ from crawlsift.session import attach, materialize, spread, work_dir
 from crawlsift.sinks.record_files import write_alt_pairs, write_pairs, write_record_files
 from crawlsift.sinks.stats import report_rows, write_stats
 from crawlsift.sources.cdx import latest_captures, read_cdx
-from crawlsift.sources.dataset import read_dataset, write_dataset
+from crawlsift.sources.dataset import dataset_shards, read_dataset, write_dataset
 from crawlsift.sources.fetch import fetch_records
 from crawlsift.sources.listing import list_archives
 from crawlsift.sources.paths import base_name
 from crawlsift.sources.warc import SLIM_COLUMNS, read_warc
-from crawlsift.streaming.feed import funnel_snapshots, stream_dataset, stream_warc
+from crawlsift.streaming.feed import (
+    finish,
+    finished_archives_of,
+    funnel_snapshots,
+    stream_dataset,
+    stream_warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -250,6 +256,70 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page responses by filters that the archive source takes over."""
+    records = read_warc(spark, crawl(spark, sf_dir), columns=SLIM_COLUMNS)
+    whole = F.length("payload") == F.col("content_length")
+    return records.filter(K.is_response() & K.is_html()).select(
+        base_name(F.col("archive")).alias("archive"), "target_uri", whole.alias("whole")
+    )
+
+
+def _byte_stream(spark: SparkSession, sf_dir: str, columns: list[str], payload: list[str], cap: int = 150_000) -> DataFrame:
+    """The crawl as a stream whose batches are far smaller than its archives."""
+    return stream_warc(
+        spark,
+        crawl(spark, sf_dir),
+        payload=payload,
+        columns=columns,
+        split_bytes=40_000,
+        log=work_dir(spark, "stream-log"),
+        max_bytes_per_trigger=max(cap, _crawl_bytes(spark, sf_dir) // 12),
+        marks=True,
+    )
+
+
+@_once
+def _crawl_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return list_archives(spark, crawl(spark, sf_dir)).agg(F.sum("length")).first()[0] or 0
+
+
+def stream_byte_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a stream with batches of bounded bytes, stopped once and started again."""
+    stream = _byte_stream(spark, sf_dir, ["archive", "record_offset", "warc_type"], [])
+    target, checkpoint = work_dir(spark, "streamed"), work_dir(spark, "stream-checkpoint")
+    first = stream_dataset(stream, target, checkpoint)  # one batch of what is there
+    first.awaitTermination()
+    finish(stream_dataset(stream, target, checkpoint, "0 seconds"))
+    records = spark.read.schema(stream.schema).parquet(target).filter("range_end IS NULL")
+    return records.groupBy(base_name(F.col("archive")).alias("archive"), "warc_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_finished_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of a stream once they have been read to their end, with what was in them."""
+    done = finished_archives_of(_byte_stream(spark, sf_dir, ["archive"], []))
+    target = work_dir(spark, "finished")
+    finish(stream_dataset(done, target, work_dir(spark, "finished-checkpoint"), "0 seconds"))
+    rows = spark.read.schema(done.schema).parquet(target)
+    return rows.select(base_name(F.col("archive")).alias("archive"), "n_records", "n_errors")
+
+
+def stream_funnel_finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals of outcomes and of archives read to their end."""
+    stream = _byte_stream(spark, sf_dir, SLIM_COLUMNS, [K.HTML_TYPE])
+    target = work_dir(spark, "funnel")
+    finish(
+        funnel_snapshots(
+            text_plans.text_outcomes(stream, _long),
+            checkpoint=work_dir(spark, "funnel-checkpoint"),
+            table_dir=target,
+            interval="0 seconds",
+            finished=True,
+        )
+    )
+    return spark.read.schema("counter string, n long").parquet(target)
+
+
 # --- predicates -----------------------------------------------------------------------------
 
 
@@ -686,10 +756,22 @@ def write_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = work_dir(spark, "pairs")
     keys = ("archive", "record_offset", "position")
     write_pairs(pair_plans.pairs_job(tables(spark, sf_dir)), target, keys)
-    return _read_files(spark, target).select(
+    return _written_pairs(spark, target)
+
+
+def _written_pairs(spark: SparkSession, target: str) -> DataFrame:
+    """Every file of the pair folders: texts by their digest, images by what they show."""
+    files = _read_files(spark, target, "*").filter(F.col("length") > 0)
+    text = base_name(F.col("path")).endswith(".txt")
+    decoded = decode_images(files.withColumn("payload", F.when(~text, F.col("content"))), ["path"])
+    pixels = F.col("image.data")
+    return decoded.select(
         F.regexp_extract("path", r"/([^/]*)-[0-9a-f]{12}/[^/]*$", 1).alias("folder"),
         base_name(F.col("path")).alias("file"),
-        F.md5("content").alias("body_md5"),
+        F.when(base_name(F.col("path")).endswith(".txt"), F.md5("content")).alias("text_md5"),
+        "image.height",
+        "image.width",
+        F.md5(pixels).alias("pixels_md5"),
     )
 
 
@@ -698,10 +780,74 @@ def write_alt_pairs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ("archive", "record_offset", "position")
     write_alt_pairs(_alt_pairs(spark, sf_dir), target, keys)
     lines = F.split(F.col("content").cast("string"), "\n")
-    return _read_files(spark, target, "meta.txt").select(
-        F.regexp_extract("path", r"/([^/]*)-[0-9a-f]{12}/[^/]*$", 1).alias("folder"),
+    meta = _read_files(spark, target, "meta.txt").select(
+        F.regexp_extract("path", r"/([^/]*)/[^/]*$", 1).alias("folder"),
+        lines[0].cast("double").alias("score"),
         F.array_join(F.slice(lines, 2, 3), "\n").alias("meta"),
     )
+    images = _written_pairs(spark, target).filter("text_md5 IS NULL").drop("text_md5")
+    named = meta.withColumn("folder", F.regexp_extract("folder", "(.*)-[0-9a-f]{12}$", 1))
+    return named.unionByName(images, allowMissingColumns=True)
+
+
+def overwrite_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an output that was overwritten after a job that failed half-way."""
+    pages = _table(spark, sf_dir, "pages").select(F.concat("page_id", F.lit(".txt")).alias("name"), F.col("url").alias("body"), "page_id")
+    target = work_dir(spark, "overwritten")
+    write_record_files(pages, target)
+
+    @F.udf("string")
+    def failing(body: str) -> str:
+        raise ValueError("no more")
+
+    half = F.col("page_id") % 2 == 0
+    try:
+        write_record_files(pages.withColumn("body", F.when(half, "new").otherwise(failing("body"))), target, mode="overwrite")
+        outcome = "wrote"
+    except Exception:
+        outcome = "failed"
+    after_failure = _files_of(spark, target, outcome)
+    write_record_files(pages.filter(half).withColumn("body", F.lit("new")), target, mode="overwrite")
+    return after_failure.union(_files_of(spark, target, "overwritten"))
+
+
+def _files_of(spark: SparkSession, target: str, state: str) -> DataFrame:
+    files = _read_files(spark, target).select(
+        F.lit(state).alias("state"), base_name(F.col("path")).alias("name"), F.col("content").cast("string").alias("body")
+    )
+    return materialize(files, "files")
+
+
+def dataset_shards_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of a dataset of which those of one language are cut off and those of another have
+    bytes changed: which are sound, and how many rows are read."""
+    target = work_dir(spark, "shards")
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    rows.repartition(1, "lang").write.partitionBy("lang").parquet(target)
+    damage = (
+        _read_files(spark, target, "*.parquet")
+        .select(F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("lang"), F.regexp_extract("path", "(lang=[^/]*/[^/]*)$", 1).alias("name"), "content", "length")
+        .filter(F.col("lang").isin("fr", "es"))
+    )
+    half = (F.col("length") / 2).cast("int")
+    body = F.when(F.col("lang") == "fr", F.substring("content", F.lit(1), half)).otherwise(
+        F.overlay("content", F.unhex(F.repeat(F.lit("a5"), F.lit(400))), half)
+    )
+    write_record_files(damage.select("name", body.alias("body")), target)
+    schema = "doc_id long, text string, lang string"
+    read = read_dataset(spark, target, schema).groupBy("lang").agg(F.count(F.lit(1)).alias("n_read"))
+    shards = dataset_shards(spark, target, deep=True).select(
+        F.regexp_extract("shard", "/lang=([^/]*)/", 1).alias("lang"), "sound", F.col("problem").substr(1, 6).alias("problem"), "rows"
+    )
+    # How much of a shard with changed bytes can be read depends on where its pages lie.
+    spoiled = F.col("lang") == "es"
+    return shards.join(read, "lang", "left").select(
+        "lang",
+        "sound",
+        "problem",
+        F.when(~spoiled, F.col("rows")).alias("rows"),
+        F.when(~spoiled, F.coalesce("n_read", F.lit(0))).alias("n_read"),
+    )
 
 
 def write_dataset_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -783,6 +929,10 @@ def queries() -> dict[str, Query]:
         "fetch_records_range": fetch_records_range,
         "fetch_records_scan": fetch_records_scan,
         "stream_records": stream_records,
+        "warc_pushed": warc_pushed,
+        "stream_byte_batches": stream_byte_batches,
+        "stream_finished_archives": stream_finished_archives,
+        "stream_funnel_finished": stream_funnel_finished,
         "is_response": is_response,
         "content_type_predicates": content_type_predicates,
         "header_predicates": header_predicates,
@@ -829,7 +979,9 @@ def queries() -> dict[str, Query]:
         "write_record_files": write_record_files_query,
         "write_pairs": write_pairs_query,
         "write_alt_pairs": write_alt_pairs_query,
+        "overwrite_record_files": overwrite_record_files,
         "write_dataset": write_dataset_query,
+        "dataset_shards": dataset_shards_query,
         "report": report,
         "regex_job": regex_job,
         "regex_job_archives": regex_job_archives,

@@ -143,6 +143,9 @@ latest_images AS (
   WHERE n = CASE WHEN p % 10 = 0 THEN 1 ELSE 0 END
 )"""
 
+#: Digest of an image's pixels, three bytes each (red, green, blue), row by row.
+PIXELS_MD5 = "md5(unhex(repeat(printf('%02x%02x%02x', l.r::BIGINT, l.g::BIGINT, l.b::BIGINT), (l.height * l.width)::BIGINT)))"
+
 # image references of pages: ord gives document order; target: page whose image is meant
 REFERENCES = f"""
 refs AS (
@@ -243,6 +246,12 @@ SELECT concat('{HOST}/', p, '.png') AS target_uri, height, width FROM latest_ima
     out["stream_records"] = _with(PG, RECORDS) + f"""
 SELECT {_ARCHIVE_NAME} AS archive, {_RECORD_TYPE} AS warc_type, count(*) AS n FROM records GROUP BY ALL"""
 
+    out["stream_byte_batches"] = out["stream_records"]
+    out["stream_finished_archives"] = _with(PG, RECORDS) + f"""
+SELECT {_ARCHIVE_NAME} AS archive, count(*) AS n_records, 0::BIGINT AS n_errors FROM records GROUP BY ALL"""
+    out["warc_pushed"] = _with(PG, RECORDS) + f"""
+SELECT {_ARCHIVE_NAME} AS archive, url AS target_uri, true AS whole FROM records WHERE kind IN ('page', 'frames', 'large')"""
+
     # predicates
     out["is_response"] = _with(PG, RECORDS) + """
 SELECT kind IN ('page', 'image', 'image2', 'broken', 'svg', 'pdf', 'frames', 'large') AS passed, count(*) AS n
@@ -347,6 +356,8 @@ SELECT counter, count(*) AS n FROM (
 ) GROUP BY ALL"""
     out["funnel_text"] = _with(PG, RECORDS, long_pages) + text_funnel
     out["stream_funnel"] = out["funnel_text"]
+    out["stream_funnel_finished"] = out["funnel_text"] + """
+UNION ALL SELECT 'n_finished_warc_files', count(DISTINCT page_id // 50) FROM pages"""
     out["funnel_image"] = _with(PG, RECORDS, CAPTURES) + """
 SELECT counter, count(*) AS n FROM (
   SELECT CASE WHEN kind IN ('metadata', 'warcinfo') THEN 'n_http_headers_none'
@@ -399,14 +410,28 @@ SELECT vec_id, round(list_sum(embedding::DOUBLE[]), 4) AS prediction FROM embedd
 SELECT page_id, md5({page_text_sql('html')}) AS body_md5 FROM pages"""
     out["write_pairs"] = pairs + f"""
 SELECT concat(translate(base64(encode(i.text_url)[1:64]), '+/', '-_'), '_', translate(base64(encode(i.url)[1:64]), '+/', '-_'), '_1.0000') AS folder,
-  concat(translate(base64(encode(i.text_url)[1:128]), '+/', '-_'), '_1.0000.txt') AS file,
-  md5({export_text_sql('pg.html', 'alts')}) AS body_md5
-FROM images i JOIN latest_images l ON i.target = l.p JOIN pg ON pg.p = i.p"""
+  v.file, v.text_md5, v.height, v.width, v.pixels_md5
+FROM images i JOIN latest_images l ON i.target = l.p JOIN pg ON pg.p = i.p, LATERAL (
+  SELECT concat(translate(base64(encode(i.text_url)[1:128]), '+/', '-_'), '_1.0000.txt') AS file,
+    md5({export_text_sql('pg.html', 'alts')}) AS text_md5, NULL AS height, NULL AS width, NULL AS pixels_md5
+  UNION ALL SELECT concat(translate(base64(encode(i.url)[1:128]), '+/', '-_'), '_1.0000.png'), NULL, l.height, l.width, {PIXELS_MD5}
+) v"""
     out["write_alt_pairs"] = pairs + """
 SELECT concat(translate(base64(encode(i.text_url)[1:64]), '+/', '-_'), '_', translate(base64(encode(i.url)[1:64]), '+/', '-_')) AS folder,
-  concat_ws(chr(10), i.text_url, i.url, i.alt) AS meta
-FROM images i JOIN latest_images l ON i.target = l.p
-WHERE i.alt <> '' AND round(l.r * 100 / 255.0::DOUBLE, 2) >= 20"""
+  v.*
+FROM images i JOIN latest_images l ON i.target = l.p, LATERAL (
+  SELECT round(l.r * 100 / 255.0::DOUBLE, 2) AS score, concat_ws(chr(10), i.text_url, i.url, i.alt) AS meta,
+    NULL AS file, NULL AS height, NULL AS width, NULL AS pixels_md5
+  UNION ALL SELECT NULL, NULL, 'img.png', l.height, l.width, %s
+) v
+WHERE i.alt <> '' AND round(l.r * 100 / 255.0::DOUBLE, 2) >= 20""" % PIXELS_MD5
+    out["overwrite_record_files"] = """
+SELECT 'failed' AS state, concat(page_id, '.txt') AS name, url AS body FROM pages
+UNION ALL SELECT 'overwritten', concat(page_id, '.txt'), 'new' FROM pages WHERE page_id % 2 = 0"""
+    out["dataset_shards"] = """
+SELECT lang, lang NOT IN ('fr', 'es') AS sound, CASE lang WHEN 'fr' THEN 'footer' WHEN 'es' THEN 'pages:' END AS problem,
+  CASE WHEN lang NOT IN ('fr', 'es') THEN count(*) END AS rows, CASE lang WHEN 'fr' THEN 0 WHEN 'es' THEN NULL ELSE count(*) END AS n_read
+FROM documents GROUP BY lang"""
     out["write_dataset"] = "SELECT doc_id, text, lang, 1.0::DOUBLE AS prediction FROM documents"
     out["report"] = """
 SELECT source AS url, round(n_chars / 1000.0::DOUBLE, 3) AS prediction FROM documents"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -15,10 +16,12 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from crawlsift.functions.naming import alt_metadata, export_name, pair_directory
 from crawlsift.session import release_memory
-from crawlsift.sources.paths import open_fs
+from crawlsift.sources.paths import open_fs, replace_file
 
 # Object stores show a file only once it is complete, so nothing is renamed.
 ATOMIC_STORES = ("s3", "gcs", "abfs")
+#: Files of an object store that are moved at a time.
+SWITCH_THREADS = 32
 
 
 @dataclass
@@ -26,30 +29,34 @@ class Written(WriterCommitMessage):
     files: int
 
 
-def _replace(fs: pafs.FileSystem, source: str, target: str) -> None:
-    """Rename over ``target``; some file systems refuse that while an older file exists."""
-    try:
-        fs.move(source, target)
-    except OSError:
-        fs.delete_file(target)
-        fs.move(source, target)
-
-
 class RecordFilesWriter(DataSourceArrowWriter):
     """Writes column ``body`` under the relative path in column ``name``.
 
-    A file is written under a temporary name and renamed by the task itself (object stores need
-    no rename). Names and bodies come from the row alone, so a repeated or speculative task
-    writes the same files again and nothing has to pass the driver but the number of files.
+    A job has a folder of its own below the directory, whose name starts with a dot; commit and
+    abort clear it (a task that outlives its job's abort may leave some of it, which no reader
+    sees and the next overwrite clears). Tasks write files there and rename them to their place (object stores show a
+    file only once it is complete, so nothing is renamed there). Names and bodies come from the row
+    alone, so a repeated or speculative task writes the same files again and nothing has to pass
+    the driver but the number of files.
+
+    With ``overwrite`` the whole output is staged in that folder and takes the place of the old one
+    at commit, so a job that fails leaves the old output as it was.
     """
 
-    def __init__(self, directory: str):
+    def __init__(self, directory: str, overwrite: bool = False):
         self.directory = directory
+        self.overwrite = overwrite
+        self.job = f".job-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+    def _places(self) -> tuple[pafs.FileSystem, str, str]:
+        """File system, the output directory, and where its files are put for now."""
         fs, base = open_fs(self.directory)
         base = base.rstrip("/")
-        attempt = uuid.uuid4().hex
+        return fs, base, f"{base}/{self.job}/staged" if self.overwrite else base
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        fs, base, place = self._places()
+        attempt = f"{base}/{self.job}/{uuid.uuid4().hex}"
         atomic = fs.type_name in ATOMIC_STORES
         known: set[str] = set()
         count = 0
@@ -58,28 +65,62 @@ class RecordFilesWriter(DataSourceArrowWriter):
                 relative = name.as_py()
                 if relative is None or ".." in relative.split("/"):
                     raise ValueError(f"not a relative file name: {relative!r}")
-                path = f"{base}/{relative}"
-                folder = path.rsplit("/", 1)[0]
-                if not atomic and folder not in known:
-                    fs.create_dir(folder, recursive=True)
-                    known.add(folder)
-                target = path if atomic else f"{folder}/.{attempt}"
+                path = f"{place}/{relative}"
+                for folder in (path.rsplit("/", 1)[0], attempt.rsplit("/", 1)[0]):
+                    if not atomic and folder not in known:
+                        fs.create_dir(folder, recursive=True)
+                        known.add(folder)
+                target = path if atomic else attempt
                 with fs.open_output_stream(target, compression=None) as stream:
                     stream.write(body.as_py() or b"")
                 if not atomic:
-                    _replace(fs, target, path)
+                    replace_file(fs, target, path)
                 count += 1
         release_memory()
         return Written(count)
 
     def commit(self, messages) -> None:
-        fs, base = open_fs(self.directory)
+        fs, base, place = self._places()
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base.rstrip('/')}/_SUCCESS"):
+        if self.overwrite:
+            fs.create_dir(place, recursive=True)
+            old = [e for e in fs.get_file_info(pafs.FileSelector(base)) if e.base_name != self.job]
+            self._switch(fs, base, place, old)
+        self._clear(fs, base)
+        with fs.open_output_stream(f"{base}/_SUCCESS"):
             pass
 
+    def _switch(self, fs: pafs.FileSystem, base: str, place: str, old: list[pafs.FileInfo]) -> None:
+        """Put the staged files in the place of the old ones, which wait in the job's folder."""
+        if fs.type_name in ATOMIC_STORES:  # no folders to rename: files are moved side by side
+            staged = [e.path for e in fs.get_file_info(pafs.FileSelector(place, recursive=True)) if e.type == pafs.FileType.File]
+            new = {f"{base}{path.removeprefix(place)}" for path in staged}
+            with ThreadPoolExecutor(SWITCH_THREADS) as pool:
+                list(pool.map(lambda path: fs.move(path, f"{base}{path.removeprefix(place)}"), staged))
+                left = [e.path for o in old for e in _files(fs, o) if e.path not in new]
+                list(pool.map(fs.delete_file, left))
+            return
+        away = f"{base}/{self.job}/old"
+        fs.create_dir(away, recursive=True)
+        for entry in old:
+            fs.move(entry.path, f"{away}/{entry.base_name}")
+        for entry in fs.get_file_info(pafs.FileSelector(place)):
+            fs.move(entry.path, f"{base}/{entry.base_name}")
+
     def abort(self, messages) -> None:
-        """Files already written stay, as names are stable; the success marker is missing."""
+        """What an appending job has written stays, as names are stable; the marker is missing."""
+        fs, base, _ = self._places()
+        self._clear(fs, base)
+
+    def _clear(self, fs: pafs.FileSystem, base: str) -> None:
+        if fs.get_file_info(f"{base}/{self.job}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{base}/{self.job}")
+
+
+def _files(fs: pafs.FileSystem, entry: pafs.FileInfo) -> list[pafs.FileInfo]:
+    if entry.type != pafs.FileType.Directory:
+        return [entry]
+    return [e for e in fs.get_file_info(pafs.FileSelector(entry.path, recursive=True)) if e.type == pafs.FileType.File]
 
 
 class RecordFilesDataSource(DataSource):
@@ -93,13 +134,7 @@ class RecordFilesDataSource(DataSource):
         )
 
     def writer(self, schema: T.StructType, overwrite: bool) -> RecordFilesWriter:
-        directory = self.options["path"]
-        if not overwrite:
-            return RecordFilesWriter(directory)
-        fs, base = open_fs(directory)
-        if fs.get_file_info(base).type == pafs.FileType.Directory:
-            fs.delete_dir_contents(base)
-        return RecordFilesWriter(directory)
+        return RecordFilesWriter(self.options["path"], overwrite)
 
 
 def write_record_files(

@@ -1,19 +1,32 @@
-"""Continuous runs: new archives as a stream of records, running totals of outcomes."""
+"""Continuous runs: new archives as a stream of records, running totals of outcomes, archives that
+have been read to their end."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from crawlsift.operators.outcome import FINISHED_ARCHIVES
 from crawlsift.session import attach
 from crawlsift.sinks.stats import stats_json
 from crawlsift.sources.paths import open_fs, plain_path
-from crawlsift.sources.warc import DEFAULT_CAP, DEFAULT_SPLIT, read_range, record_schema, to_batches
-
+from crawlsift.sources.warc import (
+    DEFAULT_CAP,
+    DEFAULT_SPLIT,
+    RANGE_SCHEMA,
+    read_range,
+    record_schema,
+    to_batches,
+)
+
+#: Tasks that the byte ranges of a batch are dealt to.
+STREAM_TASKS_PER_CORE = 2
 _LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -25,22 +38,50 @@ def stream_warc(
     payload: list[str] | None = None,
     columns: list[str] | None = None,
     split_bytes: int = DEFAULT_SPLIT,
+    log: str | None = None,
+    max_bytes_per_trigger: int | None = None,
+    marks: bool = False,
 ) -> DataFrame:
     """Stream of archive records from archives that appear below ``root``.
 
-    Spark's file source finds and remembers the archives (each is read exactly once, whatever
-    its name); their contents are streamed by the tasks, never loaded whole. At most
-    ``max_files_per_trigger`` archives enter a batch, so a slow consumer is never flooded.
+    Without ``log``, Spark's file source finds and remembers the archives (each is read exactly
+    once, whatever its name), and at most ``max_files_per_trigger`` whole archives enter a batch.
+    With ``log``, a shared folder that belongs to this query, batches are bounded by
+    ``max_bytes_per_trigger`` and may end inside an archive, so one that is larger than a batch
+    should be is read over several. Run such a stream at an interval and ``finish`` it: a run that
+    takes what is available once takes one batch. Either way contents are streamed by the tasks,
+    never loaded whole.
+
+    ``marks`` adds the columns of ``RANGE_SCHEMA`` and a row after the records of each byte range.
     """
     attach(spark)
-    schema = record_schema(columns)
+    schema = record_schema(columns, marks)
+    cores = spark.sparkContext.defaultParallelism
+    if log is not None:
+        stream = (
+            spark.readStream.format("warc")
+            .option("path", root)
+            .option("log", log)
+            .option("maxContentLength", max_content_length)
+            .option("payload", "all" if payload is None else ",".join(payload))
+            .option("splitBytes", split_bytes)
+            .option("leastPartitions", cores)
+            .option("marks", marks)
+        )
+        if columns is not None:
+            stream = stream.option("columns", ",".join(columns))
+        if max_bytes_per_trigger is not None:
+            stream = stream.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        return stream.load()
+    if max_bytes_per_trigger is not None:
+        raise ValueError("max_bytes_per_trigger needs a log")
     wanted = None if payload is None else tuple(payload)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = ("path", "start", "end", "length")
             for path, start, end, size in zip(*(batch.column(n).to_pylist() for n in names)):
-                rows = read_range(path, start, end, size, max_content_length, wanted)
+                rows = read_range(path, start, end, size, max_content_length, wanted, mark=marks)
                 yield from to_batches(rows, schema)
 
     archives = (
@@ -66,7 +107,51 @@ def stream_warc(
             .alias("end"),
         )
     )
-    return ranges.repartition("path", "start").mapInArrow(read, schema)
+    # With its number given, adaptive execution does not pack the small list into one task.
+    return ranges.repartition(STREAM_TASKS_PER_CORE * cores, "path", "start").mapInArrow(read, schema)
+
+
+def finish(query: StreamingQuery) -> StreamingQuery:
+    """Wait until a query that runs at an interval has read all there is, and stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
+def finished_archives_of(rows: DataFrame) -> DataFrame:
+    """``(archive, n_ranges, n_records, n_errors)``: one row when an archive has been read to its
+    end, in whatever order and however many batches its byte ranges come.
+
+    ``rows`` is a stream with ``marks``. State is kept for archives that have begun only, four
+    numbers each; rows of records do not reach it.
+    """
+
+    def add(key: tuple, ranges: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        read, n, records, errors = state.get if state.exists else (0, 0, 0, 0)
+        length = 0
+        for part in ranges:
+            read += int((part["range_end"] - part["range_start"]).sum())
+            n += len(part)
+            records += int(part["range_records"].sum())
+            errors += int(part["range_errors"].sum())
+            length = int(part["archive_length"].iloc[0])
+        if read < length:
+            state.update((read, n, records, errors))
+            return
+        if state.exists:
+            state.remove()
+        yield pd.DataFrame({"archive": [key[0]], "n_ranges": [n], "n_records": [records], "n_errors": [errors]})
+
+    marks = rows.filter(F.col("range_end").isNotNull()).select("archive", *RANGE_SCHEMA.names)
+    return marks.groupBy("archive").applyInPandasWithState(
+        add,
+        "archive string, n_ranges long, n_records long, n_errors long",
+        "read long, n_ranges long, n_records long, n_errors long",
+        "append",
+        GroupStateTimeout.NoTimeout,
+    )
 
 
 def funnel_snapshots(
@@ -78,21 +163,40 @@ def funnel_snapshots(
     table_dir: str | None = None,
     console: bool = False,
     interval: str | None = None,
+    finished: bool = False,
 ) -> StreamingQuery:
     """Running totals of outcomes, refreshed every ``interval`` (or once over what is there).
 
     ``totals`` names further counters and what a row adds to each, such as its regex matches.
-    State is one row per counter. Each snapshot replaces the JSON file and the Parquet table
+    ``finished`` also counts the archives read to their end without an error; ``rows`` then come
+    from a stream with ``marks``. State is one row per counter, and per archive with ``finished``,
+    as an archive may go on in a later batch. Each snapshot replaces the JSON file and the Parquet table
     of the one before, and may be printed.
     """
-    added = {**(totals or {})}
-    entries = [F.struct(F.col(outcome).alias("counter"), F.lit(1).cast("long").alias("n"))]
-    for name, weight in added.items():
-        n = F.coalesce(weight.cast("long"), F.lit(0).cast("long"))
-        entries.append(F.struct(F.lit(name).alias("counter"), n.alias("n")))
-    counts = rows.select(F.inline(F.array(*entries))).groupBy("counter").agg(F.sum("n").alias("n"))
+    nothing = F.lit(0).cast("long")
+
+    def entry(name: Column, n: Column, archive=F.lit(None).cast("string"), errors=nothing, length=nothing) -> Column:
+        parts = {"counter": name, "archive": archive, "n": n, "errors": errors, "length": length}
+        return F.struct(*[value.alias(key) for key, value in parts.items()])
+
+    entries = [entry(F.col(outcome), F.lit(1).cast("long"))]
+    for name, weight in (totals or {}).items():
+        entries.append(entry(F.lit(name), F.coalesce(weight.cast("long"), nothing)))
+    added = F.array(*entries)
+    if finished:
+        read = F.col("range_end") - F.col("range_start")
+        mark = entry(F.lit(FINISHED_ARCHIVES), read, F.col("archive"), F.col("range_errors"), F.col("archive_length"))
+        added = F.when(F.col("range_end").isNotNull(), F.array(mark)).otherwise(added)
+    counts = (
+        rows.select(F.inline(added))
+        .groupBy("counter", "archive")
+        .agg(F.sum("n").alias("n"), F.sum("errors").alias("errors"), F.max("length").alias("length"))
+    )
+    whole = (F.col("n") == F.col("length")) & (F.col("errors") == 0)
 
     def publish(snapshot: DataFrame, _: int) -> None:
+        n = F.when(F.col("archive").isNull(), F.col("n")).otherwise(whole.cast("long"))
+        snapshot = snapshot.groupBy("counter").agg(F.sum(n).alias("n"))
         snapshot = snapshot.coalesce(1).persist()
         try:
             if console:
