@@ -8,13 +8,14 @@ from collections.abc import Callable
 from functools import wraps
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import crawl_fixture
-from checks.sql import CAP, PATTERN, VOCABULARY_SIZE
-from crawlsift.functions.charset import decode_html
+from checks.sql import CAP, HAN, KANA, LATIN, PATTERN, UNDECLARED, VOCABULARY_SIZE
+from crawlsift.functions.charset import charset_detector, charset_profile, decode_html
 from crawlsift.functions.html import body_html, extract_text, has_body
 from crawlsift.functions.image import CHANNEL_MEAN, CHANNEL_STD, resize_images
 from crawlsift.functions.language import language_detector, language_profile
@@ -427,6 +428,33 @@ def decode_html_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", "variant", F.md5(decoded).alias("html_md5"))
 
 
+def charset_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return charset_profile(_texts(spark, sf_dir, "documents", "text"), "text", ["windows-1252"])
+
+
+@F.pandas_udf(T.BinaryType())
+def _encoded(texts: pd.Series, names: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else t.encode(n) for t, n in zip(texts, names)], dtype=object)
+
+
+def undeclared_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a page in nine charsets that nothing declares, decoded by the guess.
+
+    Two scripts come from the Latin letters one by one. Texts with fewer than eight letters beyond
+    ASCII give a guess too little to go by and are left out, but those without any.
+    """
+    texts = _texts(spark, sf_dir, "documents", "doc_id", "text")
+    profile = charset_profile(texts, "text", ["windows-1252", "cp850", "mac-roman"])
+    lower = F.lower("text")
+    scripts = {"latin": F.col("text"), "kana": F.translate(lower, LATIN, KANA), "han": F.translate(lower, LATIN, HAN)}
+    variants = [F.struct(F.lit(name).alias("charset"), scripts[script].alias("shown")) for name, script in UNDECLARED]
+    rows = texts.select("doc_id", F.inline(F.array(*variants)))
+    beyond = F.regexp_count("shown", F.lit("[^\\x00-\\x7f]"))
+    rows = rows.filter((beyond == 0) | (beyond >= 8) | F.col("charset").isin("utf-8", "utf-16-le"))
+    decoded = decode_html(_encoded("shown", "charset"), F.lit(None).cast("string"), charset_detector(profile))
+    return rows.select("doc_id", "charset", F.md5(decoded).alias("text_md5"))
+
+
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_images(spark, sf_dir).select(
         "text_url", F.col("position").cast("long").alias("position"),
@@ -944,6 +972,8 @@ def queries() -> dict[str, Query]:
         "page_text": page_text,
         "page_export_text": page_export_text,
         "decode_html": decode_html_query,
+        "charset_profile": charset_profile_query,
+        "undeclared_charsets": undeclared_charsets,
         "page_images": page_images,
         "resolve_url": resolve_url_query,
         "vocabulary": vocabulary,

@@ -11,6 +11,16 @@ PATTERN = "and the|of the|is on|the th"
 VOCABULARY_SIZE = 2000
 CAP = 200_000
 
+# Charsets of pages that declare none, with the script of their text; letters and what stands for
+# them in the other scripts.
+UNDECLARED = [
+    ("utf-8", "latin"), ("windows-1252", "latin"), ("cp850", "latin"), ("mac-roman", "latin"), ("utf-16-le", "latin"),
+    ("shift_jis", "kana"), ("euc_jp", "kana"), ("gb18030", "han"), ("big5", "han"),
+]
+LATIN = "abcdefghijklmnopqrstuvwxyzäçèéêíñóöüß"
+KANA = "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆ"
+HAN = "的一是不了人我在有他中大上年生到地子出也自可下天心日成小水月山工力口文方手"
+
 HOST = "http://img.example.org"
 
 # --- pages of the crawl ---------------------------------------------------------------------
@@ -285,6 +295,24 @@ SELECT vec_id, prediction > 0.1 AS strict, true AS inclusive FROM s WHERE predic
     out["decode_html"] = """
 SELECT page_id, v.variant::INTEGER AS variant, md5(html) AS html_md5
 FROM pages CROSS JOIN (SELECT unnest(range(0, 4)) AS variant) v"""
+    out["charset_profile"] = """
+WITH codes AS (SELECT list_transform(string_split(text, ''), lambda x: unicode(x)) AS c FROM documents),
+pairs AS (
+  SELECT unnest(list_transform(range(1, len(c)), lambda i: CASE WHEN c[i] >= 128 OR c[i + 1] >= 128 THEN 256 * c[i] + c[i + 1] END)) AS pair
+  FROM codes WHERE list_max(c) < 256 AND len(list_filter(c, lambda x: x BETWEEN 128 AND 159)) = 0
+),
+counts AS (SELECT pair, count(*) AS n FROM pairs WHERE pair IS NOT NULL GROUP BY pair)
+SELECT 'windows-1252' AS charset, pair::INTEGER AS pair, n,
+  CAST(round(1000000 * ln((n + 1.0::DOUBLE) / (sum(n) OVER () + 65536.0::DOUBLE))) AS BIGINT) AS weight FROM counts"""
+    shown = {
+        "latin": "text",
+        "kana": f"translate(lower(text), '{LATIN}', '{KANA}')",
+        "han": f"translate(lower(text), '{LATIN}', '{HAN}')",
+    }
+    variants = " UNION ALL ".join(f"SELECT doc_id, '{name}' AS charset, {shown[script]} AS shown FROM documents" for name, script in UNDECLARED)
+    out["undeclared_charsets"] = f"""
+SELECT doc_id, charset, md5(shown) AS text_md5 FROM ({variants})
+WHERE len(regexp_extract_all(shown, '[^\\x00-\\x7f]')) NOT BETWEEN 1 AND 7 OR charset IN ('utf-8', 'utf-16-le')"""
     out["page_images"] = _with(PG, REFERENCES) + """
 SELECT text_url, position, url AS image_url, alt FROM images"""
     out["resolve_url"] = """

@@ -1,9 +1,20 @@
-"""Page bytes to text."""
+"""Page bytes to text.
+
+A page whose charset nobody declares and whose bytes are no UTF-8 is guessed from its bytes: by the
+rules of multi-byte encodings, which few other texts obey, and by byte-pair profiles of single-byte
+ones, learnt from labelled texts.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import regex
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +29,191 @@ BYTE_ORDER_MARKS = [
 ]
 # Charset labels the JVM path reads itself.
 _UTF8 = ["utf-8", "utf8", "utf_8", "us-ascii", "ascii"]
+# Multi-byte encodings as patterns of their characters, and the lead (and trail) bytes
+# of kana and of the characters in daily use, which the standards put into blocks of their own.
+#: name: (one character, kana or None, daily characters)
+MULTI_BYTE = {
+    "shift_jis": (
+        rb"[\x00-\x7f\xa1-\xdf]|[\x81-\x9f\xe0-\xfc][\x40-\x7e\x80-\xfc]",
+        rb"\x82[\x9f-\xf1]|\x83[\x40-\x96]",
+        rb"\x81[\x40-\xac]|\x82[\x4f-\xf1]|\x83[\x40-\x96]|[\x88-\x97][\x40-\xfc]|\x98[\x40-\x72]",
+    ),
+    "euc_jp": (
+        rb"[\x00-\x7f]|\x8e[\xa1-\xdf]|\x8f[\xa1-\xfe]{2}|[\xa1-\xfe]{2}",
+        rb"[\xa4\xa5][\xa1-\xf6]",
+        rb"[\xa1\xa3-\xa5\xb0-\xcf][\xa1-\xfe]",
+    ),
+    "gb18030": (
+        rb"[\x00-\x80]|[\x81-\xfe](?:[\x40-\x7e\x80-\xfe]|[\x30-\x39][\x81-\xfe][\x30-\x39])",
+        None,
+        rb"[\xa1\xa3\xb0-\xd7][\xa1-\xfe]",
+    ),
+    "big5": (
+        rb"[\x00-\x7f]|[\x81-\xfe][\x40-\x7e\xa1-\xfe]",
+        None,
+        rb"[\xa1-\xa3][\x40-\xfe]|[\xa4-\xc5][\x40-\xfe]|\xc6[\x40-\x7e]",
+    ),
+}
+#: A multi-byte guess needs so many of its characters, half of them next to another one (accented
+#: letters of single-byte texts stand alone), so large a share of them in daily use, and where a
+#: script has kana, so large a share of kana.
+LEAST_CHARACTERS = 4
+LEAST_NEIGHBOURS = 0.5
+LEAST_DAILY = 0.7
+LEAST_KANA = 0.15
+#: A page of UTF-16 without a mark has zero bytes on one side of so many of its pairs.
+LEAST_ZEROS = 0.3
+#: Profiles of more charsets than this are refused, as they travel to the workers.
+MAX_CHARSETS = 64
+WEIGHT_SCALE = 1_000_000
+_PAIRS = 1 << 16
+_FALLBACK = "windows-1252"
+
+
+def high_pairs(data: bytes) -> np.ndarray:
+    """The pairs of neighbouring bytes of which one is not ASCII, as numbers."""
+    values = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+    left, right = values[:-1], values[1:]
+    return (left << 8 | right)[(left | right) >= 128]
+
+
+def charset_profile(df: DataFrame, text: str, charsets: list[str]) -> DataFrame:
+    """``(charset, pair, n, weight)``: the byte pairs of texts written in each of ``charsets``.
+
+    A text counts for the charsets that have all of its characters. ``weight`` is the logarithm of
+    the pair's smoothed share, in millionths. Counts combine before the shuffle; there are at most
+    65,536 rows a charset.
+    """
+    if len(charsets) > MAX_CHARSETS:
+        raise ValueError(f"more than {MAX_CHARSETS} charsets")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {name: np.zeros(_PAIRS, dtype=np.int64) for name in charsets}
+        for batch in batches:
+            for body in batch["text"].dropna():
+                for name in charsets:
+                    try:
+                        data = body.encode(name)
+                    except UnicodeEncodeError:
+                        continue
+                    pairs, n = np.unique(high_pairs(data), return_counts=True)
+                    totals[name][pairs] += n
+        for name, total in totals.items():
+            (pairs,) = np.nonzero(total)
+            yield pd.DataFrame({"charset": name, "pair": pairs.astype(np.int32), "n": total[pairs]})
+
+    counts = (
+        df.select(F.col(text).cast("string").alias("text"))
+        .mapInPandas(count, "charset string, pair int, n long")
+        .groupBy("charset", "pair")
+        .agg(F.sum("n").alias("n"))
+    )
+    total = F.sum("n").over(W.partitionBy("charset"))  # at most _PAIRS rows a charset
+    weight = F.round(WEIGHT_SCALE * F.log((F.col("n") + 1.0) / (total + float(_PAIRS))))
+    return counts.select("charset", "pair", "n", weight.cast("long").alias("weight"))
+
+
+@lru_cache
+def _multi_byte_patterns() -> dict:
+    """Whole-text, kana and daily-use patterns, compiled; possessive, so they read a page once."""
+    return {
+        name: (
+            regex.compile(rb"(?:" + one + rb")*+"),
+            regex.compile(one),
+            None if kana is None else regex.compile(kana),
+            regex.compile(daily),
+        )
+        for name, (one, kana, daily) in MULTI_BYTE.items()
+    }
+
+
+def _multi_byte(data: bytes) -> str | None:
+    """The multi-byte encoding whose rules the bytes obey and whose daily characters they are."""
+    best, chosen = 0.0, None
+    for name, (whole, one, kana, daily) in _multi_byte_patterns().items():
+        end = whole.match(data).end()
+        if len(data) - end > 3:  # a page may be cut off inside its last character
+            continue
+        characters = one.findall(data[:end])
+        wide = [m for m in characters if len(m) > 1]
+        if len(wide) < LEAST_CHARACTERS:
+            continue
+        is_wide = np.fromiter(map(len, characters), dtype=np.int64) > 1
+        beside = np.zeros(len(is_wide), dtype=bool)
+        beside[1:] |= is_wide[:-1]
+        beside[:-1] |= is_wide[1:]
+        if (is_wide & beside).sum() < LEAST_NEIGHBOURS * len(wide):
+            continue
+        if kana is not None and sum(bool(kana.fullmatch(m)) for m in wide) < LEAST_KANA * len(wide):
+            continue
+        share = sum(bool(daily.fullmatch(m)) for m in wide) / len(wide)
+        if share >= LEAST_DAILY and share > best:
+            best, chosen = share, name
+    return chosen
+
+
+def _unmarked_utf16(data: bytes) -> str | None:
+    """UTF-16 without a byte-order mark, told by the zero bytes of its ASCII characters."""
+    if len(data) < 4 or b"\0" not in data:
+        return None
+    values = np.frombuffer(data[: len(data) & ~1], dtype=np.uint8).reshape(-1, 2) == 0
+    first, second = values.mean(axis=0)
+    if max(first, second) < LEAST_ZEROS or min(first, second) > LEAST_ZEROS / 4:
+        return None
+    return "utf-16-be" if first > second else "utf-16-le"
+
+
+class CharsetGuess:
+    """Guesses the charset of bytes that are no UTF-8; holds the profiles' weights."""
+
+    def __init__(self, weights: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.names = sorted(weights)
+        self.weights = np.zeros((len(self.names), _PAIRS))
+        for i, name in enumerate(self.names):
+            pairs, values = weights[name]
+            # Pairs that a profile lacks weigh less than any that it has.
+            self.weights[i] = min(values, default=0.0) - WEIGHT_SCALE
+            self.weights[i, pairs] = values
+
+    def guess(self, data: bytes) -> str:
+        found = _unmarked_utf16(data) or _multi_byte(data)
+        if found is not None:
+            return found
+        pairs, n = np.unique(high_pairs(data), return_counts=True)
+        if not self.names or not len(pairs):
+            return _FALLBACK
+        scores = self.weights[:, pairs] @ n
+        best = int(scores.argmax())
+        # Between charsets that read the page alike the usual one is taken.
+        if _FALLBACK in self.names and scores[self.names.index(_FALLBACK)] >= scores[best]:
+            return _FALLBACK
+        return self.names[best]
+
+
+def charset_detector(profile: DataFrame | None = None) -> Callable[[Column], Column]:
+    """Function ``bytes column -> charset`` for bytes that are no UTF-8 and declare none.
+
+    The profile has a proven bound (MAX_CHARSETS x 65,536 numbers) and travels with the function.
+    Without one, single-byte pages are windows-1252. Null bytes give null.
+    """
+    weights: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+    if profile is not None:
+        bound = MAX_CHARSETS * _PAIRS
+        rows = profile.select("charset", "pair", "weight").limit(bound + 1).toPandas()
+        if len(rows) > bound:
+            raise ValueError(f"profile exceeds {MAX_CHARSETS} charsets")
+        for name, part in rows.groupby("charset"):
+            weights[name] = part["pair"].to_numpy(), part["weight"].to_numpy(dtype=float)
+    guess = CharsetGuess(weights)
+
+    @F.pandas_udf(T.StringType())
+    def detect(payload: pd.Series) -> pd.Series:
+        return pd.Series([None if data is None else guess.guess(bytes(data)) for data in payload], dtype=object)
+
+    def detect_charset(payload: Column) -> Column:
+        return detect(payload)
+
+    return detect_charset
 
 
 @F.pandas_udf(T.StringType())
@@ -33,22 +229,29 @@ def _decode_other(payload: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([one(d, c) for d, c in zip(payload, charset)], dtype=object)
 
 
-def page_charset(payload: Column, http_charset: Column) -> Column:
+def page_charset(
+    payload: Column, http_charset: Column, detect: Callable[[Column], Column] | None = None
+) -> Column:
     """Charset of a page: the HTTP one, else the one of its byte-order mark, else the first one
-    that a ``<meta>`` declares, else UTF-8 when the bytes are valid UTF-8, else windows-1252."""
+    that a ``<meta>`` declares, else UTF-8 when the bytes are valid UTF-8, else what ``detect``
+    (a ``charset_detector``) makes of them, else windows-1252.
+
+    Only pages that come to ``detect`` are sent to Python. UTF-16 of ASCII characters is valid
+    UTF-8 with zero bytes, which no page in UTF-8 holds, so these go to ``detect``, too.
+    """
     text = payload.cast("string")
     declared = F.lower(F.regexp_extract(text, _META, 1))
     head = F.hex(F.substring(payload, 1, 4))
     marked = F.lit(None).cast("string")
     for mark, name in reversed(BYTE_ORDER_MARKS):
         marked = F.when(head.startswith(mark), name).otherwise(marked)
-    return F.coalesce(
-        F.lower(http_charset),
-        marked,
-        F.when(declared != "", declared),
-        F.when(F.is_valid_utf8(text), F.lit("utf-8")),
-        F.lit("windows-1252"),
-    )
+    known = F.coalesce(F.lower(http_charset), marked, F.when(declared != "", declared))
+    utf8 = F.is_valid_utf8(text)
+    if detect is None:
+        return F.coalesce(known, F.when(utf8, F.lit("utf-8")), F.lit(_FALLBACK))
+    zero = F.contains(payload, F.lit(b"\0"))
+    unknown = known.isNull() & payload.isNotNull() & (zero | ~utf8)
+    return F.coalesce(known, detect(F.when(unknown, payload)), F.lit("utf-8"))
 
 
 def decode_as(payload: Column, charset: Column) -> Column:
@@ -64,6 +267,8 @@ def decode_as(payload: Column, charset: Column) -> Column:
     )
 
 
-def decode_html(payload: Column, http_charset: Column) -> Column:
-    """Decode page bytes by their HTTP charset, else the detected one."""
-    return decode_as(payload, page_charset(payload, http_charset))
+def decode_html(
+    payload: Column, http_charset: Column, detect: Callable[[Column], Column] | None = None
+) -> Column:
+    """Decode page bytes by their HTTP charset, else the declared or detected one."""
+    return decode_as(payload, page_charset(payload, http_charset, detect))
