@@ -6,7 +6,9 @@ are merged over overlapping windows and removed; the first occurrence keeps its
 another repeat covers them. Each removed line's first occurrence is kept, so no line vanishes.
 
 Only hashes are shuffled to find repeats, pre-aggregated; a hash that a large share of all windows
-has is dealt to many tasks. Removed places are gathered per document, whose text is as long.
+has is dealt to many tasks. Removed places are gathered per document, whose text is as long. Texts
+that lose nothing stay where they are, told apart by a bit filter of fixed size; the others are
+shuffled to their removed places.
 
 Rows: null and empty texts have no lines and stay as they are, as do texts of fewer than three
 lines. Lines are compared without surrounding ASCII white space. Null ids sort last. Rows that repeat an
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsift.llm.common import free_name, frugal, join_hot, ready
+from crawlsift.llm.common import free_name, frugal, join_hot, may_hold, ready
 from crawlsift.session import materialize
 
 # Fixed values.
@@ -101,14 +103,18 @@ def remove_repeated_lines(
     """
     ready(docs.sparkSession)
     docs = docs.drop(total_col, removed_col)
-    doc, body, places = (free_name(docs, c) for c in ("_doc", "_body", "_places"))
-    found = repeated_places(docs, id_col, text_col, size).toDF(doc, body, places)
-    joined = docs.join(
-        found,
-        F.col(id_col).cast("long").eqNullSafe(F.col(doc))
-        & (F.xxhash64(F.col(text_col).cast("string")) == F.col(body)),
-        "left",
-    ).drop(doc, body)
+    doc, body, places, hit = (free_name(docs, c) for c in ("_doc", "_body", "_places", "_hit"))
+    found = materialize(repeated_places(docs, id_col, text_col, size).toDF(doc, body, places), "places")
+    # The body's hash alone says whether a text may lose lines; equal texts mostly do together.
+    text_hash = F.xxhash64(F.col(text_col).cast("string"))
+    marked = may_hold(docs, text_hash, found, F.col(body), hit)
+    looked_up = (
+        marked.where(hit)
+        .join(found, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (text_hash == F.col(body)), "left")
+        .drop(doc, body, hit)
+    )
+    in_place = marked.where(~F.col(hit)).drop(hit).withColumn(places, F.lit(None).cast("array<int>"))
+    joined = in_place.union(looked_up)
     at = docs.columns.index(text_col)
     fields = [T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in docs.schema.fields]
     schema = T.StructType([*fields, T.StructField(total_col, T.LongType()), T.StructField(removed_col, T.LongType())])

@@ -6,7 +6,9 @@ allowed epochs) gives what it cannot use to its siblings. As every node's capaci
 before, shortages reach an ancestor's siblings only when the whole subtree is exhausted.
 
 A leaf whose budget covers it ``n`` times is taken in ``n`` whole epochs and a token-prefix of
-the next one, in an order seeded by epoch. The order key decides alone, so a leaf's choice comes
+the next one, in an order seeded by epoch. The document in which the budget runs out is drawn: it
+is taken as often, over all seeds, as the share of it that the budget still covers, so that a leaf
+is expected to get its budget however few documents it has. The order key decides alone, so a leaf's choice comes
 down to one cut key: ever narrower hash buckets find where it lies, and only the last one it falls
 in is ordered row by row. No leaf, however large, is sorted in one task and no text is shuffled.
 
@@ -63,6 +65,11 @@ def order_key(epoch: Column, doc_id: Column, seed: int) -> Column:
     return F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), name)), 1, KEY_HEX)
 
 
+def _draw(key: Column) -> Column:
+    """A number from 0 to 2**32 - 1 for the document in which a budget runs out."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit("draw:"), key)), 1, 8), 16, 10).cast("double")
+
+
 def _weight(column: str, weights: dict[str, float], other: float) -> Column:
     out = F.lit(float(other))
     for name, weight in weights.items():
@@ -97,6 +104,8 @@ def _share_out(nodes: DataFrame, parents: list[str], weight: str, capacity: str,
 
 def leaf_budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
     """``leaves`` (domain, lang, source, tokens) with the budget of each leaf."""
+    leaves = materialize(leaves, "leaves")
+    total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * float(mix.share)
     weighed = leaves.select(
         "*",
         _weight("domain", mix.domains, mix.other).alias("w1"),
@@ -108,8 +117,7 @@ def leaf_budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
         F.when((F.col("w1") > 0) & (F.col("w2") > 0) & (F.col("w3") > 0), F.col("tokens") * float(mix.max_epochs))
         .otherwise(0.0),
     )
-    total = F.sum("tokens").over(W.partitionBy("root")) * F.lit(float(mix.share))
-    weighed = weighed.withColumn("b0", total)
+    weighed = weighed.withColumn("b0", F.lit(total))
     # Levels are windows over all leaves: each node's values stand on one of its leaves.
     langs = weighed.groupBy("root", "b0", "domain", "w1", "lang", "w2").agg(F.sum("capacity").alias("capacity"))
     domains = langs.groupBy("root", "b0", "domain", "w1").agg(F.sum("capacity").alias("capacity"))
@@ -177,16 +185,19 @@ def leaf_plan(sized: DataFrame, mix: Mixture) -> DataFrame:
         border = materialize(_border(_inside(rows, border, depth - LEVEL_HEX), depth), "border")
     inside = _inside(rows, border, LEVELS * LEVEL_HEX)
     by_key = W.partitionBy("leaf").orderBy("key").rangeBetween(W.unboundedPreceding, W.currentRow)
-    last = (
-        inside.withColumn("reach", F.col("before") + F.sum("tokens").over(by_key))
-        .where("reach <= rest")
-        .groupBy("leaf")
-        .agg(F.max("key").alias("last"))
+    reached = inside.withColumn("reach", F.col("before") + F.sum("tokens").over(by_key)).groupBy("leaf", "key", "rest").agg(
+        F.max("reach").alias("reach"), F.sum("tokens").alias("tokens")
+    )
+    over = F.col("reach") > F.col("rest")
+    last = reached.groupBy("leaf").agg(
+        F.max(F.when(~over, F.col("key"))).alias("last"),
+        F.min(F.when(over, F.struct("key", "tokens", (F.col("rest") - F.col("reach") + F.col("tokens")).alias("left")))).alias("next"),
     )
+    drawn = _draw(F.col("next.key")) * F.col("next.tokens").cast("double") < F.col("next.left").cast("double") * F.lit(4294967296.0)
     cuts = border.join(last, "leaf", "left").select(
         "leaf",
         # Every key of an earlier bucket sorts before the bare name of the border bucket.
-        F.coalesce("last", "bucket").alias("cut"),
+        F.when(drawn, F.col("next.key")).otherwise(F.coalesce("last", "bucket")).alias("cut"),
     )
     return budgets.join(cuts, "leaf", "left").select(
         "leaf", "domain", "lang", "source", "docs", "tokens", "budget", "whole", F.coalesce("cut", F.lit("")).alias("cut")

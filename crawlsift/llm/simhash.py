@@ -4,8 +4,9 @@ A small tree, built from a bounded sample of fingerprints, cuts the fingerprint
 shards. A node splits by Hamming distance ``d`` to its vantage point: fingerprints with
 ``d <= mu`` go inside, those with ``d > mu - radius`` outside. By the triangle inequality two
 fingerprints within ``radius`` of each other always meet on one side, so every link is found in
-some shard, and a shard only overlaps its neighbours near the boundary. Inside a shard the same
-tree goes on down to small blocks that are compared exactly.
+some shard, and a shard only overlaps its neighbours near the boundary. Shards that hold too much
+for a task are cut again, by trees from samples of their own, until all fit. Inside a shard the
+same tree goes on down to small blocks that are compared exactly.
 
 Fingerprints so crowded that no vantage point divides them (a large group of near copies) are
 linked through their neighbours at distance one: two fingerprints are within 2 exactly when they
@@ -20,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,8 +47,14 @@ SAMPLE_LIMIT = 131_072
 SAMPLE_PER_SHARD = 64
 #: Blocks up to this size are compared pair by pair.
 BLOCK = 192
-#: A shard with more distinct fingerprints is linked by a Spark join instead of in one task.
-SHARD_LIMIT = 1_000_000
+#: A shard of more distinct fingerprints is cut further; a task needs up to 2.6 kB for each (when
+#: they are crowded), so 130 MB at most.
+SHARD_POINTS = 50_000
+#: Fingerprints of a shard that shape its tree, and bits that name the tree's leaves.
+SHARD_SAMPLE = 2_048
+LEAF_BITS = 8
+#: Trees below the top one; their leaves' names fill a long.
+MAX_LEVELS = 5
 _MASKS = np.array([0] + [1 << i for i in range(BITS)], dtype=np.uint64)
 
 
@@ -206,7 +214,7 @@ def shard_links(points: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, n
 
 
 def _shared_neighbours(points: DataFrame) -> DataFrame:
-    """Links of a crowded shard as a Spark join: a key has at most 65 fingerprints."""
+    """Links of crowded shards as a Spark join: a key has at most 65 fingerprints."""
     masks = [int(m) for m in _MASKS.view(np.int64)]
     keyed = points.select(
         "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m)) for m in masks])).alias("near")
@@ -215,47 +223,105 @@ def _shared_neighbours(points: DataFrame) -> DataFrame:
     return keyed.join(least, "near").where("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b"))
 
 
+def _dealt(points: pa.RecordBatch, trees: dict[int, Node | int]) -> dict:
+    """``shard`` and ``fp`` of points that have a shard each, routed on by the trees of the shards."""
+    shards = points.column(0).to_numpy(zero_copy_only=False)
+    prints = points.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+    names, found = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.uint64)]
+    order = np.argsort(shards, kind="stable")
+    cuts = np.nonzero(np.diff(shards[order]))[0] + 1
+    for at in np.split(order, cuts):
+        shard = int(shards[at[0]])
+        for leaf, inside in route(trees[shard], prints[at]):
+            names.append(np.full(len(inside), shard << LEAF_BITS | leaf, dtype=np.int64))
+            found.append(prints[at[inside]])
+    return {"shard": np.concatenate(names), "fp": np.concatenate(found).view(np.int64)}
+
+
+def _deeper(over: DataFrame, sizes: DataFrame, level: int) -> tuple[DataFrame, set[int]]:
+    """Shards that hold too much, routed on by trees grown from samples of them; and those whose
+    sample no vantage point divides. A tree is a few kB and has fewer than 2**LEAF_BITS leaves."""
+    spark = over.sparkSession
+    step = F.greatest(F.lit(1), F.ceil(F.col("count") / SHARD_SAMPLE)).cast("long")
+    sample = over.join(sizes, "shard").where(F.pmod(F.xxhash64("fp", F.lit(level)), step) == 0).select("shard", "fp")
+    leaf = max(1, SHARD_SAMPLE // 32)
+
+    def grow(points: pa.Table) -> pa.Table:
+        found = np.sort(points.column("fp").to_numpy().view(np.uint64))
+        found = np.random.default_rng(SEED).permutation(found)
+        tree, leaves = build_tree(found, leaf=leaf)
+        while leaves >= 1 << LEAF_BITS:
+            found = found[::2]
+            tree, leaves = build_tree(found, leaf=leaf)
+        return pa.table({"shard": points.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    rows = sample.groupBy("shard").applyInArrow(grow, "shard long, tree binary").collect()
+    trees = {r.shard: pickle.loads(bytes(r.tree)) for r in rows}
+    whole = {shard for shard, tree in trees.items() if not isinstance(tree, Node)}
+    shared = spark.sparkContext.broadcast(trees)
+    routed = map_arrow(over.select("shard", "fp"), lambda batch: _dealt(batch, shared.value), "shard long, fp long")
+    return routed, {shard << LEAF_BITS for shard in whole}
+
+
 def fingerprint_links(
     distinct: DataFrame,
     sample_step: int = SAMPLE_STEP,
     leaf: int = SAMPLE_PER_SHARD,
-    shard_limit: int = SHARD_LIMIT,
+    shard_limit: int = SHARD_POINTS,
 ) -> DataFrame:
     """Links ``(a, b)`` that connect all distinct fingerprints ``fp`` within 2 bits.
 
     Within a shard a component comes as a star around one member, so there are no more links
     than routed rows. The sample for the top tree takes one fingerprint in ``sample_step``, or
-    fewer so that it stays below ``SAMPLE_LIMIT``; it decides only how work is dealt out.
+    fewer so that it stays below ``SAMPLE_LIMIT``; shards of more than ``shard_limit`` fingerprints
+    are cut by trees of their own, again and again until all fit. Samples decide only how work is
+    dealt out.
     """
     spark = distinct.sparkSession
     step = max(sample_step, -(-distinct.count() // SAMPLE_LIMIT))
     rows = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(step)) == 0).collect()
     sample = np.sort(np.array([r.fp for r in rows], dtype=np.int64).view(np.uint64))
     sample = np.random.default_rng(SEED).permutation(sample)
-    tree, n_shards = build_tree(sample, leaf=leaf)
+    tree, _ = build_tree(sample, leaf=leaf)
+    shared = spark.sparkContext.broadcast(tree)
 
     def deal(batch: pa.RecordBatch) -> dict:
         points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        parts = list(route(tree, points))
+        parts = list(route(shared.value, points))
         return {
-            "shard": np.repeat([s for s, _ in parts], [len(at) for _, at in parts]).astype(np.int32),
+            "shard": np.repeat([s for s, _ in parts], [len(at) for _, at in parts]).astype(np.int64),
             "fp": points[np.concatenate([at for _, at in parts])].view(np.int64),
         }
 
-    routed = materialize(map_arrow(distinct.select("fp"), deal, "shard int, fp long"), "shards")
-    sizes = routed.groupBy("shard").count().where(F.col("count") > shard_limit)
-    crowded = [r.shard for r in sizes.collect()]  # at most n_shards numbers
-
     def link(shard: pa.Table) -> pa.Table:
         points = np.sort(shard.column("fp").to_numpy().view(np.uint64))
         a, b = shard_links(points)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    small = routed.where(~F.col("shard").isin(crowded)) if crowded else routed
-    links = small.groupBy("shard").applyInArrow(link, "a long, b long")
-    if crowded:
-        links = links.union(_shared_neighbours(routed.where(F.col("shard").isin(crowded)).select("fp").distinct()))
-    return links
+    routed = materialize(map_arrow(distinct.select("fp"), deal, "shard long, fp long"), "shards")
+    links: DataFrame | None = None
+    crowded: set[int] = set()
+    for level in itertools.count():
+        sizes = materialize(routed.groupBy("shard").count(), "sizes")
+        large = sizes.where(F.col("count") > shard_limit)
+        # Shards that nothing divides are linked by a join over their fingerprints' neighbours.
+        hopeless = F.col("shard").isin(sorted(crowded)) if crowded else F.lit(False)
+        if level == MAX_LEVELS:
+            hopeless = F.lit(True)
+        fits = routed.join(large.select("shard"), "shard", "left_anti")
+        found = fits.groupBy("shard").applyInArrow(link, "a long, b long")
+        links = found if links is None else links.union(found)
+        if large.isEmpty():
+            return links
+        over = routed.join(large.select("shard"), "shard", "left_semi")
+        packed = over.where(hopeless)
+        if not packed.isEmpty():
+            links = links.union(_shared_neighbours(packed.select("fp").distinct()))
+        over = over.where(~hopeless)
+        if over.isEmpty():
+            return links
+        dealt, crowded = _deeper(over, large, level)
+        routed = materialize(dealt, "shards")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -96,10 +96,16 @@ WITH docs AS (
          left(md5('17:' || coalesce(budget // nullif(total, 0), 0) || ':' || doc_id), 16) AS key
   FROM sized s JOIN budgets USING (domain, lang, source)
 ), placed AS (
-  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS reach FROM keyed
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS reach,
+         sum(tokens) OVER (PARTITION BY domain, lang, source, key) AS alike FROM keyed
+), drawn AS (
+  SELECT *, rest > 0 AND (reach <= rest OR (reach - alike <= rest
+         AND ('0x' || left(md5('draw:' || key), 8))::BIGINT::DOUBLE * alike::DOUBLE
+             < (rest - reach + alike)::DOUBLE * 4294967296.0::DOUBLE)) AS taken
+  FROM placed
 )
-SELECT doc_id, domain, lang, source, tokens, (whole + (rest > 0 AND reach <= rest)::INT)::INT AS epochs
-FROM placed WHERE whole + (rest > 0 AND reach <= rest)::INT > 0
+SELECT doc_id, domain, lang, source, tokens, (whole + taken::INT)::INT AS epochs
+FROM drawn WHERE whole + taken::INT > 0
 """
 
 

@@ -109,6 +109,26 @@ def test_links_with_small_and_oversize_shards(spark):
         assert groups(points, [(unsigned(r.a), unsigned(r.b)) for r in links]) == expected
 
 
+def test_shards_are_cut_over_three_levels(spark, monkeypatch):
+    points = np.unique(np.concatenate([crowded(300), np.random.default_rng(8).integers(0, 1 << 63, 3000, dtype=np.uint64)]))
+    table = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    levels = []
+    deeper = simhash._deeper
+    monkeypatch.setattr(simhash, "_deeper", lambda *args: levels.append(args[2]) or deeper(*args))
+    monkeypatch.setattr(simhash, "SHARD_SAMPLE", 60)
+    links = simhash.fingerprint_links(table, sample_step=1000, shard_limit=150).collect()
+    assert max(levels) >= 2
+    assert groups(points, [(unsigned(r.a), unsigned(r.b)) for r in links]) == groups(points, all_pairs(points))
+
+
+def test_copies_of_a_fingerprint_stay_few():
+    points = np.random.default_rng(5).integers(0, 1 << 63, 60_000, dtype=np.uint64)
+    tree, shards = simhash.build_tree(points[:4096])
+    parts = [len(at) for _, at in simhash.route(tree, points)]
+    assert shards > 50 and max(parts) < 0.1 * len(points)
+    assert sum(parts) < 6 * len(points)  # of 64 random bits each level keeps some 10 % on both sides
+
+
 def test_connected_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)]
