@@ -3,6 +3,8 @@
 Every text is encoded by both; the bytes of the tokens of either side, joined, are a blank and the
 text. Byte offsets where tokens of both sides end cut them into groups. The two tokens that end
 there together are linked, and a pair of ids counts as often as it is linked in all documents.
+Neither side has a token across a blank that follows other characters, so a text is aligned part by
+part between such blanks, and a task aligns equal parts once.
 
 First pass: every task aligns its documents and sums the pairs it meets; the distinct pairs get a
 minimal perfect hash, every task's sums become a dense vector indexed by it, and vectors are added
@@ -24,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,12 @@ from crawlsift.session import BROADCAST_LIMIT_BYTES, materialize
 _BLANK_PIECE = "▁"
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 GROUP_CHARS = 1 << 20
-#: A text this long is handed to the piece model in parts, cut before a blank that follows none.
-PART_CHARS = 1 << 20
-_PART_END = re.compile(f"(?<=[^ {_BLANK_PIECE}]) (?=.)", re.S)
-_HELD_PAIRS = 1 << 21
+#: Distinct parts that a task remembers.
+KNOWN_PARTS = 300_000
+#: A cut between parts: a blank that follows another character and has one behind it.
+_CUT = re.compile(r"(?<=\S) (?=.)", re.S)
+#: Blanks that are no cut: beside white space, or at either end.
+_NO_CUT = re.compile(r"\s |^ | $")
 #: Key, count and mark of a pair, and its bits in the hash.
 _PAIR_BYTES = 32
 
@@ -63,8 +68,8 @@ class Tokenizers:
             bytes([int(m[1], 16)]) if b.is_byte(i) and (m := _BYTE_PIECE.fullmatch(name)) else name.replace(_BLANK_PIECE, " ").encode()
             for i, name in enumerate(names)
         ]
-        # Merges that never cross a blank allow a long text to be cut there.
-        self.cut = not any(_BLANK_PIECE in name.lstrip(_BLANK_PIECE) for name in names)
+        if any(_BLANK_PIECE in name.lstrip(_BLANK_PIECE) for name in names):
+            raise ValueError("the piece model has tokens across a blank")
         self.pairs = self._bound()
         if self.pairs * _PAIR_BYTES > BROADCAST_LIMIT_BYTES:
             raise ValueError(f"vocabularies with up to {self.pairs} pairs are too large to broadcast their counts")
@@ -88,7 +93,7 @@ def _sizes(pieces: dict[int, bytes]) -> np.ndarray:
 
 @dataclass
 class Aligned:
-    """Tokens of some texts one after another, and the places of the tokens that end together."""
+    """Tokens of some parts one after another, and the places of the tokens that end together."""
 
     n_a: np.ndarray
     n_b: np.ndarray
@@ -100,64 +105,79 @@ class Aligned:
     def pairs(self) -> np.ndarray:
         return self.a[self.cut_a].astype(np.int64) << 32 | self.b[self.cut_b].astype(np.int64)
 
+    def rows(self) -> np.ndarray:
+        """The part that each link belongs to."""
+        return np.searchsorted(np.cumsum(self.n_a), self.cut_a, side="right")
+
+
+@dataclass
+class LinkCounts:
+    """Corpus counts of linked pairs: by the perfect hash, the pair, its count, whether it is a
+    most frequent one of its B id."""
+
+    hashed: perfect_hash.PerfectHash
+    keys: np.ndarray
+    counts: np.ndarray
+    best: np.ndarray
+
+    def look_up(self, pairs: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs, each verified by its key."""
+        numbers = self.hashed.numbers(pairs)
+        if len(pairs) and ((numbers < 0).any() or (self.keys[numbers] != pairs).any()):
+            raise ValueError("a linked pair was not counted: the documents changed between the passes")
+        return numbers
+
 
 class Aligner:
-    """Aligns texts; lives in a task."""
+    """Aligns texts; lives in a task. With ``counts`` it also looks every link up."""
+
+    #: Columns of what is known of a part.
+    N_A, N_B, N_LINKS, N_BEST, COUNT_SUM = range(5)
 
-    def __init__(self, tokenizers: Tokenizers):
+    def __init__(self, tokenizers: Tokenizers, counts: LinkCounts | None = None):
         import sentencepiece
 
         self.t = tokenizers
+        self.counts = counts
         self.encoder = Encoder(tokenizers.a)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=tokenizers.model)
         self.a_sizes = _sizes(tokenizers.a_pieces)
         self.b_sizes = _sizes(dict(enumerate(tokenizers.b_pieces)))
         seps = ";", ",", "|"  # a group's first token, further tokens, the first one of B
-        width = max(len(self.a_sizes), len(self.b_sizes))
-        self.width = width
-        self.names = [sep + str(i) for sep in seps for i in range(width)]
-
-    def parts(self, text: str) -> Iterator[str]:
-        """Parts of a long text; the model puts back the blank that is left out between them."""
-        at = 0
-        while self.t.cut and (cut := _PART_END.search(text, at + PART_CHARS)):
-            yield text[at : cut.start()]
-            at = cut.start() + 1
-        yield text[at:]
-
-    def b_ids(self, texts: list[str]) -> list[list[int]]:
-        if sum(map(len, texts)) <= 2 * PART_CHARS:
-            return self.model.encode(texts, num_threads=1)
-        found = []
-        for text in texts:
-            ids: list[int] = []
-            for part in self.parts(text):
-                ids += self.model.encode(part)
-            found.append(ids)
-        return found
-
-    def align(self, texts: list[str | None]) -> Aligned:
-        full = [" " + text if text else None for text in texts]
-        a_ids = self.encoder.encode(full)
-        b_ids: list = [()] * len(texts)
-        some = [i for i, text in enumerate(texts) if text]
-        for i, ids in zip(some, self.b_ids([texts[i] for i in some])):
-            b_ids[i] = ids
+        self.width = max(len(self.a_sizes), len(self.b_sizes))
+        self.names = [sep + str(i) for sep in seps for i in range(self.width)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.facts = np.zeros((0, 5), dtype=np.int64)
+        self.pairs = np.zeros(0, dtype=np.int64)
+        self.shown: list[str] = []
+
+    def align(self, parts: list[str]) -> Aligned:
+        """Tokens of parts, each with a blank before it; a part has none whose tokens' bytes differ."""
+        texts = [" " + part for part in parts]
+        a_ids = self.encoder.encode_bytes(texts)
+        b_ids = self.model.encode(parts, num_threads=1)
+        n_a = np.fromiter(map(len, a_ids), dtype=np.int64, count=len(parts)) // 4
+        n_b = np.fromiter(map(len, b_ids), dtype=np.int64, count=len(parts))
+        a = np.frombuffer(b"".join(a_ids), dtype=np.int32)
+        b = np.fromiter(chain.from_iterable(b_ids), dtype=np.int32, count=int(n_b.sum()))
         a_piece, b_piece = self.t.a_pieces.__getitem__, self.t.b_pieces.__getitem__
-        for i in some:
-            data = full[i].encode()
-            if b"".join(map(b_piece, b_ids[i])) != data or b"".join(map(a_piece, a_ids[i].tolist())) != data:
-                a_ids[i], b_ids[i] = a_ids[i][:0], ()
-        n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (a_ids, b_ids))
-        a = np.concatenate(a_ids) if a_ids else np.empty(0, dtype=np.int32)
-        b = np.concatenate([np.array(ids, dtype=np.int32) for ids in b_ids]) if b_ids else a
+        a_bytes, b_bytes = list(map(a_piece, a.tolist())), list(map(b_piece, b.tolist()))
+        if not b"".join(a_bytes) == b"".join(b_bytes) == "".join(texts).encode():
+            good = np.ones(len(parts), dtype=bool)
+            for i, (text, x, y) in enumerate(zip(texts, np.cumsum(n_a), np.cumsum(n_b))):
+                good[i] = b"".join(a_bytes[x - n_a[i] : x]) == b"".join(b_bytes[y - n_b[i] : y]) == text.encode()
+            a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+            n_a, n_b = n_a * good, n_b * good
         a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        at = np.searchsorted(b_end, a_end)  # both sides of a text have the same bytes in all
+        at = np.searchsorted(b_end, a_end)  # both sides of a part have the same bytes in all
         cut_a = np.nonzero(b_end[np.minimum(at, len(b_end) - 1)] == a_end)[0] if len(b_end) else np.empty(0, dtype=np.int64)
         return Aligned(n_a, n_b, a, b, cut_a, at[cut_a])
 
     def group_texts(self, found: Aligned) -> list[str]:
-        """Groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+        """Groups of each part as ``a1,a2|b1;a3|b2,b3``."""
         group_a = np.searchsorted(found.cut_a, np.arange(len(found.a)))
         group_b = np.searchsorted(found.cut_b, np.arange(len(found.b)))
         sep_a, sep_b = np.ones(len(found.a), dtype=np.int64), np.ones(len(found.b), dtype=np.int64)
@@ -169,22 +189,74 @@ class Aligner:
         names = np.empty(len(found.a) + len(found.b), dtype=np.int64)
         names[np.arange(len(found.a)) + b_before] = sep_a * self.width + found.a
         names[np.arange(len(found.b)) + a_before] = sep_b * self.width + found.b
-        ends = np.cumsum(found.n_a + found.n_b)
-        name = self.names.__getitem__
-        return ["".join(map(name, names[end - n : end].tolist()))[1:] for end, n in zip(ends, found.n_a + found.n_b)]
-
-    def batches(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, Aligned]]:
-        """Ids and alignment of a batch's rows, ``GROUP_CHARS`` of text at a time."""
-        start = size = 0
-        texts: list[str | None] = []
-        for value in batch.column(1):
-            texts.append(value.as_py())
-            size += len(texts[-1] or "")
-            if size >= GROUP_CHARS:
-                yield batch.column(0).slice(start, len(texts)), self.align(texts)
-                start, size, texts = start + len(texts), 0, []
-        if texts:
-            yield batch.column(0).slice(start, len(texts)), self.align(texts)
+        shown = list(map(self.names.__getitem__, names.tolist()))
+        ends = np.cumsum(found.n_a + found.n_b).tolist()
+        return ["".join(shown[start:end])[1:] for start, end in zip([0, *ends], ends)]
+
+    def learn(self, parts: set[str]) -> None:
+        """Align the parts that are not known."""
+        new = list(parts.difference(self.known))
+        if not new:
+            return
+        found = self.align(new)
+        row = found.rows()
+        facts = np.zeros((len(new), 5), dtype=np.int64)
+        facts[:, self.N_A], facts[:, self.N_B] = found.n_a, found.n_b
+        facts[:, self.N_LINKS] = np.bincount(row, minlength=len(new))
+        pairs = found.pairs()
+        if self.counts is None:
+            self.pairs = np.concatenate((self.pairs, pairs))
+        else:
+            numbers = self.counts.look_up(pairs)
+            facts[:, self.N_BEST] = np.bincount(row[self.counts.best[numbers]], minlength=len(new))
+            np.add.at(facts[:, self.COUNT_SUM], row, self.counts.counts[numbers])
+            self.shown += self.group_texts(found)
+        self.known.update(zip(new, range(len(self.facts), len(self.facts) + len(new))))
+        self.facts = np.concatenate((self.facts, facts))
+
+    def groups(self, texts: Iterator[str | None]) -> Iterator[list[tuple[int, list[str]]]]:
+        """Parts of the texts by number, for about ``GROUP_CHARS`` of text at a time."""
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+        for number, text in enumerate(texts):
+            at = 0
+            while text and at < len(text):
+                end = len(text)
+                if end - at > GROUP_CHARS and (cut := _CUT.search(text, at + GROUP_CHARS)):
+                    end = cut.start()
+                piece = text[at:end] if (at, end) != (0, len(text)) else text
+                held.append((number, piece.split(" ") if _NO_CUT.search(piece) is None else _CUT.split(piece)))
+                size += end - at
+                at = end + 1  # the blank belongs to what follows
+                if size >= GROUP_CHARS:
+                    yield held
+                    held, size = [], 0
+        if held:
+            yield held
+
+    def places(self, group: list[tuple[int, list[str]]]) -> np.ndarray:
+        """Numbers of the known parts of a group, which are learnt if need be."""
+        parts = set(chain.from_iterable(p for _, p in group))
+        if len(self.known) + len(parts) > KNOWN_PARTS:
+            self.forget()
+        self.learn(parts)
+        n = sum(len(p) for _, p in group)
+        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(p for _, p in group)), dtype=np.int64, count=n)
+
+    def totals(self, group: list[tuple[int, list[str]]], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the facts of each entry of a group, and whether one of its parts has no tokens."""
+        starts = np.cumsum([0] + [len(p) for _, p in group])[:-1]
+        facts = self.facts[places]
+        return np.add.reduceat(facts, starts), np.logical_or.reduceat(facts[:, self.N_A] == 0, starts)
+
+
+def _bad_texts(aligner: Aligner, texts: list[str | None]) -> set[int]:
+    """Numbers of the texts of which a part has no tokens: then all of the text has none."""
+    bad: set[int] = set()
+    for group in aligner.groups(iter(texts)):
+        _, wrong = aligner.totals(group, aligner.places(group))
+        bad.update(number for (number, _), w in zip(group, wrong) if w)
+    return bad
 
 
 def pair_counts(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
@@ -194,46 +266,61 @@ def pair_counts(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(shared.value)
         pairs, counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        held: list[np.ndarray] = []
+        times = np.zeros(0, dtype=np.int64)  # of each known part
 
-        def merge() -> None:
-            nonlocal pairs, counts
-            new, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            both, place = np.unique(np.concatenate((pairs, new)), return_inverse=True)
+        def settle() -> None:
+            """Add what the known parts have linked to the counts."""
+            nonlocal pairs, counts, times
+            links = np.repeat(times, aligner.facts[: len(times), Aligner.N_LINKS])
+            both, place = np.unique(np.concatenate((pairs, aligner.pairs[: len(links)])), return_inverse=True)
             total = np.zeros(len(both), dtype=np.int64)
-            np.add.at(total, place, np.concatenate((counts, n)))
-            pairs, counts = both, total
+            np.add.at(total, place, np.concatenate((counts, links)))
+            pairs, counts, times = both, total, times[:0]
 
+        forget = aligner.forget
+
+        def settle_and_forget() -> None:
+            settle()
+            forget()
+
+        aligner.forget = settle_and_forget
         for batch in batches:
-            for _, found in aligner.batches(batch):
-                held.append(found.pairs())
-                if sum(map(len, held)) >= _HELD_PAIRS:
-                    merge()
-        if held:
-            merge()
+            for texts in _some_texts(batch.column(1)):
+                bad: set[int] | None = None
+                for group in aligner.groups(iter(texts)):
+                    places = aligner.places(group)
+                    if bad is None:  # only texts with parts that have no tokens are looked at twice
+                        _, wrong = aligner.totals(group, places)
+                        long = sum(map(len, filter(None, texts))) > GROUP_CHARS
+                        if wrong.any() or long:
+                            bad = _bad_texts(aligner, texts)
+                            places = aligner.places(group)
+                    if bad:
+                        keep = np.repeat([number not in bad for number, _ in group], [len(p) for _, p in group])
+                        places = places[keep]
+                    found = np.bincount(places, minlength=len(aligner.facts))
+                    found[: len(times)] += times
+                    times = found
+        settle()
         for at in range(0, len(pairs), 1 << 16):
             yield pa.RecordBatch.from_pydict({"pair": pairs[at : at + (1 << 16)], "n": counts[at : at + (1 << 16)]})
 
     return docs.mapInArrow(frugal(run), "pair long, n long")
 
 
-@dataclass
-class LinkCounts:
-    """Corpus counts of linked pairs: by the perfect hash, the pair, its count, whether it is a
-    most frequent one of its B id."""
-
-    hashed: perfect_hash.PerfectHash
-    keys: np.ndarray
-    counts: np.ndarray
-    best: np.ndarray
-
-    def look_up(self, pairs: np.ndarray) -> np.ndarray:
-        """Numbers of the pairs, each verified by its key."""
-        numbers = self.hashed.numbers(pairs)
-        if len(pairs) and ((numbers < 0).any() or (self.keys[numbers] != pairs).any()):
-            raise ValueError("a linked pair was not counted: the documents changed between the passes")
-        return numbers
+def _some_texts(column: pa.Array) -> Iterator[list[str | None]]:
+    """Texts of a column, those that are one group's work at a time."""
+    texts: list[str | None] = []
+    size = 0
+    for value in column:
+        text = value.as_py()
+        if texts and size + len(text or "") > GROUP_CHARS:
+            yield texts
+            texts, size = [], 0
+        texts.append(text)
+        size += len(text or "")
+    if texts:
+        yield texts
 
 
 def count_links(docs: DataFrame, tokenizers: Tokenizers) -> LinkCounts:
@@ -269,22 +356,31 @@ def align(docs: DataFrame, tokenizers: Tokenizers, id_col: str = "doc_id", text_
     shared = spark.sparkContext.broadcast((tokenizers, count_links(slim, tokenizers)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers, counts = shared.value
-        aligner = Aligner(tokenizers)
+        aligner = Aligner(*shared.value)
         for batch in batches:
-            for ids, found in aligner.batches(batch):
-                numbers = counts.look_up(found.pairs())
-                row = np.searchsorted(np.cumsum(found.n_a), found.cut_a, side="right")
-                n = len(found.n_a)
-                links = np.bincount(row, minlength=n)
-                best = np.bincount(row[counts.best[numbers]], minlength=n)
-                total = np.zeros(n, dtype=np.int64)
-                np.add.at(total, row, counts.counts[numbers])
-                columns = [found.n_a, found.n_b, links, links, best, total]
+            start = 0
+            for texts in _some_texts(batch.column(1)):
+                sums = np.zeros((len(texts), 5), dtype=np.int64)
+                bad = np.zeros(len(texts), dtype=bool)
+                shown: list[list[str]] = [[] for _ in texts]
+                for group in aligner.groups(iter(texts)):
+                    places = aligner.places(group)
+                    total, wrong = aligner.totals(group, places)
+                    numbers = places.tolist()
+                    at = 0
+                    for (number, parts), t, w in zip(group, total, wrong):
+                        sums[number] += t
+                        bad[number] |= w
+                        shown[number].append(";".join([aligner.shown[i] for i in numbers[at : at + len(parts)]]))
+                        at += len(parts)
+                sums[bad] = 0
+                texts_shown = ["" if b else ";".join(x) for b, x in zip(bad, shown)]
+                columns = [sums[:, c] for c in (Aligner.N_A, Aligner.N_B, Aligner.N_LINKS, Aligner.N_LINKS, Aligner.N_BEST, Aligner.COUNT_SUM)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, *(pa.array(c.astype(np.int64)) for c in columns), pa.array(aligner.group_texts(found), pa.string())],
+                    [batch.column(0).slice(start, len(texts)), *map(pa.array, columns), pa.array(texts_shown, pa.string())],
                     names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"],
                 )
+                start += len(texts)
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
     return slim.mapInArrow(frugal(run), schema)

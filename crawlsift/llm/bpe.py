@@ -262,8 +262,13 @@ class Encoder:
             self.known[word] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of every text; null has none. Words are learnt for ``GROUP_CHARS`` of text at a time."""
-        found: list[list[np.ndarray]] = [[] for _ in texts]
+        """Ids of every text; null has none."""
+        return [np.frombuffer(ids, dtype=np.int32) for ids in self.encode_bytes(texts)]
+
+    def encode_bytes(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text as 32-bit integers. Words are learnt for ``GROUP_CHARS`` of text at a
+        time."""
+        found: list[list[bytes]] = [[] for _ in texts]
         held: list[tuple[int, list[str | int]]] = []
         size = 0
 
@@ -271,7 +276,7 @@ class Encoder:
             nonlocal size
             self.learn(set(itertools.chain.from_iterable(words for _, words in held)))
             for row, words in held:
-                found[row].append(np.frombuffer(b"".join(map(self.known.__getitem__, words)), dtype=np.int32))
+                found[row].append(b"".join(map(self.known.__getitem__, words)))
             held.clear()
             size = 0
 
@@ -283,7 +288,7 @@ class Encoder:
                     if size >= GROUP_CHARS:
                         flush()
         flush()
-        return [np.concatenate(parts) if parts else np.empty(0, dtype=np.int32) for parts in found]
+        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in found]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crawlsift.llm import alignment, bpe, perfect_hash
@@ -180,18 +181,62 @@ def test_alignment_odd_rows(spark, tokenizers, odd_docs, no_docs):
     assert alignment.align(no_docs, tokenizers).count() == 0
 
 
-def test_long_texts_in_parts(tokenizers, monkeypatch):
-    aligner = alignment.Aligner(tokenizers)
-    assert tokenizers.cut
-    monkeypatch.setattr(alignment, "PART_CHARS", 40)
+def test_parts_and_memory(spark, tokenizers, monkeypatch):
+    """Small groups and little memory: texts over several groups, parts forgotten and met again."""
     rng = random.Random(3)
-    for _ in range(100):
-        text = "".join(rng.choice(["a", "b", "the", " ", "  ", " ", "\n", "é", "的", "😀", "ing ", "\t", "word"]) for _ in range(500))
-        assert aligner.b_ids([text, text]) == [aligner.model.encode(text)] * 2
+    bits = ["a", "b", "the", " ", "  ", " ", "\n", "é", "的", "😀", "ing ", "\t", "word", "\x1c", "\x85", " x"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.choice([3, 40, 500]))) for _ in range(120)]
+    texts += [texts[5] + "▁", "▁ " + texts[6] * 3, None, "", " ", "  ", " a ", "a ", "\n b"]
+    expected = sorted(repr(x) for x in plain_alignment(tokenizers, texts))
+    for chars, known in ((40, 10), (300, 10_000), (1 << 20, 60)):
+        monkeypatch.setattr(alignment, "GROUP_CHARS", chars)
+        monkeypatch.setattr(alignment, "KNOWN_PARTS", known)
+        aligner = alignment.Aligner(tokenizers)
+        table = pa.array(texts)
+        pairs = {}
+        for batch in _run(alignment.pair_counts, tokenizers, table):
+            for pair, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                pairs[pair] = pairs.get(pair, 0) + n
+        assert pairs == plain_pairs(tokenizers, texts)
+        assert aligner.known == {}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(repr(tuple(r)[1:]) for r in alignment.align(docs, tokenizers).collect()) == expected
+
+
+def _run(operator, tokenizers, texts):
+    """Batches that an operator's function of batches makes of one batch, without Spark."""
+
+    class Frame:
+        def __getattr__(self, name):
+            return self
+
+        def broadcast(self, value):
+            self.value = value
+            return self
+
+        def mapInArrow(self, function, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), texts], names=["doc_id", "text"])
+            return list(function(iter([batch])))
+
+    return operator(Frame(), tokenizers)
+
+
+def plain_pairs(tokenizers, texts):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a_model = Tokenizer.from_file(BYTE_LEVEL)
+    a_model.encode_special_tokens = True
+    models = a_model, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    counts = {}
+    for text in texts:
+        for a, b in plain_groups(tokenizers, models, text)[2]:
+            counts[a[-1] << 32 | b[-1]] = counts.get(a[-1] << 32 | b[-1], 0) + 1
+    return counts
 
 
 def test_pairs_are_bounded_by_the_vocabularies(tokenizers, texts):
-    found = alignment.Aligner(tokenizers).align(list(texts.values()))
+    found = alignment.Aligner(tokenizers).align([t for t in texts.values() if t])
     assert len(np.unique(found.pairs())) <= tokenizers.pairs
     for a, b in zip(found.a[found.cut_a][:1000], found.b[found.cut_b][:1000]):
         x, y = tokenizers.a_pieces[a], tokenizers.b_pieces[b]
