@@ -41,9 +41,9 @@ from crawlsift.session import BROADCAST_LIMIT_BYTES, materialize
 # Fixed values.
 _BLANK_PIECE = "▁"
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
-GROUP_CHARS = 1 << 20
+GROUP_CHARS = 1 << 22
 #: Distinct parts that a task remembers.
-KNOWN_PARTS = 300_000
+KNOWN_PARTS = 500_000
 #: A cut between parts: a blank that follows another character and has one behind it.
 _CUT = re.compile(r"(?<=\S) (?=.)", re.S)
 #: Blanks that are no cut: beside white space, or at either end.
@@ -105,6 +105,12 @@ class Aligned:
     def pairs(self) -> np.ndarray:
         return self.a[self.cut_a].astype(np.int64) << 32 | self.b[self.cut_b].astype(np.int64)
 
+    def followed_by(self, other: "Aligned") -> "Aligned":
+        at_a, at_b = len(self.a), len(self.b)
+        pairs = [(self.n_a, other.n_a), (self.n_b, other.n_b), (self.a, other.a), (self.b, other.b)]
+        cuts = [(self.cut_a, other.cut_a + at_a), (self.cut_b, other.cut_b + at_b)]
+        return Aligned(*map(np.concatenate, pairs + cuts))
+
     def rows(self) -> np.ndarray:
         """The part that each link belongs to."""
         return np.searchsorted(np.cumsum(self.n_a), self.cut_a, side="right")
@@ -157,11 +163,9 @@ class Aligner:
     def align(self, parts: list[str]) -> Aligned:
         """Tokens of parts, each with a blank before it; a part has none whose tokens' bytes differ."""
         texts = [" " + part for part in parts]
-        a_ids = self.encoder.encode_bytes(texts)
+        a, n_a = self.encoder.encode_row(texts)
         b_ids = self.model.encode(parts, num_threads=1)
-        n_a = np.fromiter(map(len, a_ids), dtype=np.int64, count=len(parts)) // 4
         n_b = np.fromiter(map(len, b_ids), dtype=np.int64, count=len(parts))
-        a = np.frombuffer(b"".join(a_ids), dtype=np.int32)
         b = np.fromiter(chain.from_iterable(b_ids), dtype=np.int32, count=int(n_b.sum()))
         a_piece, b_piece = self.t.a_pieces.__getitem__, self.t.b_pieces.__getitem__
         a_bytes, b_bytes = list(map(a_piece, a.tolist())), list(map(b_piece, b.tolist()))
@@ -198,7 +202,13 @@ class Aligner:
         new = list(parts.difference(self.known))
         if not new:
             return
-        found = self.align(new)
+        # White space at the end of a text would run on into a part behind it: such parts come last.
+        open_ended = [part for part in new if part[-1].isspace()]
+        if open_ended:
+            new = [part for part in new if not part[-1].isspace()] + open_ended
+        found = self.align(new[: len(new) - len(open_ended)])
+        for part in open_ended:
+            found = found.followed_by(self.align([part]))
         row = found.rows()
         facts = np.zeros((len(new), 5), dtype=np.int64)
         facts[:, self.N_A], facts[:, self.N_B] = found.n_a, found.n_b

@@ -290,6 +290,21 @@ class Encoder:
         flush()
         return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in found]
 
+    def encode_row(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, one after another, and how many each has. No word may reach from one text
+        into the next when they stand side by side; then they are cut into words in one go."""
+        words = list(itertools.chain.from_iterable(self.words("".join(texts))))
+        self.learn(set(words))
+        ids = list(map(self.known.__getitem__, words))
+        # Where each text ends, in characters; the word that ends there is its last one.
+        word_ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)))
+        text_ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)))
+        last = np.searchsorted(word_ends, text_ends)
+        if len(texts) and (word_ends[last] != text_ends).any():
+            raise ValueError("a word reaches from one text into the next")
+        counts = np.cumsum(np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))) // 4
+        return np.frombuffer(b"".join(ids), dtype=np.int32), np.diff(counts[last], prepend=0)
+
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids)`` of every row."""
