@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlsift.llm import perfect_hash
-from crawlsift.llm.bpe import Encoder, Vocabulary
+from crawlsift.llm.bpe import PATTERN, Encoder, Vocabulary
 from crawlsift.llm.common import frugal, ready
 from crawlsift.session import BROADCAST_LIMIT_BYTES, materialize
 
@@ -46,6 +46,8 @@ GROUP_CHARS = 1 << 22
 KNOWN_PARTS = 500_000
 #: A cut between parts: a blank that follows another character and has one behind it.
 _CUT = re.compile(r"(?<=\S) (?=.)", re.S)
+#: White space that the rank encoder's pattern may not have the stack for.
+_LONG_BLANK = re.compile(r"\s{10000}")
 #: Blanks that are no cut: beside white space, or at either end.
 _NO_CUT = re.compile(r"\s |^ | $")
 #: Key, count and mark of a pair, and its bits in the hash.
@@ -142,10 +144,15 @@ class Aligner:
 
     def __init__(self, tokenizers: Tokenizers, counts: LinkCounts | None = None):
         import sentencepiece
+        import tiktoken
 
         self.t = tokenizers
         self.counts = counts
         self.encoder = Encoder(tokenizers.a)
+        self.ranks = None
+        if tokenizers.a.by_rank():
+            pieces = {tokenizers.a.pieces[t]: t for t in tokenizers.a_pieces if t not in tokenizers.a.added}
+            self.ranks = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=pieces, special_tokens={})
         self.model = sentencepiece.SentencePieceProcessor(model_proto=tokenizers.model)
         self.a_sizes = _sizes(tokenizers.a_pieces)
         self.b_sizes = _sizes(dict(enumerate(tokenizers.b_pieces)))
@@ -160,10 +167,26 @@ class Aligner:
         self.pairs = np.zeros(0, dtype=np.int64)
         self.shown: list[str] = []
 
+    def a_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of texts that split apart at their borders, and how many each has.
+
+        The rank encoder reads all of them in one go; it gets the vocabulary's own ranks. Texts with
+        characters that it may class otherwise, or with white space that it cannot walk, go through
+        the vocabulary's trie.
+        """
+        joined = "".join(texts)
+        if self.ranks is None or self.encoder.unsettled.search(joined) or _LONG_BLANK.search(joined):
+            return self.encoder.encode_row(texts)
+        ids = np.array(self.ranks.encode_ordinary(joined), dtype=np.int32)
+        sizes = map(len, texts) if joined.isascii() else (len(text.encode()) for text in texts)
+        ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(texts)))
+        last = np.searchsorted(np.cumsum(self.a_sizes[ids]), ends)
+        return ids, np.diff(last + 1, prepend=0)
+
     def align(self, parts: list[str]) -> Aligned:
         """Tokens of parts, each with a blank before it; a part has none whose tokens' bytes differ."""
         texts = [" " + part for part in parts]
-        a, n_a = self.encoder.encode_row(texts)
+        a, n_a = self.a_ids(texts)
         b_ids = self.model.encode(parts, num_threads=1)
         n_b = np.fromiter(map(len, b_ids), dtype=np.int64, count=len(parts))
         b = np.fromiter(chain.from_iterable(b_ids), dtype=np.int32, count=int(n_b.sum()))

@@ -80,6 +80,7 @@ class Vocabulary:
         names = dict(model["vocab"])
         self.pieces = {i: bytes(letters[c] for c in name) for name, i in names.items() if all(c in letters for c in name)}
         self.special = {t["content"]: t["id"] for t in added} if special else {}
+        self.added = {t["id"] for t in added}
         self.pieces |= {t["id"]: t["content"].encode() for t in added}
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self._learn_merges([(names[a], names[b], names[a + b]) for a, b in merges])
@@ -98,6 +99,11 @@ class Vocabulary:
             if max(self.parts.get(a, (0, 0, -1))[2], self.parts.get(b, (0, 0, -1))[2]) > n:
                 raise ValueError("merges are not in the order in which their parts appear")
 
+    def by_rank(self) -> bool:
+        """True when ids rise with the merges, so that an id says which of two merges comes first."""
+        made = list(self.parts)
+        return made == sorted(made)
+
     def border(self, left: int, right: int) -> int | None:
         """Rank of the first merge across the border of two tokens; None: they may be neighbours.
 

@@ -62,6 +62,26 @@ def test_settled_characters_split_as_in_the_library(library):
         assert [m.span() for m in pattern.finditer(text)] == [o for _, o in library.pre_tokenizer.pre_tokenize_str(text)], hex(ord(c))
 
 
+def test_rank_encoder_is_the_library_on_settled_characters(library, tokenizers):
+    import regex
+
+    aligner = alignment.Aligner(tokenizers)
+    settled = regex.compile(f"[{bpe.SETTLED}]")
+    texts = [f" a{c}1{c}!{c} {c}x" for c in filter(settled.match, map(chr, range(0x110000)))]
+    library.encode_special_tokens = True
+    try:
+        for at in range(0, len(texts), 5000):
+            some = texts[at : at + 5000]
+            ids, counts = aligner.a_ids(some)
+            expected = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+            assert counts.tolist() == list(map(len, expected)) and ids.tolist() == [i for e in expected for i in e]
+        odd = [" x<|endoftext|>", " ՘ ࢏a", " a" + " " * 20_000 + "b"]
+        for text in odd:
+            assert aligner.a_ids([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    finally:
+        library.encode_special_tokens = False
+
+
 def test_shared_prefixes_are_walked_once(vocabulary):
     encoder = bpe.Encoder(vocabulary)
     words = sorted(b"qzxjqzxj" + bytes([i, j]) for i in b"abc" for j in b"xyz")
