@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import crawl_fixture
-from checks.sql import CAP, HAN, KANA, LATIN, PATTERN, UNDECLARED, VOCABULARY_SIZE
+from checks.sql import CAP, HAN, KANA, LATIN, PATTERN, SUBWORD_MERGES, UNDECLARED, VOCABULARY_SIZE
 from crawlsift.functions.charset import charset_detector, charset_profile, decode_html
 from crawlsift.functions.html import body_html, extract_text, has_body
-from crawlsift.functions.image import CHANNEL_MEAN, CHANNEL_STD, resize_images
+from crawlsift.functions.image import CHANNEL_MEAN, CHANNEL_STD, resize_images, similarity_inputs
 from crawlsift.functions.language import language_detector, language_profile
 from crawlsift.functions.naming import alt_metadata, export_name, pair_directory
 from crawlsift.functions.numeric import class_probability
+from crawlsift.functions.subwords import learn_merges, subword_decoder, subword_encoder, subword_vocabulary
 from crawlsift.functions.tokens import build_vocabulary, tokenizer
 from crawlsift.functions.urls import extract_images, resolve_url
 from crawlsift.operators import filters as K
@@ -494,6 +495,41 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def subword_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first pair merges of all documents, one at a time."""
+    merges = learn_merges(_texts(spark, sf_dir, "documents", "text"), "text", SUBWORD_MERGES, per_round=1)
+    rows = [(n, left, right, count) for n, (left, right, count) in enumerate(merges)]
+    return spark.createDataFrame(rows, "step long, left string, right string, n long")
+
+
+def subword_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as subword ids and back, and whether each id has its mask."""
+    documents = _texts(spark, sf_dir, "documents", "doc_id", "text")
+    vocabulary = subword_vocabulary(documents, "text", 256, per_round=64)
+    encoded = documents.select("doc_id", subword_encoder(vocabulary)(F.col("text")).alias("t"))
+    masked = F.size("t.input_ids") == F.aggregate("t.attention_mask", F.lit(0), lambda s, x: s + x)
+    back = subword_decoder(vocabulary)(F.col("t.input_ids"))
+    return encoded.select("doc_id", F.md5(back).alias("text_md5"), masked.alias("masked"))
+
+
+def similarity_inputs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model inputs of every image with a text of its own: ids, and sums of the scaled pixels."""
+    images = decoded_images(spark, sf_dir).withColumn("alt", F.concat(F.lit("the picture of "), "url"))
+    inputs = images.select("url", similarity_inputs(F.col("alt"), F.col("image"), vocabulary_tokenizer(spark, sf_dir), 2).alias("x"))
+
+    def channel(k: int) -> Column:
+        values = F.slice("x.pixels", 1 + 4 * k, 4)
+        return F.round(F.aggregate(values, F.lit(0.0), lambda s, x: s + x.cast("double")), 3)
+
+    return inputs.select(
+        "url",
+        F.size("x.input_ids").cast("long").alias("n_ids"),
+        F.size("x.attention_mask").cast("long").alias("n_mask"),
+        F.size("x.pixels").cast("long").alias("n_pixels"),
+        *[channel(k).alias(name) for k, name in enumerate(("red", "green", "blue"))],
+    )
+
+
 def language_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_profile(_texts(spark, sf_dir, "documents", "text", "lang"), "text", "lang")
 
@@ -978,6 +1014,9 @@ def queries() -> dict[str, Query]:
         "resolve_url": resolve_url_query,
         "vocabulary": vocabulary,
         "tokenize": tokenize,
+        "subword_merges": subword_merges,
+        "subword_round_trip": subword_round_trip,
+        "similarity_inputs": similarity_inputs_query,
         "language_profile": language_profile_query,
         "detect_language": detect_language,
         "language_filter": language_filter,

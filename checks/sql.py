@@ -9,6 +9,7 @@ from __future__ import annotations
 # Parameters shared with the queries.
 PATTERN = "and the|of the|is on|the th"
 VOCABULARY_SIZE = 2000
+SUBWORD_MERGES = 6
 CAP = 200_000
 
 # Charsets of pages that declare none, with the script of their text; letters and what stands for
@@ -218,6 +219,30 @@ _CONTENT_TYPE = """
        ELSE 'image/png' END"""
 
 
+def _merges_sql(steps: int) -> str:
+    """Pair merges one at a time, unrolled: symbols of a word are wrapped in braces."""
+    parts = [
+        """words AS (
+  SELECT regexp_replace(word, '(.)', '{\\1}', 'g') AS w0, count(*) AS times
+  FROM (SELECT unnest(regexp_extract_all(text, '[ ]?[\\p{L}\\p{N}]+')) AS word FROM documents) GROUP BY word
+)"""
+    ]
+    for n in range(steps):
+        source = "words" if n == 0 else f"merged{n}"
+        parts.append(f"""split{n} AS (SELECT times, regexp_extract_all(w{n}, '\\{{([^}}]*)\\}}', 1) AS s FROM {source}),
+best{n} AS (
+  SELECT a AS "left", b AS "right", sum(times)::BIGINT AS n FROM (
+    SELECT times, unnest(s[:-2]) AS a, unnest(s[2:]) AS b FROM split{n} WHERE len(s) > 1
+  ) GROUP BY ALL ORDER BY n DESC, "left", "right" LIMIT 1
+),
+merged{n + 1} AS (
+  SELECT times, replace(w{n}, concat('{{', "left", '}}{{', "right", '}}'), concat('{{', "left", "right", '}}')) AS w{n + 1}
+  FROM {source}, best{n}
+)""")
+    rows = " UNION ALL ".join(f"SELECT {n}::BIGINT AS step, * FROM best{n}" for n in range(steps))
+    return _with(*parts) + "\n" + rows
+
+
 def oracle_sql() -> dict[str, str]:
     text_len = "length(text) >= 1000"
     long_pages = f"page_texts AS (SELECT p, url, html, alts, {page_text_sql('html')} AS text FROM pg)"
@@ -325,6 +350,17 @@ x AS (SELECT doc_id, unnest(ws) AS token, unnest(range(1, len(ws) + 1)) AS i FRO
 i AS (SELECT doc_id, sum(coalesce(id, 0) * i) AS checksum, count(*) AS n_tokens FROM x LEFT JOIN vocabulary USING (token) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(checksum, 0)::BIGINT AS checksum, coalesce(n_tokens, 0) AS mask_sum
 FROM documents LEFT JOIN i USING (doc_id)"""
+    out["subword_merges"] = _merges_sql(SUBWORD_MERGES)
+    out["subword_round_trip"] = "SELECT doc_id, md5(text) AS text_md5, true AS masked FROM documents"
+    channels = [("r", 0.48145466, 0.26862954), ("g", 0.4578275, 0.26130258), ("b", 0.40821073, 0.27577711)]
+    scaled = ", ".join(
+        f"round(4 * ({c} / 255.0::DOUBLE - {mean}::DOUBLE) / {std}::DOUBLE, 3) AS {name}"
+        for (c, mean, std), name in zip(channels, ("red", "green", "blue"))
+    )
+    out["similarity_inputs"] = _with(PG, CAPTURES) + f"""
+SELECT url, n_words AS n_ids, n_words AS n_mask, 12::BIGINT AS n_pixels, {scaled}
+FROM (SELECT *, len(regexp_extract_all(lower(concat('the picture of ', url)), '[\\p{{L}}\\p{{N}}]+')) AS n_words
+  FROM (SELECT *, concat('{HOST}/', p, '.png') AS url FROM good_captures))"""
     out["language_profile"] = _with(PROFILE) + "\nSELECT lang, bucket::INTEGER AS bucket, weight FROM profile"
     out["detect_language"] = _with(PROFILE, doc_detect) + """
 SELECT doc_id, coalesce(language, 'unknown') AS language FROM documents LEFT JOIN detected USING (doc_id)"""
