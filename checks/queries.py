@@ -513,13 +513,15 @@ def subword_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similarity_inputs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model inputs of every image with a text of its own: ids, and sums of the scaled pixels."""
+    """Model inputs of every image with a text of its own: ids, and the colour of the pixels."""
     images = decoded_images(spark, sf_dir).withColumn("alt", F.concat(F.lit("the picture of "), "url"))
     inputs = images.select("url", similarity_inputs(F.col("alt"), F.col("image"), vocabulary_tokenizer(spark, sf_dir), 2).alias("x"))
 
     def channel(k: int) -> Column:
+        """The colour that the mean of a channel's scaled pixels stands for."""
         values = F.slice("x.pixels", 1 + 4 * k, 4)
-        return F.round(F.aggregate(values, F.lit(0.0), lambda s, x: s + x.cast("double")), 3)
+        mean = F.aggregate(values, F.lit(0.0), lambda s, x: s + x.cast("double")) / 4
+        return F.round((mean * CHANNEL_STD[k] + CHANNEL_MEAN[k]) * 255).cast("long")
 
     return inputs.select(
         "url",

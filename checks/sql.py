@@ -352,13 +352,8 @@ SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, coalesce(checksum, 0)::BIGINT
 FROM documents LEFT JOIN i USING (doc_id)"""
     out["subword_merges"] = _merges_sql(SUBWORD_MERGES)
     out["subword_round_trip"] = "SELECT doc_id, md5(text) AS text_md5, true AS masked FROM documents"
-    channels = [("r", 0.48145466, 0.26862954), ("g", 0.4578275, 0.26130258), ("b", 0.40821073, 0.27577711)]
-    scaled = ", ".join(
-        f"round(4 * ({c} / 255.0::DOUBLE - {mean}::DOUBLE) / {std}::DOUBLE, 3) AS {name}"
-        for (c, mean, std), name in zip(channels, ("red", "green", "blue"))
-    )
     out["similarity_inputs"] = _with(PG, CAPTURES) + f"""
-SELECT url, n_words AS n_ids, n_words AS n_mask, 12::BIGINT AS n_pixels, {scaled}
+SELECT url, n_words AS n_ids, n_words AS n_mask, 12::BIGINT AS n_pixels, r AS red, g AS green, b AS blue
 FROM (SELECT *, len(regexp_extract_all(lower(concat('the picture of ', url)), '[\\p{{L}}\\p{{N}}]+')) AS n_words
   FROM (SELECT *, concat('{HOST}/', p, '.png') AS url FROM good_captures))"""
     out["language_profile"] = _with(PROFILE) + "\nSELECT lang, bucket::INTEGER AS bucket, weight FROM profile"
