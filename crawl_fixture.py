@@ -203,8 +203,8 @@ LINE_SEPARATOR = "\u2028"
 def damaged_archive(archive: int, pages: list[tuple[int, str, str]]) -> bytes:
     """One archive of page responses, of which every seventh is damaged.
 
-    By turns a length that is too large, a flipped bit, or bytes cut out. URLs of every eleventh
-    page hold a line separator. Every third archive is sound, and all of it is one gzip member.
+    By turns a length that is too large or negative, a flipped bit in a member whose body stores a
+    whole archive verbatim, or bytes cut out. URLs of every eleventh page hold a line separator. Every third archive is sound, and all of it is one gzip member.
     """
     members = []
     for p, url, html in pages:
@@ -214,8 +214,13 @@ def damaged_archive(archive: int, pages: list[tuple[int, str, str]]) -> bytes:
             half = len(data) // 2
             if p % 3 == 0:
                 plain = gzip.decompress(data)
-                data = gzip.compress(plain.replace(b"Content-Length: ", b"Content-Length: 9", 1), mtime=0)
+                odd = b"Content-Length: 9" if p % 2 else b"Content-Length: -"
+                data = gzip.compress(plain.replace(b"Content-Length: ", odd, 1), mtime=0)
             elif p % 3 == 1:
+                nested = b"".join(response(f"{url}#nested-{i}", "text/html", html.encode("utf-8")) for i in range(3))
+                plain = gzip.decompress(response(url, "text/html", nested))
+                data = gzip.compress(plain, compresslevel=0, mtime=0)
+                half = len(data) // 2 if p % 2 else 200
                 data = data[:half] + bytes([data[half] ^ 4]) + data[half + 1 :]
             else:
                 data = data[:half] + data[half + 20 :]

@@ -92,6 +92,9 @@ _BATCH_BYTES = 8 << 20
 _BATCH_ROWS = 512
 _MAGIC = b"\x1f\x8b\x08"
 _RECORD = b"WARC/"
+_LOOK_BYTES = 1 << 16
+#: So many first bytes tell one member from another.
+_HEAD_BYTES = 64
 #: Longest run of bytes deflate stores verbatim. An archive nested inside a record can imitate
 #: member starts only within such a run, so a chain of valid members beyond it is genuine.
 _STORED_LIMIT = 65_536
@@ -397,7 +400,7 @@ def iter_records(
             except (EOFError, zlib.error):
                 inflated = False
             if not inflated:
-                at = _next_member(handle, offset + 1, end)
+                at = _next_member(handle, offset, end)
                 if at is None:
                     return
                 members = _Members(handle, at, read_bytes)
@@ -467,14 +470,60 @@ def find_record_start(handle, start: int, end: int, size: int) -> int | None:
     return next((at for at in _magic_places(handle, start, end) if _starts_record(handle, at, size)), None)
 
 
-def _next_member(handle, start: int, end: int) -> int | None:
-    """Where reading goes on after damage: the next place where certainly a record's member starts.
+def _data_start(head: bytes) -> int:
+    """Where the compressed data of a gzip member start, from its first bytes."""
+    flags, at = head[3], 10
+    if flags & 4:
+        at += 2 + int.from_bytes(head[at : at + 2], "little")
+    for flag in (8, 16):  # name, comment
+        if flags & flag:
+            at = head.index(b"\0", at) + 1
+    return at + (2 if flags & 2 else 0)
+
+
+def _look_into(handle, offset: int) -> tuple[int | None, set[bytes]]:
+    """What a damaged member tells about itself: where its compressed data end, if they can be
+    followed so far (only its content is wrong then), and how members begin that its content holds."""
+    handle.seek(offset)
+    heads: set[bytes] = set()
+    tail = b""
+    try:
+        piece = handle.read(_LOOK_BYTES)
+        start = _data_start(piece)
+        piece, position = piece[start:], offset + start
+        inflater = zlib.decompressobj(-15)
+        while piece and not inflater.eof:
+            out = inflater.decompress(piece, _INFLATE_BYTES)
+            rest = inflater.unused_data if inflater.eof else inflater.unconsumed_tail
+            position += len(piece) - len(rest)
+            window = tail + out
+            at = window.find(_MAGIC)
+            while 0 <= at <= len(window) - _HEAD_BYTES:
+                heads.add(window[at : at + _HEAD_BYTES])
+                at = window.find(_MAGIC, at + 1)
+            tail = window[max(0, len(window) - _HEAD_BYTES + 1) :]
+            piece = rest or handle.read(_LOOK_BYTES)
+    except (zlib.error, ValueError, IndexError):
+        return None, heads
+    return (position + 8 if inflater.eof else None), heads
+
+
+def _next_member(handle, offset: int, end: int) -> int | None:
+    """Where reading goes on after the damaged member at ``offset``: right behind it where its
+    end can be told, else the next place where certainly a record's member starts.
 
     An archive nested in the damaged member must not pass for records of this one.
     """
     here = handle.seek(0, 2)
     size = handle.tell() if here is None else here
-    return next((at for at in _magic_places(handle, start, end) if _starts_record(handle, at, size, damage=True)), None)
+    behind, heads = _look_into(handle, offset)
+    if behind is not None and (behind >= size or _begins_record(handle, behind)):
+        return behind if behind < end else None
+    for at in _magic_places(handle, offset + 1, end):
+        handle.seek(at)
+        if handle.read(_HEAD_BYTES) not in heads and _starts_record(handle, at, size, damage=True):
+            return at
+    return None
 
 
 def find_anchor(handle, start: int, size: int) -> int:

@@ -305,11 +305,14 @@ def test_declared_and_marked_charsets(spark):
         assert row["got"].endswith(row["want"])
 
 
-@pytest.mark.parametrize("early", [False, True])
-def test_archive_nested_in_a_damaged_member(spark, folder, early):
+@pytest.mark.parametrize("where", [30, 4_000, -12, "cut"])
+def test_archive_nested_in_a_damaged_member(spark, folder, where):
     inner = b"".join(page(f"http://inner/{i}", os.urandom(3_000)) for i in range(3))
     outer = bytearray(gzip.compress(gzip.decompress(page("http://h/outer", inner)), compresslevel=0))
-    outer[30 if early else -12] ^= 4  # before the inner archive, or behind it
+    if where == "cut":
+        del outer[5_000:5_020]  # in the second inner record
+    else:
+        outer[where] ^= 4  # before the inner archive, in its second record, or behind it
     pages = [page(f"http://h/{i}", BODY) for i in range(4)]
     write(f"{folder}/x.warc.gz", pages[0], bytes(outer), pages[1], damaged(page("http://h/bad", os.urandom(900)), "bit"), *pages[2:])
     for split in (1 << 28, 2_000):
