@@ -21,6 +21,9 @@ from crawlsift.sources.warc import (
 #: References this close together in one archive are read by one task, in order.
 RANGE_BYTES = 64 * 1024 * 1024
 _SMALL_READ = 1 << 16
+#: Bytes that take as long to read as another request, and the most that one read fetches.
+GAP_BYTES = 1 << 18
+READ_BYTES = 8 << 20
 
 FETCHED_COLUMNS = [
     "has_headers",
@@ -34,29 +37,80 @@ FETCHED_COLUMNS = [
 ]
 
 
+class _Ahead:
+    """An archive of which a stretch has been read in one go; other places are read as asked."""
+
+    def __init__(self, handle):
+        self.handle = handle
+        self.start, self.data, self.at = 0, b"", 0
+
+    def stretch(self, start: int, end: int) -> None:
+        self.handle.seek(start)
+        self.start, self.data = start, self.handle.read(end - start)
+
+    def seek(self, at: int, whence: int = 0) -> int:
+        self.at = at if whence == 0 else self.handle.size() + at
+        return self.at
+
+    def read(self, size: int) -> bytes:
+        place = self.at - self.start
+        if 0 <= place < len(self.data):
+            out = self.data[place : place + size]
+        else:
+            self.handle.seek(self.at)
+            out = self.handle.read(size)
+        self.at += len(out)
+        return out
+
+
+def plan_reads(refs: list[dict]) -> Iterator[list[dict]]:
+    """Sorted references in groups that one read serves.
+
+    A reference joins the group before it in its archive when the bytes between them cost less than
+    another request (``GAP_BYTES``) and the read stays below ``READ_BYTES``.
+    """
+    held: list[dict] = []
+    for ref in refs:
+        if held:
+            first, last = held[0], held[-1]
+            known = ref["offset"] is not None and last["offset"] is not None
+            near = known and ref["offset"] - last["offset"] <= GAP_BYTES and ref["offset"] - first["offset"] <= READ_BYTES
+            if ref["warc_path"] != first["warc_path"] or not near:
+                yield held
+                held = []
+        held.append(ref)
+    if held:
+        yield held
+
+
 def _ranged_reader(cap: int, schema: T.StructType, keep: list[str]):
     carried = ["warc_path", "offset", *keep]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        path, handle = None, None
-        at, row = None, {}
+        path, handle, ahead = None, None, None
         for batch in batches:
-            for ref in batch.select(carried).to_pylist():
-                if ref["warc_path"] != path:
+            for group in plan_reads(batch.select(carried).to_pylist()):
+                if group[0]["warc_path"] != path:
                     if handle is not None:
                         handle.close()
-                    path, handle, at = ref["warc_path"], None, None
+                    path, handle = group[0]["warc_path"], None
                     try:
                         fs, inner = open_fs(path)
                         handle = fs.open_input_file(inner)
+                        ahead = _Ahead(handle)
                     except FileNotFoundError:  # any other failure may pass: the task is retried
                         handle = None
-                if ref["offset"] != at:
-                    at, row = ref["offset"], {"error": "archive cannot be opened"}
-                    if handle is not None:
-                        found = iter_records(handle, at, at + 1, cap, read_bytes=_SMALL_READ)
+                if handle is not None and group[0]["offset"] is not None:
+                    ahead.stretch(group[0]["offset"], group[-1]["offset"] + _SMALL_READ)
+                at, row = None, {"error": "no record at this offset"}
+                for ref in group:
+                    if handle is None:
+                        row = {"error": "archive cannot be opened"}
+                    elif ref["offset"] is not None and ref["offset"] != at:
+                        at = ref["offset"]
+                        found = iter_records(ahead, at, at + 1, cap, read_bytes=_SMALL_READ)
                         row = next(found, {"error": "no record at this offset"})
-                yield {**row, **ref}
+                    yield {**row, **ref}
         if handle is not None:
             handle.close()
 
@@ -124,7 +178,7 @@ def fetch_records(
     Callers whose references are distinct already name columns to ``keep``: these ride along,
     one row per reference, so the bytes need not be joined back.
 
-    ``mode="range"`` reads single records at their offsets. Work is spread by archive *and*
+    ``mode="range"`` reads records at their offsets; neighbours are read in one go. Work is spread by archive *and*
     offset range, so references that crowd in one archive still use many tasks, and each task
     moves forward through its range. The number of ``tasks`` is fixed: references are tiny
     and would otherwise be packed by their size into too few tasks for the reads they cause.

@@ -412,3 +412,40 @@ def test_marks_tell_what_was_read(spark, folder):
     assert {m["archive_length"] for m in marks} == {size}
     assert sum(m["range_records"] for m in marks) == 21 and sum(m["range_errors"] for m in marks) == 1
     assert rows.filter("range_end is null and target_uri is not null").count() == 21
+
+
+def test_neighbouring_references_share_reads(folder, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.fs as pafs
+    from pyspark.sql import types as T
+
+    from crawlsift.sources import fetch
+
+    path = f"{folder}/x.warc.gz"
+    offsets = write(path, *[page(f"http://h/{i}", os.urandom(700)) for i in range(400)], page("http://h/long", os.urandom(900_000)), page("http://h/end", BODY))
+    reads = []
+
+    class Counted:
+        def __init__(self):
+            self.file = open(path, "rb")
+            self.seek, self.close = self.file.seek, self.file.close
+
+        def size(self):
+            return os.path.getsize(path)
+
+        def read(self, size):
+            reads.append(size)
+            return self.file.read(size)
+
+    monkeypatch.setattr(fetch, "open_fs", lambda p: (type("F", (), {"open_input_file": lambda self, inner: Counted()})(), p))
+    schema = T.StructType([T.StructField("warc_path", T.StringType()), T.StructField("offset", T.LongType()), *[f for f in warc.RECORD_SCHEMA if f.name in fetch.FETCHED_COLUMNS]])
+    wanted = [*offsets[::2], offsets[401], offsets[3] + 1]
+    wanted.sort()
+    batch = pa.RecordBatch.from_pydict({"warc_path": [path] * len(wanted), "offset": wanted})
+    rows = [r for b in fetch._ranged_reader(1 << 30, schema, [])(iter([batch])) for r in b.to_pylist()]
+    good = {r["offset"]: r["target_uri"] for r in rows if r["error"] is None}
+    assert good == {o: f"http://h/{i}" for i, o in enumerate(offsets) if i % 2 == 0 and i < 400} | {offsets[400]: "http://h/long", offsets[401]: "http://h/end"}
+    assert len(rows) == len(wanted) and [r["offset"] for r in rows if r["error"]] == [offsets[3] + 1]
+    assert len(reads) < 30  # 203 references; the long record and the end take reads of their own
+    far = [{"warc_path": p, "offset": o} for p, o in [("a", 0), ("a", 10), ("a", 10**6), ("b", 10**6 + 5), ("b", None)]]
+    assert [len(g) for g in fetch.plan_reads(far)] == [2, 1, 1, 1] and list(fetch.plan_reads([])) == []
