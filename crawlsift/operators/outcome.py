@@ -100,8 +100,8 @@ def outcome_image(passed_filter: Column, image: str = "image") -> Column:
     )
 
 
-def outcome_page(passed_filter: Column, index_usable: Column) -> Column:
-    """Outcome of a page in a pair job; NULL for pages that go on to their images."""
+def outcome_page(passed_filter: Column) -> Column:
+    """Outcome of a page in a pair job by itself; empty for pages that go on to their images."""
     return first_failure(
         [
             *html_checks(),
@@ -109,12 +109,17 @@ def outcome_page(passed_filter: Column, index_usable: Column) -> Column:
             (F.col("has_body"), NO_BODY),
             (F.size("imgs") > 0, NO_IMG_ELEMENTS),
             (passed_filter, TEXT_FILTER_NOT_PASSED),
-            (index_usable, INDEX_FILE_EXCEPTION),
         ],
         passed="",
     )
 
 
+def outcome_indexed(outcome: Column, index_usable: Column) -> Column:
+    """Outcome of a page once its item's index is known: images need a sound one."""
+    usable = F.coalesce(index_usable, F.lit(False))
+    return F.when((outcome == "") & ~usable, INDEX_FILE_EXCEPTION).otherwise(outcome)
+
+
 def outcome_pairs(passed_image: Column, passed_both: Column, requested: str = "url") -> Column:
     """Outcome of one image of a page, from the located and fetched record.
 

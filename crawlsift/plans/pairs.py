@@ -30,6 +30,7 @@ from crawlsift.operators.outcome import (
     COMBINED_FILTER_NOT_PASSED,
     NODE_RESULTS,
     funnel_counts,
+    outcome_indexed,
     outcome_page,
     outcome_pairs,
 )
@@ -37,7 +38,7 @@ from crawlsift.operators.pages import evaluate_once
 from crawlsift.operators.score import score_pairs, score_passthrough
 from crawlsift.plans.text import html_only, pass_all, read_pages
 from crawlsift.session import broadcast_if_bounded, materialize
-from crawlsift.sources.cdx import index_files, latest_captures, read_cdx, usable_items
+from crawlsift.sources.cdx import latest_captures, read_index, usable_items
 from crawlsift.sources.fetch import fetch_records
 from crawlsift.sources.paths import parent
 
@@ -81,13 +82,9 @@ def pair_tables(
 
     The archives are parsed once: pages are written as a table that later steps read by
     column. Image URLs are counted per item before any join, so an image that many pages show
-    is located, fetched and decoded a single time.
+    is located, fetched and decoded a single time. Indexes are read once, after the pages: what
+    leaves the tasks that read them are the lines of URLs that pages show.
     """
-    files = materialize(index_files(spark, roots), "index-files")
-    cdx = materialize(read_cdx(spark, roots, files), "cdx")
-    items = usable_items(files, cdx).withColumn("index_usable", F.lit(True))
-    n_files = files.count()
-
     records = read_pages(spark, roots, max_content_length)
     body = evaluate_once(
         html_only(records), _body=body_html(F.col("html")), has_body=has_body(F.col("html"))
@@ -101,13 +98,10 @@ def pair_tables(
         )
     else:
         parsed = parsed.withColumn("prediction_text", F.lit(None).cast("string"))
-    located = parsed.withColumn("item_dir", parent(F.col("archive"))).join(
-        broadcast_if_bounded(items, n_files), "item_dir", "left"
-    )
-    passed = located.withColumn("_passed", text_filter(F.col("prediction_text")))
-    outcome = outcome_page(
-        F.col("_passed"), F.coalesce("index_usable", F.lit(False))
+    passed = parsed.withColumn("item_dir", parent(F.col("archive"))).withColumn(
+        "_passed", text_filter(F.col("prediction_text"))
     )
+    outcome = outcome_page(F.col("_passed"))
     judged = evaluate_once(passed, outcome=outcome)
     going_on = F.col("outcome") == ""
     export = F.when(going_on, render(main_content(F.col("_body")), "export"))
@@ -123,12 +117,21 @@ def pair_tables(
         ),
         "pages",
     )
-    references = page_images(pages.filter(F.col("outcome") == ""), [*PAGE_KEYS, "item_dir"])
+    keys = [*PAGE_KEYS, "item_dir"]
+    asked = page_images(pages.filter(F.col("outcome") == ""), keys)
+    wanted = materialize(image_references(asked), "wanted")
+    index = read_index(spark, roots, wanted)
+    items = broadcast_if_bounded(usable_items(index.files), index.files.count())
+    indexed = pages.join(items.withColumn("index_usable", F.lit(True)), "item_dir", "left")
+    records = indexed.withColumn(
+        "outcome", outcome_indexed(F.col("outcome"), F.col("index_usable"))
+    ).drop("index_usable")
     table = image_table(
-        image_references(references), latest_captures(cdx), roots, max_content_length,
-        decoder, fetch_mode, image_filter,
+        wanted.join(items, "item_dir", "left_semi"), latest_captures(index.lines), roots,
+        max_content_length, decoder, fetch_mode, image_filter,
     )
-    return PairTables(pages, references, table)
+    references = page_images(records.filter(F.col("outcome") == ""), keys)
+    return PairTables(records, references, table)
 
 
 def image_table(
