@@ -10,6 +10,7 @@ from functools import wraps
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +36,7 @@ from crawlsift.plans import text as text_plans
 from crawlsift.session import attach, materialize, spread, work_dir
 from crawlsift.sinks.record_files import write_alt_pairs, write_pairs, write_record_files
 from crawlsift.sinks.stats import report_rows, write_stats
-from crawlsift.sources.cdx import latest_captures, read_cdx
+from crawlsift.sources.cdx import latest_captures, not_revisit, read_cdx
 from crawlsift.sources.dataset import dataset_shards, read_dataset, write_dataset
 from crawlsift.sources.fetch import fetch_records
 from crawlsift.sources.listing import list_archives
@@ -215,8 +216,25 @@ def _item(df: DataFrame) -> DataFrame:
 
 
 def cdx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _item(read_cdx(spark, crawl(spark, sf_dir)))
-    return rows.groupBy("item", "url", "mime").agg(F.count(F.lit(1)).alias("n"))
+    """Every index line with the record it points at: archive, URL, and records before it there."""
+    order = W.partitionBy("archive").orderBy("record_offset")
+    records = _records(spark, sf_dir).select(
+        F.col("archive").alias("warc_path"), F.col("record_offset").alias("offset"), "target_uri",
+        (F.row_number().over(order) - 1).cast("long").alias("place"),
+    )
+    rows = _item(read_cdx(spark, crawl(spark, sf_dir))).join(records, ["warc_path", "offset"], "left")
+    stored = not_revisit(F.col("mime"))
+    return rows.select(
+        "item", "url", "mime", base_name(F.col("warc_path")).alias("archive"),
+        F.when(stored, F.col("target_uri")).alias("target_uri"), F.when(stored, F.col("place")).alias("place"),
+    )
+
+
+def cdx_wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of the images that pages show, from indexes read for these URLs only."""
+    wanted = _page_images(spark, sf_dir).select("item_dir", "url")
+    lines = read_cdx(spark, crawl(spark, sf_dir), wanted)
+    return _positions(J.locate_images(_page_images(spark, sf_dir), latest_captures(lines)))
 
 
 def latest_captures_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -584,6 +602,23 @@ def decode_images_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@F.pandas_udf(T.BinaryType())
+def _text_png(texts: pd.Series, widths: pd.Series) -> pd.Series:
+    """Texts as PNG images: their bytes are the pixels' channels, row by row, zeros at the end."""
+    return pd.Series([crawl_fixture.png_of(t.encode("utf-8"), w) for t, w in zip(texts, widths)], dtype=object)
+
+
+def decode_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as an image, decoded: unlike those of one colour these tell rows, columns and
+    channels apart."""
+    crawl(spark, sf_dir)  # ships the module that makes images
+    texts = _texts(spark, sf_dir, "documents", "doc_id", "text").filter("text <> ''")
+    images = texts.select("doc_id", _text_png("text", 5 + F.col("doc_id") % 60).alias("payload"))
+    return decode_images(images, ["doc_id"]).select(
+        "doc_id", "image.height", "image.width", F.md5("image.data").alias("pixels_md5")
+    )
+
+
 def resize_images_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     images = decoded_images(spark, sf_dir).select(
         "url", resize_images(F.col("image"), 2, 3).alias("pixels")
@@ -991,6 +1026,7 @@ def queries() -> dict[str, Query]:
         "warc_page_roundtrip": warc_page_roundtrip,
         "within_content_length": within_content_length,
         "cdx_rows": cdx_rows,
+        "cdx_wanted": cdx_wanted,
         "latest_captures": latest_captures_query,
         "fetch_records_range": fetch_records_range,
         "fetch_records_scan": fetch_records_scan,
@@ -1026,6 +1062,7 @@ def queries() -> dict[str, Query]:
         "export_name": export_name_query,
         "alt_metadata": alt_metadata_query,
         "decode_images": decode_images_query,
+        "decode_pixels": decode_pixels,
         "resize_images": resize_images_query,
         "locate_images": locate_images,
         "missing_images": missing_images,

@@ -11,6 +11,8 @@ PATTERN = "and the|of the|is on|the th"
 VOCABULARY_SIZE = 2000
 SUBWORD_MERGES = 6
 CAP = 200_000
+# The text of a page of 300,000 bytes: so many paragraphs of the same sentence.
+LARGE_SENTENCE, LARGE_PARAGRAPHS = "The house of the town is on the hill, she said.", 5_556
 
 # Charsets of pages that declare none, with the script of their text; letters and what stands for
 # them in the other scripts.
@@ -201,6 +203,14 @@ records AS (
   UNION ALL SELECT NULL, any_value(item), archive, NULL, 'warcinfo' FROM pg GROUP BY archive
 )"""
 
+# the same with the number of records before each in its archive
+PLACED = """
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY archive ORDER BY p NULLS FIRST, list_position(
+    ['request', 'page', 'svg', 'broken', 'image', 'image2', 'metadata', 'short', 'pdf', 'frames', 'large'], kind)) - 1 AS place
+  FROM records
+)"""
+
 
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(part.strip() for part in parts)
@@ -245,7 +255,12 @@ merged{n + 1} AS (
 
 def oracle_sql() -> dict[str, str]:
     text_len = "length(text) >= 1000"
-    long_pages = f"page_texts AS (SELECT p, url, html, alts, {page_text_sql('html')} AS text FROM pg)"
+    long_pages = f"""
+page_texts AS (
+  SELECT p, url, {page_text_sql('html')} AS text, {export_text_sql('html', 'alts')} AS export_text FROM pg
+  UNION ALL SELECT -1 - p, concat(url, '#large'), trim(repeat('{LARGE_SENTENCE} ', {LARGE_PARAGRAPHS})),
+    trim(repeat('{LARGE_SENTENCE}' || chr(10), {LARGE_PARAGRAPHS}), chr(10)) FROM pg WHERE p % 25 = 0
+)"""
     page_detect = detect_sql("page_texts", "p", "text")
     doc_detect = detect_sql("documents", "doc_id", "text")
     out: dict[str, str] = {}
@@ -261,13 +276,17 @@ FROM records"""
 SELECT url, md5(regexp_replace(html, '</article>', concat(tags, '</article>'))) AS html_md5 FROM pg"""
     out["within_content_length"] = _with(PG, RECORDS) + f"""
 SELECT {_RECORD_TYPE} AS warc_type, count(*) AS n FROM records WHERE kind <> 'large' GROUP BY ALL"""
-    out["cdx_rows"] = _with(PG, RECORDS) + f"""
-SELECT printf('item-%06d', item) AS item, url, mime, count(*) AS n FROM (
-  SELECT item, url, CASE kind WHEN 'page' THEN 'text/html' WHEN 'svg' THEN 'image/svg+xml' ELSE 'image/png' END AS mime
-  FROM records WHERE kind IN ('page', 'image', 'image2', 'broken', 'svg')
-  UNION ALL SELECT item, concat('{HOST}/moved-', p, '.png'), 'image/png' FROM pg WHERE p % 10 = 6
-  UNION ALL SELECT item, concat('{HOST}/revisit-', p, '.png'), 'warc/revisit' FROM pg WHERE p % 10 = 9
-) GROUP BY ALL"""
+    out["cdx_rows"] = _with(PG, RECORDS, PLACED) + f"""
+SELECT printf('item-%06d', item) AS item, url, mime, {_ARCHIVE_NAME} AS archive, target_uri, place FROM (
+  SELECT item, archive, url, CASE kind WHEN 'page' THEN 'text/html' WHEN 'svg' THEN 'image/svg+xml' ELSE 'image/png' END AS mime,
+    url AS target_uri, place
+  FROM placed WHERE kind IN ('page', 'image', 'image2', 'broken', 'svg')
+  UNION ALL SELECT item, archive, concat('{HOST}/moved-', p, '.png'), 'image/png', url, place
+  FROM placed WHERE p % 10 = 6 AND kind = 'image'
+  UNION ALL SELECT item, archive, concat('{HOST}/revisit-', p, '.png'), 'warc/revisit', NULL, NULL FROM pg WHERE p % 10 = 9
+)"""
+    out["cdx_wanted"] = _with(PG, REFERENCES) + """
+SELECT text_url, position, url FROM images WHERE outcome <> 'n_img_not_found'"""
     out["latest_captures"] = _with(PG) + f"""
 SELECT item, url FROM (
   SELECT printf('item-%06d', item) AS item, url FROM pg
@@ -378,6 +397,10 @@ SELECT doc_id, concat('1.5', chr(10), source, chr(10), lang, chr(10), text, chr(
     out["decode_images"] = _with(PG, CAPTURES) + f"""
 SELECT concat('{HOST}/', p, '.png') AS url, height, width, 3 AS channels, (height * width * 3)::BIGINT AS n_bytes,
   printf('%02x%02x%02x', r, g, b) AS first_pixel FROM good_captures"""
+    out["decode_pixels"] = """
+SELECT doc_id, height, width, md5(bytes || unhex(repeat('00', (height * width * 3 - octet_length(bytes))::BIGINT))) AS pixels_md5
+FROM (SELECT doc_id, width, encode(text) AS bytes, ceil(octet_length(encode(text)) / (3.0 * width))::INTEGER AS height
+  FROM (SELECT *, (5 + doc_id % 60)::INTEGER AS width FROM documents WHERE text <> ''))"""
     out["resize_images"] = _with(PG, CAPTURES) + f"""
 SELECT concat('{HOST}/', p, '.png') AS url, 18::BIGINT AS n_values,
   r * 6 AS red, g * 6 AS green, b * 6 AS blue FROM good_captures"""
@@ -505,7 +528,7 @@ SELECT coalesce(sum(len(regexp_extract_all(text, '{PATTERN}'))), 0)::BIGINT AS n
 FROM page_texts JOIN detected USING (p)
 WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
     out["regex_job_texts"] = _with(PG, PROFILE, long_pages, page_detect) + f"""
-SELECT url, len(regexp_extract_all(text, '{PATTERN}')) AS n_matches, {export_text_sql('html', 'alts')} AS export_text
+SELECT url, len(regexp_extract_all(text, '{PATTERN}')) AS n_matches, export_text
 FROM page_texts JOIN detected USING (p)
 WHERE {text_len} AND regexp_matches(text, '{PATTERN}') AND language = 'en'"""
     out["warc_damaged"] = """
@@ -522,7 +545,7 @@ UNION ALL SELECT 'n_node_results', count(*) FROM ({out["regex_job_texts"]})"""
     out["text_job"] = (
         _with(PG, PROFILE, long_pages, page_detect, VOCABULARY, text_score_sql("page_texts", "p", "text"))
         + f"""
-SELECT url, {export_text_sql('html', 'alts')} AS export_text, round(prediction, 6) AS prediction
+SELECT url, export_text, round(prediction, 6) AS prediction
 FROM page_texts JOIN detected USING (p) JOIN text_scores USING (p)
 WHERE {text_len} AND language = 'en' AND prediction > 0.9"""
     )

@@ -13,7 +13,7 @@ Per page ``p`` (100 pages per item folder, 50 per archive):
 * p % 10 = 1: a metadata record; 2: a response under 128 bytes; 3: a PDF response;
   5: a frameset page; 6: an index line whose URL points at another record;
   9: an index line of a revisit
-* p % 25 = 0: an HTML response of 300,000 bytes
+* p % 25 = 0: an HTML response of 300,000 bytes, LARGE_PARAGRAPHS times the same paragraph
 * a warcinfo record heads each archive
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 PAGES_PER_ITEM = 100
 PAGES_PER_ARCHIVE = 50
 IMAGE_HOST = "http://img.example.org"
+LARGE_PARAGRAPH, LARGE_PARAGRAPHS = b"<p>The house of the town is on the hill, she said.</p>", 5_556
 CDX_HEADER = " CDX N b a m s k r M S V g"
 
 
@@ -45,7 +46,14 @@ def _chunk(kind: bytes, data: bytes) -> bytes:
 
 def png(height: int, width: int, colour: tuple[int, int, int]) -> bytes:
     """A PNG of one colour; a text chunk keeps it over 128 bytes."""
-    rows = (b"\x00" + bytes(colour) * width) * height
+    return png_of(bytes(colour) * width * height, width)
+
+
+def png_of(pixels: bytes, width: int) -> bytes:
+    """A PNG of the given bytes, three a pixel, with as many rows as they need."""
+    height = -(-len(pixels) // (3 * width))
+    pixels = pixels.ljust(height * width * 3, b"\x00")
+    rows = b"".join(b"\x00" + pixels[i : i + 3 * width] for i in range(0, len(pixels), 3 * width))
     return (
         b"\x89PNG\r\n\x1a\n"
         + _chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, 2, 0, 0, 0))
@@ -135,7 +143,7 @@ def page_records(p: int, url: str, html: str) -> list[tuple[bytes, str | None, s
     if p % 10 == 9:
         out.append((b"", f"{IMAGE_HOST}/revisit-{p}.png", "warc/revisit"))
     if p % 25 == 0:
-        out.append((response(f"{url}#large", "text/html", b"<p>large</p>" * 25_000), None, None))
+        out.append((response(f"{url}#large", "text/html", LARGE_PARAGRAPH * LARGE_PARAGRAPHS), None, None))
     return out
 
 
