@@ -35,6 +35,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 LEVELS = 3
 LEVEL_HEX = 2
 KEY_HEX = 16
+#: Buckets by capacity over weight into which the children of one node are cut.
+SPLITS = 256
 _NULL = "\u0002"
 _SEPARATOR = "\u0001"
 
@@ -83,22 +85,66 @@ def _leaf(domain: Column, lang: Column, source: Column) -> Column:
     )
 
 
+def _beside(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with the columns of ``table`` for equal ``keys``; null keys are equal too."""
+    renamed = table.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(renamed, same, "inner").drop(*[f"_k_{k}" for k in keys])
+
+
 def _share_out(nodes: DataFrame, parents: list[str], weight: str, capacity: str, budget: str, out: str) -> DataFrame:
     """Split each parent's ``budget`` by weight, never above a child's capacity.
 
     With children ordered by capacity over weight, ``(budget - capacity before) / weight from
-    here on`` is largest at the first child that is not used up; that is the level of all such.
+    here on`` rises up to the first child that is not used up and never rises again: its peak is
+    the level of all such. A family is not ordered in one task: its quantiles cut it into ``SPLITS`` buckets, whose
+    sums tell between which two bucket starts the peak lies, and only the distinct ratios of the
+    two buckets there are ordered.
     """
-    order = [(F.col(capacity) / F.nullif(F.col(weight), F.lit(0.0))).asc_nulls_last(), F.col("name")]
-    ranked = W.partitionBy(*parents).orderBy(*order)
-    before = F.coalesce(F.sum(capacity).over(ranked.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    rest = F.sum(weight).over(ranked.rowsBetween(0, W.unboundedFollowing))
-    level = (F.col(budget) - before) / F.nullif(rest, F.lit(0.0))
+    ratio = F.col(capacity) / F.nullif(F.col(weight), F.lit(0.0))
+    nodes = materialize(nodes.withColumn("_ratio", ratio), "family")
+    weighty = nodes.where("_ratio IS NOT NULL")
+    cuts = F.array(*[F.lit(i / SPLITS) for i in range(1, SPLITS)])
+    bounds = weighty.groupBy(*parents).agg(F.percentile_approx("_ratio", cuts, SPLITS * 8).alias("_bounds"))
+    bucket = F.size(F.filter("_bounds", lambda x: x < F.col("_ratio")))
+    groups = (
+        _beside(weighty, bounds, parents)
+        .groupBy(*parents, budget, bucket.alias("_bucket"), "_ratio")
+        .agg(F.sum(capacity).alias("_cap"), F.sum(weight).alias("_heft"))
+    )
+    groups = materialize(groups, "ratios")
+    sums = groups.groupBy(*parents, budget, "_bucket").agg(F.sum("_cap").alias("_cap"), F.sum("_heft").alias("_heft"))
+    ordered = W.partitionBy(*parents).orderBy("_bucket")
+    starts = sums.select(
+        *parents,
+        budget,
+        "_bucket",
+        F.lag("_bucket").over(ordered).alias("_earlier"),
+        F.coalesce(F.sum("_cap").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)).alias("_before"),
+        F.sum("_heft").over(ordered.rowsBetween(0, W.unboundedFollowing)).alias("_rest"),
+    )
+    starts = materialize(starts, "starts")
+    first = (F.col(budget) - F.col("_before")) / F.col("_rest")
+    peak = starts.groupBy(*parents).agg(F.max_by(F.array("_bucket", "_earlier"), first).alias("_near"))
+    near = _beside(starts, peak, parents).where(F.array_contains("_near", F.col("_bucket")))
+    inside = W.partitionBy(*parents, "_bucket").orderBy("_ratio").rowsBetween(W.unboundedPreceding, -1)
+
+    def passed(column: str) -> Column:
+        return F.coalesce(F.sum(column).over(inside), F.lit(0.0))
+
+    level = (F.col(budget) - F.col("_before") - passed("_cap")) / (F.col("_rest") - passed("_heft"))
+    levels = (
+        _beside(groups, near.select(*parents, "_bucket", "_before", "_rest"), [*parents, "_bucket"])
+        .select(*parents, level.alias("_level"))
+        .groupBy(*parents)
+        .agg(F.max("_level").alias("_level"))
+    )
+    renamed = levels.withColumnsRenamed({k: f"_k_{k}" for k in parents})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in parents]
     return (
-        nodes.withColumn("_level", level)
-        .withColumn("_level", F.max("_level").over(W.partitionBy(*parents)))
+        nodes.join(renamed, same, "left")
         .withColumn(out, F.coalesce(F.least(F.col(capacity), F.col(weight) * F.col("_level")), F.lit(0.0)))
-        .drop("_level")
+        .drop("_level", "_ratio", *[f"_k_{k}" for k in parents])
     )
 
 
@@ -118,22 +164,12 @@ def leaf_budgets(leaves: DataFrame, mix: Mixture) -> DataFrame:
         .otherwise(0.0),
     )
     weighed = weighed.withColumn("b0", F.lit(total))
-    # Levels are windows over all leaves: each node's values stand on one of its leaves.
     langs = weighed.groupBy("root", "b0", "domain", "w1", "lang", "w2").agg(F.sum("capacity").alias("capacity"))
     domains = langs.groupBy("root", "b0", "domain", "w1").agg(F.sum("capacity").alias("capacity"))
-    domains = _share_out(
-        domains.withColumn("name", F.col("domain")), ["root"], "w1", "capacity", "b0", "b1"
-    ).select(F.col("domain").alias("d"), "b1")
-    langs = langs.join(domains, F.col("domain").eqNullSafe(F.col("d"))).drop("d")
-    langs = _share_out(
-        langs.withColumn("name", F.col("lang")), ["domain"], "w2", "capacity", "b1", "b2"
-    ).select(F.col("domain").alias("d"), F.col("lang").alias("l"), "b2")
-    leaves = weighed.join(
-        langs, F.col("domain").eqNullSafe(F.col("d")) & F.col("lang").eqNullSafe(F.col("l"))
-    ).drop("d", "l")
-    shared = _share_out(
-        leaves.withColumn("name", F.col("source")), ["domain", "lang"], "w3", "capacity", "b2", "b3"
-    )
+    domains = _share_out(domains, ["root"], "w1", "capacity", "b0", "b1").select("domain", "b1")
+    langs = _share_out(_beside(langs, domains, ["domain"]), ["domain"], "w2", "capacity", "b1", "b2")
+    leaves = _beside(weighed, langs.select("domain", "lang", "b2"), ["domain", "lang"])
+    shared = _share_out(leaves, ["domain", "lang"], "w3", "capacity", "b2", "b3")
     return shared.withColumn("budget", F.floor("b3").cast("long")).select(
         "leaf", "domain", "lang", "source", "docs", "tokens", "budget"
     )

@@ -110,6 +110,36 @@ def test_prefix_by_epoch_order(spark):
     assert taken.columns == docs.columns and taken.count() == sum(r.epochs for r in rows)
 
 
+def water_filled(children, budget):
+    """What each (weight, capacity) gets: the emptiest by weight is used up first."""
+    order = sorted((c / w, i) for i, (w, c) in enumerate(children) if w)
+    got, rest, heft = [0.0] * len(children), budget, sum(w for w, _ in children)
+    for ratio, i in order:
+        weight, capacity = children[i]
+        got[i] = min(capacity, weight * rest / heft)
+        rest, heft = rest - got[i], heft - weight
+    return got
+
+
+@pytest.mark.parametrize("splits", [2, 7, 256])
+def test_large_families_are_shared_out_by_buckets(spark, monkeypatch, splits):
+    monkeypatch.setattr(mixing, "SPLITS", splits)
+    families = {
+        ("a", None): ([(1 + i % 3, float(i * i % 997)) for i in range(2000)], 2e5),
+        ("b", "x"): ([(1 + i % 2, float((1 + i % 2) * (5 + i % 4))) for i in range(900)], 7000.0),  # four ratios
+        ("b", "y"): ([(i % 2, float(i % 2 * 10)) for i in range(40)], 1e6),  # more than there is; weights of zero
+        ("c", "x"): ([(1, 0.0), (0, 0.0)], 50.0),
+        (None, None): ([(2.0, 1e9), (1.0, 1e9), (1.0, 3.0)], 0.0),
+    }
+    rows = [(*k, i, float(w), c, b) for k, (children, b) in families.items() for i, (w, c) in enumerate(children)]
+    nodes = spark.createDataFrame(rows, "d string, l string, i int, w double, cap double, b double")
+    shared = mixing._share_out(nodes, ["d", "l"], "w", "cap", "b", "got").collect()
+    assert len(shared) == len(rows)
+    for key, (children, budget) in families.items():
+        got = {r.i: r.got for r in shared if (r.d, r.l) == key}
+        assert [got[i] for i in range(len(children))] == pytest.approx(water_filled(children, budget), rel=1e-9, abs=1e-9)
+
+
 def test_mixing_odd_rows(odd_docs, no_docs):
     mix = mixing.Mixture(share=1.0, max_epochs=2, seed=1)
     out = mixing.mix_documents(odd_docs, mix, **mix_columns())
