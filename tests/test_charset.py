@@ -1,9 +1,13 @@
 """Charsets of pages that declare none."""
 
+import random
+import time
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from crawlsift.functions.charset import CharsetGuess, charset_detector, charset_profile, decode_html
+from crawlsift.functions.charset import MULTI_BYTE, CharsetGuess, _wide_characters, charset_detector, charset_profile, decode_html
 
 JAPANESE = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所で泣いていた事だけは記憶している。"
 CHINESE = "学而时习之，不亦说乎？有朋自远方来，不亦乐乎？人不知而不愠，不亦君子乎？我们今天去北京看了很多地方。"
@@ -59,6 +63,28 @@ def test_guesses_from_little():
     assert guess(JAPANESE.encode("euc_jp") * 3000) == "euc_jp"
 
 
+def test_wide_characters_are_those_of_the_rules():
+    rng = random.Random(5)
+    kinds = [b"A 90", bytes(range(0x80, 0xA1)), bytes(range(0xA1, 0xFF)), b"\x8e\x8f", b"\xff", bytes(range(0x40, 0x7F)), bytes(range(0x30, 0x3A))]
+    texts = [bytes(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(0, 24))) for _ in range(5000)]
+    texts += [t.encode(name, "ignore")[cut:] for t in (JAPANESE, CHINESE, "𠀀é" * 9) for name in MULTI_BYTE for cut in (0, 1)]
+    for name, (one, _, _) in MULTI_BYTE.items():
+        whole, one = regex.compile(rb"(?:" + one + rb")*+"), regex.compile(one)
+        for text in texts:
+            end = whole.match(text).end()
+            want = [(m.start(), len(m[0])) for m in one.finditer(text[:end]) if len(m[0]) > 1]
+            places, lengths, _, got_end = _wide_characters(name, text)
+            assert (list(zip(places.tolist(), lengths.tolist())), got_end) == (want, end), (name, text)
+
+
+def test_long_pages_are_guessed_without_a_python_step_a_character():
+    """When its characters were looked at one by one, such a page ended in a MemoryError."""
+    page = JAPANESE.encode("euc_jp") * 50_000
+    started = time.process_time()
+    assert CharsetGuess({}).guess(page) == "euc_jp"
+    assert time.process_time() - started < 5
+
+
 def test_profile(spark):
     table = spark.createDataFrame([("aé",), ("éé",), ("plain",), (None,), ("日é",)], "t string")
     got = {(r.charset, r.pair): r.n for r in charset_profile(table, "t", ["windows-1252", "cp850"]).collect()}
