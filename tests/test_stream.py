@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from crawl_fixture import png, response
 from crawlsift.operators.filters import IMAGE_TYPES
 from crawlsift.operators.outcome import finished_archives, funnel_counts
@@ -61,6 +62,26 @@ def test_snapshots_equal_batch(spark, folder):
         assert json.load(file) == batch
 
 
+def test_totals_keep_their_state_in_few_files(spark, folder):
+    archive(folder, "x", ["http://h/1"])
+    stream = stream_warc(spark, f"{folder}/in", payload=["text/html"], columns=SLIM_COLUMNS)
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        funnel_snapshots(text_outcomes(stream), f"{folder}/check", table_dir=f"{folder}/table").awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "60"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    parts = [name for name in os.listdir(f"{folder}/check/state/0") if name.isdigit()]
+    assert len(parts) == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_streams_of_the_crawl_take_a_bounded_number_of_batches(spark, monkeypatch):
+    for n, a_batch in ((3, 16), (192, 16), (6000, 500), (6001, 501)):
+        monkeypatch.setattr(queries, "list_archives", lambda *_, n=n: spark.range(n))
+        monkeypatch.setattr(queries, "crawl", lambda *_: "")
+        assert queries._archives_a_batch.__wrapped__(spark, "") == a_batch
+
+
 def test_console_report(spark, folder):
     archive(folder, "x", ["http://h/1"])
     stream = stream_warc(spark, f"{folder}/in", columns=["target_uri"])
