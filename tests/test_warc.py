@@ -388,6 +388,22 @@ def test_rejected_blocks_are_not_held(folder):
     assert [r["target_uri"] for r in rows] == ["http://h/m"] and max(taken) < 1000
 
 
+def test_small_ranges_share_partitions(spark, folder):
+    """Each had a task of its own."""
+    parts = warc.pack_ranges([(str(i), 40_000) for i in range(2000)], 4_000, 8)
+    assert 8 <= len(parts) <= 20_000 // 50
+    assert [(r.path, r.start, r.end) for p in parts for r in p.ranges] == [(str(i), a, a + 4000) for i in range(2000) for a in range(0, 40_000, 4000)]
+    urls = [f"http://h/{i}" for i in range(40)]
+    bad = bytearray(page(urls[20], BODY))
+    bad[len(bad) // 2] ^= 4
+    path = f"{folder}/a.warc.gz"
+    write(path, b"".join(bytes(bad) if u == urls[20] else page(u, BODY) for u in urls))
+    for split in (60, 150, 1000, 1 << 20):
+        rows = warc.read_warc(spark, folder, columns=["target_uri", "error"], split_bytes=split).collect()
+        assert sorted(r.target_uri for r in rows if r.target_uri) == sorted(set(urls) - {urls[20]}), split
+        assert [bool(r.error) for r in rows].count(True) == 1
+
+
 def test_small_archives_share_partitions(spark, folder):
     names = [(f"{folder}/{i:05d}.warc.gz", 10_000) for i in range(10_000)]
     parts = warc.pack_ranges(names, 256 << 20, 8)
