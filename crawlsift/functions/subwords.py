@@ -10,10 +10,13 @@ The vocabulary is the symbols that merges made, all single characters that the t
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from itertools import islice
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,10 +168,11 @@ def subword_encoder(subwords: list[str]) -> Callable[[Column], Column]:
         raise ValueError(f"more than {MAX_SUBWORDS} subwords")
     trie = Trie(subwords)
     pieces = regex.compile(PIECE)
-    known: dict[str, list[int]] = {}
+    known: dict[str, bytes] = {}
 
-    def ids_of(text: str | None) -> list[int]:
-        out: list[int] = []
+    def ids_of(text: str | None) -> bytes:
+        """Ids of a text as 32-bit integers."""
+        out: list[bytes] = []
         found = (m[0] for m in pieces.finditer(text or ""))
         while some := list(islice(found, _PIECES_AT_A_TIME)):
             if len(known) > KNOWN_PIECES:
@@ -176,14 +180,18 @@ def subword_encoder(subwords: list[str]) -> Callable[[Column], Column]:
             for piece in some:
                 ids = known.get(piece)
                 if ids is None:
-                    ids = known[piece] = trie.ids(piece)
-                out += ids
-        return out
-
-    @F.pandas_udf(ENCODED)
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        ids = [ids_of(t) for t in texts]
-        return pd.DataFrame({"input_ids": ids, "attention_mask": [[1] * len(x) for x in ids]})
+                    ids = known[piece] = array("i", trie.ids(piece)).tobytes()
+                out.append(ids)
+        return b"".join(out)
+
+    @F.arrow_udf(ENCODED)
+    def encode(texts: pa.Array) -> pa.Array:
+        rows = [ids_of(text.as_py()) for text in texts]
+        ends = pa.array(np.cumsum([0] + [len(row) // 4 for row in rows], dtype=np.int32))
+        values = np.frombuffer(b"".join(rows), dtype=np.int32)
+        ids = pa.ListArray.from_arrays(ends, pa.array(values))
+        mask = pa.ListArray.from_arrays(ends, pa.array(np.ones(len(values), dtype=np.int32)))
+        return pa.StructArray.from_arrays([ids, mask], names=ENCODED.names)
 
     def tokenize(text: Column) -> Column:
         return encode(text)
@@ -191,20 +199,33 @@ def subword_encoder(subwords: list[str]) -> Callable[[Column], Column]:
     return tokenize
 
 
+def join_pieces(ids: pa.Array, pieces: list[bytes]) -> pa.Array:
+    """Texts of lists of ids: the pieces at these places, joined. Places beyond the last piece count
+    as the last. Null lists are null; bytes that are no UTF-8 become U+FFFD."""
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    flat = pc.fill_null(ids.flatten(), -1).to_numpy(zero_copy_only=False)
+    at = np.where((flat < 0) | (flat >= len(pieces)), len(pieces) - 1, flat)
+    found = pa.array(pieces, pa.large_binary()).take(pa.array(at))
+    places = np.frombuffer(found.buffers()[1], dtype=np.int64, count=len(found) + 1) if len(found) else np.zeros(1, np.int64)
+    ends = np.ascontiguousarray(places[np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))])
+    data = found.buffers()[2] if len(found) else pa.py_buffer(b"")
+    rows = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends), data])
+    try:
+        texts = rows.cast(pa.large_string()).cast(pa.string())
+    except pa.ArrowInvalid:
+        texts = pa.array([row.as_py().decode("utf-8", "replace") for row in rows], pa.string())
+    return pc.if_else(ids.is_valid(), texts, None)
+
+
 def subword_decoder(subwords: list[str]) -> Callable[[Column], Column]:
     """Function ``ids column -> text column``. Ids that the vocabulary lacks are passed over; bytes
     that are no UTF-8 become U+FFFD. Null ids have a null text."""
     parts = [bytes([b]) for b in range(BYTE_IDS)] + [w.encode("utf-8") for w in subwords]
+    parts.append(b"")  # of ids that there are none of
 
-    @F.pandas_udf(T.StringType())
-    def decode(ids: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                None if row is None else b"".join([parts[i] for i in row if 0 <= i < len(parts)]).decode("utf-8", "replace")
-                for row in ids
-            ],
-            dtype=object,
-        )
+    @F.arrow_udf(T.StringType())
+    def decode(ids: pa.Array) -> pa.Array:
+        return join_pieces(ids, parts)
 
     def detokenize(ids: Column) -> Column:
         return decode(ids)

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -34,6 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crawlsift.functions.subwords import join_pieces
 from crawlsift.llm.common import frugal, map_arrow, ready
 
 # Fixed values.
@@ -48,6 +50,20 @@ KNOWN_PAIRS = 1 << 20
 _PIECE_WORDS = 1 << 16
 
 
+def latin_pattern() -> re.Pattern:
+    """``PATTERN`` for texts of the first 256 characters alone, whose classes are written out: the
+    standard library's matcher reads these faster."""
+    classes = {"L": "", "N": "", "s": ""}
+    for c in map(chr, range(256)):
+        for name, rule in (("L", r"\p{L}"), ("N", r"\p{N}"), ("s", r"\s")):
+            if regex.match(rule, c):
+                classes[name] += re.escape(c)
+    written = PATTERN.replace(r"(?!\S)", f"(?![^{classes['s']}])").replace(r"[^\s\p{L}\p{N}]", f"[^{''.join(classes.values())}]")
+    for rule, name in ((r"\p{L}", "L"), (r"\p{N}", "N"), (r"\s", "s")):
+        written = written.replace(rule, f"[{classes[name]}]")
+    return re.compile(written)
+
+
 def byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in byte-level vocabularies, and the byte."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -178,6 +194,8 @@ class Encoder:
 
         self.vocabulary = vocabulary
         self.split = regex.compile(PATTERN)
+        self.latin = latin_pattern()
+        self.beyond_latin = re.compile("[^\\x00-\\xff]")
         self.unsettled = regex.compile(f"[^{SETTLED}]")
         self.library = Tokenizer.from_str(vocabulary.file.decode()).pre_tokenizer
         names = sorted(vocabulary.special, key=lambda s: (-len(s), s))
@@ -198,10 +216,12 @@ class Encoder:
                 yield [self.vocabulary.special[part]]
             elif self.unsettled.search(part):
                 yield [part[a:b] for _, (a, b) in self.library.pre_tokenize_str(part)]
-            elif len(part) <= GROUP_CHARS:
-                yield self.split.findall(part)
             else:
-                found = (m[0] for m in self.split.finditer(part))
+                split = self.split if self.beyond_latin.search(part) else self.latin
+                if len(part) <= GROUP_CHARS:
+                    yield split.findall(part)
+                    continue
+                found = (m[0] for m in split.finditer(part))
                 while some := list(itertools.islice(found, _PIECE_WORDS)):
                     yield some
 
@@ -335,20 +355,13 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out: s
     spark = ready(rows.sparkSession)
     if out in rows.columns:
         raise ValueError(f"there is a column {out} already")
-    shared = spark.sparkContext.broadcast(vocabulary.pieces)
+    table = [vocabulary.pieces.get(i, b"") for i in range(max(vocabulary.pieces) + 1)]
+    shared = spark.sparkContext.broadcast([*table, b""])  # the last is for ids that there are none of
     kept = {f.name: f.dataType for f in rows.schema}
 
     def run(batch: pa.RecordBatch) -> dict:
-        pieces = shared.value
-
-        def text(ids: pa.ListScalar) -> str | None:
-            if not ids.is_valid:
-                return None
-            numbers = ids.values.to_numpy(zero_copy_only=False).tolist()
-            return b"".join([pieces[i] for i in numbers if i in pieces]).decode("utf-8", "replace")
-
         column = batch.column(batch.schema.get_field_index(ids_col))
-        return dict(zip(batch.schema.names, batch.columns)) | {out: [text(ids) for ids in column]}
+        return dict(zip(batch.schema.names, batch.columns)) | {out: join_pieces(column, shared.value)}
 
     fields = ", ".join(f"`{name}` {kind.simpleString()}" for name, kind in kept.items())
     return map_arrow(rows, run, f"{fields}, `{out}` string")

@@ -15,8 +15,6 @@ from crawlsift.session import attach, release_memory
 # Fixed values.
 _BLANK = re.compile(rb"[\x20\x09-\x0d]")
 _CHUNK_BYTES = 1 << 22
-_BATCH_ROWS = 1000
-_BATCH_BYTES = 32 << 20
 #: 64-bit words of a bit filter; its broadcast has no more rows than this, whatever the data.
 FILTER_WORDS = 65_536
 #: A key is hot when it holds more than this share of all rows; so at most 1 / share keys are.
@@ -27,12 +25,7 @@ HOT_SALTS = 64
 
 def ready(spark: SparkSession) -> SparkSession:
     """Ship the package and bound Arrow batches by rows and bytes: texts may be very long."""
-    attach(spark)
-    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if not 0 < rows <= _BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
-    return spark
+    return attach(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -53,6 +53,30 @@ def test_small_groups_and_forgetting(library, vocabulary, monkeypatch):
     assert [g.tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_latin_texts_split_as_others(vocabulary):
+    import regex
+
+    split, latin = regex.compile(bpe.PATTERN), bpe.latin_pattern()
+    rng = random.Random(2)
+    singles = list(map(chr, range(256)))
+    bits = [*singles, "'s", "'ll", "  ", "\n\n", "ab", "é", "12", "\x1c", "\x85", "\xa0"]
+    texts = singles + [f"{a}{b}x" for a in singles for b in singles]
+    texts += ["".join(rng.choice(bits) for _ in range(30)) for _ in range(3000)]
+    assert [t for t in texts if split.findall(t) != latin.findall(t)] == []
+    assert bpe.Encoder(vocabulary).latin.groups == 0
+
+
+def test_decoding_whole_batches(spark, vocabulary):
+    """Ids without a token, null lists, and characters cut between rows."""
+    cut = [i for i, piece in vocabulary.pieces.items() if piece in (b"\xc3", b"\xa9")]
+    both = sorted(cut, key=lambda i: vocabulary.pieces[i], reverse=True)
+    rows = [(1, both), (2, both[:1]), (3, both[1:]), (4, []), (5, None), (6, [-1, 10**6, *both]), (7, [vocabulary.usable[b"a"]])]
+    table = spark.createDataFrame(rows, "k int, ids array<int>").coalesce(1)
+    got = {r.k: r.text for r in bpe.decode(table, vocabulary).collect()}
+    assert got == {1: "é", 2: "\ufffd", 3: "\ufffd", 4: "", 5: None, 6: "é", 7: "a"}
+    assert bpe.decode(table.limit(0), vocabulary).collect() == []
+
+
 def test_settled_characters_split_as_in_the_library(library):
     import regex
 

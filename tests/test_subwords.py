@@ -81,3 +81,25 @@ def test_decoding_odd_ids(spark):
     table = spark.createDataFrame([(1, [65, 9999, -1, 66]), (2, None), (3, []), (4, [0xFF])], "i int, ids array<int>")
     got = {r.i: r.back for r in table.select("i", S.subword_decoder(["x"])(F.col("ids")).alias("back")).collect()}
     assert got == {1: "AB", 2: None, 3: "", 4: "�"}
+
+
+def test_ids_of_odd_batches(spark):
+    encode = S.subword_encoder(["a"])
+    got = spark.createDataFrame([("ab" * 5,), (None,), ("",)], "t string").select(encode(F.col("t")).alias("t"))
+    assert [r.t.input_ids for r in got.collect()] == [[S.BYTE_IDS, 98] * 5, [], []]
+
+
+def test_sessions_hold_batches_to_a_size(spark):
+    from crawlsift.session import BATCH_BYTES, BATCH_ROWS, attach
+
+    rows, size = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
+    before = spark.conf.get(rows), spark.conf.get(size)
+    try:
+        for given, kept in ((("10000", "67108864b"), (str(BATCH_ROWS), str(BATCH_BYTES))), (("0", "1g"), (str(BATCH_ROWS), str(BATCH_BYTES))), (("7", "1000b"), ("7", "1000b"))):
+            spark.conf.set(rows, given[0])
+            spark.conf.set(size, given[1])
+            attach(spark)
+            assert (spark.conf.get(rows), spark.conf.get(size)) == kept
+    finally:
+        spark.conf.set(rows, before[0])
+        spark.conf.set(size, before[1])
