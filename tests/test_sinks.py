@@ -92,3 +92,34 @@ def test_shards_are_looked_at_side_by_side(spark, folder):
     looked = dataset_shards(spark, f"{folder}/d")
     assert looked.count() == 20 and looked.groupBy(F.spark_partition_id()).count().count() > 5
     assert looked.agg({"rows": "sum"}).first()[0] == 100
+
+
+def test_written_files_are_listed_by_tasks(spark, folder):
+    from crawlsift.sources.listing import read_files
+
+    rows = [("a/x y.txt", b"1"), ("a/b/c%41+.txt", b""), ("a/img.png", b"\x00\xff"), ("_h/n.txt", b"no"), ("a/.n.txt", b"no"), ("lang=é/z.txt", b"3")]
+    for name, body in rows:
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        with open(f"{folder}/{name}", "wb") as file:
+            file.write(body)
+    shown = {f"{folder}/{n}": (len(b), b) for n, b in rows if b != b"no"}
+    files = read_files(spark, folder)
+    assert {r.path: (r.length, bytes(r.content)) for r in files.collect()} == shown
+    assert files.inputFiles() == [] or all("listing" in name for name in files.inputFiles())
+    assert {r.path for r in read_files(spark, f"file://{folder}/", "*.txt").collect()} == {p if p.startswith("file:") else f"file://{p}" for p in shown if p.endswith(".txt")}
+    os.mkdir(f"{folder}/none")
+    assert read_files(spark, f"{folder}/none").collect() == []
+
+
+def test_shards_of_the_dataset_query_are_bounded(spark, monkeypatch):
+    """A language was one shard, written by one task."""
+    from checks import queries
+
+    found = []
+    real = queries.dataset_shards
+    monkeypatch.setattr(queries, "dataset_shards", lambda *a, **k: found.append(real(*a, **k)) or found[-1])
+    whole = sorted(map(tuple, queries.dataset_shards_query(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    assert found[0].count() == len(whole)
+    monkeypatch.setattr(queries, "SHARD_BYTES", 200_000)
+    cut = sorted(map(tuple, queries.dataset_shards_query(spark, "/root/testdata/sf0.001").collect()), key=repr)
+    assert cut == whole and found[1].count() > len(whole)
