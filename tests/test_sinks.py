@@ -97,12 +97,12 @@ def test_shards_are_looked_at_side_by_side(spark, folder):
 def test_written_files_are_listed_by_tasks(spark, folder):
     from crawlsift.sources.listing import read_files
 
-    rows = [("a/x y.txt", b"1"), ("a/b/c%41+.txt", b""), ("a/img.png", b"\x00\xff"), ("_h/n.txt", b"no"), ("a/.n.txt", b"no"), ("lang=é/z.txt", b"3")]
+    rows = [("a/x y.txt", b"1"), ("a/b/c%41+.txt", b"2"), ("a/empty.txt", b""), ("a/img.png", b"\x00\xff"), ("_h/n.txt", b"no"), ("a/.n.txt", b"no"), ("lang=é/z.txt", b"3")]
     for name, body in rows:
         os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
         with open(f"{folder}/{name}", "wb") as file:
             file.write(body)
-    shown = {f"{folder}/{n}": (len(b), b) for n, b in rows if b != b"no"}
+    shown = {f"{folder}/{n}": (len(b), b) for n, b in rows if b not in (b"no", b"")}
     files = read_files(spark, folder)
     assert {r.path: (r.length, bytes(r.content)) for r in files.collect()} == shown
     assert files.inputFiles() == [] or all("listing" in name for name in files.inputFiles())
