@@ -30,6 +30,9 @@ import org.apache.spark.sql.api.java.UDF1;
 
 /** Image bytes to (height, width, 3, RGB data); null where they do not decode. */
 public class DecodeImage implements UDF1<byte[], Row> {
+  // The bytes are in memory: without this the decoder copies each image to a file of its own.
+  static { javax.imageio.ImageIO.setUseCache(false); }
+
   public Row call(byte[] bytes) {
     if (bytes == null || bytes.length == 0) return null;
     scala.Option<Row> found = ImageSchema$.MODULE$.decode("", bytes);

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from crawlsift.functions.image import IMAGE, decode_with, rgb_from_bgr
 from crawlsift.functions.jvm_image import jvm_decoder
 from crawlsift.operators.pages import evaluate_once
-from crawlsift.session import materialize, work_dir
+from crawlsift.session import materialize, read_by_rows, work_dir
 from crawlsift.sinks.record_files import write_record_files
 from crawlsift.sources.paths import base_name
 
@@ -30,7 +30,10 @@ def decode_images(
     Only where the driver runs on a JRE, which cannot compile the few lines that call Spark's
     decoder, Spark's image source does the work: payloads are staged as files named by a hash of
     ``keys`` (which must identify the row), and pixels are joined back.
+
+    Tables of decoded images are read by rows from then on, see ``read_by_rows``.
     """
+    read_by_rows(df.sparkSession)
     if decoder is not None:
         return df.withColumn("image", decode_with(decoder)(F.col(payload)))
     decode = jvm_decoder(df.sparkSession)

@@ -12,6 +12,7 @@ from crawlsift.functions.image import (
 )
 from crawlsift.operators.decode import _decode_staged, decode_images
 from crawlsift.operators.filters import image_size_between
+from crawlsift.session import materialize
 
 
 def encoded(spark, kind, height, width, colour, picture_type=1):
@@ -118,3 +119,14 @@ def test_size_band_is_inclusive_and_height_first(spark):
     rows = [((h, w, 3, b""),) for h, w in [(150, 1000), (149, 500), (500, 1001), (1000, 150)]]
     df = spark.createDataFrame(rows, "image struct<height:int,width:int,channels:int,data:binary>")
     assert [r[0] for r in df.select(image_size_between(F.col("image"))).collect()] == [True, False, False, True]
+
+
+def test_decoding_needs_no_files_and_images_are_read_by_rows(spark, folder):
+    df = spark.createDataFrame([("a", png(5, 7, (1, 2, 3)))], "k string, payload binary")
+    stored = materialize(decode_images(df, ["k"]), "decoded", f"{folder}/d")
+    assert stored.first()["image"]["width"] == 7
+    assert not spark._jvm.javax.imageio.ImageIO.getUseCache()
+    plan = stored.select("k", "image")._jdf.queryExecution().executedPlan().toString()
+    assert "Batched: false" in plan
+    plain = stored.select("k", "payload")._jdf.queryExecution().executedPlan().toString()
+    assert "Batched: true" in plain
