@@ -85,9 +85,10 @@ def image_tags(body: Column) -> Column:
 
     A tag that is cut off by the end of the page, or whose quotes do not pair, is none.
     """
-    whole = r"""<img(?=[\s/>])(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
-    found = F.regexp_extract_all(body, F.lit(rf"(?is){whole}(?:>|\z)|<img(?=[\s/>])[^>]*+(?:>|\z)"), 0)
-    return F.filter(found, lambda tag: tag.rlike(rf"(?is)\A{whole}>\z"))
+    name, whole = r"<img(?=[\s/>])", r"""(?:[^'">]++|"[^"]*+"|'[^']*+')*+"""
+    # the name stands before the alternatives, so that a page is searched for it once
+    found = F.regexp_extract_all(body, F.lit(rf"(?is){name}(?:{whole}(?:>|\z)|[^>]*+(?:>|\z))"), 0)
+    return F.filter(found, lambda tag: tag.rlike(rf"(?is)\A{name}{whole}>\z"))
 
 
 def extract_images(body: Column, page_url: Column) -> Column:

@@ -177,3 +177,12 @@ def test_unclosed_markup(spark):
     df = spark.createDataFrame(cases, "html string, mode string, want string")
     for row in df.select("*", extract_text(F.col("html"), "prediction").alias("p"), extract_text(F.col("html"), "export").alias("e")).collect():
         assert (row.p if row["mode"] == "prediction" else row.e) == row.want
+
+
+def test_body_and_image_tags_of_odd_pages(spark):
+    pages = ["", "no tag", "<p>x</p>", "a</head >b", "a</HEAD>b<body x>c", "<body", "<body>", "<bodyx>a", None]
+    assert column(spark, pages, body_html) == ["", "no tag", "<p>x</p>", "b", "c", "<body", "", "<bodyx>a", None]
+    odd = ["<img a='>' b>", "<img a='x><img b>", "<IMG/>y<img>", "<img a=\"1\" '", "<imgx><img", None]
+    assert column(spark, odd, image_tags) == [
+        ["<img a='>' b>"], ["<img b>"], ["<IMG/>", "<img>"], [], [], None,
+    ]
