@@ -52,6 +52,7 @@ def join_unique(
     n_rows: int,
     heavy: bool = False,
     salt_on: list[str] | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Inner join of many ``rows`` to a ``table`` that holds each key once.
 
@@ -64,9 +65,13 @@ def join_unique(
     dropped.
 
     A ``heavy`` table (pixels) outgrows the file sizes the planner sees, so it is joined by
-    sort-merge, which spills, and never broadcast.
+    sort-merge, which spills, and never broadcast. Its compressed shuffle is small, too: with
+    ``tasks`` the join has that many, and adaptive execution does not pack them into few.
     """
 
+    def dealt(df: DataFrame, on: list[str]) -> DataFrame:
+        return df.repartition(tasks, *on) if tasks else df
+
     def side(df: DataFrame) -> DataFrame:
         return df.hint("merge") if heavy else df
 
@@ -74,8 +79,9 @@ def join_unique(
     hot = counts.filter(F.col("n_refs") > least).select(
         *keys, F.ceil(F.col("n_refs") / ROWS_PER_SALT).cast("int").alias("_salts")
     )
-    if n_rows <= least:
-        return rows.join(side(table), keys, "inner")
+    # over an empty table adaptive execution would plan anew and shuffle a dealt side once more
+    if n_rows <= least or (tasks and hot.isEmpty()):
+        return dealt(rows, keys).join(side(dealt(table, keys)), keys, "inner")
     hot = F.broadcast(hot)  # at most n_rows / least rows, so never above MAX_HOT_KEYS
     salts = F.coalesce("_salts", F.lit(1))
     scattered = rows.join(hot, keys, "left").withColumn(
@@ -84,9 +90,12 @@ def join_unique(
     repeated = table.join(hot, keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return scattered.drop("_salts").join(
-        side(repeated.drop("_salts")), [*keys, "_salt"], "inner"
-    ).drop("_salt")
+    salted = [*keys, "_salt"]
+    return (
+        dealt(scattered.drop("_salts"), salted)
+        .join(side(dealt(repeated.drop("_salts"), salted)), salted, "inner")
+        .drop("_salt")
+    )
 
 
 def pair_pages_images(pages: DataFrame, images: DataFrame, keys: list[str]) -> DataFrame:

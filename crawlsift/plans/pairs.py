@@ -49,6 +49,9 @@ SIMILARITY_THRESHOLD = 20.0
 PAGE_KEYS = ["archive", "record_offset"]
 #: Records one task fetches by offset.
 REFERENCES_PER_TASK = 2_000
+#: Pixels, and pairs, that one task joins and scores.
+PIXEL_BYTES_PER_TASK = 128 << 20
+PAIRS_PER_TASK = 5_000
 
 CombinedFilter = Callable[[Column, Column], Column]
 
@@ -93,9 +96,8 @@ def pair_tables(
     parsed = body.withColumn("imgs", with_alt(images) if alt_only else images)
     if texts:
         shown = F.when(F.size("imgs") > 0, F.col("_body"))
-        parsed = evaluate_once(
-            parsed, prediction_text=render(main_content(shown), "prediction")
-        )
+        found = evaluate_once(parsed, _main=main_content(shown))
+        parsed = evaluate_once(found, prediction_text=render(F.col("_main"), "prediction"))
     else:
         parsed = parsed.withColumn("prediction_text", F.lit(None).cast("string"))
     passed = parsed.withColumn("item_dir", parent(F.col("archive"))).withColumn(
@@ -104,7 +106,8 @@ def pair_tables(
     outcome = outcome_page(F.col("_passed"))
     judged = evaluate_once(passed, outcome=outcome)
     going_on = F.col("outcome") == ""
-    export = F.when(going_on, render(main_content(F.col("_body")), "export"))
+    # pages that go on show images, so their main content has been found
+    export = F.when(going_on, render(F.col("_main"), "export")) if texts else F.lit(None).cast("string")
     pages = materialize(
         judged.select(
             *PAGE_KEYS,
@@ -113,7 +116,7 @@ def pair_tables(
             "outcome",
             F.when(going_on, F.col("imgs")).alias("imgs"),
             F.when(going_on, F.col("prediction_text")).alias("prediction_text"),
-            (export if texts else F.lit(None).cast("string")).alias("export_text"),
+            export.alias("export_text"),
         ),
         "pages",
     )
@@ -184,9 +187,24 @@ def pair_rows(tables: PairTables, combined_filter: CombinedFilter | None = None)
 
     With ``combined_filter`` rows failing it are dropped.
     """
-    valid = tables.table.filter(F.col("outcome") == NODE_RESULTS)
+    good = F.col("outcome") == NODE_RESULTS
+    valid = tables.table.filter(good)
     counts = tables.table.select(*KEYS, "n_refs")
-    total = tables.table.agg(F.sum("n_refs")).first()[0] or 0
+    size = F.col("image.height").cast("long") * F.col("image.width") * F.col("image.channels")
+    found = tables.table.agg(
+        F.sum("n_refs").alias("all"),
+        F.sum(F.when(good, F.col("n_refs"))).alias("pairs"),
+        F.sum(F.when(good, size)).alias("pixel_bytes"),
+    ).first()
+    total = found["all"] or 0
+    spark = tables.table.sparkSession
+    # with fewer tasks than the session's shuffles have the planner would deal the pixels once more
+    tasks = max(
+        (found["pairs"] or 0) // PAIRS_PER_TASK,
+        (found["pixel_bytes"] or 0) // PIXEL_BYTES_PER_TASK,
+        spark.sparkContext.defaultParallelism,
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+    )
     # Slim rows first: which references lead to a valid image, then the texts of their pages.
     # Bytes and pixels come last, so they are shuffled once per image and not once per page.
     row = [*PAGE_KEYS, "position"]
@@ -194,7 +212,7 @@ def pair_rows(tables: PairTables, combined_filter: CombinedFilter | None = None)
     pages = tables.pages().select(*PAGE_KEYS, "text_url", "prediction_text", "export_text")
     texts = pair_pages_images(pages, slim, PAGE_KEYS)
     images = valid.drop("outcome", "n_refs")
-    pairs = join_unique(texts, images, KEYS, counts, total, heavy=True, salt_on=row)
+    pairs = join_unique(texts, images, KEYS, counts, total, heavy=True, salt_on=row, tasks=tasks)
     if combined_filter is not None:
         pairs = pairs.filter(combined_filter(F.col("prediction_text"), F.col("image")))
     return pairs.withColumnsRenamed({"url": "image_url", "alt": "alt_text"})

@@ -11,6 +11,7 @@ from checks import queries as Q
 from crawlsift.operators import joins
 from crawlsift.operators.outcome import COUNTERS, funnel_counts
 from crawlsift.operators.pages import parse_pages
+from crawlsift.plans import pairs
 from crawlsift.plans.image import image_outcomes, read_images
 from crawlsift.plans.pairs import pair_funnel, pair_rows, pair_tables, pairs_job
 from crawlsift.plans.text import read_pages, text_outcomes
@@ -113,3 +114,15 @@ def test_missing_index(spark, root, folder):
     # 50 pages, of which those ending in 3 show no image
     assert funnel["n_index_file_exception"] == 45
     assert "n_node_results" not in funnel
+
+
+def test_pairs_get_tasks_by_their_pixels(spark, root, monkeypatch):
+    tables = pair_tables(spark, root)
+    sizes = tables.table.filter("outcome = 'n_node_results'").selectExpr("sum(length(image.data)) AS n").first()["n"]
+    few = pair_rows(tables)
+    monkeypatch.setattr(pairs, "PIXEL_BYTES_PER_TASK", sizes // 13)
+    many = pair_rows(tables)
+    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert many.rdd.getNumPartitions() == 13
+    columns = ["text_url", "position", "image_url", "export_text", "prediction_text", "image"]
+    assert sorted(few.select(columns).collect()) == sorted(many.select(columns).collect())

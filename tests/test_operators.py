@@ -63,6 +63,18 @@ def test_join_unique_spreads_hot_keys(spark, monkeypatch):
     assert plain.count() == 600
 
 
+@pytest.mark.parametrize("n_rows", [601, 5])
+def test_heavy_join_keeps_its_tasks(spark, monkeypatch, n_rows):
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 10)
+    rows = spark.createDataFrame([(i, "d", "hot" if i % 3 else f"k{i % 20}") for i in range(600)], "i int, item_dir string, url string")
+    table = spark.createDataFrame([("d", "hot", 1)] + [("d", f"k{i}", i) for i in range(20)], "item_dir string, url string, v int")
+    counts = joins.image_references(rows)
+    got = joins.join_unique(rows, table, joins.KEYS, counts, n_rows, heavy=True, salt_on=["i"], tasks=11)
+    assert got.rdd.getNumPartitions() == 11
+    want = rows.join(table, joins.KEYS)
+    assert sorted(got.select("i", "url", "v").collect()) == sorted(want.select("i", "url", "v").collect())
+
+
 def test_image_outcome_order(spark):
     good = dict(url="u", warc_path="w", error=None, warc_type="response", content_length=200,
                 content_type="image/png", target_uri="u", image=1)
