@@ -10,6 +10,8 @@ from __future__ import annotations
 PATTERN = "and the|of the|is on|the th"
 VOCABULARY_SIZE = 2000
 SUBWORD_MERGES = 6
+# Height and width of the images that text-image models take.
+MODEL_PIXELS = 224
 CAP = 200_000
 # The text of a page of 300,000 bytes: so many paragraphs of the same sentence.
 LARGE_SENTENCE, LARGE_PARAGRAPHS = "The house of the town is on the hill, she said.", 5_556
@@ -372,7 +374,7 @@ FROM documents LEFT JOIN i USING (doc_id)"""
     out["subword_merges"] = _merges_sql(SUBWORD_MERGES)
     out["subword_round_trip"] = "SELECT doc_id, md5(text) AS text_md5, true AS masked FROM documents"
     out["similarity_inputs"] = _with(PG, CAPTURES) + f"""
-SELECT url, n_words AS n_ids, n_words AS n_mask, 12::BIGINT AS n_pixels, r AS red, g AS green, b AS blue
+SELECT url, n_words AS n_ids, n_words AS n_mask, {3 * MODEL_PIXELS**2}::BIGINT AS n_pixels, r AS red, g AS green, b AS blue
 FROM (SELECT *, len(regexp_extract_all(lower(concat('the picture of ', url)), '[\\p{{L}}\\p{{N}}]+')) AS n_words
   FROM (SELECT *, concat('{HOST}/', p, '.png') AS url FROM good_captures))"""
     out["language_profile"] = _with(PROFILE) + "\nSELECT lang, bucket::INTEGER AS bucket, weight FROM profile"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +31,8 @@ _ARROW_IMAGE = pa.struct(
 # Published per-channel mean and deviation of the usual text-image model.
 CHANNEL_MEAN = (0.48145466, 0.4578275, 0.40821073)
 CHANNEL_STD = (0.26862954, 0.26130258, 0.27577711)
+#: Bytes of model pixels that leave a worker at once: they may be many times the images they are of.
+PIXEL_BYTES = 16 << 20
 
 
 def pack_image(pixels: np.ndarray | None) -> dict | None:
@@ -135,11 +137,22 @@ def model_pixels(pixels: np.ndarray, size: int, mean=CHANNEL_MEAN, std=CHANNEL_S
 def similarity_pixels(
     image: Column, size: int = 224, mean=CHANNEL_MEAN, std=CHANNEL_STD
 ) -> Column:
-    """``model_pixels`` as a column."""
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def prepare(images: pd.DataFrame) -> pd.Series:
-        return _map_pixels(images, lambda p: model_pixels(p, size, mean, std))
+    """``model_pixels`` as a column, some PIXEL_BYTES at a time."""
+    values = 3 * size * size
+    most = max(1, PIXEL_BYTES // (4 * values))
+
+    def made(images: pa.Array) -> pa.Array:
+        missing = np.array([not (x.is_valid and x["data"].is_valid) for x in images], dtype=bool)
+        pixels = [model_pixels(unpack_image(x.as_py()), size, mean, std).ravel() for x, no in zip(images, missing) if not no]
+        offsets = np.concatenate([[0], np.cumsum(np.where(missing, 0, values))]).astype(np.int32)
+        flat = np.concatenate([np.empty(0, dtype=np.float32), *pixels])
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(missing))
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def prepare(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for images in batches:
+            for at in range(0, len(images), most):
+                yield made(images.slice(at, most))
 
     return prepare(image)
 

@@ -2,7 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from crawl_fixture import bmp, png
+from checks.queries import queries
+from crawl_fixture import IMAGE_HOST, bmp, image_shape, png
+from crawlsift.functions import image
 from crawlsift.functions.image import (
     pack_image,
     resize_images,
@@ -115,6 +117,32 @@ def test_resize_column_and_inputs(spark):
     assert np.allclose(row["pixels"][8:], (0.2 - 0.40821073) / 0.27577711, atol=1e-5)
 
 
+def test_model_pixels_leave_a_worker_a_few_images_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(image, "PIXEL_BYTES", 100)
+    shape = "i int, image struct<height:int,width:int,channels:int,data:binary>"
+    rows = [(i, None if i % 3 == 1 else pack_image(np.full((2 + i, 3, 3), (i, 0, 255), np.uint8))) for i in range(7)]
+    df = spark.createDataFrame(rows, shape).coalesce(1)
+    got = {r["i"]: r["p"] for r in df.select("i", image.similarity_pixels(F.col("image"), 2).alias("p")).collect()}
+    assert {i for i, p in got.items() if p is None} == {1, 4}
+    for i in (0, 2, 3, 5, 6):
+        assert np.allclose(got[i], np.repeat((np.array([i / 255, 0, 1]) - image.CHANNEL_MEAN) / image.CHANNEL_STD, 4), atol=1e-5)
+    empty = df.filter("i < 0").select(image.similarity_pixels(F.col("image"), 2))
+    assert empty.collect() == []
+
+
+def test_query_makes_inputs_of_the_models_size(spark, folder):
+    """Its images were once shrunk to two by two pixels."""
+    pages = [(p, f"https://example.org/{p}", f"<html><article><p>page {p}</p></article></html>") for p in range(1, 9)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame([("the picture of a page",)], "text string").write.parquet(f"{folder}/documents.parquet")
+    got = {r["url"]: r for r in queries()["similarity_inputs"](spark, folder).collect()}
+    assert set(got) == {f"{IMAGE_HOST}/{p}.png" for p in (1, 2, 3, 4, 5, 6)}
+    for p in (1, 2, 3, 4, 5, 6):
+        row = got[f"{IMAGE_HOST}/{p}.png"]
+        assert (row["n_pixels"], row["n_ids"], row["n_mask"]) == (3 * 224 * 224, 9, 9)
+        assert (row["red"], row["green"], row["blue"]) == image_shape(p)[2]
+
+
 def test_size_band_is_inclusive_and_height_first(spark):
     rows = [((h, w, 3, b""),) for h, w in [(150, 1000), (149, 500), (500, 1001), (1000, 150)]]
     df = spark.createDataFrame(rows, "image struct<height:int,width:int,channels:int,data:binary>")
