@@ -3,11 +3,14 @@
 import random
 import time
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
 
-from crawlsift.functions.charset import MULTI_BYTE, CharsetGuess, _wide_characters, charset_detector, charset_profile, decode_html
+from checks.queries import queries
+from crawlsift.functions import charset
+from crawlsift.functions.charset import MULTI_BYTE, CharsetGuess, _multi_byte_tables, _tally, _wide_characters, charset_detector, charset_profile, decode_html
 
 JAPANESE = "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。何でも薄暗いじめじめした所で泣いていた事だけは記憶している。"
 CHINESE = "学而时习之，不亦说乎？有朋自远方来，不亦乐乎？人不知而不愠，不亦君子乎？我们今天去北京看了很多地方。"
@@ -77,6 +80,71 @@ def test_wide_characters_are_those_of_the_rules():
             assert (list(zip(places.tolist(), lengths.tolist())), got_end) == (want, end), (name, text)
 
 
+def test_characters_that_a_codec_reads_are_counted_as_by_the_rules():
+    def pair(name, kind):
+        first, second = rng.choice(pairs[name, kind])
+        return bytes([first, second])
+
+    rng = random.Random(6)
+    pairs = {}
+    for name, rules in _multi_byte_tables().items():
+        for kind, table in (("any", rules.two), ("kana", rules.two if rules.kana is None else rules.kana), ("daily", rules.daily)):
+            pairs[name, kind] = [divmod(int(i), 256) for i in np.flatnonzero(table)]
+    odd = [b"A 90", bytes(range(0x80, 0xA1)), bytes(range(0xA1, 0xFF)), b"\x8e\x8f", b"\xff", bytes(range(0x40, 0x7F)), bytes(range(0x30, 0x3A))]
+    texts = [bytes(rng.choice(rng.choice(odd)) for _ in range(rng.randint(0, 24))) for _ in range(3000)]
+    for name in MULTI_BYTE:
+        for _ in range(1500):
+            kinds = rng.choice([["any"], ["kana"], ["daily"], ["any", "kana", "daily"]])
+            texts.append(b"".join(rng.choice([b" a", b"x1", b""]) + pair(name, rng.choice(kinds)) for _ in range(rng.randint(1, 9))))
+    texts += [TRADITIONAL.encode("big5") + b"\xa2\xcc\xa1\xc3", "丂ｱ亜".encode("euc_jp") * 9, "ｱｲ表示".encode("shift_jis") * 9, "㐀é中".encode("gb18030") * 9]
+    read = 0
+    for name, rules in _multi_byte_tables().items():
+        for text in texts:
+            wide, lengths, two, end = _wide_characters(name, text)
+            want = None
+            if len(text) - end <= 3:
+                beside = np.zeros(len(wide), dtype=bool)
+                beside[1:] |= wide[1:] == wide[:-1] + lengths[:-1]
+                beside[:-1] |= wide[1:] == wide[:-1] + lengths[:-1]
+                two = two[lengths == 2]
+                want = (len(wide), beside.sum(), 0 if rules.kana is None else rules.kana[two].sum(), rules.daily[two].sum())
+                read += len(wide) > 0
+            assert _tally(name, text) == want, (name, text)
+    assert read > 1000
+
+
+def test_pages_that_a_codec_reads_are_not_read_by_the_rules(monkeypatch):
+    """The rules take ten times as long."""
+    monkeypatch.setattr(charset, "_wide_characters", None)
+    for text, name in ((JAPANESE, "shift_jis"), (JAPANESE, "euc_jp"), (CHINESE, "gb18030"), (TRADITIONAL, "big5")):
+        assert _tally(name, text.encode(name))[0] == len(text)
+
+
+def test_undeclared_pages_go_through_python_once(spark, detect):
+    df = spark.createDataFrame([(b"x", "utf-8")], "p binary, c string")
+    plan = df.select(decode_html(F.col("p"), F.col("c"), detect))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_charsets_of_no_name_are_not_guessed(spark, detect):
+    rows = [(FRENCH.encode("cp850"), "", None), (FRENCH.encode("cp850"), "no-such", None), (FRENCH.encode("cp850"), None, FRENCH), (b"", None, "")]
+    df = spark.createDataFrame(rows, "p binary, c string, want string")
+    for r in df.select(decode_html(F.col("p"), F.col("c"), detect).alias("got"), "want").collect():
+        assert r.got == r.want
+
+
+def test_query_of_undeclared_pages_leaves_out_those_with_too_little(spark, folder):
+    texts = [(1, None), (2, ""), (3, "plain"), (4, "Ünï" * 2), (5, "1 ü 2 Ä 3"), (6, "größer " * 9), (7, "ΑΣ😀" * 3), (7, "ab")]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    with pytest.raises(Exception, match="UnicodeEncodeError"):
+        queries()["undeclared_charsets"](spark, folder).collect()
+    spark.createDataFrame(texts[:6], "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/x/documents.parquet")
+    got = [(r.doc_id, r.charset) for r in queries()["undeclared_charsets"](spark, f"{folder}/x").collect()]
+    always, latin, kana = ["utf-8", "utf-16-le"], ["windows-1252", "cp850", "mac-roman"], ["shift_jis", "euc_jp", "gb18030", "big5"]
+    want = {1: always, 2: always + latin + kana, 3: always + latin, 4: always, 5: always, 6: always + latin + kana}
+    assert sorted(got) == sorted((i, name) for i, names in want.items() for name in names)
+
+
 def test_long_pages_are_guessed_without_a_python_step_a_character():
     """When its characters were looked at one by one, such a page ended in a MemoryError."""
     page = JAPANESE.encode("euc_jp") * 50_000
