@@ -32,7 +32,7 @@ _ARROW_IMAGE = pa.struct(
 CHANNEL_MEAN = (0.48145466, 0.4578275, 0.40821073)
 CHANNEL_STD = (0.26862954, 0.26130258, 0.27577711)
 #: Bytes of model pixels that leave a worker at once: they may be many times the images they are of.
-PIXEL_BYTES = 16 << 20
+PIXEL_BYTES = 4 << 20
 
 
 def pack_image(pixels: np.ndarray | None) -> dict | None:
